@@ -28,7 +28,7 @@ def rating_price_correlation(reviews: DataFrame, products: DataFrame, key: str =
     pairs = _key_moments(reviews, key, "overall").join(_key_moments(products, key, "price"), key)
     pairs = pairs.select(
         (F.col("overall_n") * F.col("price_n")).alias("w"),
-        *[F.col(f"{side}_{part}") for side in ("overall", "price") for part in ("mean", "var")],
+        *[F.col(f"{side}_{part}") for side in ("overall", "price") for part in ("mean", "var", "min", "max")],
     )
     centre = pairs.agg(
         F.struct(
@@ -53,13 +53,15 @@ def _key_moments(df: DataFrame, key: str, value: str) -> DataFrame:
             F.count(F.lit(1)).cast("double").alias(f"{value}_n"),
             F.avg(value).alias(f"{value}_mean"),
             F.var_pop(value).alias(f"{value}_var"),
+            F.min(value).alias(f"{value}_min"),
+            F.max(value).alias(f"{value}_max"),
         )
     )
 
 
 def _varies(side: str) -> Column:
-    mean = F.col(f"{side}_mean")
-    return (F.max(mean) > F.min(mean)) | (F.max(f"{side}_var") > 0)
+    # Means of equal values may differ in the last digit; their extremes do not.
+    return F.max(f"{side}_max") > F.min(f"{side}_min")
 
 
 def rating_features(products: DataFrame, reviews: DataFrame, key: str = "asin") -> DataFrame:

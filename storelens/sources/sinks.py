@@ -10,7 +10,7 @@ def write_report(report: DataFrame, path: str, *, runtime: float | None = None)
     """Write a one-row report as one JSON object, nulls included."""
     if runtime is not None:
         report = report.withColumn("runtime", F.lit(float(runtime)))
-    report.write.mode("overwrite").option("ignoreNullFields", "false").json(path)
+    report.repartition(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
 def save_metrics(metrics: DataFrame, path: str, task: str) -> None:
