@@ -56,5 +56,5 @@ def has_items(items: Column) -> Column:
 
 
 def concat_lists(lists: Iterable[Column]) -> Column:
-    """All elements of several lists in order; null lists count as empty."""
-    return F.flatten(F.filter(F.array(*lists), lambda items: items.isNotNull()))
+    """All elements of several lists of text in order; null lists count as empty."""
+    return F.concat(*[F.coalesce(items, F.array().cast("array<string>")) for items in lists])

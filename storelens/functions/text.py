@@ -12,4 +12,4 @@ WHITESPACE = r"(?U)[\s\x1c-\x1f]+"
 def tokens(text: Column) -> Column:
     """Lower-case words between runs of whitespace; null or blank text gives ``[]``."""
     words = F.split(F.lower(F.coalesce(text, F.lit(""))), WHITESPACE)
-    return F.filter(words, lambda word: word != "")
+    return F.array_remove(words, "")

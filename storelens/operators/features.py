@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storelens.functions import columns as C
-from storelens.operators.joins import lookup_join, split_join
+from storelens.operators.joins import BROADCAST_BYTES, lookup_join, measured_bytes, split_join
 from storelens.operators.quantiles import approximate_quantiles, exact_quantiles
 
 
@@ -17,51 +17,54 @@ def rated_prices(reviews: DataFrame, products: DataFrame, key: str = "asin") ->
     return lookup_join(rated, priced, key)
 
 
-def rating_price_correlation(reviews: DataFrame, products: DataFrame, key: str = "asin") -> DataFrame:
+def rating_price_correlation(
+    reviews: DataFrame, products: DataFrame, key: str = "asin", *, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """Pearson correlation of rating and price over all joined pairs, as one row.
 
     The pairs are not built.  Within one key every rating meets every price, so
-    the count, mean and variance per key on either side are enough: a key adds
-    ``n_ratings * n_prices`` pairs around its two means, and no covariance of its
-    own.  Both sides shrink to one row per key before they move.
-    """
-    pairs = _key_moments(reviews, key, "overall").join(_key_moments(products, key, "price"), key)
-    pairs = pairs.select(
-        (F.col("overall_n") * F.col("price_n")).alias("w"),
-        *[F.col(f"{side}_{part}") for side in ("overall", "price") for part in ("mean", "var", "min", "max")],
-    )
-    centre = pairs.agg(
-        F.struct(
-            *[
-                F.try_divide(F.sum(F.col("w") * F.col(f"{side}_mean")), F.sum("w")).alias(side)
-                for side in ("overall", "price")
-            ]
-        )
-    ).scalar()
-    x, y = (F.col(f"{side}_mean") - centre.getField(side) for side in ("overall", "price"))
-    w = F.col("w")
-    spread = F.sqrt(F.sum(w * (x * x + F.col("overall_var")))) * F.sqrt(F.sum(w * (y * y + F.col("price_var"))))
-    varied = _varies("overall") & _varies("price")
-    return pairs.agg(F.when(varied, F.try_divide(F.sum(w * x * y), spread)).alias("corr"))
+    their sums follow from the count, sum and sum of squares of either side.  The
+    prices are reduced to one row per key; the ratings as well, unless the prices
+    are few enough to be sent to them.
 
-
-def _key_moments(df: DataFrame, key: str, value: str) -> DataFrame:
-    return (
-        df.where(F.col(value).isNotNull())
-        .groupBy(key)
-        .agg(
-            F.count(F.lit(1)).cast("double").alias(f"{value}_n"),
-            F.avg(value).alias(f"{value}_mean"),
-            F.var_pop(value).alias(f"{value}_var"),
-            F.min(value).alias(f"{value}_min"),
-            F.max(value).alias(f"{value}_max"),
-        )
-    )
-
-
-def _varies(side: str) -> Column:
-    # Means of equal values may differ in the last digit; their extremes do not.
-    return F.max(f"{side}_max") > F.min(f"{side}_min")
+    The sums are taken of the distance to a typical value (measured first), so
+    they stay exact for values that are large next to their spread.
+    """
+    ratings = reviews.where(F.col("overall").isNotNull() & F.col(key).isNotNull())
+    prices = products.where(F.col("price").isNotNull() & F.col(key).isNotNull())
+    x, y = F.col("overall") - _typical_value(ratings, "overall"), F.col("price") - _typical_value(prices, "price")
+    ratings = ratings.select(key, F.lit(1).alias("x_n"), x.alias("x"), (x * x).alias("xx"),
+                             F.col("overall").alias("x_min"), F.col("overall").alias("x_max"))
+    prices = prices.groupBy(key).agg(*_sums("y", F.lit(1), y, y * y, F.col("price"), F.col("price")))
+    if measured_bytes(products.select(key, "price")) <= broadcast_bytes:
+        prices = F.broadcast(prices)
+    else:
+        ratings = ratings.groupBy(key).agg(*_sums("x", *[F.col(name) for name in ratings.columns[1:]]))
+
+    n = F.sum(F.col("x_n") * F.col("y_n"))
+    sum_x, sum_y = F.sum(F.col("x") * F.col("y_n")), F.sum(F.col("y") * F.col("x_n"))
+    spread_x = F.sum(F.col("xx") * F.col("y_n")) - F.try_divide(sum_x * sum_x, n)
+    spread_y = F.sum(F.col("yy") * F.col("x_n")) - F.try_divide(sum_y * sum_y, n)
+    together = F.sum(F.col("x") * F.col("y")) - F.try_divide(sum_x * sum_y, n)
+    varied = (F.max("x_max") > F.min("x_min")) & (F.max("y_max") > F.min("y_min"))
+    corr = F.try_divide(together, F.sqrt(spread_x) * F.sqrt(spread_y))
+    return ratings.join(prices, key).agg(F.when(varied, corr).alias("corr"))
+
+
+def _sums(name: str, n: Column, value: Column, square: Column, low: Column, high: Column) -> list[Column]:
+    return [
+        F.sum(n).cast("double").alias(f"{name}_n"),
+        F.sum(value).alias(name),
+        F.sum(square).alias(2 * name),
+        F.min(low).alias(f"{name}_min"),
+        F.max(high).alias(f"{name}_max"),
+    ]
+
+
+def _typical_value(df: DataFrame, column: str, among: int = 1_001) -> Column:
+    """Median of the first few values found, as a literal."""
+    values = sorted(row[0] for row in df.select(F.col(column).cast("double")).take(among))
+    return F.lit(values[len(values) // 2] if values else 0.0)
 
 
 def rating_features(products: DataFrame, reviews: DataFrame, key: str = "asin") -> DataFrame:

@@ -29,19 +29,40 @@ def dangling_rows(rows: DataFrame, parents: DataFrame, key: str) -> DataFrame:
     )
 
 
-def dangling_keys(rows: DataFrame, parents: DataFrame, key: str, name: str = "n") -> DataFrame:
+def dangling_keys(
+    rows: DataFrame, parents: DataFrame, key: str, name: str = "n", *, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
     """Keys without a parent, with their number of rows.
 
-    Both sides are reduced to one row per key before they are moved, so the size
-    of a key's group does not matter.
+    Against few parents the rows are filtered where they are.  Otherwise both
+    sides are reduced to one row per key and task before they are moved, so the
+    size of a key's group does not matter.
     """
-    references = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(name))
-    return references.join(unique_keys(parents, key), key, "left_anti")
+    keys = rows.select(key).where(F.col(key).isNotNull())
+    if measured_bytes(parents.select(key)) <= broadcast_bytes:
+        orphans = keys.join(F.broadcast(unique_keys(parents, key)), key, "left_anti")
+        return orphans.groupBy(key).agg(F.count(F.lit(1)).alias(name))
+    return _keys_of_rows_only(keys, parents, key, name)
 
 
 def key_difference(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Distinct keys of the left table that the right table lacks."""
-    return unique_keys(left, key).join(unique_keys(right, key), key, "left_anti")
+    keys = left.select(key).where(F.col(key).isNotNull())
+    return _keys_of_rows_only(keys, right, key, "_n").select(key)
+
+
+def _keys_of_rows_only(keys: DataFrame, parents: DataFrame, key: str, name: str) -> DataFrame:
+    """One aggregate over both tables.
+
+    Two aggregates and an anti join mean the same, but Spark may move that join
+    below the aggregate of the rows and then shuffle every row.
+    """
+    known = parents.select(key, F.lit(True).alias("_parent")).where(F.col(key).isNotNull())
+    both = keys.withColumn("_parent", F.lit(False)).unionByName(known)
+    counted = both.groupBy(key).agg(
+        F.count_if(~F.col("_parent")).alias(name), F.bool_or("_parent").alias("_parent")
+    )
+    return counted.where(~F.col("_parent")).drop("_parent")
 
 
 def _missing(rows: DataFrame, parents: DataFrame, key: str, broadcast_bytes: int) -> DataFrame:
@@ -50,7 +71,7 @@ def _missing(rows: DataFrame, parents: DataFrame, key: str, broadcast_bytes: int
     if measured_bytes(parents.select(key)) <= broadcast_bytes:
         # Nothing is moved before a following limit, so each task ends at its first find.
         return keys.join(F.broadcast(unique_keys(parents, key)), key, "left_anti")
-    return key_difference(rows, parents, key)
+    return _keys_of_rows_only(keys, parents, key, "_n").select(key)
 
 
 def dangling_flag(

@@ -15,8 +15,8 @@ from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROWS_PER_SPLIT = 2_000_000
-MAX_SPLIT_KEYS = 10_000
-NULL_SPLITS = 4_096
+FREQUENT_KEYS = 1_000
+TRACKED_KEYS = 5_000
 
 _SPLIT = "_split"
 _SPLITS = "_splits"
@@ -59,6 +59,17 @@ def lookup_join(
     return split_join(rows, lookup, key, how, rows_per_split=rows_per_split)
 
 
+def frequent_keys(df: DataFrame, key: str, rows: int = ROWS_PER_SPLIT, limit: int = FREQUENT_KEYS) -> dict:
+    """Approximate row counts of the keys with more than ``rows`` rows (runs a job).
+
+    One pass with a fixed-size sketch per task, without moving the keys.  At most
+    ``limit`` keys are given back, the most frequent ones; null counts as a key.
+    """
+    sketch = F.call_function("approx_top_k", F.col(key), F.lit(limit), F.lit(max(TRACKED_KEYS, limit)))
+    top = df.agg(sketch.alias("top")).first()["top"] or []
+    return {entry["item"]: entry["count"] for entry in top if entry["count"] > rows}
+
+
 def split_join(
     rows: DataFrame,
     lookup: DataFrame,
@@ -66,50 +77,46 @@ def split_join(
     how: str = "inner",
     *,
     rows_per_split: int = ROWS_PER_SPLIT,
-    max_split_keys: int = MAX_SPLIT_KEYS,
+    max_frequent: int = FREQUENT_KEYS,
 ) -> DataFrame:
     """Shuffle join that deals the rows of each frequent key over several tasks.
 
-    Keys with more than ``rows_per_split`` rows get a number of splits in
-    proportion to their count; their lookup rows are repeated once per split.
-    The list of those keys is broadcast and holds at most ``max_split_keys``
-    entries, the most frequent ones; every other key is joined unsplit, so the
-    result never depends on the limits.  Rows with a null key match nothing and
-    are spread freely.
+    The frequent keys are found first.  Without any this is a plain join.
+    Otherwise each of them gets a number of splits in proportion to its count,
+    and its lookup rows are repeated once per split.  Finding them is approximate
+    and bounded, which only decides the layout: a key that is not split is joined
+    as usual.  Rows with a null key match nothing; many of them are spread as well.
 
     The split of a row follows from its position in its partition.  ``rows``
     should therefore come from a scan through row-wise steps only, whose order
     is the same when a lost task is run again.
     """
-    frequent = (
-        rows.where(F.col(key).isNotNull())
-        .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > rows_per_split)
-        .orderBy(F.desc("_n"), key)
-        .limit(max_split_keys)
-        .select(key, F.ceil(F.col("_n") / F.lit(rows_per_split)).cast("int").alias(_SPLITS))
-    )
-    splits = F.coalesce(F.col(_SPLITS), F.lit(1))
+    counts = frequent_keys(rows, key, rows_per_split, max_frequent)
+    if not counts:
+        return rows.join(lookup, key, how)
+
+    splits = {value: -(-count // rows_per_split) for value, count in counts.items()}
+    null_splits = splits.pop(None, 1)
     position = F.monotonically_increasing_id()
-    dealt = (
-        rows.join(F.broadcast(frequent), key, "left")
-        .withColumn(
-            _SPLIT,
-            F.when(F.col(key).isNull(), F.pmod(position, F.lit(NULL_SPLITS)))
-            .otherwise(F.pmod(position, splits))
-            .cast("int"),
-        )
-        .drop(_SPLITS)
-    )
-    repeated = (
-        lookup.join(F.broadcast(frequent), key, "left")
-        .withColumn(_SPLIT, F.explode(F.sequence(F.lit(0), splits - 1)))
-        .drop(_SPLITS)
+    split = F.when(F.col(key).isNull(), F.pmod(position, F.lit(null_splits))).otherwise(
+        F.pmod(position, F.coalesce(_SPLITS, F.lit(1)))
     )
+    dealt = _with_splits(rows, key, splits).withColumn(_SPLIT, split.cast("int")).drop(_SPLITS)
+    every_split = F.sequence(F.lit(0), F.coalesce(_SPLITS, F.lit(1)) - 1)
+    repeated = _with_splits(lookup, key, splits).withColumn(_SPLIT, F.explode(every_split)).drop(_SPLITS)
     return dealt.join(repeated, [key, _SPLIT], how).drop(_SPLIT)
 
 
+def _with_splits(df: DataFrame, key: str, splits: dict) -> DataFrame:
+    """Add the number of splits to the rows with a frequent key, null to the others."""
+    if not splits:
+        return df.withColumn(_SPLITS, F.lit(None).cast("int"))
+    key_type = df.schema[key].dataType
+    entries = [F.struct(F.lit(value).cast(key_type).alias(key), F.lit(n).alias(_SPLITS)) for value, n in splits.items()]
+    small = df.sparkSession.range(0, 1, numPartitions=1).select(F.inline(F.array(*entries)))
+    return df.join(F.broadcast(small), key, "left")
+
+
 def unique_keys(df: DataFrame, key: str) -> DataFrame:
     """Distinct non-null keys."""
     return df.select(key).where(F.col(key).isNotNull()).distinct()

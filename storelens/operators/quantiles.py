@@ -11,9 +11,13 @@ aggregates with a few numbers as their result.
 from __future__ import annotations
 
 import math
+import operator
+from bisect import bisect_right
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SORTED_IN_ONE_TASK = 500_000
@@ -22,6 +26,21 @@ SKETCH_ACCURACY = 10_000
 _V = "_v"
 
 
+@dataclass(frozen=True)
+class _Range:
+    """Values strictly between two bounds, and the 0-based ranks wanted among them."""
+
+    low: float | None
+    high: float | None
+    size: int
+    ranks: dict[int, int]  # rank within the range: rank among all values
+
+    def holds(self) -> Column:
+        above = F.lit(True) if self.low is None else F.col(_V) > self.low
+        below = F.lit(True) if self.high is None else F.col(_V) < self.high
+        return above & below
+
+
 def exact_quantiles(
     df: DataFrame,
     column: str,
@@ -42,8 +61,20 @@ def exact_quantiles(
         return [None] * len(probabilities)
 
     places = [_place(p, size, discrete) for p in probabilities]
-    ranks = sorted({rank for low, _ in places for rank in (low, min(low + 1, size - 1))})
-    found = _values_at(values, size, ranks, cuts, sorted_in_one_task, accuracy)
+    ranks = {rank: rank for low, _ in places for rank in (low, min(low + 1, size - 1))}
+    found: dict[int, float] = {}
+    large = [(_Range(None, None, size, ranks), cuts)]
+    small: list[_Range] = []
+    while large:
+        wanted, cuts = large.pop()
+        if wanted.size <= sorted_in_one_task:
+            small.append(wanted)
+            continue
+        if cuts is None:
+            inside = [rank / wanted.size for rank in wanted.ranks]
+            _, cuts = _sketch(values.where(wanted.holds()), inside, accuracy)
+        large += [(part, None) for part in _narrow(values, wanted, cuts, found)]
+    found.update(_sorted_values(values, small))
 
     quantiles = []
     for low, weight in places:
@@ -83,47 +114,51 @@ def _sketch(values: DataFrame, probabilities: Sequence[float], accuracy: int) ->
     return row["size"], sorted(set(row["cuts"] or []))
 
 
-def _values_at(
-    values: DataFrame,
-    size: int,
-    ranks: Sequence[int],
-    cuts: Sequence[float],
-    sorted_in_one_task: int,
-    accuracy: int,
-) -> dict[int, float]:
-    """The values at the given 0-based ranks in ascending order."""
-    if size <= sorted_in_one_task:
-        ordered = F.sort_array(F.collect_list(_V))
-        row = values.agg(ordered.alias("_ordered")).select(
-            *[F.get("_ordered", F.lit(rank)).alias(str(rank)) for rank in ranks]
-        ).first()
-        return {rank: row[str(rank)] for rank in ranks}
-
-    counts = values.agg(
+def _narrow(
+    values: DataFrame, wanted: _Range, cuts: Sequence[float], found: dict[int, float]
+) -> list[_Range]:
+    """Settle the ranks that fall on a cut; give back the gaps that hold the others."""
+    row = values.where(wanted.holds()).agg(
         *[F.count_if(F.col(_V) < cut).alias(f"below_{i}") for i, cut in enumerate(cuts)],
         *[F.count_if(F.col(_V) == cut).alias(f"at_{i}") for i, cut in enumerate(cuts)],
     ).first()
-
-    found: dict[int, float] = {}
-    open_ranges: dict[int, list[int]] = {}
-    for rank in ranks:
-        # Index of the last cut at or below the rank; -1 when the rank is below all cuts.
-        last = max((i for i in range(len(cuts)) if counts[f"below_{i}"] <= rank), default=-1)
-        if last >= 0 and rank < counts[f"below_{last}"] + counts[f"at_{last}"]:
-            found[rank] = cuts[last]
+    below = [row[f"below_{i}"] for i in range(len(cuts))]
+    through = [row[f"below_{i}"] + row[f"at_{i}"] for i in range(len(cuts))]
+
+    gaps: dict[int, dict[int, int]] = {}
+    for rank, overall_rank in wanted.ranks.items():
+        passed = bisect_right(below, rank)  # number of cuts at or below the rank
+        if passed and rank < through[passed - 1]:
+            found[overall_rank] = cuts[passed - 1]
         else:
-            open_ranges.setdefault(last, []).append(rank)
-
-    for last, inside in open_ranges.items():
-        part, skipped, end = values, 0, size
-        if last >= 0:
-            part = part.where(F.col(_V) > cuts[last])
-            skipped = counts[f"below_{last}"] + counts[f"at_{last}"]
-        if last + 1 < len(cuts):
-            part = part.where(F.col(_V) < cuts[last + 1])
-            end = counts[f"below_{last + 1}"]
-        shifted = [rank - skipped for rank in inside]
-        part_size, part_cuts = _sketch(part, [rank / (end - skipped) for rank in shifted], accuracy)
-        deeper = _values_at(part, part_size, shifted, part_cuts, sorted_in_one_task, accuracy)
-        found.update({rank + skipped: value for rank, value in deeper.items()})
-    return found
+            start = through[passed - 1] if passed else 0
+            gaps.setdefault(passed, {})[rank - start] = overall_rank
+
+    return [
+        _Range(
+            cuts[passed - 1] if passed else wanted.low,
+            cuts[passed] if passed < len(cuts) else wanted.high,
+            (below[passed] if passed < len(cuts) else wanted.size) - (through[passed - 1] if passed else 0),
+            ranks,
+        )
+        for passed, ranks in gaps.items()
+    ]
+
+
+def _sorted_values(values: DataFrame, ranges: Sequence[_Range]) -> dict[int, float]:
+    """Sort the values of ranges that were counted to be small, all in one pass."""
+    if not ranges:
+        return {}
+    anywhere = reduce(operator.or_, [part.holds() for part in ranges])
+    ordered = [
+        F.sort_array(F.collect_list(F.when(part.holds(), F.col(_V)))).alias(f"range_{i}")
+        for i, part in enumerate(ranges)
+    ]
+    row = values.where(anywhere).agg(*ordered).select(
+        *[
+            F.get(f"range_{i}", F.lit(rank)).alias(str(overall_rank))
+            for i, part in enumerate(ranges)
+            for rank, overall_rank in part.ranks.items()
+        ]
+    ).first()
+    return {int(name): value for name, value in row.asDict().items()}

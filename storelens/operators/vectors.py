@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Word2Vec, Word2VecModel
@@ -65,44 +66,45 @@ def synonyms(model: Word2VecModel, words: Sequence[str], k: int = 10) -> DataFra
     return rows
 
 
-def cosine_similarity(vector: Column, query: Column) -> Column:
-    """Cosine of two numeric arrays of equal length; null when one is all zeros."""
-    dot = _sum_of(F.zip_with(vector, query, lambda a, b: a.cast("double") * b.cast("double")))
-    return F.try_divide(dot, F.sqrt(_sum_of_squares(vector)) * F.sqrt(_sum_of_squares(query)))
-
-
-def _sum_of(numbers: Column) -> Column:
-    return F.aggregate(numbers, F.lit(0.0), lambda total, x: total + x)
-
-
-def _sum_of_squares(vector: Column) -> Column:
-    return _sum_of(F.transform(vector, lambda x: x.cast("double") * x.cast("double")))
+def dot_product(a: Column, b: Column) -> Column:
+    """Sum of the products of two numeric arrays of equal length."""
+    products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
+    return F.aggregate(products, F.lit(0.0), lambda total, x: total + x)
 
 
 def nearest(
     df: DataFrame, id_column: str, vector_column: str, queries: Mapping[str, Sequence[float]], k: int = 10
 ) -> DataFrame:
-    """The ``k`` rows most similar to each query vector, over the whole table.
+    """The ``k`` rows most similar by cosine to each query vector, over the whole table.
 
     The queries travel inside the expression, so the table is read once and each
-    task keeps only its own best ``k`` per query before anything is moved.
+    task keeps only its own best ``k`` per query before anything is moved.  An
+    all-zero vector has no similarity to anything.
     """
+    vector = F.col(vector_column)
     scores = F.array(
         *[
             F.struct(
                 F.lit(name).alias("query"),
-                cosine_similarity(
-                    F.col(vector_column), F.array(*[F.lit(float(x)) for x in vector])
-                ).alias("similarity"),
+                F.try_divide(dot_product(vector, _unit_array(query)), F.col("_length")).alias("similarity"),
             )
-            for name, vector in queries.items()
+            for name, query in queries.items()
         ]
     )
-    scored = df.select(id_column, F.inline(scores)).where(F.col("similarity").isNotNull())
+    scored = (
+        df.withColumn("_length", F.sqrt(dot_product(vector, vector)))
+        .select(id_column, F.inline(scores))
+        .where(F.col("similarity").isNotNull())
+    )
     best_first = Window.partitionBy("query").orderBy(F.desc("similarity"), id_column)
     return scored.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= k)
 
 
+def _unit_array(query: Sequence[float]) -> Column:
+    length = math.sqrt(sum(x * x for x in query))
+    return F.array(*[F.lit(x / length if length else None).cast("double") for x in query])
+
+
 def vectors_of(df: DataFrame, id_column: str, vector_column: str, ids: Sequence) -> dict:
     """The vectors of a few given ids, for use as queries (runs one job)."""
     rows = df.where(F.col(id_column).isin(list(ids))).select(id_column, vector_column).collect()

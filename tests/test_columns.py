@@ -48,6 +48,7 @@ def test_has_items_and_concat(spark):
     df = spark.createDataFrame([(["a"], ["b", "a"]), ([], None), (None, None)], "x array<string>, y array<string>")
     assert values(df, C.has_items(F.col("x"))) == [True, False, False]
     assert values(df, C.concat_lists([F.col("x"), F.col("y")])) == [["a", "b", "a"], [], []]
+    assert df.select(C.concat_lists([F.col("x")]).alias("c")).schema["c"].dataType.elementType.typeName() == "string"
 
 
 def test_percent(spark):

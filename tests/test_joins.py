@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from storelens.operators.joins import (
     assert_unique_key,
+    frequent_keys,
     lookup_join,
     measured_bytes,
     repeated_keys,
@@ -43,7 +44,7 @@ def test_all_ways_agree(rows, lookup, how):
     plain = counted(rows.join(lookup, "key", how))
     assert counted(split_join(rows, lookup, "key", how, rows_per_split=700)) == plain
     assert counted(split_join(rows, lookup, "key", how)) == plain
-    assert counted(split_join(rows, lookup, "key", how, rows_per_split=20, max_split_keys=3)) == plain
+    assert counted(split_join(rows, lookup, "key", how, rows_per_split=20, max_frequent=3)) == plain
     assert counted(lookup_join(rows, lookup, "key", how)) == plain
     assert counted(lookup_join(rows, lookup, "key", how, broadcast_bytes=0, rows_per_split=500)) == plain
 
@@ -72,6 +73,27 @@ def test_hot_key_is_dealt_over_tasks(spark, rows, lookup):
             spark.conf.set(name, value)
 
 
+def test_frequent_keys(rows):
+    found = frequent_keys(rows, "key", 300)
+    assert set(found) == {"hot", None}
+    assert found["hot"] == 10_000
+    assert frequent_keys(rows, "key", 20_000) == {}
+    assert frequent_keys(rows.limit(0), "key", 0) == {}
+
+
+def test_integer_keys_are_split_too(spark):
+    left = spark.range(0, 5_000).selectExpr("if(id % 2 = 0, 7, id) as k", "id")
+    right = spark.range(0, 100).selectExpr("id as k", "id * 2 as w")
+    assert counted(split_join(left, right, "k", "left", rows_per_split=100)) == counted(left.join(right, "k", "left"))
+
+
+def test_many_null_keys(spark):
+    left = spark.range(0, 5_000).selectExpr("if(id % 2 = 0, null, id % 100) as k", "id")
+    right = spark.range(0, 50).selectExpr("id as k", "id * 2 as w")
+    for how in ("left", "left_anti", "inner"):
+        assert counted(split_join(left, right, "k", how, rows_per_split=100)) == counted(left.join(right, "k", how))
+
+
 def test_join_type_is_checked(rows, lookup):
     with pytest.raises(ValueError):
         lookup_join(rows, lookup, "key", "full")
