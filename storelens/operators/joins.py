@@ -16,7 +16,8 @@ from pyspark.sql import types as T
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROWS_PER_SPLIT = 2_000_000
 FREQUENT_KEYS = 1_000
-TRACKED_KEYS = 5_000
+TRACKED_KEYS = 2_000
+SKETCH_GROUPS = 256
 
 _SPLIT = "_split"
 _SPLITS = "_splits"
@@ -62,12 +63,21 @@ def lookup_join(
 def frequent_keys(df: DataFrame, key: str, rows: int = ROWS_PER_SPLIT, limit: int = FREQUENT_KEYS) -> dict:
     """Approximate row counts of the keys with more than ``rows`` rows (runs a job).
 
-    One pass with a fixed-size sketch per task, without moving the keys.  At most
-    ``limit`` keys are given back, the most frequent ones; null counts as a key.
+    One pass with a fixed-size sketch per task, without moving the keys; the
+    sketches are merged in groups first, since there is one per scan task.  At
+    most ``limit`` keys are given back, the most frequent ones; null counts as a key.
     """
-    sketch = F.call_function("approx_top_k", F.col(key), F.lit(limit), F.lit(max(TRACKED_KEYS, limit)))
-    top = df.agg(sketch.alias("top")).first()["top"] or []
-    return {entry["item"]: entry["count"] for entry in top if entry["count"] > rows}
+    tracked = F.lit(max(TRACKED_KEYS, limit))
+    group = F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group")
+    merged = (
+        df.groupBy(group)
+        .agg(F.call_function("approx_top_k_accumulate", F.col(key), tracked).alias("_sketch"))
+        # A group of its own, as the merge fails on tasks without any sketch.
+        .groupBy(F.lit("all"))
+        .agg(F.call_function("approx_top_k_combine", F.col("_sketch"), tracked).alias("_sketch"))
+    )
+    top = merged.select(F.explode(F.call_function("approx_top_k_estimate", F.col("_sketch"), F.lit(limit))).alias("top"))
+    return {row["item"]: row["count"] for row in top.select("top.*").where(F.col("count") > rows).collect()}
 
 
 def split_join(

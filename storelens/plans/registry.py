@@ -17,6 +17,7 @@ from storelens.functions.nested import read_nested_list, read_related, related_i
 from storelens.functions.text import tokens
 from storelens.operators import encode, features, integrity, profile, quantiles, trees, vectors
 from storelens.operators.joins import lookup_join
+from storelens.operators.layout import spread
 from storelens.plans import questions, tasks
 from storelens.sources.csv_tables import missing_to_null
 from storelens.sources.shop_views import nested_products, product_texts, products, reviews, table
@@ -49,6 +50,11 @@ def as_double(df: DataFrame, *names: str) -> DataFrame:
     return df.withColumns({name: F.col(name).cast("double") for name in names})
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents in as many tasks as there are cores, for work on their texts."""
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 # Profiling
 
 
@@ -186,8 +192,8 @@ def dangling_related_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def unlabelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
-    return integrity.dangling_rows(documents, table(spark, sf_dir, "labels"), "doc_id")
+    described = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars")
+    return integrity.dangling_rows(described, table(spark, sf_dir, "labels"), "doc_id")
 
 
 @query
@@ -282,7 +288,7 @@ def title_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def document_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    read = table(spark, sf_dir, "documents").select("doc_id", tokens(F.col("text")).alias("words"))
+    read = documents(spark, sf_dir).select("doc_id", tokens(F.col("text")).alias("words"))
     return read.select(
         "doc_id",
         F.size("words").alias("n_tokens"),
@@ -292,7 +298,7 @@ def document_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def document_vocabulary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = table(spark, sf_dir, "documents").select(tokens(F.col("text")).alias("words"))
+    words = documents(spark, sf_dir).select(tokens(F.col("text")).alias("words"))
     return vectors.vocabulary(words, "words")
 
 
@@ -309,7 +315,7 @@ def cosine_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def word2vec_synonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Neighbours of the three most frequent words of the documents."""
-    words = table(spark, sf_dir, "documents").select(tokens(F.col("text")).alias("words"))
+    words = documents(spark, sf_dir).select(tokens(F.col("text")).alias("words"))
     asked = [row["word"] for row in vectors.vocabulary(words, "words").orderBy(F.desc("n"), "word").limit(3).collect()]
     model = vectors.fit_word_vectors(words, "words")
     return six_digits(vectors.synonyms(model, asked, TOP_K))

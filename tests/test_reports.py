@@ -8,8 +8,15 @@ from pathlib import Path
 import pandas as pd
 import pytest
 
-from storelens.plans import questions
+from pyspark.sql import functions as F
+
+from storelens.functions.text import tokens
+from storelens.operators.vectors import vocabulary
+from storelens.plans import questions, runs
+from storelens.plans.registry import tree_lines
 from storelens.sources import csv_tables, sinks
+from storelens.sources.shop_views import nested_products, reviews, table
+from tests.conftest import SMALL
 
 
 @pytest.fixture()
@@ -55,6 +62,33 @@ def test_report(shop, tmp_path):
     }
 
 
+@pytest.mark.parametrize("work_dir", [None, "work"])
+def test_csv_files_to_json(spark, shop, tmp_path, work_dir):
+    runs.profile_csv_files(
+        spark, str(tmp_path / "reviews.csv"), str(tmp_path / "products.csv"), str(tmp_path / "answers"),
+        work_dir=work_dir and str(tmp_path / work_dir),
+    )
+    (part,) = Path(tmp_path / "answers").glob("part-*")
+    answers = json.loads(part.read_text())
+    assert list(answers) == ["q1", "q2", "q3", "q4", "q5", "q6", "q7", "runtime"]
+    assert answers["q5"] == {"Books": 2}
+    assert answers["runtime"] > 0
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_all_tasks_are_stored(spark, tmp_path):
+    out = str(tmp_path / "metrics")
+    runs.feature_tasks(reviews(spark, SMALL), nested_products(spark, SMALL).withColumn("title", F.lit("t")), out)
+    processed = table(spark, SMALL, "documents").select(F.col("text").alias("title"), F.col("source").alias("category"))
+    words = [row["word"] for row in vocabulary(processed.select(tokens(F.col("title")).alias("w")), "w").limit(3).collect()]
+    runs.vector_tasks(processed, words, out, k=2)
+    train, test = tree_lines(spark, SMALL)
+    runs.model_tasks(train, test, out, ["l_orderkey", "l_linenumber"])
+    assert sorted(path.name for path in Path(out).glob("task=*")) == [f"task=task_{i}" for i in range(1, 9)]
+    assert sinks.load_metrics(spark, out, "task_5").first()["count_total"] == processed.count()
+    assert sinks.load_metrics(spark, out, "task_8").first()["test_rmse"] > 0
+
+
 def test_dangling_related(shop):
     _, products = shop
     without_last = products.where("asin <> '003'")
