@@ -93,6 +93,14 @@ def category_features(products: DataFrame) -> DataFrame:
     )
 
 
+def related_prices(products: DataFrame, attribute: str = "also_viewed", key: str = "asin") -> DataFrame:
+    """One row per listed related product with its price; products without a list keep one row."""
+    item = f"{attribute}_{key}"
+    listed = products.select(key, F.explode_outer(F.col(f"related.{attribute}")).alias(item))
+    prices = products.select(F.col(key).alias(item), "price").where(F.col(item).isNotNull())
+    return lookup_join(listed, prices, item, "left").select(key, item, "price")
+
+
 def related_features(
     products: DataFrame, attribute: str = "also_viewed", key: str = "asin"
 ) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.sql import Column, DataFrame, Window
@@ -16,6 +17,9 @@ MIN_PARTITIONS = 4
 
 WORDS_PER_PARTITION = 50_000_000
 
+# Spark cuts a ranking to its first rows in every task up to this many rows.
+RANKED_IN_TASKS = 1_000
+
 
 def vocabulary(df: DataFrame, words: str, min_count: int = MIN_COUNT) -> DataFrame:
     """Words that occur at least ``min_count`` times, with their counts."""
@@ -60,10 +64,7 @@ def synonyms(model: Word2VecModel, words: Sequence[str], k: int = 10) -> DataFra
     found = [
         model.findSynonyms(word, k).select(F.lit(word).alias("query"), "word", "similarity") for word in words
     ]
-    rows = found[0]
-    for more in found[1:]:
-        rows = rows.unionByName(more)
-    return rows
+    return reduce(DataFrame.unionByName, found)
 
 
 def dot_product(a: Column, b: Column) -> Column:
@@ -96,10 +97,20 @@ def nearest(
         .select(id_column, F.inline(scores))
         .where(F.col("similarity").isNotNull())
     )
+    if k >= RANKED_IN_TASKS:
+        scored = _best_of_each(scored, list(queries), id_column, k)
     best_first = Window.partitionBy("query").orderBy(F.desc("similarity"), id_column)
     return scored.withColumn("rank", F.row_number().over(best_first)).where(F.col("rank") <= k)
 
 
+def _best_of_each(scored: DataFrame, names: Sequence[str], id_column: str, k: int) -> DataFrame:
+    """The first ``k`` rows of each query by a sort with a limit, one pass per query."""
+    best = [
+        scored.where(F.col("query") == name).orderBy(F.desc("similarity"), id_column).limit(k) for name in names
+    ]
+    return reduce(DataFrame.unionByName, best)
+
+
 def _unit_array(query: Sequence[float]) -> Column:
     length = math.sqrt(sum(x * x for x in query))
     return F.array(*[F.lit(x / length if length else None).cast("double") for x in query])

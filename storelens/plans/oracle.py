@@ -115,6 +115,7 @@ from products""",
         f"select '{x}' as x, '{y}' as y, round(corr({x}, {y}), 6) as corr from lineitem" for x in NUMERIC for y in NUMERIC
     ),
     "event_type_counts": "select event_type, count(*) as n from events where event_type is not null group by event_type",
+    "distinct_part_types": "select p_type from part where p_type is not null group by p_type",
     "supercategory_counts": f"with {NESTED} select top as supercat, count(*) as n from nested where top <> '' group by top",
     "profile_report": f"""with {R}, {NESTED},
 q12 as (
@@ -166,6 +167,11 @@ select asin, array_to_string(also_viewed, ',') as also_viewed, array_to_string(b
   coalesce(array_to_string(list_concat(coalesce(also_viewed, []), coalesce(bought_together, [])), ','), '') as all_ids,
   false as related_bad
 from nested""",
+    "related_mentions": f"with {NESTED} select asin, count(*) as n from mentions where asin is not null group by asin",
+    "also_viewed_prices": f"""with {NESTED},
+opened as (
+  select asin, unnest(case when len(also_viewed) > 0 then also_viewed else [null] end) as also_viewed_asin from nested)
+select opened.asin, also_viewed_asin, nested.price from opened left join nested on opened.also_viewed_asin = nested.asin""",
     "rating_per_product": f"""with {RATINGS}
 select asin, round("meanRating", 6) as "meanRating", cast("countRating" as double) as "countRating" from rated""",
     "rating_stats": f"with {RATINGS} select count(*) as count_total, {_spread('meanRating')}, {_spread('countRating')} from rated",

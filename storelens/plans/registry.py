@@ -123,6 +123,11 @@ def event_type_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return profile.value_counts(table(spark, sf_dir, "events"), "event_type")
 
 
+@query
+def distinct_part_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.distinct_values(table(spark, sf_dir, "part"), "p_type")
+
+
 @query
 def supercategory_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return questions.question_5(product_texts(spark, sf_dir))
@@ -226,6 +231,11 @@ def related_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def related_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return profile.value_counts(questions.related_references(product_texts(spark, sf_dir)), "asin")
+
+
 # Features
 
 
@@ -253,6 +263,11 @@ def sales_rank_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return six_digits(tasks.task_2(nested_products(spark, sf_dir)))
 
 
+@query
+def also_viewed_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return features.related_prices(nested_products(spark, sf_dir))
+
+
 @query
 def also_viewed_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     viewed = features.related_features(nested_products(spark, sf_dir)).drop("related")

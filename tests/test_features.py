@@ -99,6 +99,16 @@ def test_related_features_of_a_map(spark):
     }
 
 
+def test_related_prices(spark):
+    rows = [("1", 10.0, (["2", "9", None],)), ("2", 20.0, ([],)), ("2", 25.0, None)]
+    found = features.related_prices(spark.createDataFrame(rows, VIEWED))
+    assert found.columns == ["asin", "also_viewed_asin", "price"]
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(
+        [("1", "2", 20.0), ("1", "2", 25.0), ("1", "9", None), ("1", None, None), ("2", None, None), ("2", None, None)],
+        key=str,
+    )
+
+
 ids = st.sampled_from(["1", "2", "3", "4"])
 
 

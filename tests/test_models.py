@@ -140,11 +140,13 @@ def test_task_5(spark, words):
         assert similar == sorted(similar, reverse=True)
 
 
-def test_nearest_over_many_partitions(spark):
+@pytest.mark.parametrize("ranked_in_tasks", [1_000, 5])
+def test_nearest_over_many_partitions(spark, monkeypatch, ranked_in_tasks):
     rng = np.random.default_rng(1)
     data = rng.normal(size=(500, 8))
     df = spark.createDataFrame([(i, row.tolist()) for i, row in enumerate(data)], "i int, v array<double>").repartition(6)
     queries = {"a": data[0].tolist(), "b": rng.normal(size=8).tolist()}
+    monkeypatch.setattr(vectors, "RANKED_IN_TASKS", ranked_in_tasks)
     found = vectors.nearest(df, "i", "v", queries, 7).collect()
     for name, vector in queries.items():
         cosine = data @ np.array(vector) / np.linalg.norm(data, axis=1) / np.linalg.norm(vector)

@@ -16,7 +16,7 @@ from tests.conftest import SMALL
 
 NESTED_TEXT = {
     "supercategory_counts", "profile_report", "dangling_related", "dangling_related_flag", "category_lists",
-    "related_lists", "sales_rank_features", "sales_rank_stats", "also_viewed_features", "also_viewed_stats",
+    "related_lists", "related_mentions", "also_viewed_prices", "sales_rank_features", "sales_rank_stats", "also_viewed_features", "also_viewed_stats",
 }
 FITTED = {"word2vec_synonyms", "brand_index", "brand_one_hot_mean", "brand_pca_mean", "tree_rmse", "tree_depth_tuning"}
 
