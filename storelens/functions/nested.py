@@ -12,6 +12,8 @@ safe literal reader; for all other rows that function only sees a null.
 from __future__ import annotations
 
 import ast
+import operator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -28,45 +30,66 @@ RELATED = T.StructType([T.StructField(name, T.ArrayType(T.StringType())) for nam
 
 _UNREADABLE = "_unreadable"
 _JSON_OPTIONS = {"allowSingleQuotes": "true", "columnNameOfCorruptRecord": _UNREADABLE}
-# Words that JSON and Python literals disagree about, and backslash escapes.
-_AMBIGUOUS = r"\\|\b(true|false|null|None|True|False|NaN|Infinity)\b"
-_AFTER_LIST = r"\]\s*\]\s*\S"
-_AFTER_DICT = r"\}\s*\S"
+# Words that mean something else in JSON than in a Python literal, or only in one.
+_WORDS = ("None", "True", "False", "null", "true", "false", "NaN", "Infinity")
 
 
-def _read_literal(text: str | None) -> object:
-    if text is None:
-        return None
-    try:
-        return ast.literal_eval(text)
-    except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
-        return None
+def _ambiguous(text: Column) -> Column:
+    """True for text with a backslash escape or with one of the words.
 
+    Plain searches first: a pattern over every row would cost more than parsing.
+    """
+    present = reduce(operator.or_, [text.contains(word) for word in _WORDS])
+    as_word = text.rlike(r"\b(" + "|".join(_WORDS) + r")\b")
+    return text.contains("\\") | (present & as_word)
 
-def _as_strings(value: object) -> list[str | None] | None:
-    if not isinstance(value, list):
-        return None
-    return [item if item is None or isinstance(item, str) else str(item) for item in value]
 
+def _ends_after(text: Column, closing: str) -> Column:
+    """True if the first closing bracket is where the text ends, as JSON ignores what follows."""
+    return F.locate(closing, text) + len(closing) - 1 == F.length(F.rtrim(text))
 
-@F.pandas_udf(NESTED_LIST)
-def _literal_lists(texts: pd.Series) -> pd.Series:
-    def read(text: str | None) -> list[list[str | None] | None] | None:
-        value = _read_literal(text)
-        return [_as_strings(item) for item in value] if isinstance(value, list) else None
 
-    return texts.map(read)
+def _literal_readers():
+    """The two Arrow functions.
 
+    They are made of local functions only, so they travel to the Python workers
+    as they are and this package need not be installed there.
+    """
 
-@F.pandas_udf(T.StructType([*RELATED.fields, T.StructField("readable", T.BooleanType())]))
-def _literal_related(texts: pd.Series) -> pd.DataFrame:
-    values = [_read_literal(text) for text in texts]
-    columns = {
-        name: [_as_strings(value.get(name)) if isinstance(value, dict) else None for value in values]
-        for name in RELATED_LISTS
-    }
-    columns["readable"] = [isinstance(value, dict) for value in values]
-    return pd.DataFrame(columns)
+    def parse(text: str | None) -> object:
+        if text is None:
+            return None
+        try:
+            return ast.literal_eval(text)
+        except (ValueError, SyntaxError, TypeError, MemoryError, RecursionError):
+            return None
+
+    def strings(value: object) -> list[str | None] | None:
+        if not isinstance(value, list):
+            return None
+        return [item if item is None or isinstance(item, str) else str(item) for item in value]
+
+    @F.pandas_udf(NESTED_LIST)
+    def lists(texts: pd.Series) -> pd.Series:
+        values = map(parse, texts)
+        return pd.Series([[strings(item) for item in value] if isinstance(value, list) else None for value in values])
+
+    names = RELATED_LISTS
+
+    @F.pandas_udf(T.StructType([*RELATED.fields, T.StructField("readable", T.BooleanType())]))
+    def related(texts: pd.Series) -> pd.DataFrame:
+        values = [parse(text) for text in texts]
+        columns = {
+            name: [strings(value.get(name)) if isinstance(value, dict) else None for value in values]
+            for name in names
+        }
+        columns["readable"] = [isinstance(value, dict) for value in values]
+        return pd.DataFrame(columns)
+
+    return lists, related
+
+
+_literal_lists, _literal_related = _literal_readers()
 
 
 def read_nested_list(df: DataFrame, column: str) -> DataFrame:
@@ -76,13 +99,15 @@ def read_nested_list(df: DataFrame, column: str) -> DataFrame:
     """
     text = F.col(column)
     json_value = F.from_json(text, NESTED_LIST, _JSON_OPTIONS)
-    doubtful = json_value.isNull() | text.rlike(_AMBIGUOUS) | text.rlike(_AFTER_LIST)
+    complete = _ends_after(text, "]]") | (F.trim(text) == "[]")
+    doubtful = F.col("_json").isNull() | _ambiguous(text) | ~complete
     value = F.coalesce(
         F.when(F.col("_doubtful"), _literal_lists(F.when(F.col("_doubtful"), text))),
         F.when(~F.col("_doubtful"), F.col("_json")),
     )
     return (
-        df.withColumns({"_json": json_value, "_doubtful": text.isNotNull() & doubtful})
+        df.withColumns({"_json": json_value})
+        .withColumns({"_doubtful": text.isNotNull() & doubtful})
         .withColumns({"_value": value})
         .withColumns({f"{column}_bad": text.isNotNull() & F.col("_value").isNull(), column: F.col("_value")})
         .drop("_json", "_doubtful", "_value")
@@ -101,8 +126,8 @@ def read_related(df: DataFrame, column: str = "related") -> DataFrame:
     doubtful = (
         F.col("_json").isNull()
         | F.col(f"_json.{_UNREADABLE}").isNotNull()
-        | text.rlike(_AMBIGUOUS)
-        | text.rlike(_AFTER_DICT)
+        | _ambiguous(text)
+        | ~_ends_after(text, "}")
     )
     lists = {
         name: F.when(F.col("_doubtful"), F.col(f"_literal.{name}")).otherwise(F.col(f"_json.{name}"))

@@ -1,6 +1,10 @@
 from __future__ import annotations
 
 import ast
+import os
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 from hypothesis import HealthCheck, given, settings
@@ -10,6 +14,9 @@ from pyspark.sql import functions as F
 from storelens.functions.columns import first_of_first
 from storelens.functions.nested import RELATED_LISTS, read_nested_list, read_related, related_ids
 
+ROOT = Path(__file__).resolve().parent.parent
+ENVIRONMENT = {name: value for name, value in os.environ.items() if name != "PYTHONPATH" and "SPARK" not in name}
+
 CATEGORIES = {
     """[['Books', "Children's Books"]]""": "Books",
     "[['']]": None,
@@ -30,10 +37,14 @@ CATEGORIES = {
     "[['a]] b', 'c']]": "a]] b",
     "[[true]]": None,
     "[['None', 'x']]": "None",
+    "[ ['a'] ]": "a",
+    "[['a'] ] junk": None,
+    "[] junk": None,
+    " [['a']] ": "a",
     "{'a': 1}": None,
     "": None,
 }
-UNREADABLE = {"bad", "(['t'],)", "[['a']] junk", "[['a']] [['b']]", "[[true]]", "{'a': 1}", ""}
+UNREADABLE = {"[['a'] ] junk", "[] junk", "bad", "(['t'],)", "[['a']] junk", "[['a']] [['b']]", "[[true]]", "{'a': 1}", ""}
 
 
 @pytest.fixture(scope="module")
@@ -67,6 +78,8 @@ RELATED = {
     "{'also_viewed': ['1']} x": None,
     "{'also_viewed': (1, 2), 'also_bought': [u'7']}": ["7"],
     r"{'also_viewed': ['\x41']}": ["A"],
+    "{'also_viewed': ['a}', 'b']} ": ["a}", "b"],
+    "{'other': {'x': 1}, 'also_viewed': ['Nonesuch']}": ["Nonesuch"],
 }
 
 
@@ -85,6 +98,24 @@ def test_related_ids(related, text):
     assert row["ids"] == (RELATED[text] or [])
 
 
+def test_workers_do_not_need_the_package(tmp_path):
+    """As on a cluster: the package is known to the driver only."""
+    program = f"""
+import sys
+sys.path.insert(0, {str(ROOT)!r})
+from storelens.functions.nested import read_nested_list, read_related
+from storelens.session import local_session
+spark = local_session(2, memory="1g")
+df = spark.createDataFrame([("[[u'x']]", "{{'also_viewed': [u'7']}}")], "c string, related string")
+row = read_related(read_nested_list(df, "c")).first()
+assert row["c"] == [["x"]] and row["related"]["also_viewed"] == ["7"], row
+"""
+    run = subprocess.run(
+        [sys.executable, "-c", program], cwd=tmp_path, env=ENVIRONMENT, capture_output=True, text=True, timeout=300
+    )
+    assert run.returncode == 0, run.stderr[-2000:]
+
+
 def test_null_related(related):
     assert related[None]["related"] is None
     assert related[None]["related_bad"] is False
