@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 def spread(df: DataFrame) -> DataFrame:
     """Deal the rows of a table with fewer scan splits than the session has cores.
 
-    For work that is heavy per row on a table in few files.  A table with enough
-    splits, as any large one, is given back unchanged and nothing is moved.
+    For work that is heavy per row on a scanned table in few files.  A table with
+    enough splits, as any large one, is given back unchanged and nothing is moved.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storelens.functions.stats import root_mean_square
-from storelens.operators.layout import spread
 
 # Fixed values of the task: plain depth, and the depths tried when tuning.
 DEPTH = 5
@@ -48,7 +47,7 @@ def rmse(df: DataFrame, label: str = "overall", prediction: str = "prediction",
 def fit_tree(
     train: DataFrame, *, depth: int = DEPTH, label: str = "overall", features: str = "features", seed: int = 42
 ) -> DecisionTreeRegressionModel:
-    return _tree(depth, label, features, seed).fit(spread(train.select(features, label)))
+    return _tree(depth, label, features, seed).fit(train.select(features, label))
 
 
 def _tree(depth: int, label: str, features: str, seed: int) -> DecisionTreeRegressor:
@@ -87,7 +86,7 @@ def tune_depth(
     pass over the smaller part scores all of them.
     """
     keys = split_keys or (features, label)
-    held = spread(train.select(*dict.fromkeys([*keys, features, label]))).persist(StorageLevel.MEMORY_AND_DISK)
+    held = train.select(*dict.fromkeys([*keys, features, label])).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         fit_part, valid_part = split_by_key(held, *keys, seed=seed)
 

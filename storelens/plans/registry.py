@@ -392,8 +392,8 @@ def lowest_rmse_candidate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def tree_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Training and test lines; lines with equal keys stay on one side."""
     keys = ("l_orderkey", "l_linenumber")
-    lines = table(spark, sf_dir, "lineitem").select(
-        *keys, *TREE_FEATURES, F.col("l_extendedprice").alias("overall")
+    lines = spread(
+        table(spark, sf_dir, "lineitem").select(*keys, *TREE_FEATURES, F.col("l_extendedprice").alias("overall"))
     )
     assembled = VectorAssembler(inputCols=list(TREE_FEATURES), outputCol="features").transform(lines)
     return trees.split_by_key(assembled.select(*keys, "features", "overall"), *keys)

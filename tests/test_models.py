@@ -114,7 +114,9 @@ def test_best_candidate_takes_the_first_of_equals(spark):
 
 @pytest.fixture(scope="module")
 def words(spark):
-    return table(spark, SMALL, "documents").select(tokens(F.col("text")).alias("words")).persist()
+    kept = table(spark, SMALL, "documents").select(tokens(F.col("text")).alias("words")).persist()
+    yield kept
+    kept.unpersist()
 
 
 def test_vocabulary_of_the_model(words):

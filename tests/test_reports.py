@@ -64,6 +64,7 @@ def test_report(shop, tmp_path):
 
 @pytest.mark.parametrize("work_dir", [None, "work"])
 def test_csv_files_to_json(spark, shop, tmp_path, work_dir):
+    kept = spark.sparkContext._jsc.getPersistentRDDs().size()
     runs.profile_csv_files(
         spark, str(tmp_path / "reviews.csv"), str(tmp_path / "products.csv"), str(tmp_path / "answers"),
         work_dir=work_dir and str(tmp_path / work_dir),
@@ -73,7 +74,7 @@ def test_csv_files_to_json(spark, shop, tmp_path, work_dir):
     assert list(answers) == ["q1", "q2", "q3", "q4", "q5", "q6", "q7", "runtime"]
     assert answers["q5"] == {"Books": 2}
     assert answers["runtime"] > 0
-    assert not spark.sparkContext._jsc.getPersistentRDDs()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == kept
 
 
 def test_all_tasks_are_stored(spark, tmp_path):
