@@ -127,19 +127,21 @@ def related_features(
             F.sum(F.coalesce("_rows", F.lit(1))).alias("_listed"),
         )
     )
+    # Whether there is a list is settled before the join, so that a caller who does
+    # not ask for the lists does not move them.
     has_list = C.has_items(F.col(f"related.{attribute}"))
     return (
-        split_join(products.select(key, "related"), per_product, key, "left")
+        split_join(products.select(key, "related", has_list.alias("_has_list")), per_product, key, "left")
         .withColumns(
             {
-                "meanPriceAlsoViewed": F.when(has_list, F.col("meanPriceAlsoViewed")),
+                "meanPriceAlsoViewed": F.when(F.col("_has_list"), F.col("meanPriceAlsoViewed")),
                 # A list of nulls only has no joined rows, yet it is a list.
                 "countAlsoViewed": F.when(
-                    has_list & F.col(key).isNotNull(), F.coalesce("_listed", F.lit(0).cast("long"))
+                    F.col("_has_list") & F.col(key).isNotNull(), F.coalesce("_listed", F.lit(0).cast("long"))
                 ),
             }
         )
-        .drop("_listed")
+        .drop("_listed", "_has_list")
     )
 
 
