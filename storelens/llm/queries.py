@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storelens.llm import url_reputation
+from storelens.llm import piece_codec, token_counts, url_reputation
 from storelens.llm.sql import URL_REPUTATION_SQL
 from storelens.sources.shop_views import table
 
@@ -49,3 +50,24 @@ def op8_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op8_url_reputation"] = URL_REPUTATION_SQL
+
+
+@query
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every document by the piece model."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    counted = token_counts.with_token_counts(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
+
+
+@query
+def op10_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded again: number and checksum of its ids, and whether the text comes back."""
+    path = public_tokenizers.path("piece_bpe_32k.model")
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    encoded = docs.withColumn("ids", piece_codec.encode(F.col("text"), path))
+    decoded = encoded.withColumns({"decoded": piece_codec.decode(F.col("ids"), path), "ids_crc32": piece_codec.ids_crc32(F.col("ids"))})
+    return decoded.select(
+        "doc_id", F.size("ids").cast("long").alias("n_ids"), "ids_crc32",
+        (F.col("decoded") == F.translate("text", "\u2581", " ")).alias("round_trip"),
+    )
