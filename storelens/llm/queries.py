@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storelens.llm import piece_codec, token_counts, url_reputation
+from storelens.llm import piece_codec, secrets, token_counts, url_reputation
 from storelens.llm.sql import URL_REPUTATION_SQL
 from storelens.sources.shop_views import table
 
@@ -71,3 +71,9 @@ def op10_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.size("ids").cast("long").alias("n_ids"), "ids_crc32",
         (F.col("decoded") == F.translate("text", "\u2581", " ")).alias("round_trip"),
     )
+
+
+@query
+def op6_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secret spans of every document."""
+    return secrets.find_secrets(table(spark, sf_dir, "documents")).drop("text_hash", "text_check")
