@@ -32,12 +32,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from storelens.llm.common import blocks
-from storelens.llm.piece_machine import MOST_STATES, PieceMachine, machine, prepared, segments
+from storelens.llm.piece_machine import MOST_STATES, PieceMachine, machine, prepared, read_model, segments, surfaces
 
-BLOCK_BYTES = 16 << 20
-MOST_PATHS = 300_000
+BLOCK_BYTES = 8 << 20
+MOST_PATHS = 200_000
 
 _paths: dict[str, dict[str, np.ndarray]] = {}
+_inverses: dict[str, tuple[pa.Array, bool]] = {}
 
 
 def shortest_path(compiled: PieceMachine, text: str) -> np.ndarray:
@@ -80,12 +81,18 @@ def encode_block(texts: pa.Array, path: str) -> pa.Array:
     return pa.ListArray.from_arrays(every[first].astype(np.int32), ids)
 
 
+def _inverse(path: str) -> tuple[pa.Array, bool]:
+    if path not in _inverses:
+        model = read_model(path)
+        _inverses[path] = pa.array(surfaces(model), pa.large_binary()), model.normalizer_spec.add_dummy_prefix
+    return _inverses[path]
+
+
 def decode_block(lists: pa.Array, path: str) -> pa.Array:
     """Texts of a block of lists of ids."""
-    compiled = machine(path)
+    surface, dummy_prefix = _inverse(path)
     ids = lists.flatten()
     bounds = np.append(0, np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy())).astype(np.int64)
-    surface = pa.array(compiled.surface, pa.large_binary())
     inside = pa.compute.and_(pa.compute.greater_equal(ids, 0), pa.compute.less(ids, len(surface)))
     spelled = pa.compute.fill_null(surface.take(pa.compute.if_else(inside, ids, pa.scalar(None, ids.type))), b"")
     offsets = np.frombuffer(spelled.buffers()[1], dtype=np.int64)[spelled.offset : spelled.offset + len(spelled) + 1]
@@ -95,7 +102,7 @@ def decode_block(lists: pa.Array, path: str) -> pa.Array:
     begin, end = offsets[bounds[:-1]], offsets[bounds[1:]]
     raw = np.frombuffer(data, dtype=np.uint8)
     led = np.zeros(len(begin), dtype=bool)
-    if compiled.dummy_prefix and len(raw):
+    if dummy_prefix and len(raw):
         led = (begin < end) & (raw[np.minimum(begin, len(raw) - 1)] == 0x20)
     begin = begin + led
     return pa.array([bytes(memoryview(data)[a:b]).decode("utf-8", "replace") for a, b in zip(begin.tolist(), end.tolist(), strict=True)], pa.string())

@@ -21,7 +21,7 @@ import pyarrow.compute as pc
 from sentencepiece import SentencePieceProcessor
 from sentencepiece.sentencepiece_model_pb2 import ModelProto
 
-MOST_STATES = 200_000
+MOST_STATES = 150_000
 MOST_REMEMBERED = 800_000
 
 _SIGN = "▁"
@@ -31,6 +31,33 @@ _START = -1
 Arc = tuple[int, int, int, int]
 
 
+def read_model(path: str) -> ModelProto:
+    """The model file; an error if its rules are not those that the machine knows."""
+    model = ModelProto()
+    with open(path, "rb") as file:
+        model.ParseFromString(file.read())
+    rules = model.normalizer_spec
+    if model.trainer_spec.model_type != _BPE or rules.precompiled_charsmap or rules.remove_extra_whitespaces:
+        raise ValueError("only BPE models that leave characters as they are can be compiled")
+    if not (rules.escape_whitespaces and model.trainer_spec.byte_fallback):
+        raise ValueError("only models with escaped spaces and byte fallback can be compiled")
+    return model
+
+
+def surfaces(model: ModelProto) -> list[bytes]:
+    """What each id stands for in a text."""
+    processor = SentencePieceProcessor(model_proto=model.SerializeToString())
+    found = []
+    for number, piece in enumerate(model.pieces):
+        if piece.type == _NORMAL:
+            found.append(piece.piece.replace(_SIGN, " ").encode())
+        elif piece.type == _BYTE:
+            found.append(bytes([int(piece.piece[3:5], 16)]))
+        else:
+            found.append(processor.decode([number]).encode())
+    return found
+
+
 class PieceMachine:
     """Arcs are (next state, id of the piece ending here, its characters, tokens added).
 
@@ -38,32 +65,19 @@ class PieceMachine:
     """
 
     def __init__(self, path: str):
-        model = ModelProto()
-        with open(path, "rb") as file:
-            model.ParseFromString(file.read())
-        rules = model.normalizer_spec
-        if model.trainer_spec.model_type != _BPE or rules.precompiled_charsmap or rules.remove_extra_whitespaces:
-            raise ValueError("only BPE models that leave characters as they are can be compiled")
-        if not (rules.escape_whitespaces and model.trainer_spec.byte_fallback):
-            raise ValueError("only models with escaped spaces and byte fallback can be compiled")
-        self.dummy_prefix = rules.add_dummy_prefix
+        model = read_model(path)
+        self.dummy_prefix = model.normalizer_spec.add_dummy_prefix
         self.ids: dict[str, int] = {}
         self.scores: dict[str, float] = {}
-        self.surface: list[bytes] = []
         self.byte_ids = [0] * 256
-        processor = SentencePieceProcessor(model_proto=model.SerializeToString())
         for number, piece in enumerate(model.pieces):
-            surface = piece.piece.replace(_SIGN, " ")
             if piece.type == _NORMAL:
+                surface = piece.piece.replace(_SIGN, " ")
                 if " " in surface.lstrip(" "):
                     raise ValueError("a piece reaches across a space")
                 self.ids[surface], self.scores[surface] = number, piece.score
-                self.surface.append(surface.encode())
             elif piece.type == _BYTE:
                 self.byte_ids[int(piece.piece[3:5], 16)] = number
-                self.surface.append(bytes([int(piece.piece[3:5], 16)]))
-            else:
-                self.surface.append(processor.decode([number]).encode())
         self.pieces = {number: surface for surface, number in self.ids.items()}
         self.open = {surface[:n] for surface in self.ids for n in range(1, len(surface))}
         self._fitting: dict[tuple[int, int], bool] = {}
