@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storelens.llm import packing, piece_codec, secrets, token_counts, url_reputation
+from storelens.llm import ngram_join, packing, piece_codec, secrets, token_counts, url_reputation
 from storelens.llm.sql import URL_REPUTATION_SQL
 from storelens.sources.shop_views import table
 
@@ -83,3 +83,9 @@ def op6_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_cutting_stock_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of every document and their places in sequences of 2048 tokens."""
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1)
+
+
+@query
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shingle count and component of every document."""
+    return ngram_join.link_documents(table(spark, sf_dir, "documents"))
