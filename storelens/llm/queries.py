@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storelens.llm import ngram_join, packing, piece_codec, secrets, token_counts, url_reputation
+from storelens.llm import ngram_join, packing, piece_codec, secrets, token_counts, toxicity, url_reputation
 from storelens.llm.sql import URL_REPUTATION_SQL
 from storelens.sources.shop_views import table
 
@@ -89,3 +89,10 @@ def op4_cutting_stock_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shingle count and component of every document."""
     return ngram_join.link_documents(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic")).drop("text")
