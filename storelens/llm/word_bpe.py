@@ -17,7 +17,8 @@ from tokenizers import Tokenizer
 
 from storelens.llm.words import text_bytes
 
-MOST_REMEMBERED = 600_000
+MOST_REMEMBERED = 250_000
+MERGED_TOGETHER = 1 << 13
 LONGEST = 40
 
 _WHITE, _LETTER, _DIGIT, _PUNCTUATION, _OTHER = range(5)
@@ -59,7 +60,7 @@ class WordBpe:
         order = np.argsort(keys, kind="stable")
         self.keys, self.ranks = keys[order], ranks[order]
         self.joined = joined
-        self.known: dict[bytes, np.ndarray] = {}
+        self.known: dict[bytes, bytes] = {}
 
     def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         wanted = left.astype(np.int64) << 16 | right
@@ -67,19 +68,19 @@ class WordBpe:
         at[at == len(self.keys)] = 0
         return np.where(self.keys[at] == wanted, self.ranks[at], _NONE)
 
-    def merge(self, words: list[bytes]) -> list[np.ndarray]:
+    def merge(self, words: list[bytes]) -> list[bytes]:
         """Ids of simple words, all words of about one length together."""
-        found: list[np.ndarray] = [np.zeros(0, np.int32)] * len(words)
+        found = [b""] * len(words)
         lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         for low, high in ((0, 6), (6, 10), (10, 14), (14, 20), (20, LONGEST)):
             chosen = np.flatnonzero((lengths > low) & (lengths <= high))
-            for begin in range(0, len(chosen), 1 << 16):
-                some = chosen[begin : begin + (1 << 16)]
+            for begin in range(0, len(chosen), MERGED_TOGETHER):
+                some = chosen[begin : begin + MERGED_TOGETHER]
                 for k, ids in zip(some.tolist(), self._merge([words[k] for k in some.tolist()], lengths[some], high), strict=True):
                     found[k] = ids
         return found
 
-    def _merge(self, words: list[bytes], lengths: np.ndarray, width: int) -> list[np.ndarray]:
+    def _merge(self, words: list[bytes], lengths: np.ndarray, width: int) -> list[bytes]:
         raw = np.frombuffer(b"".join(w.ljust(width, b"\0") for w in words), dtype=np.uint8).reshape(-1, width)
         ids = self.inner[raw]
         rows = np.arange(len(words))
@@ -113,7 +114,8 @@ class WordBpe:
             here[columns[None, :] >= (counts[going] - 1)[:, None]] = _NONE
             ids[going], ranks[going] = tokens, here
         flat = ids[columns[None, :] < counts[:, None]]
-        return np.split(flat, np.cumsum(counts)[:-1])
+        packed, ends = flat.tobytes(), 4 * np.cumsum(counts)
+        return [packed[a:b] for a, b in zip(np.append(0, ends[:-1]).tolist(), ends.tolist(), strict=True)]
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts in a row, and each text's offset (n + 1); null is empty."""
@@ -159,8 +161,8 @@ class WordBpe:
         self._learn(distinct, odd_part)
         known = self.known
         paths = [known[part] for part in distinct]
-        lengths = np.fromiter(map(len, paths), dtype=np.int64, count=len(paths))
-        lists = pa.LargeListArray.from_arrays(np.append(0, np.cumsum(lengths)), pa.array(np.concatenate(paths)))
+        lengths = np.fromiter(map(len, paths), dtype=np.int64, count=len(paths)) // 4
+        lists = pa.LargeListArray.from_arrays(np.append(0, np.cumsum(lengths)), pa.array(np.frombuffer(b"".join(paths), dtype=np.int32)))
         every = np.append(0, np.cumsum(lengths[codes]))
         ids = lists.take(coded.indices).flatten().to_numpy()
         position = np.append(0, np.cumsum(cut))
@@ -174,7 +176,7 @@ class WordBpe:
         self.known.update(zip(plain, self.merge(plain), strict=True))
         rest = [part for part, is_odd in new if is_odd or len(part) > LONGEST]
         for part, found in zip(rest, self.library.encode_batch([part.decode() for part in rest], add_special_tokens=False), strict=True):
-            self.known[part] = np.array(found.ids, dtype=np.int32)
+            self.known[part] = np.array(found.ids, dtype=np.int32).tobytes()
 
 
 _encoders: dict[str, WordBpe] = {}
