@@ -34,10 +34,10 @@ from pyspark.sql import functions as F
 from storelens.llm.common import blocks
 from storelens.llm.piece_machine import MOST_STATES, PieceMachine, machine, prepared, read_model, segments, surfaces
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 MOST_PATHS = 200_000
 
-_paths: dict[str, dict[str, np.ndarray]] = {}
+_paths: dict[str, dict[str, bytes]] = {}
 _inverses: dict[str, tuple[pa.Array, bool]] = {}
 
 
@@ -71,11 +71,11 @@ def encode_block(texts: pa.Array, path: str) -> pa.Array:
     coded = parts.dictionary_encode()
     distinct = coded.dictionary.to_pylist()
     for text in sorted(text for text in distinct if text not in known):
-        known[text] = shortest_path(compiled, text)
+        known[text] = shortest_path(compiled, text).tobytes()
     paths = [known[text] for text in distinct]
-    lengths = np.fromiter(map(len, paths), dtype=np.int64, count=len(paths))
+    lengths = np.fromiter(map(len, paths), dtype=np.int64, count=len(paths)) // 4
     starts = np.append(0, np.cumsum(lengths))
-    lists = pa.LargeListArray.from_arrays(starts, pa.array(np.concatenate(paths) if paths else np.zeros(0, np.int32)))
+    lists = pa.LargeListArray.from_arrays(starts, pa.array(np.frombuffer(b"".join(paths), dtype=np.int32)))
     every = np.append(0, np.cumsum(lengths[coded.indices.to_numpy()])) if len(parts) else np.zeros(1, np.int64)
     ids = lists.take(coded.indices).flatten() if len(parts) else pa.array([], pa.int32())
     return pa.ListArray.from_arrays(every[first].astype(np.int32), ids)
@@ -132,15 +132,32 @@ def decode(ids: Column, path: str) -> Column:
     return decoded(ids)
 
 
-def ids_crc32(ids: Column) -> Column:
-    """Unsigned CRC-32 of each list of ids as little-endian 32-bit words; null counts as no ids."""
+def _checksums(lists: pa.Array) -> list[int]:
+    values = pa.compute.fill_null(lists.flatten(), 0).to_numpy().astype("<u4")
+    ends = np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(lists), 0).to_numpy())
+    begins = np.append(0, ends)[:-1]
+    return [zlib.crc32(values[a:b]) for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
 
-    @F.arrow_udf("long")
-    def checksum(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            values = pa.compute.fill_null(batch.flatten(), 0).to_numpy().astype("<u4")
-            ends = np.cumsum(pa.compute.fill_null(pa.compute.list_value_length(batch), 0).to_numpy())
-            begins = np.append(0, ends)[:-1]
-            yield pa.array([zlib.crc32(values[a:b]) for a, b in zip(begins.tolist(), ends.tolist(), strict=True)], pa.int64())
 
-    return checksum(ids)
+def round_trip(text: Column, path: str) -> Column:
+    """Each text encoded and decoded again: struct of n_ids, ids_crc32 (unsigned, ids as little-endian
+    32-bit words) and the decoded text's equality with the text, the model's space sign taken as a space.
+
+    The ids do not leave the worker; ``encode`` and ``decode`` give them and the texts as columns.
+    """
+
+    @F.arrow_udf("struct<n_ids:bigint,ids_crc32:bigint,round_trip:boolean>")
+    def checked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            whole = pa.record_batch([batch], names=["text"])
+            sizes, sums, equal = [], [], []
+            for block in blocks(whole, "text", BLOCK_BYTES):
+                lists = encode_block(block.column(0), path)
+                sizes += pa.compute.list_value_length(lists).to_pylist()
+                sums += _checksums(lists)
+                plain = pa.compute.replace_substring(pa.compute.fill_null(block.column(0), ""), "\u2581", " ")
+                equal += pa.compute.equal(decode_block(lists, path), plain).to_pylist()
+            columns = [pa.array(sizes, pa.int64()), pa.array(sums, pa.int64()), pa.array(equal, pa.bool_())]
+            yield pa.StructArray.from_arrays(columns, ["n_ids", "ids_crc32", "round_trip"])
+
+    return checked(text)

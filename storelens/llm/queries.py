@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storelens.llm import ngram_join, packing, piece_codec, secrets, token_counts, toxicity, url_reputation
-from storelens.llm.sql import URL_REPUTATION_SQL
+from storelens.llm import ngram_join, packing, piece_codec, secrets, token_counts, toxicity, url_reputation, warc
+from storelens.llm.sql import URL_REPUTATION_SQL, WARC_SQL
 from storelens.sources.shop_views import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,13 +64,8 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again: number and checksum of its ids, and whether the text comes back."""
     path = public_tokenizers.path("piece_bpe_32k.model")
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    encoded = docs.withColumn("ids", piece_codec.encode(F.col("text"), path))
-    decoded = encoded.withColumns({"decoded": piece_codec.decode(F.col("ids"), path), "ids_crc32": piece_codec.ids_crc32(F.col("ids"))})
-    return decoded.select(
-        "doc_id", F.size("ids").cast("long").alias("n_ids"), "ids_crc32",
-        (F.col("decoded") == F.translate("text", "\u2581", " ")).alias("round_trip"),
-    )
+    docs = table(spark, sf_dir, "documents")
+    return docs.select("doc_id", piece_codec.round_trip(F.col("text"), path).alias("digest")).select("doc_id", "digest.*")
 
 
 @query
@@ -96,3 +91,15 @@ def op7_kneser_ney_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return toxicity.score(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic")).drop("text")
+
+
+@query
+def op1_warc_histories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as an archive record, read back through the merged index; pages are taken one second apart."""
+    captured = F.date_format(F.timestamp_seconds(F.lit(1_700_000_000) + F.coalesce("page_id", F.lit(0))), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    captures = table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), "url", captured.alias("captured"), F.col("html").alias("payload"))
+    merged = warc.archive_histories(captures)
+    return merged.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+ORACLE["op1_warc_histories"] = WARC_SQL

@@ -55,3 +55,14 @@ select page_id, host, path, rule,
     when bound < 0.5 then 'block' else 'allow' end as verdict
 from ruled
 """
+
+WARC_SQL = """
+with payloads as (
+  select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha1(coalesce(html, '')) as payload_digest from pages),
+known as (
+  select *, case when payload_bytes >= 1000 then max(page_id) over (partition by payload_digest, payload_bytes) end as first from payloads)
+select page_id, payload_bytes, payload_digest,
+  case when first is not null and first <> page_id then 'revisit' else 'response' end as record_type,
+  case when first <> page_id then first end as refers_to
+from known
+"""
