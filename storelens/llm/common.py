@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 BROADCAST_BYTES = 32 * 1024 * 1024
 BLOCK_BYTES = 4 * 1024 * 1024
+BLOCK_ROWS = 50_000
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -65,11 +66,11 @@ def checked_join(rows: DataFrame, lookup: DataFrame, on: str | list[str], how: s
 
 
 def blocks(batch: pa.RecordBatch, column: str, most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of a batch with at most ``most`` bytes of text, or one row if it is longer."""
+    """Slices of a batch with at most ``most`` bytes of text, or one row if it is longer, and ``BLOCK_ROWS`` rows."""
     sizes = [0 if n is None else n for n in pa.compute.binary_length(batch.column(column)).to_pylist()]
     start, held = 0, 0
     for row, size in enumerate(sizes):
-        if held and held + size > most:
+        if row > start and (held + size > most or row - start >= BLOCK_ROWS):
             yield batch.slice(start, row - start)
             start, held = row, 0
         held += size

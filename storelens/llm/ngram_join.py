@@ -8,7 +8,7 @@ a rare token or at least two frequent ones, so rare tokens are indexed one by on
 and frequent tokens in combinations of two; both only within extended prefixes.
 
 Most of the work is spared by classes.  Equal sets are one class from the
-start.  Every document is compared with the first one of those that share one of
+start.  Every document is compared with the first one of those that share two of
 its ``SEEDS`` least tokens, and what links is joined.  The index then only
 compares documents of different classes; frequent tokens that one class has
 for itself need no combination.  Each candidate pair is verified on the whole sets.
@@ -113,7 +113,11 @@ def _token_ranks(frequent: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def postings(docs: DataFrame, frequent: DataFrame, buckets: int, percent: int = PERCENT) -> DataFrame:
-    """Index entries of ``docs`` (id, class, text): packed rare tokens by bucket, and each document's frequent ones."""
+    """Index entries of ``docs`` (id, class, text): packed rare tokens by bucket, and each document's frequent ones.
+
+    Of a rare token the bucket keeps 32 bits and the number of its document within the block;
+    tokens that agree by chance only give a candidate more, which is verified.
+    """
     tokens, ranks = _token_ranks(frequent)
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((tokens, ranks))
@@ -136,14 +140,17 @@ def postings(docs: DataFrame, frequent: DataFrame, buckets: int, percent: int =
                 places = at[common]
                 lists.append(known[places[np.argsort(rank[places])][:left]].view(np.int64) if left else np.zeros(0, np.int64))
             token, row = np.concatenate(rare), np.concatenate(rows)
-            bucket = (token >> np.uint64(20)) % np.uint64(buckets)
+            bucket = (token >> np.uint64(32)) % np.uint64(buckets)
             order = np.argsort(bucket, kind="stable")
             token, row, bucket = token[order], row[order], bucket[order]
             cuts = np.flatnonzero(np.diff(bucket.astype(np.int64), prepend=-1))
             ends = np.append(cuts[1:], len(token))
-            packed = [
-                np.stack([token[a:b].view(np.int64), ids[row[a:b]], classes[row[a:b]]]).tobytes() for a, b in zip(cuts, ends, strict=True)
-            ]
+            small = token.astype(np.uint32)
+            table = np.stack([ids, classes, np.array([len(one) for one in sets], dtype=np.int64)], axis=1)
+            packed = []
+            for a, b in zip(cuts.tolist(), ends.tolist(), strict=True):
+                used, number = np.unique(row[a:b], return_inverse=True)
+                packed.append(b"".join([len(used).to_bytes(4, "little"), table[used].tobytes(), small[a:b].tobytes(), number.astype("<u2").tobytes()]))
             yield pa.record_batch(
                 [
                     pa.array(bucket[cuts].astype(np.int64)), pa.array(packed, pa.binary()), pa.nulls(len(cuts), pa.int64()),
@@ -163,25 +170,38 @@ def postings(docs: DataFrame, frequent: DataFrame, buckets: int, percent: int =
     return docs.mapInArrow(index, "bucket bigint, rare binary, id bigint, class bigint, frequent array<bigint>")
 
 
-def _pairs_of_buckets(packed: pd.DataFrame) -> pd.DataFrame:
-    """Candidate pairs of different classes that share a rare token of a bucket."""
-    token, ids, classes = np.concatenate([np.frombuffer(b, dtype=np.int64).reshape(3, -1) for b in packed["rare"]], axis=1)
-    order = np.lexsort((classes, token))
-    token, ids, classes = token[order], ids[order], classes[order]
-    begins = np.flatnonzero(np.diff(token, prepend=token[0] - 1 if len(token) else 0))
+def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of a block's postings, and of each its document: id, class, size."""
+    documents = int.from_bytes(blob[:4], "little")
+    table = np.frombuffer(blob, dtype=np.int64, count=3 * documents, offset=4).reshape(-1, 3)
+    begin = 4 + 24 * documents
+    n = (len(blob) - begin) // 6
+    tokens = np.frombuffer(blob, dtype=np.uint32, count=n, offset=begin)
+    return tokens, table[np.frombuffer(blob, dtype="<u2", count=n, offset=begin + 4 * n)]
+
+
+def _pairs_of_bucket(packed: pd.DataFrame, percent: int = PERCENT) -> pd.DataFrame:
+    """Candidate pairs that share a rare token of a bucket, of different classes and of sizes that can link."""
+    parts = [_unpacked(blob) for blob in packed["rare"]]
+    token, entries = np.concatenate([t for t, _ in parts]), np.concatenate([e for _, e in parts])
+    order = np.lexsort((entries[:, 1], token))
+    token, (ids, classes, sizes) = token[order], entries[order].T
+    begins = np.flatnonzero(np.append(True, token[1:] != token[:-1])[: len(token)])
     ends = np.append(begins[1:], len(token))
     # Only tokens of two classes at least: sorted by class, the ends of a run then differ.
     mixed = classes[begins] != classes[ends - 1]
-    left, right = [], []
+    found = []
     for a, b in zip(begins[mixed].tolist(), ends[mixed].tolist(), strict=True):
-        x, y = np.triu_indices(b - a, 1)
-        apart = classes[a + x] != classes[a + y]
-        left.append(ids[a + x[apart]])
-        right.append(ids[a + y[apart]])
-    if not left:
+        # Each entry with the later ones, so that a long run takes no more room than a row of pairs at a time.
+        for k in range(a, b - 1):
+            other = slice(k + 1, b)
+            fits = (classes[other] != classes[k]) & (np.minimum(sizes[other], sizes[k]) * 100 >= np.maximum(sizes[other], sizes[k]) * percent)
+            if fits.any():
+                y = ids[other][fits]
+                found.append(np.stack([np.minimum(y, ids[k]), np.maximum(y, ids[k])]))
+    if not found:
         return pd.DataFrame({"x": np.zeros(0, np.int64), "y": np.zeros(0, np.int64)})
-    x, y = np.concatenate(left), np.concatenate(right)
-    pairs = np.unique(np.stack([np.minimum(x, y), np.maximum(x, y)]), axis=1)
+    pairs = np.unique(np.concatenate(found, axis=1), axis=1)
     return pd.DataFrame({"x": pairs[0], "y": pairs[1]})
 
 
@@ -194,7 +214,6 @@ def verified(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataF
             yield pa.record_batch([block.column("id"), pa.array([s.tobytes() for s in sets], pa.binary())], names=["id", "tokens"])
 
     found = checked_join(docs, wanted, "id", "left_semi").mapInArrow(whole, "id bigint, tokens binary")
-    found = stored(found, "token-sets")
     joined = pairs.join(found.select(F.col("id").alias("x"), F.col("tokens").alias("left")), "x")
     joined = joined.join(found.select(F.col("id").alias("y"), F.col("tokens").alias("right")), "y")
 
@@ -218,7 +237,8 @@ def link_documents(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     # Equal sets: the smallest key stands for them.  Rows without a key go with theirs.
     filled = rows.where("n > 0")
     groups = stored(filled.where("id is not null").groupBy("set_a", "set_b", "n").agg(F.min("id").alias("id"), F.first("seeds").alias("seeds")), "groups")
-    seeds = groups.where("n > 1").select("id", F.explode("seeds").alias("token"))
+    two = F.expr("filter(flatten(transform(seeds, (a, i) -> transform(seeds, (b, j) -> if(i < j, xxhash64(a, b), null)))), h -> h is not null)")
+    seeds = groups.where("n > 1").select("id", F.explode(two).alias("token"))
     firsts = stored(seeds.groupBy("token").agg(F.min("id").alias("first")), "firsts")
     stars = seeds.join(firsts, "token").where("id <> first").select(F.col("first").alias("x"), F.col("id").alias("y"))
     representatives = checked_join(texts, stored(groups.select("id"), "representatives"), "id", "left_semi")
@@ -233,7 +253,7 @@ def link_documents(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     frequent = stored(frequent_tokens(representatives), "frequent")
     classed = checked_join(texts, named, "id", "inner")
     index = stored(postings(classed, frequent, buckets, percent), "postings")
-    by_rare = index.where("bucket is not null").select("bucket", "rare").groupBy("bucket").applyInPandas(_pairs_of_buckets, "x bigint, y bigint")
+    by_rare = index.where("bucket is not null").select("bucket", "rare").groupBy("bucket").applyInPandas(lambda packed: _pairs_of_bucket(packed, percent), "x bigint, y bigint")
 
     # Frequent tokens that only one class has link no two classes.
     listed = index.where("frequent is not null").select("id", "class", "frequent")
