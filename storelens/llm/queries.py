@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storelens.llm import ngram_join, packing, piece_codec, secrets, token_counts, toxicity, url_reputation, warc
+from storelens.llm import collision_search, flat_graph, ngram_join, packing, piece_codec, secrets, token_counts, toxicity, url_reputation, warc
 from storelens.llm.sql import URL_REPUTATION_SQL, WARC_SQL
 from storelens.sources.shop_views import table
 
@@ -103,3 +103,16 @@ def op1_warc_histories(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLE["op1_warc_histories"] = WARC_SQL
+
+
+@query
+def op2_flat_graph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector."""
+    return flat_graph.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op3_collision_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten nearest found of every hundredth vector."""
+    found = collision_search.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, 10)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
