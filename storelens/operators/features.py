@@ -17,54 +17,41 @@ def rated_prices(reviews: DataFrame, products: DataFrame, key: str = "asin") ->
     return lookup_join(rated, priced, key)
 
 
-def rating_price_correlation(
-    reviews: DataFrame, products: DataFrame, key: str = "asin", *, broadcast_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
+def rating_price_correlation(reviews: DataFrame, products: DataFrame, key: str = "asin") -> DataFrame:
     """Pearson correlation of rating and price over all joined pairs, as one row.
 
     The pairs are not built.  Within one key every rating meets every price, so
-    their sums follow from the count, sum and sum of squares of either side.  The
-    prices are reduced to one row per key; the ratings as well, unless the prices
-    are few enough to be sent to them.
-
-    The sums are taken of the distance to a typical value (measured first), so
-    they stay exact for values that are large next to their spread.
+    a key adds what its count, mean and squared distances to its mean say.  The
+    keys' means are then compared with the means of all pairs: only distances are squared,
+    so nothing cancels for values that are large next to their spread.
     """
-    ratings = reviews.where(F.col("overall").isNotNull() & F.col(key).isNotNull())
-    prices = products.where(F.col("price").isNotNull() & F.col(key).isNotNull())
-    x, y = F.col("overall") - _typical_value(ratings, "overall"), F.col("price") - _typical_value(prices, "price")
-    ratings = ratings.select(key, F.lit(1).alias("x_n"), x.alias("x"), (x * x).alias("xx"),
-                             F.col("overall").alias("x_min"), F.col("overall").alias("x_max"))
-    prices = prices.groupBy(key).agg(*_sums("y", F.lit(1), y, y * y, F.col("price"), F.col("price")))
-    if measured_bytes(products.select(key, "price")) <= broadcast_bytes:
-        prices = F.broadcast(prices)
-    else:
-        ratings = ratings.groupBy(key).agg(*_sums("x", *[F.col(name) for name in ratings.columns[1:]]))
-
-    n = F.sum(F.col("x_n") * F.col("y_n"))
-    sum_x, sum_y = F.sum(F.col("x") * F.col("y_n")), F.sum(F.col("y") * F.col("x_n"))
-    spread_x = F.sum(F.col("xx") * F.col("y_n")) - F.try_divide(sum_x * sum_x, n)
-    spread_y = F.sum(F.col("yy") * F.col("x_n")) - F.try_divide(sum_y * sum_y, n)
-    together = F.sum(F.col("x") * F.col("y")) - F.try_divide(sum_x * sum_y, n)
+    ratings = _moments(reviews, key, "overall", "x")
+    prices = _moments(products, key, "price", "y")
+    # Both sides are grouped by the key: the join moves nothing.
+    pairs = ratings.join(prices, key)
+    weight = F.col("x_n") * F.col("y_n")
+    means = pairs.agg(
+        (F.sum(weight * F.col("x_mean")) / F.sum(weight)).alias("x_all"), (F.sum(weight * F.col("y_mean")) / F.sum(weight)).alias("y_all")
+    )
+    x, y = F.col("x_mean") - means.select("x_all").scalar(), F.col("y_mean") - means.select("y_all").scalar()
+    spread_x = F.sum(weight * x * x) + F.sum(F.col("y_n") * F.col("x_squares"))
+    spread_y = F.sum(weight * y * y) + F.sum(F.col("x_n") * F.col("y_squares"))
     varied = (F.max("x_max") > F.min("x_min")) & (F.max("y_max") > F.min("y_min"))
-    corr = F.try_divide(together, F.sqrt(spread_x) * F.sqrt(spread_y))
-    return ratings.join(prices, key).agg(F.when(varied, corr).alias("corr"))
-
-
-def _sums(name: str, n: Column, value: Column, square: Column, low: Column, high: Column) -> list[Column]:
-    return [
-        F.sum(n).cast("double").alias(f"{name}_n"),
-        F.sum(value).alias(name),
-        F.sum(square).alias(2 * name),
-        F.min(low).alias(f"{name}_min"),
-        F.max(high).alias(f"{name}_max"),
-    ]
-
-
-def _typical_value(df: DataFrame, column: str, among: int = 1_001) -> Column:
-    """Median of the first few values found, as a literal."""
-    values = sorted(row[0] for row in df.select(F.col(column).cast("double")).take(among))
-    return F.lit(values[len(values) // 2] if values else 0.0)
+    corr = F.try_divide(F.sum(weight * x * y), F.sqrt(spread_x) * F.sqrt(spread_y))
+    return pairs.agg(F.when(varied, corr).alias("corr"))
+
+
+def _moments(df: DataFrame, key: str, column: str, name: str) -> DataFrame:
+    """Count, mean, squared distances to the mean, least and largest value per key, nulls left out."""
+    value = F.col(column).cast("double")
+    present = df.where(value.isNotNull() & F.col(key).isNotNull())
+    return present.groupBy(key).agg(
+        F.count(value).cast("double").alias(f"{name}_n"),
+        F.avg(value).alias(f"{name}_mean"),
+        (F.var_pop(value) * F.count(value)).alias(f"{name}_squares"),
+        F.min(value).alias(f"{name}_min"),
+        F.max(value).alias(f"{name}_max"),
+    )
 
 
 def rating_features(products: DataFrame, reviews: DataFrame, key: str = "asin") -> DataFrame:

@@ -14,12 +14,12 @@ from storelens.operators.quantiles import approximate_quantiles, exact_quantiles
 
 def null_percents(df: DataFrame) -> DataFrame:
     """One row with the percentage of nulls of every column, from a single pass."""
-    return df.agg(*[null_percent(F.col(name)).alias(name) for name in df.columns])
+    return df.agg(*[null_percent(F.col(f"`{name}`")).alias(name) for name in df.columns])
 
 
 def null_percents_long(df: DataFrame) -> DataFrame:
     """The same as rows of ``column`` and ``null_percent``."""
-    return null_percents(df).unpivot([], df.columns, "column", "null_percent")
+    return null_percents(df).unpivot([], [F.col(f"`{name}`") for name in df.columns], "column", "null_percent")
 
 
 def column_statistics(df: DataFrame, column: str, *, approximate: bool = False) -> DataFrame:
@@ -83,16 +83,12 @@ def value_counts(df: DataFrame, column: str, name: str = "n") -> DataFrame:
     return counts.orderBy(F.desc(name), column)
 
 
-def value_counts_map(df: DataFrame, column: str, *, max_values: int = 10_000) -> DataFrame:
-    """The counts as one map in one row, for columns of few values.
+def value_counts_map(df: DataFrame, column: str) -> DataFrame:
+    """The counts as one map in one row, as a single JSON object holds them.
 
-    Counts the distinct values first and refuses columns with more than
-    ``max_values`` of them, for which ``value_counts`` is the form to use.
+    The row grows with the number of values; ``value_counts`` has them as rows.
     """
-    counts = value_counts(df, column)
-    distinct = counts.count()
-    if distinct > max_values:
-        raise ValueError(f"{column} has {distinct} values; use value_counts")
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
     # Equal to the order of value_counts, since arrays of structs sort by field.
     entries = F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("order"), column, "n")))
     pairs = F.transform(entries, lambda entry: F.struct(entry[column], entry["n"]))

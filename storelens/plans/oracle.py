@@ -130,22 +130,26 @@ q12 as (
     (select corr(overall, nested.price) from reviews join nested on reviews.asin = nested.asin
       where overall is not null and nested.price is not null) as q3,
     avg(price) as q4_mean, stddev_samp(price) as q4_std, min(price) as q4_min, max(price) as q4_max,
-    quantile_cont(price, 0.5) as q4_median,
-    cast(count(distinct nullif(top, '')) as int) as q5_categories, count(nullif(top, '')) as q5_products
+    quantile_cont(price, 0.5) as q4_median
   from nested)
-select round_even(q1_asin, 2) as q1_asin, round_even(q1_overall, 2) as q1_overall, round_even(q1_reviewer, 2) as q1_reviewer,
-  round_even(q2_asin, 2) as q2_asin, round_even(q2_price, 2) as q2_price, round_even(q2_categories, 2) as q2_categories,
-  round_even(q2_related, 2) as q2_related, round_even(q3, 2) as q3, round_even(q4_mean, 2) as q4_mean,
-  round_even(q4_std, 2) as q4_std, round_even(q4_min, 2) as q4_min, round_even(q4_max, 2) as q4_max,
-  round_even(q4_median, 2) as q4_median, q5_categories, q5_products,
-  cast(exists (select 1 from reviews where asin not in (select asin from nested)) as int) as q6,
-  cast(exists (select 1 from mentions where asin not in (select asin from nested)) as int) as q7
-from q12""",
+select 'q1' as question, unnest(['asin', 'overall', 'reviewer']) as name,
+  unnest([round_even(q1_asin, 2), round_even(q1_overall, 2), round_even(q1_reviewer, 2)]) as value from q12
+union all select 'q2', unnest(['asin', 'price', 'categories', 'related']),
+  unnest([round_even(q2_asin, 2), round_even(q2_price, 2), round_even(q2_categories, 2), round_even(q2_related, 2)]) from q12
+union all select 'q3', 'corr', round_even(q3, 2) from q12
+union all select 'q4', unnest(['mean', 'std', 'min', 'max', 'median']),
+  unnest([round_even(q4_mean, 2), round_even(q4_std, 2), round_even(q4_min, 2), round_even(q4_max, 2), round_even(q4_median, 2)]) from q12
+union all select 'q5', top, cast(count(*) as double) from nested where top <> '' group by top
+union all select 'q6', 'dangling', cast(exists (select 1 from reviews where asin not in (select asin from nested)) as double)
+union all select 'q7', 'dangling', cast(exists (select 1 from mentions where asin not in (select asin from nested)) as double)""",
     "inner_join_rated_prices": f"""with {P}, {R}
 select reviews.asin, overall, price from reviews join products on reviews.asin = products.asin
 where overall is not null and price is not null""",
     "rating_price_corr": f"""with {P}, {R}
 select round(corr(overall, price), 6) as corr from reviews join products on reviews.asin = products.asin""",
+    "shifted_price_corr": """
+select round(corr(l_partkey % 100 + l_quantity % 5, 1.0e7 + (p_partkey % 100) / 100.0e0), 6) as corr
+from lineitem join part on l_partkey = p_partkey where p_partkey % 3 = 0""",
     "review_match_flag": f"""with {P}, {R}
 select asin, overall, reviewer, asin in (select asin from products) as matched from reviews""",
     "dangling_reviews": f"""with {P}, {R}

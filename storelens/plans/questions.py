@@ -21,7 +21,7 @@ def rounded(df: DataFrame, digits: int = DIGITS) -> DataFrame:
     """Floating columns rounded half to even."""
     return df.select(
         *[
-            F.bround(name, digits).alias(name) if kind in ("double", "float") else F.col(name)
+            F.bround(F.col(f"`{name}`"), digits).alias(name) if kind in ("double", "float") else F.col(f"`{name}`")
             for name, kind in df.dtypes
         ]
     )
@@ -92,5 +92,19 @@ def report(reviews: DataFrame, products: DataFrame) -> DataFrame:
     return one_row.select(*[answer.scalar().alias(name) for name, answer in answers.items()])
 
 
+def report_rows(reviews: DataFrame, products: DataFrame) -> DataFrame:
+    """The seven answers as rows of question, name and value, category counts of any number included."""
+    named = {
+        "q1": question_1(reviews), "q2": question_2(products), "q3": question_3(reviews, products),
+        "q4": question_4(products), "q6": question_6(reviews, products), "q7": question_7(products),
+    }
+    rows = question_5(products).select(F.lit("q5").alias("question"), F.col("supercat").alias("name"), F.col("n").cast("double").alias("value"))
+    for question, answer in named.items():
+        values = answer.select(*[F.col(f"`{name}`").cast("double").alias(name) for name in answer.columns])
+        long = values.unpivot([], [F.col(f"`{name}`") for name in values.columns], "name", "value")
+        rows = rows.unionByName(long.withColumn("question", F.lit(question)))
+    return rows
+
+
 def _packed(one_row: DataFrame) -> DataFrame:
-    return one_row.select(F.struct(*one_row.columns).alias("packed"))
+    return one_row.select(F.struct(*[F.col(f"`{name}`") for name in one_row.columns]).alias("packed"))

@@ -135,24 +135,10 @@ def supercategory_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def profile_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The seven answers in one row; the category counts are reduced to size and total."""
-    answers = questions.report(
-        reviews(spark, sf_dir),
-        product_texts(spark, sf_dir).select("asin", "price", "categories", "related"),
+    """The seven answers as rows, with every category and its count."""
+    return questions.report_rows(
+        reviews(spark, sf_dir), product_texts(spark, sf_dir).select("asin", "price", "categories", "related")
     )
-    return answers.select(
-        *[F.col(f"q1.{name}").alias(f"q1_{name}") for name in ("asin", "overall", "reviewer")],
-        *[F.col(f"q2.{name}").alias(f"q2_{name}") for name in ("asin", "price", "categories", "related")],
-        "q3",
-        *[F.col(f"q4.{name}").alias(f"q4_{name}") for name in ("mean", "std", "min", "max", "median")],
-        F.size("q5").alias("q5_categories"),
-        F.aggregate(F.map_values("q5"), F.lit(0).cast("long"), lambda total, n: total + n).alias("q5_products"),
-        "q6",
-        "q7",
-    )
-
-
-# Joins and integrity
 
 
 @query
@@ -165,6 +151,19 @@ def rating_price_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return six_digits(features.rating_price_correlation(reviews(spark, sf_dir), products(spark, sf_dir)))
 
 
+@query
+def shifted_price_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Correlation where two of three products cost nothing and have no reviews, the others 1e7 and some cents."""
+    part, lines = table(spark, sf_dir, "part"), table(spark, sf_dir, "lineitem")
+    sold = F.col("p_partkey") % 3 == 0
+    priced = part.select(
+        F.col("p_partkey").alias("asin"), F.when(sold, F.lit(1.0e7) + (F.col("p_partkey") % 100) / 100).otherwise(0.0).alias("price")
+    )
+    key = F.when(F.col("l_partkey") % 3 == 0, F.col("l_partkey")).otherwise(-1 - F.col("l_partkey"))
+    rated = lines.select(key.alias("asin"), (F.col("l_partkey") % 100 + F.col("l_quantity") % 5).alias("overall"))
+    return six_digits(features.rating_price_correlation(rated, priced))
+
+
 @query
 def review_match_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return integrity.match_marks(reviews(spark, sf_dir), products(spark, sf_dir), "asin")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -14,25 +15,41 @@ from storelens.sources.sinks import save_metrics, write_report
 
 
 def profile_csv_files(
-    spark: SparkSession, reviews_csv: str, products_csv: str, out: str, *, work_dir: str | None = None
+    spark: SparkSession,
+    reviews_csv: str,
+    products_csv: str,
+    out: str,
+    *,
+    work_dir: str | None = None,
+    infer: bool = False,
+    multiline: bool = False,
+    split_bytes: int | None = None,
 ) -> None:
-    """Read both CSV files, answer questions 1 to 7, write one JSON object.
+    """Read both CSV files with all their columns, answer questions 1 to 7, write one JSON object.
 
     The report reads its tables several times.  With ``work_dir``, a folder that
-    all executors can reach, they are first turned into Parquet there, which is
+    all executors can reach, they are first turned into Parquet there (in a new folder of each run), which is
     the way for large files; otherwise they are kept by the executors meanwhile.
+    ``multiline`` is for files whose quoted values span lines, ``split_bytes`` the size of a task's share.
     """
     started = time.monotonic()
+    options = {"infer": infer, "multiline": multiline, "split_bytes": split_bytes}
+    files = (
+        ("reviews", reviews_csv, REVIEW_SCHEMA, ("asin", "overall")),
+        ("products", products_csv, PRODUCT_SCHEMA, ("asin", "price", "categories", "related")),
+    )
     if work_dir is not None:
-        cores = spark.sparkContext.defaultParallelism
-        reviews = csv_to_parquet(spark, reviews_csv, f"{work_dir}/reviews", REVIEW_SCHEMA, partitions=cores)
-        products = csv_to_parquet(spark, products_csv, f"{work_dir}/products", PRODUCT_SCHEMA, partitions=cores)
-        _answer(reviews, products, out, started)
+        folder = f"{work_dir}/{uuid.uuid4().hex}"
+        tables = [
+            csv_to_parquet(spark, path, f"{folder}/{name}", schema, required=needed, **options)
+            for name, path, schema, needed in files
+        ]
+        _answer(*tables, out, started)
         return
 
     kept = [
-        read_csv(spark, path, schema).persist(StorageLevel.MEMORY_AND_DISK)
-        for path, schema in ((reviews_csv, REVIEW_SCHEMA), (products_csv, PRODUCT_SCHEMA))
+        read_csv(spark, path, schema, required=needed, **options).persist(StorageLevel.MEMORY_AND_DISK)
+        for _, path, schema, needed in files
     ]
     try:
         _answer(*kept, out, started)
@@ -43,7 +60,7 @@ def profile_csv_files(
 
 def _answer(reviews: DataFrame, products: DataFrame, out: str, started: float) -> None:
     report = questions.report(reviews, products)
-    answers = report.collect()  # one row, whose only map is bounded
+    answers = report.collect()  # the one JSON object that is asked for
     computed = reviews.sparkSession.createDataFrame(answers, report.schema)
     write_report(computed, out, runtime=time.monotonic() - started)
 

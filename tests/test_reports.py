@@ -90,6 +90,21 @@ def test_all_tasks_are_stored(spark, tmp_path):
     assert sinks.load_metrics(spark, out, "task_8").first()["test_rmse"] > 0
 
 
+def test_four_product_columns_are_enough(spark, shop, tmp_path):
+    pd.DataFrame({"asin": ["001"], "price": [1.0], "categories": ["[['A']]"], "related": [None]}).to_csv(tmp_path / "few.csv", index=False)
+    runs.profile_csv_files(spark, str(tmp_path / "reviews.csv"), str(tmp_path / "few.csv"), str(tmp_path / "few"))
+    (part,) = Path(tmp_path / "few").glob("part-*")
+    assert set(json.loads(part.read_text())["q2"]) == {"asin", "price", "categories", "related"}
+
+
+def test_report_rows_hold_every_category(shop):
+    reviews, products = shop
+    many = products.withColumn("categories", F.concat(F.lit("[['c"), F.col("asin"), F.lit("']]")))
+    rows = {(r["question"], r["name"]): r["value"] for r in questions.report_rows(reviews, many).collect()}
+    assert {name for question, name in rows if question == "q5"} == {"c001", "c002", "c003"}
+    assert rows["q4", "mean"] == 7.0 and rows["q6", "dangling"] == 1.0
+
+
 def test_dangling_related(shop):
     _, products = shop
     without_last = products.where("asin <> '003'")

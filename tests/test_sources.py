@@ -7,6 +7,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import types as T
 
+from storelens.operators.profile import null_percents, null_percents_long
 from storelens.sources import csv_tables, sinks
 
 TEXT = '''price,asin,title
@@ -32,7 +33,7 @@ def csv_file(tmp_path):
 
 
 def test_read_csv(spark, csv_file):
-    rows = [tuple(row) for row in csv_tables.read_csv(spark, csv_file, SCHEMA).collect()]
+    rows = [tuple(row) for row in csv_tables.read_csv(spark, csv_file, SCHEMA, multiline=True).select("asin", "title", "price").collect()]
     assert rows == [
         ("007", "a, b", 1.5),
         ("008", 'say "hi"', None),
@@ -45,7 +46,7 @@ def test_read_csv(spark, csv_file):
 
 
 def test_read_csv_misses_the_same_values_as_pandas(spark, csv_file):
-    mine = csv_tables.read_csv(spark, csv_file, SCHEMA).toPandas().isna()
+    mine = csv_tables.read_csv(spark, csv_file, SCHEMA, multiline=True).select("asin", "title", "price").toPandas().isna()
     theirs = pd.read_csv(csv_file, dtype={"asin": "object"})
     theirs["price"] = pd.to_numeric(theirs["price"], errors="coerce")
     assert (mine.to_numpy() == theirs[["asin", "title", "price"]].isna().to_numpy()).all()
@@ -65,27 +66,36 @@ def test_split_reading(spark, tmp_path):
         out.write("reviewerID,asin,overall\n")
         out.writelines(f"r{i},{i:06d},{i % 5 + 1}\n" for i in range(20_000))
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    try:
-        df = csv_tables.read_csv(
-            spark, str(path), csv_tables.REVIEW_SCHEMA, multiline=False, split_bytes=64 * 1024
-        )
-        assert df.rdd.getNumPartitions() > 3
-        assert df.count() == 20_000
-        assert df.where("asin is null or overall is null").count() == 0
-        assert df.select("asin").distinct().count() == 20_000
-    finally:
-        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    df = csv_tables.read_csv(spark, str(path), csv_tables.REVIEW_SCHEMA, split_bytes=64 * 1024)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    assert df.rdd.getNumPartitions() > 3
+    assert df.count() == 20_000
+    assert df.where("asin is null or overall is null").count() == 0
+    assert df.select("asin").distinct().count() == 20_000
+
+
+def test_all_columns_with_given_and_inferred_types(spark, tmp_path):
+    path = tmp_path / "products.csv"
+    path.write_text("asin,a.b,n,mixed,empty,price\n007,1.5,1,1,,2\n008,NA,2,x,NA,y\n")
+    text = csv_tables.read_csv(spark, str(path), csv_tables.PRODUCT_SCHEMA)
+    assert dict(text.dtypes) == {"asin": "string", "a.b": "string", "n": "string", "mixed": "string", "empty": "string", "price": "double"}
+    typed = csv_tables.read_csv(spark, str(path), csv_tables.PRODUCT_SCHEMA, infer=True)
+    assert dict(typed.dtypes) == dict(text.dtypes) | {"a.b": "double", "n": "bigint"}
+    assert [tuple(row) for row in typed.collect()] == [("007", 1.5, 1, "1", None, 2.0), ("008", None, 2, "x", None, None)]
+    assert null_percents(typed).first()["a.b"] == 50.0
+    assert {r["column"]: r["null_percent"] for r in null_percents_long(typed).collect()}["empty"] == 100.0
+    assert csv_tables.missing_to_null(typed).columns == typed.columns
 
 
 def test_missing_column(spark, csv_file):
     with pytest.raises(ValueError, match="no column categories"):
-        csv_tables.read_csv(spark, csv_file, csv_tables.PRODUCT_SCHEMA)
+        csv_tables.read_csv(spark, csv_file, csv_tables.PRODUCT_SCHEMA, required=["asin", "categories"])
 
 
 def test_csv_to_parquet(spark, csv_file, tmp_path):
-    table = csv_tables.csv_to_parquet(spark, csv_file, str(tmp_path / "parquet"), SCHEMA, partitions=3)
+    table = csv_tables.csv_to_parquet(spark, csv_file, str(tmp_path / "parquet"), SCHEMA, multiline=True, file_bytes=30)
     assert table.count() == 7
-    assert len(list(Path(tmp_path / "parquet").glob("part-*"))) == 3
+    assert len(list(Path(tmp_path / "parquet").glob("part-*"))) > 1
 
 
 def test_missing_to_null(spark):
