@@ -11,7 +11,8 @@ Most of the work is spared by classes.  Equal sets are one class from the
 start.  Every document is compared with the first one of those that share two of
 its ``SEEDS`` least tokens, and what links is joined.  The index then only
 compares documents of different classes; frequent tokens that one class has
-for itself need no combination.  Each candidate pair is verified on the whole sets.
+for itself need no combination.  Candidate pairs that may
+link by their sketches are verified on the whole sets.
 
 Which tokens are frequent only steers the work, never the result: those counted
 at least ``FREQUENT`` times, by counts of tokens repeated within a task, the
@@ -44,6 +45,7 @@ FREQUENT = 16
 MOST_FREQUENT = 1 << 18
 EXTEND = 2
 POSTINGS_PER_BUCKET = 400_000
+PARTS = 256
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -58,7 +60,10 @@ def _prefix_size(n: int, percent: int) -> int:
 
 
 def summaries(docs: DataFrame) -> DataFrame:
-    """One row per row of ``docs`` (id, text): id, n, two hashes of the set, its least tokens."""
+    """One row per row of ``docs`` (id, text): id, n, two hashes of the set, its least tokens, its sketch.
+
+    The sketch has the number of tokens in each of ``PARTS`` parts of the hash range.
+    """
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, sets in _sets(batches):
@@ -69,11 +74,12 @@ def summaries(docs: DataFrame) -> DataFrame:
                 [
                     block.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(first, pa.int64()),
                     pa.array(second, pa.int64()), pa.array([s[:SEEDS].view(np.int64) for s in sets], pa.list_(pa.int64())),
+                    pa.array([np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=PARTS).astype("<u4").tobytes() for s in sets], pa.binary()),
                 ],
-                names=["id", "n", "set_a", "set_b", "seeds"],
+                names=["id", "n", "set_a", "set_b", "seeds", "sketch"],
             )
 
-    return docs.mapInArrow(summarise, "id bigint, n bigint, set_a bigint, set_b bigint, seeds array<bigint>")
+    return docs.mapInArrow(summarise, "id bigint, n bigint, set_a bigint, set_b bigint, seeds array<bigint>, sketch binary")
 
 
 def frequent_tokens(docs: DataFrame, least: int = FREQUENT, most: int = MOST_FREQUENT) -> DataFrame:
@@ -205,6 +211,23 @@ def _pairs_of_bucket(packed: pd.DataFrame, percent: int = PERCENT) -> pd.DataFra
     return pd.DataFrame({"x": pairs[0], "y": pairs[1]})
 
 
+def possible(pairs: DataFrame, sketches: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (x, y) that may link by their sketches (id, sketch).
+
+    Two sets share at most the smaller number of tokens in each part, so no pair that links is lost.
+    """
+
+    @F.arrow_udf("boolean")
+    def may_link(left: pa.Array, right: pa.Array) -> pa.Array:
+        x, y = (np.frombuffer(b"".join(side.to_pylist()), dtype="<u4").reshape(-1, PARTS).astype(np.int64) for side in (left, right))
+        both = np.minimum(x, y).sum(axis=1)
+        return pa.array(100 * both >= percent * (x.sum(axis=1) + y.sum(axis=1) - both), pa.bool_())
+
+    joined = pairs.join(sketches.select(F.col("id").alias("x"), F.col("sketch").alias("left")), "x")
+    joined = joined.join(sketches.select(F.col("id").alias("y"), F.col("sketch").alias("right")), "y")
+    return joined.where(may_link(F.col("left"), F.col("right"))).select("x", "y").distinct()
+
+
 def verified(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (x, y) of ids whose whole sets link; ``docs`` has id and text."""
     wanted = stored(pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct(), "wanted")
@@ -242,7 +265,8 @@ def link_documents(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     firsts = stored(seeds.groupBy("token").agg(F.min("id").alias("first")), "firsts")
     stars = seeds.join(firsts, "token").where("id <> first").select(F.col("first").alias("x"), F.col("id").alias("y"))
     representatives = checked_join(texts, stored(groups.select("id"), "representatives"), "id", "left_semi")
-    near = stored(verified(stored(stars.distinct(), "stars"), representatives, percent), "near")
+    sketches = rows.where("n > 1").select("id", "sketch")
+    near = stored(verified(stored(possible(stars.distinct(), sketches, percent), "stars"), representatives, percent), "near")
     classes = components(near.select(F.col("x").alias("a"), F.col("y").alias("b")))
     ids = groups.where("n > 1").select("id")
     named = ids.join(classes.withColumnRenamed("node", "id"), "id", "left")
@@ -271,12 +295,13 @@ def link_documents(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     by_two = combined.withColumnRenamed("id", "x").join(other, ["one", "two"]).where("x < y and class <> class_y").select("x", "y")
 
     candidates = stored(by_rare.unionAll(by_two).distinct(), "candidates")
+    candidates = stored(possible(candidates, sketches, percent), "possible")
     links = verified(candidates, representatives, percent)
     final = components(near.unionAll(links).select(F.col("x").alias("a"), F.col("y").alias("b")))
     final = stored(final.withColumnsRenamed({"node": "id"}), "components")
     grouped = groups.join(final, "id", "left").select("set_a", "set_b", "n", F.coalesce("component", "id").alias("component_id"))
     known = stored(grouped, "grouped")
-    result = checked_join(rows, known, ["set_a", "set_b", "n"], "left")
+    result = checked_join(rows.drop("seeds", "sketch"), known, ["set_a", "set_b", "n"], "left")
     return result.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
 
 
