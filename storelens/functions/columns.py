@@ -31,11 +31,6 @@ def fill_null(value: Column, substitute: float | None) -> Column:
     return F.coalesce(value.cast("double"), F.lit(substitute).cast("double"))
 
 
-def percent(part: Column, whole: Column) -> Column:
-    """Share in percent, null for an empty whole."""
-    return F.try_divide(part, whole) * F.lit(100.0)
-
-
 def first_key(mapping: Column) -> Column:
     """Key of the first stored entry of a map, null for a null or empty map."""
     return F.get(F.map_keys(mapping), F.lit(0))

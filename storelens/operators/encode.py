@@ -57,6 +57,15 @@ def fit_category_encoding(
     return CategoryEncoding(PipelineModel([indexer, encoder, pca]), one_hot, components)
 
 
+def mean_one_hot(df: DataFrame, column: str = "category", *, invalid: str = "error") -> DataFrame:
+    """One row: number of rows and element-wise mean of the one-hot vectors, without any projection."""
+    index, one_hot = f"{column}Index", f"{column}OneHot"
+    indexed = index_categories(df.select(column), column, index, invalid=invalid)
+    encoded = OneHotEncoder(inputCol=index, outputCol=one_hot, dropLast=False).fit(indexed).transform(indexed)
+    mean = encoded.agg(F.count(F.lit(1)).alias("count_total"), Summarizer.mean(F.col(one_hot)).alias(one_hot))
+    return mean.select("count_total", vector_to_array(one_hot).alias(f"meanVector_{one_hot}"))
+
+
 def mean_vectors(df: DataFrame, encoding: CategoryEncoding) -> DataFrame:
     """One row: element-wise means of the one-hot and of the projected vectors.
 

@@ -13,9 +13,7 @@ from pyspark.sql import functions as F
 # Fixed values of the word-vector training.
 VECTOR_SIZE = 16
 MIN_COUNT = 100
-MIN_PARTITIONS = 4
-
-WORDS_PER_PARTITION = 50_000_000
+PARTITIONS = 4
 
 # Spark cuts a ranking to its first rows in every task up to this many rows.
 RANKED_IN_TASKS = 1_000
@@ -37,17 +35,14 @@ def fit_word_vectors(
     *,
     vector_size: int = VECTOR_SIZE,
     min_count: int = MIN_COUNT,
-    partitions: int | None = None,
+    partitions: int = PARTITIONS,
     seed: int = 42,
 ) -> Word2VecModel:
     """Train word vectors on token arrays.
 
-    The number of partitions grows with the number of words (measured first), so
-    that training a large corpus does not run in a handful of tasks.
+    The vectors depend on the number of partitions, which is therefore a parameter:
+    raise it for a large corpus, on which a handful of tasks would train too long.
     """
-    if partitions is None:
-        total = df.agg(F.sum(F.size(words)).alias("n")).first()["n"] or 0
-        partitions = max(MIN_PARTITIONS, -(-total // WORDS_PER_PARTITION))
     trainer = Word2Vec(
         inputCol=words,
         outputCol="_vector",

@@ -9,6 +9,7 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from storelens.operators.vectors import PARTITIONS
 from storelens.plans import questions, tasks
 from storelens.sources.csv_tables import PRODUCT_SCHEMA, REVIEW_SCHEMA, csv_to_parquet, read_csv
 from storelens.sources.sinks import save_metrics, write_report
@@ -73,9 +74,11 @@ def feature_tasks(reviews: DataFrame, products: DataFrame, out: str) -> None:
     save_metrics(tasks.task_4(products), out, "task_4")
 
 
-def vector_tasks(processed: DataFrame, words: Sequence[str], out: str, *, k: int = 15) -> None:
-    """Run tasks 5 and 6 on products with a title and a category."""
-    save_metrics(tasks.task_5(processed, words), out, "task_5")
+def vector_tasks(
+    processed: DataFrame, words: Sequence[str], out: str, *, k: int = 15, partitions: int = PARTITIONS
+) -> None:
+    """Run tasks 5 and 6 on products with a title and a category; word vectors train in so many partitions."""
+    save_metrics(tasks.task_5(processed, words, partitions=partitions), out, "task_5")
     save_metrics(tasks.task_6(processed, k=k), out, "task_6")
 
 

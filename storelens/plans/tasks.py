@@ -65,10 +65,12 @@ def task_4(products: DataFrame, *, approximate_error: float | None = None) -> Da
     )
 
 
-def task_5(products: DataFrame, words: Sequence[str], *, k: int = 10, seed: int = 42) -> DataFrame:
+def task_5(
+    products: DataFrame, words: Sequence[str], *, k: int = 10, seed: int = 42, partitions: int = vectors.PARTITIONS
+) -> DataFrame:
     """Word vectors of the titles: vocabulary size and the synonyms of given words."""
     titles = products.select(tokens(F.col("title")).alias("titleArray"))
-    model = vectors.fit_word_vectors(titles, "titleArray", seed=seed)
+    model = vectors.fit_word_vectors(titles, "titleArray", seed=seed, partitions=partitions)
     found = vectors.synonyms(model, words, k).groupBy().agg(
         *[
             # At most k entries per word.

@@ -51,11 +51,6 @@ def test_has_items_and_concat(spark):
     assert df.select(C.concat_lists([F.col("x")]).alias("c")).schema["c"].dataType.elementType.typeName() == "string"
 
 
-def test_percent(spark):
-    df = spark.createDataFrame([(1, 4), (0, 4), (0, 0)], "a int, b int")
-    assert values(df, C.percent(F.col("a"), F.col("b"))) == [25.0, 0.0, None]
-
-
 @pytest.mark.parametrize(
     "rows, expected",
     [
