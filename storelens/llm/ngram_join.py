@@ -308,8 +308,13 @@ def link_documents(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
 def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """The documents of which no linked one has a smaller key; all columns stay.
 
-    Repeated rows of one key become one row; documents without words and those without a key all stay.
+    Of repeated rows with equal key and text one stays; documents without words and those without a key all stay.
     """
-    linked = link_documents(docs, key=key, text=text, percent=percent)
-    dropped = stored(linked.where((F.col(key) != F.col("component_id")) & (F.col("n_shingles") > 0)).select(key).distinct(), "dropped")
-    return checked_join(docs, dropped, key, "left_anti")
+    linked = link_documents(docs, key=key, text=text, percent=percent).where("n_shingles > 0")
+    linked = stored(linked.select(F.col(f"`{key}`").alias(key), "component_id"), "linked")
+    dropped = stored(linked.where(F.col(key) != F.col("component_id")).select(key).distinct(), "dropped")
+    repeated = stored(linked.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key), "repeated")
+    kept = checked_join(docs, dropped, key, "left_anti")
+    # Only keys that come more than once are moved.
+    once = checked_join(kept, repeated, key, "left_anti")
+    return once.unionByName(checked_join(kept, repeated, key, "left_semi").dropDuplicates([key, text]))

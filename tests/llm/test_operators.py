@@ -190,6 +190,13 @@ def test_links_of_odd_rows(spark):
     assert ngram_join.link_documents(frame.limit(0)).count() == 0
 
 
+def test_one_of_each_group_stays(spark):
+    rows = [(3, "a b c d e f", "x"), (1, "a b c d e f", "y"), (1, "a b c d e f", "y"), (None, "a b c d e f", "z"), (4, None, "x"), (4, None, "x"), (5, "q r", "x")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, n string")
+    kept = sorted((r["doc_id"] or -1, r["n"]) for r in ngram_join.keep_one(frame).collect())
+    assert kept == [(-1, "z"), (1, "y"), (4, "x"), (4, "x"), (5, "x")]
+
+
 # Packing
 
 
