@@ -71,6 +71,8 @@ def pieces(text: Column, path: str, end_id: int, capacity: int = CAPACITY, *, wi
         for batch in batches:
             whole = pa.record_batch([batch], names=["text"])
             yield pa.concat_arrays([of_block(block.column(0)) for block in blocks(whole, "text", BLOCK_BYTES)] or [empty])
+        # The worker goes on to other stages, which need its memory.
+        encoder(path).known.clear()
 
     return cut(text)
 
