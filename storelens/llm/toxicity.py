@@ -3,17 +3,17 @@
 Bigrams of the labelled training texts are counted for toxic and for ordinary
 ones.  A word's weight in a class is the number of its distinct contexts there
 (Kneser-Ney's continuation count), discounted, and interpolated with the counts of both
-classes together; a bigram's is its discounted count, smoothed by how often
-it comes in both classes and by the word's weight.  Expressions seen rarely (below the ``LEAST_*`` counts) have only
-the shared backoff counts, which are the same in both classes and so say nothing.
+classes together; a bigram's is its discounted count, interpolated with what its
+context and its word let expect of both classes together.
 A text is scored by its log-likelihood ratio per word: over the whole text, over
 telling words alone, and at the strongest expression.  A logistic curve
 over these three, fitted on training texts that the counts have not seen, gives the score.
 
-Contexts are told apart by 16 bits of their hash.  The model holds the
-``MOST_EXPRESSIONS`` words and as many bigrams with the most counts, which bounds what is
-broadcast; all training texts are counted.  The curve is fitted on at most
-``CALIBRATION_ROWS`` labelled texts.
+All words and bigrams are kept in a table, by 64-bit hashes.  The ``MOST_EXPRESSIONS`` most
+frequent ones are sent to all tasks with a filter of fixed size that names the others;
+a text's expressions that are not sent and that the filter names are looked up in the table by a
+shuffle, once for each distinct text.  The filter only saves work: a wrong hit falls back on the word.
+The curve is fitted on at most ``CALIBRATION_ROWS`` labelled texts.
 
 Edge cases: a null or empty text has no words and takes the curve's value at
 zero.  Repeated rows are scored alike and count as often as they come.  Labels of null count as none.
@@ -26,26 +26,28 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storelens.llm.common import blocks, checked_join, stored
-from storelens.llm.words import mix, word_hashes
+from storelens.llm.words import word_hashes
 
-MOST_EXPRESSIONS = 1 << 18
+MOST_EXPRESSIONS = 1 << 19
+FILTER_SLOTS = 1 << 21
+DISCOUNT = 0.75
 LEAST_CONTEXTS = 8
 LEAST_BIGRAMS = 16
-DISCOUNT = 0.75
-SHARED_WORD = 0.3
-BACKOFF = 1000.0
+PRIOR_WORD = 1.0
+PRIOR_BIGRAM = 1.0
+PRIOR_CONTEXT = 1000.0
 TELLING = 1.0
 CALIBRATION_ROWS = 20_000
-BUCKETS = 64
 THRESHOLD = 0.3
 
 _BEGIN = np.uint64(0x5851F42D4C957F2D)
+CLASSES = ("ordinary", "toxic")
 FEATURES = ("mean_ratio", "telling_ratio", "peak_ratio")
 
 
@@ -55,77 +57,41 @@ def _bigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     before = np.concatenate([np.array([_BEGIN]), words])[: len(words)]
     starts = offsets[:-1]
     before[starts[starts < offsets[1:]]] = _BEGIN
-    return words, mix(before) >> np.uint64(48), offsets
+    return words, before, offsets
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Packed counts of (word, context) by class, by bucket of the word."""
+    """Counts of each (word, context) by class, once per block of texts."""
     for batch in batches:
         for block in blocks(batch, "text"):
             words, contexts, offsets = _bigrams(block.column("text"))
-            toxic = np.repeat(block.column("toxic").to_numpy(zero_copy_only=False), np.diff(offsets)).astype(np.uint64)
-            order = np.lexsort((toxic, contexts, words))
-            words, low = words[order], (contexts[order] << np.uint64(1)) | toxic[order]
-            begins = np.flatnonzero(np.append(True, (words[1:] != words[:-1]) | (low[1:] != low[:-1]))[: len(words)])
-            counts = np.diff(np.append(begins, len(words)))
-            words, low = words[begins], low[begins]
-            cuts = np.searchsorted(words, (np.arange(BUCKETS + 1, dtype=np.float64) / BUCKETS * 2.0**64)[:-1].astype(np.uint64))
-            cuts = np.append(cuts, len(words))
-            packed = [words[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-            lows = [low[a:b].astype(np.uint32).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-            times = [counts[a:b].astype(np.uint32).tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-            yield pa.record_batch(
-                [pa.array(range(BUCKETS), pa.int64()), pa.array(packed, pa.binary()), pa.array(lows, pa.binary()), pa.array(times, pa.binary())],
-                names=["bucket", "words", "lows", "times"],
-            )
-
-
-def _expressions(packed: pd.DataFrame) -> pd.DataFrame:
-    """The words and bigrams of a bucket that are frequent enough, with their counts by class."""
-    words = np.concatenate([np.frombuffer(b, dtype=np.uint64) for b in packed["words"]])
-    lows = np.concatenate([np.frombuffer(b, dtype=np.uint32) for b in packed["lows"]])
-    times = np.concatenate([np.frombuffer(b, dtype=np.uint32) for b in packed["times"]]).astype(np.int64)
-    order = np.lexsort((lows, words))
-    words, lows, times = words[order], lows[order], times[order]
-    context = lows >> 1
-    toxic = (lows & 1).astype(bool)
-    fresh_pair = np.append(True, (words[1:] != words[:-1]) | (context[1:] != context[:-1]))[: len(words)]
-    fresh = np.append(True, (words[1:] != words[:-1]) | (lows[1:] != lows[:-1]))[: len(words)]
-    pair = np.cumsum(fresh_pair) - 1
-    n_pairs = int(pair[-1]) + 1 if len(pair) else 0
-    by_pair = [np.bincount(pair[toxic == c], times[toxic == c], n_pairs) for c in (False, True)]
-    fresh_word = np.append(True, words[1:] != words[:-1])[: len(words)]
-    word = np.cumsum(fresh_word) - 1
-    n_words = int(word[-1]) + 1 if len(word) else 0
-    by_word = [np.bincount(word[fresh & (toxic == c)], minlength=n_words) for c in (False, True)]
-    some_words = by_word[0] + by_word[1] >= LEAST_CONTEXTS
-    some_pairs = by_pair[0] + by_pair[1] >= LEAST_BIGRAMS
-    return pd.DataFrame(
-        {
-            "word": np.append(words[fresh_word][some_words], words[fresh_pair][some_pairs]).view(np.int64),
-            "context": np.append(np.full(some_words.sum(), -1), context[fresh_pair][some_pairs].astype(np.int64)),
-            "ordinary": np.append(by_word[0][some_words], by_pair[0][some_pairs]).astype(np.int64),
-            "toxic": np.append(by_word[1][some_words], by_pair[1][some_pairs]).astype(np.int64),
-        }
-    )
+            if not len(words):
+                continue
+            toxic = np.repeat(block.column("toxic").to_numpy(zero_copy_only=False), np.diff(offsets)).astype(np.int64)
+            order = np.lexsort((contexts, words))
+            words, contexts, toxic = words[order], contexts[order], toxic[order]
+            begins = np.flatnonzero(np.append(True, (words[1:] != words[:-1]) | (contexts[1:] != contexts[:-1])))
+            times = np.diff(np.append(begins, len(words)))
+            of_toxic = np.add.reduceat(toxic, begins)
+            columns = [words[begins].view(np.int64), contexts[begins].view(np.int64), times - of_toxic, of_toxic]
+            yield from _batches(columns, ["word", "context", "ordinary", "toxic"])
 
 
-@dataclass
-class Ratios:
-    """Log-likelihood ratios of the known words and bigrams, by sorted hash."""
+def _batches(columns: list, names: list[str], rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+    """Record batches of bounded length."""
+    whole = pa.record_batch([c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names=names)
+    for begin in range(0, whole.num_rows, rows):
+        yield whole.slice(begin, rows)
 
-    words: np.ndarray
-    word_ratios: np.ndarray
-    bigrams: np.ndarray
-    bigram_ratios: np.ndarray
 
-    def of(self, words: np.ndarray, contexts: np.ndarray) -> np.ndarray:
-        found = _looked_up(self.words, self.word_ratios, words, np.zeros(len(words), dtype=np.float32))
-        return _looked_up(self.bigrams, self.bigram_ratios, _bigram_key(words, contexts), found)
+def _bigram_key(words: np.ndarray, contexts: np.ndarray) -> np.ndarray:
+    return words ^ ((contexts << np.uint64(23)) | (contexts >> np.uint64(41)))
 
 
-def _bigram_key(words: np.ndarray, contexts: np.ndarray) -> np.ndarray:
-    return mix(words ^ ((contexts.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)))
+def _bigram_key_column() -> Column:
+    """``_bigram_key`` of the columns word and context."""
+    turned = F.shiftleft("context", 23).bitwiseOR(F.shiftrightunsigned("context", 41))
+    return F.col("word").bitwiseXOR(turned)
 
 
 def _looked_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, otherwise: np.ndarray) -> np.ndarray:
@@ -136,72 +102,188 @@ def _looked_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, otherwi
     return np.where(keys[at] == wanted, values[at], otherwise)
 
 
-def fit_ratios(training: DataFrame) -> Ratios:
-    """Count the training texts (text, toxic) and work out the ratios of the known expressions."""
-    packed = training.mapInArrow(_counts, "bucket bigint, words binary, lows binary, times binary")
-    found = packed.groupBy("bucket").applyInPandas(_expressions, "word bigint, context bigint, ordinary bigint, toxic bigint")
-    found = stored(found, "expressions")
+@dataclass
+class Ratios:
+    """Log-likelihood ratios of the most frequent expressions, by sorted hash, and a filter of all others.
+
+    The filter has a bit for the low part of each other expression's hash: an unset one says that
+    the expression has no row in the table.
+    """
+
+    keys: np.ndarray
+    ratios: np.ndarray
+    others: np.ndarray
+
+    def of(self, keys: np.ndarray) -> np.ndarray:
+        """Ratios of the most frequent ones, NaN for all else."""
+        return _looked_up(self.keys, self.ratios, keys, np.full(len(keys), np.nan, dtype=np.float32))
+
+    def maybe(self, keys: np.ndarray) -> np.ndarray:
+        """Whether the table may hold these, which are not among the most frequent."""
+        slots = (keys & np.uint64(FILTER_SLOTS - 1)).astype(np.int64)
+        bits = (keys >> np.uint64(32)) & np.uint64(63)
+        return (self.others[slots] >> bits) & np.uint64(1) == 1
+
+    def settle(self, words: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ratio of each position (NaN where only the table tells), the word's own ratio if known (else NaN), and the bigram's key."""
+        pairs = _bigram_key(words, contexts)
+        own = self.of(words)
+        own = np.where(np.isnan(own) & ~self.maybe(words), np.float32(0), own)
+        values = self.of(pairs)
+        values = np.where(np.isnan(values) & ~self.maybe(pairs), own, values)
+        return values, own, pairs
 
-    def most(rows: DataFrame) -> pd.DataFrame:
-        return rows.orderBy(F.desc(F.col("ordinary") + F.col("toxic")), "word", "context").limit(MOST_EXPRESSIONS).toPandas()
 
-    words, bigrams = most(found.where("context < 0")), most(found.where("context >= 0"))
-    keys = words["word"].to_numpy(np.int64).view(np.uint64)
+@dataclass
+class Model:
+    """All expressions (key, ratio) in a table, the most frequent ones sent to all tasks."""
+
+    table: DataFrame
+    shared: Broadcast
+
+
+def count_pairs(training: DataFrame) -> DataFrame:
+    """All bigrams of the training texts (text, toxic) with their counts by class, stored."""
+    counted = training.mapInArrow(_counts, "word bigint, context bigint, ordinary bigint, toxic bigint")
+    return stored(counted.groupBy("word", "context").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")), "pairs")
+
+
+def fit_model(training: DataFrame, *, most: int = MOST_EXPRESSIONS) -> Model:
+    """Count the training texts (text, toxic) and work out the ratio of every word and bigram."""
+    spark = training.sparkSession
+    pairs = count_pairs(training)
+    kept = {c: F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) for c in CLASSES}
+    words = stored(pairs.groupBy("word").agg(*[F.count_if(F.col(c) > 0).alias(c) for c in CLASSES]), "words")
+    contexts = stored(pairs.groupBy("context").agg(*[F.sum(kept[c]).alias(f"{c}_total") for c in CLASSES]), "contexts")
+    sums = words.agg(*[F.coalesce(F.sum(kept[c]), F.lit(0.0)).alias(c) for c in CLASSES]).first()
+    share = {c: (sums[c] + 1.0) / (sums["ordinary"] + sums["toxic"] + 2.0) for c in CLASSES}
+
+    # A word's counts are damped by as many of both classes together, split as the corpus is.
+    tilt = {c: (kept[c] + PRIOR_WORD * share[c]) / share[c] for c in CLASSES}
+    told = stored(words.select("word", (F.col("ordinary") + F.col("toxic")).alias("n"), F.ln(tilt["toxic"] / tilt["ordinary"]).cast("float").alias("ratio")).where(F.col("n") >= LEAST_CONTEXTS), "word-ratios")
+
+    joined = checked_join(pairs.where(F.col("ordinary") + F.col("toxic") >= LEAST_BIGRAMS), contexts, "context", "inner")
+    joined = checked_join(joined, told.select("word", F.col("ratio").alias("word_ratio")), "word", "inner")
+    # The context's odds of the classes; the shared counts are split by them, tilted as the word is.
+    odds = (F.col("toxic_total") + PRIOR_CONTEXT * share["toxic"]) / (F.col("ordinary_total") + PRIOR_CONTEXT * share["ordinary"])
+    expected = odds * F.exp("word_ratio")
+    seen = (kept["toxic"] + PRIOR_BIGRAM * expected / (1 + expected)) / (kept["ordinary"] + PRIOR_BIGRAM / (1 + expected))
+    bigrams = joined.select(_bigram_key_column().alias("key"), (F.col("ordinary") + F.col("toxic")).alias("n"), F.ln(seen / odds).cast("float").alias("ratio"))
+    table = stored(told.withColumnRenamed("word", "key").unionAll(bigrams), "ratios")
+
+    hot = table.orderBy(F.desc("n"), "key").limit(most).toPandas()
+    keys = hot["key"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
-    keys = keys[order]
-    kept = [np.maximum(words[c].to_numpy(float)[order] - DISCOUNT, 0.0) for c in ("ordinary", "toxic")]
-    both = (kept[0] + kept[1]) / max(kept[0].sum() + kept[1].sum(), 1.0)
-    likely = [(1 - SHARED_WORD) * k / max(k.sum(), 1.0) + SHARED_WORD * both + 1e-15 for k in kept]
-    word_ratios = np.log(likely[1] / likely[0]).astype(np.float32)
-
-    # Bigrams of known words only: the word's weights are what they back off to.
-    second = bigrams["word"].to_numpy(np.int64).view(np.uint64)
-    at = np.searchsorted(keys, second)
-    at[at == len(keys)] = 0
-    known = keys[at] == second if len(keys) else np.zeros(len(second), dtype=bool)
-    bigrams, second, at = bigrams[known], second[known], at[known]
-    context = bigrams["context"].to_numpy(np.int64)
-    counts = [np.maximum(bigrams[name].to_numpy(float) - DISCOUNT, 0.0) for name in ("ordinary", "toxic")]
-    totals = [np.bincount(context, n, 1 << 16)[context] for n in counts]
-    # The shared backoff: how often the word follows in both classes, tilted as the word itself is in the class.
-    shared = (counts[0] + counts[1]) / np.maximum(totals[0] + totals[1], 1e-9)
-    weights = [
-        (n + BACKOFF * shared * likely[c][at] / (both[at] + 1e-15)) / (total + BACKOFF)
-        for c, (n, total) in enumerate(zip(counts, totals, strict=True))
+    keys, ratios = keys[order], hot["ratio"].to_numpy(np.float32)[order]
+    others = np.zeros(FILTER_SLOTS, dtype=np.uint64)
+    if len(hot) == most:
+        # Those that are sent stay in the table; the filter may name them, too.
+        slot = F.col("key").bitwiseAND(F.lit(FILTER_SLOTS - 1))
+        bit = F.expr("shiftleft(1L, cast(shiftrightunsigned(key, 32) & 63 as int))")
+        least = int(hot["n"].iloc[-1])
+        bits = table.where(F.col("n") <= least).groupBy(slot.alias("slot")).agg(F.bit_or(bit).alias("bits")).toPandas()
+        others[bits["slot"].to_numpy(np.int64)] = bits["bits"].to_numpy(np.int64).view(np.uint64)
+    return Model(table.select("key", "ratio"), spark.sparkContext.broadcast(Ratios(keys, ratios, others)))
+
+
+def _asked(shared: Broadcast):
+    """Map of (hash, text) to the expressions of each text, once per block, that only the table can tell."""
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        for batch in batches:
+            for block in blocks(batch, "text"):
+                hashes = block.column("hash").to_numpy(zero_copy_only=False)
+                words, contexts, offsets = _bigrams(block.column("text"))
+                values, own, pairs = model.settle(words, contexts)
+                # Of equal texts in a block one asks.
+                first = np.zeros(len(hashes), dtype=bool)
+                first[np.unique(hashes, return_index=True)[1]] = True
+                open_ = np.flatnonzero(np.isnan(values) & np.repeat(first, np.diff(offsets)))
+                if not len(open_):
+                    continue
+                row = np.searchsorted(offsets, open_, side="right") - 1
+                # Where the filter has no such bigram the word itself is asked for.
+                keys = np.where(model.maybe(pairs[open_]), pairs[open_], words[open_])
+                order = np.lexsort((keys, row))
+                row, keys, open_ = row[order], keys[order], open_[order]
+                begins = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (keys[1:] != keys[:-1])))
+                times = np.diff(np.append(begins, len(row)))
+                word, other = words[open_[begins]], own[open_[begins]]
+                unknown = np.isnan(other)
+                yield from _batches(
+                    [
+                        hashes[row[begins]], keys[begins].view(np.int64), pa.array(word.view(np.int64), mask=~unknown),
+                        pa.array(other, mask=unknown), times.astype(np.int32),
+                    ],
+                    ["hash", "key", "word", "other", "times"],
+                )
+
+    return asked
+
+
+def _sums(times: Column, value: Column) -> list[Column]:
+    return [
+        F.sum(value * times).alias("total"),
+        F.sum(F.when(value > TELLING, value * times).otherwise(0.0)).alias("telling"),
+        F.max(value).alias("peak"),
     ]
-    bigram_keys = _bigram_key(second, context)
-    order = np.argsort(bigram_keys)
-    return Ratios(keys, word_ratios, bigram_keys[order], np.log((weights[1] + 1e-15) / (weights[0] + 1e-15)).astype(np.float32)[order])
 
 
-def features(docs: DataFrame, ratios: Ratios, *, text: str = "text") -> DataFrame:
+def table_sums(docs: DataFrame, model: Model) -> DataFrame:
+    """Sums of each distinct text over the expressions that are not sent: hash, total, telling, peak."""
+    asked = docs.mapInArrow(_asked(model.shared), "hash bigint, key bigint, word bigint, other float, times int")
+    # Equal texts in several blocks ask once; dealt by key as the join needs it.
+    asked = asked.repartition("key").groupBy("hash", "key").agg(F.first("word").alias("word"), F.first("other").alias("other"), F.first("times").alias("times"))
+    value, times = F.coalesce("ratio", "other").cast("double"), F.col("times")
+    open_ = F.when(value.isNull(), F.struct("word", "times"))
+    answers = stored(asked.join(model.table, "key", "left").groupBy("hash").agg(*_sums(times, value), F.collect_list(open_).alias("open")), "answers")
+    # Bigrams that the filter named in error: their words are looked up.
+    rest = answers.select("hash", F.explode("open").alias("e")).select("hash", F.col("e.word").alias("key"), F.col("e.times").alias("times"))
+    rest = rest.join(model.table, "key").groupBy("hash").agg(*_sums(times, F.col("ratio").cast("double")))
+    both = answers.drop("open").unionAll(rest).groupBy("hash").agg(F.sum("total").alias("total"), F.sum("telling").alias("telling"), F.max("peak").alias("peak"))
+    return stored(both.where("total is not null"), "table-sums")
+
+
+def features(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
     """Add a column ``_features``: the three ratios of each whole text."""
-    shared = docs.sparkSession.sparkContext.broadcast(ratios)
+    shared = model.shared
 
     @F.arrow_udf("array<double>")
-    def ratios_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        model = shared.value
+    def sums_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        """Words, and total, telling and peak ratio over what is sent, of each text."""
+        known = shared.value
         for batch in batches:
             whole = pa.record_batch([batch], names=["text"])
-            rows = [np.zeros((0, len(FEATURES)))]
+            rows = [np.zeros((0, 4))]
             for block in blocks(whole, "text"):
                 words, contexts, offsets = _bigrams(block.column(0))
-                values = model.of(words, contexts).astype(float)
-                size = np.maximum(np.diff(offsets), 1)
+                values = np.nan_to_num(known.settle(words, contexts)[0].astype(float))
                 sums = np.append(0.0, np.cumsum(values))
                 telling = np.append(0.0, np.cumsum(np.where(values > TELLING, values, 0.0)))
-                filled = np.flatnonzero(np.diff(offsets))
+                size = np.diff(offsets)
+                filled = np.flatnonzero(size)
                 peaks = np.zeros(len(size))
                 if len(filled):
                     peaks[filled] = np.maximum(np.maximum.reduceat(values, offsets[:-1][filled]), 0.0)
                 ends, begins = offsets[1:], offsets[:-1]
-                rows.append(np.stack([(sums[ends] - sums[begins]) / size, (telling[ends] - telling[begins]) / size, peaks], axis=1))
+                rows.append(np.stack([size, sums[ends] - sums[begins], telling[ends] - telling[begins], peaks], axis=1))
             flat = np.concatenate(rows)
-            yield pa.ListArray.from_arrays(
-                pa.array(np.arange(0, flat.size + 1, len(FEATURES)), pa.int32()), pa.array(flat.reshape(-1))
-            )
-
-    return docs.withColumn("_features", ratios_of(F.col(f"`{text}`")))
+            yield pa.ListArray.from_arrays(pa.array(np.arange(0, flat.size + 1, 4), pa.int32()), pa.array(flat.reshape(-1)))
+
+    content = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    slow = table_sums(docs.select(F.xxhash64(content).alias("hash"), content.alias("text")), model)
+    slow = slow.select(F.col("hash").alias("_hash"), F.col("total").alias("_total"), F.col("telling").alias("_telling"), F.col("peak").alias("_peak"))
+    rows = docs.withColumns({"_sums": sums_of(content), "_hash": F.xxhash64(content)})
+    rows = checked_join(rows, slow, "_hash", "left")
+    size = F.greatest(F.element_at("_sums", 1), F.lit(1.0))
+    none = F.lit(0.0)
+    made = F.array(
+        (F.element_at("_sums", 2) + F.coalesce("_total", none)) / size,
+        (F.element_at("_sums", 3) + F.coalesce("_telling", none)) / size,
+        F.greatest(F.element_at("_sums", 4), F.coalesce("_peak", none)),
+    )
+    return rows.withColumn("_features", made).drop("_sums", "_hash", "_total", "_telling", "_peak")
 
 
 def fit_curve(values: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, float]:
@@ -236,14 +318,14 @@ def score(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str
     marks = stored(marks.where(fold(F.col("_key")) != 2), "toxic-marks")
     texts = docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("text"))
     training = checked_join(texts.where(fold(F.col("_key")) < 2), marks, "_key", "inner").select("text", "toxic")
-    ratios = fit_ratios(training)
+    model = fit_model(training)
     fitting = checked_join(texts.where(fold(F.col("_key")) == 3), marks, "_key", "inner")
-    rows = features(fitting, ratios).select(F.xxhash64("_key").alias("_order"), "toxic", "_features")
+    rows = features(fitting, model).select(F.xxhash64("_key").alias("_order"), "toxic", "_features")
     sample = rows.orderBy("_order", "toxic").limit(CALIBRATION_ROWS).toPandas()
     values = np.array(sample["_features"].tolist(), dtype=float).reshape(-1, len(FEATURES))
     weights, intercept = fit_curve(values, sample["toxic"].to_numpy(float))
 
-    scored = features(docs.drop("held_out", "score", "predicted", "_features"), ratios, text=text)
+    scored = features(docs.drop("held_out", "score", "predicted", "_features"), model, text=text)
     if np.isfinite(intercept):
         total = F.lit(intercept)
         for k, weight in enumerate(weights.tolist()):

@@ -305,6 +305,26 @@ def test_toxicity_of_odd_rows(spark):
     assert toxicity.score(frame.limit(0), labels).count() == 0
 
 
+def trained(spark, rows):
+    return spark.createDataFrame(rows, "text string, toxic int")
+
+
+def test_toxicity_looks_up_what_is_not_sent(spark):
+    rng = random.Random(5)
+    line = lambda: " ".join(f"w{min(int(rng.expovariate(0.1)), 40)}" for _ in range(80))
+    rows = [(line() + (" bad w1" if k % 3 == 0 else " good w1"), int(k % 3 == 0)) for k in range(200)]
+    texts = [r[0] for r in rows[:20]] + [rows[0][0], rows[0][0].upper(), None, "", "unknown words w1 bad w1", line()]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(4)
+    features = []
+    for most in (1 << 19, 10, 1):
+        model = toxicity.fit_model(trained(spark, rows), most=most)
+        assert len(model.shared.value.keys) <= most and model.table.count() > 60
+        features.append([r["_features"] for r in toxicity.features(docs, model).orderBy("id").collect()])
+        assert len(features[-1]) == len(texts)
+    assert any(f != [0, 0, 0] for f in features[0])
+    assert np.allclose(features[0], features[1], atol=1e-9) and np.allclose(features[0], features[2], atol=1e-9)
+
+
 # URLs
 
 
