@@ -4,7 +4,8 @@ Bigrams of the labelled training texts are counted for toxic and for ordinary
 ones.  A word's weight in a class is the number of its distinct contexts there
 (Kneser-Ney's continuation count), discounted, and interpolated with the counts of both
 classes together; a bigram's is its discounted count, interpolated with what its
-context and its word let expect of both classes together.
+context and its word let expect of both classes together.  No expression is dropped: one seen
+rarely stays near what the shared counts say.
 A text is scored by its log-likelihood ratio per word: over the whole text, over
 telling words alone, and at the strongest expression.  A logistic curve
 over these three, fitted on training texts that the counts have not seen, gives the score.
@@ -37,8 +38,6 @@ from storelens.llm.words import word_hashes
 MOST_EXPRESSIONS = 1 << 19
 FILTER_SLOTS = 1 << 21
 DISCOUNT = 0.75
-LEAST_CONTEXTS = 8
-LEAST_BIGRAMS = 16
 PRIOR_WORD = 1.0
 PRIOR_BIGRAM = 1.0
 PRIOR_CONTEXT = 1000.0
@@ -160,9 +159,9 @@ def fit_model(training: DataFrame, *, most: int = MOST_EXPRESSIONS) -> Model:
 
     # A word's counts are damped by as many of both classes together, split as the corpus is.
     tilt = {c: (kept[c] + PRIOR_WORD * share[c]) / share[c] for c in CLASSES}
-    told = stored(words.select("word", (F.col("ordinary") + F.col("toxic")).alias("n"), F.ln(tilt["toxic"] / tilt["ordinary"]).cast("float").alias("ratio")).where(F.col("n") >= LEAST_CONTEXTS), "word-ratios")
+    told = stored(words.select("word", (F.col("ordinary") + F.col("toxic")).alias("n"), F.ln(tilt["toxic"] / tilt["ordinary"]).cast("float").alias("ratio")), "word-ratios")
 
-    joined = checked_join(pairs.where(F.col("ordinary") + F.col("toxic") >= LEAST_BIGRAMS), contexts, "context", "inner")
+    joined = checked_join(pairs, contexts, "context", "inner")
     joined = checked_join(joined, told.select("word", F.col("ratio").alias("word_ratio")), "word", "inner")
     # The context's odds of the classes; the shared counts are split by them, tilted as the word is.
     odds = (F.col("toxic_total") + PRIOR_CONTEXT * share["toxic"]) / (F.col("ordinary_total") + PRIOR_CONTEXT * share["ordinary"])

@@ -325,6 +325,16 @@ def test_toxicity_looks_up_what_is_not_sent(spark):
     assert np.allclose(features[0], features[1], atol=1e-9) and np.allclose(features[0], features[2], atol=1e-9)
 
 
+def test_toxicity_keeps_rare_expressions(spark):
+    rows = [("a b c d e f", 0)] * 30 + [("a b zork c d", 1)] * 5 + [("f e once", 1)]
+    model = toxicity.fit_model(trained(spark, rows))
+    of = {t: f for t, f in ((r["text"], r["_features"]) for r in toxicity.features(spark.createDataFrame([("b zork",), ("q zork",), ("e once",), ("a b",), ("never",)], "text string"), model).collect())}
+    assert of["b zork"][2] > of["e once"][2] > 0.1 and of["q zork"][2] > 0.1
+    assert of["b zork"][2] > of["q zork"][2] and of["never"] == [0, 0, 0]
+    # Every word and every bigram has a row.
+    assert model.table.count() == 8 + 11
+
+
 # URLs
 
 
