@@ -307,20 +307,31 @@ def fold(key: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")), F.lit(4))
 
 
-def score(docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+def calibration_split(marks: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
+    """Marks to be counted, and the at most ``rows`` of fold 3 with the least key hash, which fit the curve."""
+    order, third = F.xxhash64("_key"), fold(F.col("_key")) == 3
+    last = marks.where(third).select(order.alias("order")).orderBy("order").limit(rows).agg(F.max("order").alias("last")).first()["last"]
+    held = third & (order <= F.lit(last)) if last is not None else F.lit(False)
+    return marks.where(~held), marks.where(held)
+
+
+def score(
+    docs: DataFrame, labels: DataFrame, *, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, calibration_rows: int = CALIBRATION_ROWS
+) -> DataFrame:
     """Add held_out, score (0 to 1) and predicted to ``docs``; columns of these names are replaced.
 
-    ``labels`` has the key and toxic (0 or 1).  Folds 0 and 1 are counted, fold 3 fits
-    the curve, fold 2 is held out; keys and labels are used for this alone.
+    ``labels`` has the key and toxic (0 or 1).  Fold 2 is held out; of fold 3 a
+    bounded sample fits the curve, all other labelled texts are counted; keys and labels are used for this alone.
     """
     marks = labels.where(f"toxic is not null and {key} is not null").groupBy(F.col(key).alias("_key")).agg(F.max("toxic").cast("int").alias("toxic"))
     marks = stored(marks.where(fold(F.col("_key")) != 2), "toxic-marks")
     texts = docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("text"))
-    training = checked_join(texts.where(fold(F.col("_key")) < 2), marks, "_key", "inner").select("text", "toxic")
+    counted, held = calibration_split(marks, calibration_rows)
+    training = checked_join(texts.where(fold(F.col("_key")) != 2), counted, "_key", "inner").select("text", "toxic")
     model = fit_model(training)
-    fitting = checked_join(texts.where(fold(F.col("_key")) == 3), marks, "_key", "inner")
+    fitting = checked_join(texts.where(fold(F.col("_key")) == 3), held, "_key", "inner")
     rows = features(fitting, model).select(F.xxhash64("_key").alias("_order"), "toxic", "_features")
-    sample = rows.orderBy("_order", "toxic").limit(CALIBRATION_ROWS).toPandas()
+    sample = rows.orderBy("_order", "toxic").limit(calibration_rows).toPandas()
     values = np.array(sample["_features"].tolist(), dtype=float).reshape(-1, len(FEATURES))
     weights, intercept = fit_curve(values, sample["toxic"].to_numpy(float))
 

@@ -335,6 +335,15 @@ def test_toxicity_keeps_rare_expressions(spark):
     assert model.table.count() == 8 + 11
 
 
+def test_toxicity_counts_all_but_the_calibration_sample(spark):
+    marks = spark.range(400).select(F.col("id").alias("_key"), F.lit(1).alias("toxic")).where(toxicity.fold(F.col("_key")) != 2)
+    counted, held = toxicity.calibration_split(marks, 10)
+    kept, fitted = {r["_key"] for r in counted.collect()}, {r["_key"] for r in held.collect()}
+    assert len(fitted) == 10 and all(zlib.crc32(str(k).encode()) % 4 == 3 for k in fitted)
+    assert not kept & fitted and len(kept) + 10 == marks.count()
+    assert toxicity.calibration_split(marks.limit(0), 10)[0].count() == 0
+
+
 # URLs
 
 
