@@ -10,8 +10,9 @@ shard's medoid and its own place, and from everything found within the range
 outwards until the range holds no unvisited neighbour.  What is found is verified
 by its cosine in double precision.
 
-A shard of more than ``SHARD_ROWS`` nodes is dealt over parts, and all its nodes
-are searched for in each part, so that no group grows without bound.  A pair is
+A shard of more than ``SHARD_ROWS`` nodes is dealt over parts.  A group holds the nodes of one
+part that stand and those of one part that are searched for, so that no group grows without bound;
+what a block of queries finds is verified, counted and folded into the forest at once.  A pair is
 counted in the first shard both are in.  For the components each group gives a spanning forest of the
 links found, no pairs.
 
@@ -21,6 +22,8 @@ vectors of different lengths neither; equal vectors link with each other; repeat
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
@@ -111,12 +114,11 @@ def _both_ways(links: np.ndarray) -> list[np.ndarray]:
     return np.split(codes % n, np.searchsorted(codes // n, np.arange(1, n)))
 
 
-def _search(points: np.ndarray, table: np.ndarray, queries: np.ndarray, own: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs (query, node) found within the range; ``own`` is the query's node, or -1."""
+def _search(points: np.ndarray, table: np.ndarray, queries: np.ndarray, own: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs (query, node) found within the range, by block of queries; ``own`` is the query's node, or -1."""
     n = len(points)
     centre = points.mean(axis=0)
     medoid = int((points @ centre).argmax())
-    found_queries, found_nodes = [], []
     for begin in range(0, len(queries), QUERY_BLOCK):
         asked = queries[begin : begin + QUERY_BLOCK]
         size = len(asked)
@@ -130,10 +132,15 @@ def _search(points: np.ndarray, table: np.ndarray, queries: np.ndarray, own: np.
 
         def visit(query: np.ndarray, node: np.ndarray, seen=seen, inside=inside, asked=asked) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             """Similarities of nodes not seen before, each once."""
-            codes = np.unique(query * n + node)
+            codes = query * n + node
+            if len(codes) * 32 > seen.size:
+                marked = np.zeros(seen.size, dtype=bool)
+                marked[codes] = True
+                codes = np.flatnonzero(marked & ~seen.reshape(-1))
+            else:
+                codes = np.unique(codes)
+                codes = codes[~seen.reshape(-1)[codes]]
             query, node = codes // n, codes % n
-            fresh = ~seen[query, node]
-            query, node = query[fresh], node[fresh]
             seen[query, node] = True
             values = np.einsum("id,id->i", asked[query], points[node])
             inside[query, node] = values >= least - 1e-4
@@ -173,14 +180,12 @@ def _search(points: np.ndarray, table: np.ndarray, queries: np.ndarray, own: np.
                 hit = s >= least - 1e-4
                 wave[q[hit], v[hit]] = True
         query, node = np.nonzero(inside)
-        found_queries.append(query + begin)
-        found_nodes.append(node)
-    return np.concatenate(found_queries), np.concatenate(found_nodes)
+        yield query + begin, node
 
 
-def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
-    """The least place reachable from each place by the links (a, b)."""
-    labels = np.arange(n)
+def _forest(a: np.ndarray, b: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """The least place reachable from each place by the links (a, b) and those to ``labels``."""
+    a, b = np.concatenate([a, np.arange(len(labels))]), np.concatenate([b, labels])
     while True:
         least = labels.copy()
         np.minimum.at(least, a, labels[b])
@@ -191,6 +196,19 @@ def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
         labels = least
 
 
+def dealt(ready: DataFrame) -> DataFrame:
+    """Each node stands in the cell of its part, for every block, and is asked in the block of its part, for every cell."""
+    every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1))
+    kept = ["node", "vec", "n", "shards", "shard"]
+    stands = ready.withColumn("block", every).select(
+        *kept, "near", F.col("part").alias("cell"), "block", F.lit(True).alias("stands"), (F.col("block") == F.col("part")).alias("asks")
+    )
+    asks = ready.where("parts > 1").withColumn("cell", every).where("cell <> part").select(
+        *kept, F.lit(None).cast("array<bigint>").alias("near"), "cell", F.col("part").alias("block"), F.lit(False).alias("stands"), F.lit(True).alias("asks")
+    )
+    return stands.unionAll(asks)
+
+
 def link_vectors(
     vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding", least: float = LEAST_COSINE, shard_rows: int = SHARD_ROWS
 ) -> DataFrame:
@@ -237,14 +255,13 @@ def link_vectors(
     built = placed.groupBy("shard", "part").applyInPandas(build, "node bigint, near array<bigint>")
     united = built.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
     ready = placed.select("node", "vec", "n", "shards", "shard", "parts", "part").join(stored(united, "graph"), "node")
-    # Each node is asked in all parts of its shard and stands in one.
-    asked = ready.withColumn("cell", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
+    asked = dealt(ready)
 
     def search(group: pd.DataFrame) -> pd.DataFrame:
         ids = group["node"].to_numpy(np.int64)
         exact = _unit(np.stack(group["vec"].to_numpy()))
-        stands = np.flatnonzero(group["part"].to_numpy() == group["cell"].to_numpy())
-        if not len(stands):
+        stands, asks = np.flatnonzero(group["stands"].to_numpy(bool)), np.flatnonzero(group["asks"].to_numpy(bool))
+        if not len(stands) or not len(asks):
             return pd.DataFrame({"node": [], "links": [], "root": []})
         own = np.full(len(ids), -1)
         own[stands] = np.arange(len(stands))
@@ -259,26 +276,29 @@ def link_vectors(
         for k, line in enumerate(lists):
             table[k, : len(line)] = line
         quick = exact.astype(np.float32)
-        query, node = _search(quick[stands], table, quick, own, least)
-        node = stands[node]
-        apart = query != node
-        query, node = query[apart], node[apart]
-        held = np.concatenate([np.einsum("id,id->i", exact[query[a : a + 100_000]], exact[node[a : a + 100_000]]) >= least for a in range(0, len(query), 100_000)] or [np.zeros(0, bool)])
-        query, node = query[held], node[held]
-        # Only in the first shard that both are in.
+        weights = group["n"].to_numpy(np.int64)
         width = max(map(len, group["shards"]))
         member = np.stack([np.pad(np.asarray(s), (0, width - len(s)), constant_values=-1) for s in group["shards"]])
-        common = np.full(len(query), np.iinfo(np.int64).max)
-        for k in range(width):
-            mine = member[query, k]
-            both = (mine[:, None] == member[node]).any(axis=1) & (mine >= 0)
-            common = np.where(both, np.minimum(common, mine), common)
-        first = common == group["shard"].iloc[0]
-        weights = group["n"].to_numpy(np.int64)
-        links = np.bincount(query[first], weights[node[first]], len(ids)).astype(np.int64)
-        return pd.DataFrame({"node": ids, "links": links, "root": ids[_forest(query, node, len(ids))]})
+        links, roots = np.zeros(len(ids), dtype=np.int64), np.arange(len(ids))
+        for query, node in _search(quick[stands], table, quick[asks], own[asks], least):
+            query, node = asks[query], stands[node]
+            apart = query != node
+            query, node = query[apart], node[apart]
+            held = np.concatenate([np.einsum("id,id->i", exact[query[a : a + 100_000]], exact[node[a : a + 100_000]]) >= least for a in range(0, len(query), 100_000)] or [np.zeros(0, bool)])
+            query, node = query[held], node[held]
+            # Only in the first shard that both are in.
+            common = np.full(len(query), np.iinfo(np.int64).max)
+            for k in range(width):
+                mine = member[query, k]
+                both = (mine >= 0) & np.any([mine == member[node, j] for j in range(width)], axis=0)
+                common = np.where(both, np.minimum(common, mine), common)
+            first = common == group["shard"].iloc[0]
+            links += np.bincount(query[first], weights[node[first]], len(ids)).astype(np.int64)
+            roots = _forest(query, node, roots)
+        told = (links > 0) | (roots != np.arange(len(ids)))
+        return pd.DataFrame({"node": ids[told], "links": links[told], "root": ids[roots[told]]})
 
-    found = asked.groupBy("shard", "cell").applyInPandas(search, "node bigint, links bigint, root bigint")
+    found = asked.groupBy("shard", "cell", "block").applyInPandas(search, "node bigint, links bigint, root bigint")
     found = stored(found, "found")
     linked = components(found.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
     # The least id of a component is that of a node: each node is named by its least id.

@@ -279,6 +279,17 @@ def test_owned_and_copied_candidates(spark):
     assert secrets.find_secrets(frame.limit(0)).count() == 0
 
 
+def test_near_copies_are_dealt_and_counted(spark):
+    rng = np.random.default_rng(3)
+    points = rng.normal(size=16) + rng.normal(size=(400, 16)) * 0.02
+    rows = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(points)], "vec_id long, embedding array<double>")
+    got = flat_graph.link_vectors(rows, shard_rows=60).collect()
+    assert {(r["n_links"], r["component_id"]) for r in got} == {(399, 0)}
+    ready = rows.selectExpr("vec_id as node", "embedding as vec", "1L as n", "array(0L) as shards", "0L as shard", "7L as parts", "vec_id % 7 as part", "array(0L) as near")
+    cells = flat_graph.dealt(ready).groupBy("shard", "cell", "block").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("asks").cast("int")).alias("asks")).collect()
+    assert len(cells) == 49 and max(r["n"] for r in cells) <= 2 * 58 and sum(r["asks"] for r in cells) == 7 * 400
+
+
 # Toxicity
 
 
