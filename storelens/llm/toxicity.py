@@ -170,18 +170,24 @@ def fit_model(training: DataFrame, *, most: int = MOST_EXPRESSIONS) -> Model:
     bigrams = joined.select(_bigram_key_column().alias("key"), (F.col("ordinary") + F.col("toxic")).alias("n"), F.ln(seen / odds).cast("float").alias("ratio"))
     table = stored(told.withColumnRenamed("word", "key").unionAll(bigrams), "ratios")
 
-    hot = table.orderBy(F.desc("n"), "key").limit(most).toPandas()
-    keys = hot["key"].to_numpy(np.int64).view(np.uint64)
+    # The least count of those that are sent, from the number of expressions by count.
+    sizes = sorted(((r["n"], r["rows"]) for r in table.groupBy("n").agg(F.count(F.lit(1)).alias("rows")).collect()), reverse=True)
+    sent, least = 0, None
+    for n, rows in sizes:
+        if sent + rows > most:
+            break
+        sent, least = sent + rows, n
+    frequent = F.col("n") >= least if least is not None else F.lit(False)
+    hot = table.where(frequent).select("key", "ratio").toArrow()
+    keys = hot["key"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
-    keys, ratios = keys[order], hot["ratio"].to_numpy(np.float32)[order]
+    keys, ratios = keys[order], hot["ratio"].to_numpy()[order]
     others = np.zeros(FILTER_SLOTS, dtype=np.uint64)
-    if len(hot) == most:
-        # Those that are sent stay in the table; the filter may name them, too.
+    if sent < sum(rows for _, rows in sizes):
         slot = F.col("key").bitwiseAND(F.lit(FILTER_SLOTS - 1))
         bit = F.expr("shiftleft(1L, cast(shiftrightunsigned(key, 32) & 63 as int))")
-        least = int(hot["n"].iloc[-1])
-        bits = table.where(F.col("n") <= least).groupBy(slot.alias("slot")).agg(F.bit_or(bit).alias("bits")).toPandas()
-        others[bits["slot"].to_numpy(np.int64)] = bits["bits"].to_numpy(np.int64).view(np.uint64)
+        bits = table.where(~frequent).groupBy(slot.alias("slot")).agg(F.bit_or(bit).alias("bits")).toArrow()
+        others[bits["slot"].to_numpy()] = bits["bits"].to_numpy().view(np.uint64)
     return Model(table.select("key", "ratio"), spark.sparkContext.broadcast(Ratios(keys, ratios, others)))
 
 
@@ -244,8 +250,13 @@ def table_sums(docs: DataFrame, model: Model) -> DataFrame:
     return stored(both.where("total is not null"), "table-sums")
 
 
-def features(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
-    """Add a column ``_features``: the three ratios of each whole text."""
+def hashed_texts(docs: DataFrame, text: str) -> DataFrame:
+    content = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    return docs.select(F.xxhash64(content).alias("hash"), content.alias("text"))
+
+
+def features(docs: DataFrame, model: Model, *, text: str = "text", slow: DataFrame | None = None) -> DataFrame:
+    """Add a column ``_features``: the three ratios of each whole text; ``slow`` are the ``table_sums`` of these texts, if known."""
     shared = model.shared
 
     @F.arrow_udf("array<double>")
@@ -271,7 +282,7 @@ def features(docs: DataFrame, model: Model, *, text: str = "text") -> DataFrame:
             yield pa.ListArray.from_arrays(pa.array(np.arange(0, flat.size + 1, 4), pa.int32()), pa.array(flat.reshape(-1)))
 
     content = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    slow = table_sums(docs.select(F.xxhash64(content).alias("hash"), content.alias("text")), model)
+    slow = table_sums(hashed_texts(docs, text), model) if slow is None else slow
     slow = slow.select(F.col("hash").alias("_hash"), F.col("total").alias("_total"), F.col("telling").alias("_telling"), F.col("peak").alias("_peak"))
     rows = docs.withColumns({"_sums": sums_of(content), "_hash": F.xxhash64(content)})
     rows = checked_join(rows, slow, "_hash", "left")
@@ -330,12 +341,13 @@ def score(
     training = checked_join(texts.where(fold(F.col("_key")) != 2), counted, "_key", "inner").select("text", "toxic")
     model = fit_model(training)
     fitting = checked_join(texts.where(fold(F.col("_key")) == 3), held, "_key", "inner")
-    rows = features(fitting, model).select(F.xxhash64("_key").alias("_order"), "toxic", "_features")
+    slow = table_sums(hashed_texts(docs, text), model)
+    rows = features(fitting, model, slow=slow).select(F.xxhash64("_key").alias("_order"), "toxic", "_features")
     sample = rows.orderBy("_order", "toxic").limit(calibration_rows).toPandas()
     values = np.array(sample["_features"].tolist(), dtype=float).reshape(-1, len(FEATURES))
     weights, intercept = fit_curve(values, sample["toxic"].to_numpy(float))
 
-    scored = features(docs.drop("held_out", "score", "predicted", "_features"), model, text=text)
+    scored = features(docs.drop("held_out", "score", "predicted", "_features"), model, text=text, slow=slow)
     if np.isfinite(intercept):
         total = F.lit(intercept)
         for k, weight in enumerate(weights.tolist()):
