@@ -8,8 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storelens.llm import collision_search, flat_graph, ngram_join, packing, piece_codec, secrets, token_counts, toxicity, url_reputation, warc
-from storelens.llm.sql import URL_REPUTATION_SQL, WARC_SQL
+from storelens.llm import (
+    collision_search, flat_graph, gnat_codes, line_counts, ngram_join, packing, phrases, piece_codec, secrets, token_counts, toxicity, url_reputation, warc,
+)
+from storelens.llm.sql import CODES_SQL, LINES_SQL, PHRASES_SQL, URL_REPUTATION_SQL, WARC_SQL
 from storelens.sources.shop_views import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -116,3 +118,37 @@ def op3_collision_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ten nearest found of every hundredth vector."""
     found = collision_search.nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, 10)
     return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+@query
+def op11_gnat_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every vector, the error summed by label, and the digest of the codebooks."""
+    coded, books = gnat_codes.encode(table(spark, sf_dir, "embeddings"))
+    summed = gnat_codes.with_label_errors(coded, F.col("_row.label"))
+    digest = gnat_codes.books_digest(books) if books is not None else None
+    return summed.select(
+        F.col("_id").alias("vec_id"), F.col("_code").alias("code"), F.col("_error").alias("error"), F.col("_label_error").alias("label_error"),
+        F.lit(digest).cast("string").alias("codebooks_sha256"),
+    )
+
+
+ORACLE["op11_gnat_codes"] = CODES_SQL
+
+
+@query
+def op12_line_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without its repeated lines: number of lines, how many went, digest of the rest."""
+    cut = line_counts.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select("row.doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+ORACLE["op12_line_counts"] = LINES_SQL
+
+
+@query
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 phrases of every language."""
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op13_phrases"] = PHRASES_SQL
