@@ -39,7 +39,7 @@ TOP = 2000
 SCALE = 1_000_000
 DEPTH = 3
 
-BLOCK_BYTES = 8 * 1024 * 1024
+BLOCK_BYTES = 4 * 1024 * 1024
 #: Places of 21 bits make one sortable key of a suffix, so a slice has fewer words than that.
 PLACE = 21
 SLICE_WORDS = (1 << PLACE) - 8
@@ -49,6 +49,7 @@ MOST_PARTS = 1 << 20
 HOT_PER_PART = 4
 SAMPLE_ROWS = 20_000
 RANK_SALTS = 64
+PARTS_AT_ONCE = 64
 
 _ENDS_PIECE = np.zeros(256, dtype=bool)
 _ENDS_PIECE[np.frombuffer(b".,;:!?\x0a\x0b\x0c\x0d", dtype=np.uint8)] = True
@@ -67,18 +68,23 @@ class Words:
     def __init__(self, texts: pa.Array):
         self.data, offsets = W.text_bytes(texts)
         size = len(self.data)
+        kind = np.int32 if size < 2**31 else np.int64
         breaks = np.zeros(size + 1, dtype=bool)
         breaks[offsets] = True
         between = _BETWEEN[self.data]
-        starts, ends = ~between, ~between
+        edges = ~between
         if size:
-            starts[1:] &= between[:-1] | breaks[1:-1]
-            ends[:-1] &= between[1:] | breaks[1:-1]
-        self.begin, self.end = np.flatnonzero(starts), np.flatnonzero(ends) + 1
-        self.text = np.searchsorted(offsets, self.begin, side="right") - 1
+            edges[1:] &= between[:-1] | breaks[1:-1]
+        self.begin = np.flatnonzero(edges).astype(kind)
+        edges = ~between
+        if size:
+            edges[:-1] &= between[1:] | breaks[1:-1]
+        self.end = np.flatnonzero(edges).astype(kind) + kind(1)
+        del breaks, between, edges
+        self.text = (np.searchsorted(offsets, self.begin, side="right") - 1).astype(np.int32)
         # A piece ends at a sign that ends pieces and at the end of its text.
-        pieces = np.cumsum(_ENDS_PIECE[self.data], dtype=np.int32) if size else np.zeros(0, np.int32)
-        self.piece = pieces[self.begin].astype(np.int64) + self.text
+        signs = np.flatnonzero(_ENDS_PIECE[self.data])
+        self.piece = np.searchsorted(signs, self.begin).astype(kind) + self.text
         self.hash = self._hashes()
 
     def _hashes(self) -> np.ndarray:
@@ -136,7 +142,7 @@ def _texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list[s
 
 
 def _slices(texts: pa.Array, langs: list[str]) -> Iterator[tuple[Words, int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """By slices of words: all words, where the slice begins, its ids, the known ids, and its merged suffixes with their counts.
+    """By slices of words: all words, where the slice begins, the known ids, the places of its words, and its merged suffixes with their counts.
 
     A suffix is three places of ``PLACE`` bits; a place is one more than the rank of the id, 0 where the piece has ended.
     """
@@ -154,7 +160,7 @@ def _slices(texts: pa.Array, langs: list[str]) -> Iterator[tuple[Words, int, np.
             keys[:ahead] |= np.where(same, places[step : step + ahead], 0) << ((DEPTH - 1 - step) * PLACE)
         keys.sort()
         first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        yield words, begin, ids[begin:end], known, keys[first], np.diff(np.append(first, len(keys)))
+        yield words, begin, known, places[: end - begin], keys[first], np.diff(np.append(first, len(keys)))
 
 
 def _columns(known: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -185,7 +191,7 @@ def hot_prefixes(docs: DataFrame, parts: int, sample_rows: int = SAMPLE_ROWS) ->
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for texts, langs in _texts(batches):
-            for _, _, _, known, keys, n in _slices(texts, langs):
+            for _, _, known, _, keys, n in _slices(texts, langs):
                 columns = _columns(known, keys)
                 for depth in range(1, DEPTH):
                     hashes, at = np.unique(_mixed(columns, depth), return_inverse=True)
@@ -210,7 +216,7 @@ def route(docs: DataFrame, parts: int, hot: tuple[np.ndarray, np.ndarray]) -> Da
     def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hot_words, hot_pairs = shared.value
         for texts, langs in _texts(batches):
-            for words, begin, ids, known, keys, n in _slices(texts, langs):
+            for words, begin, known, places, keys, n in _slices(texts, langs):
                 columns = _columns(known, keys)
                 target = _mixed(columns, 1)
                 by_two = np.flatnonzero(_is_in(target, hot_words))
@@ -218,42 +224,46 @@ def route(docs: DataFrame, parts: int, hot: tuple[np.ndarray, np.ndarray]) -> Da
                 target[by_two] = two
                 by_three = by_two[_is_in(two, hot_pairs)]
                 target[by_three] = _mixed(columns[:, by_three], 3)
-                part = (target % np.uint64(parts)).astype(np.int64)
-                order = np.argsort(part, kind="stable")
-                bounds = np.searchsorted(part[order], np.arange(parts + 1))
-
+                order, bounds = _dealt(target, parts)
                 # The slice's own words, each with its count and its first place.
-                own, first, counts = np.unique(ids, return_index=True, return_counts=True)
-                home = (W.mix(own) % np.uint64(parts)).astype(np.int64)
-                by_home = np.argsort(home, kind="stable")
-                homes = np.searchsorted(home[by_home], np.arange(parts + 1))
-                rows: list[tuple] = []
-                for k in range(parts):
-                    some = order[bounds[k] : bounds[k + 1]]
-                    mine = by_home[homes[k] : homes[k + 1]]
-                    if not len(some) and not len(mine):
+                counts = np.bincount(places, minlength=len(known) + 1)[1:]
+                first = np.zeros(len(known), dtype=np.int64)
+                first[places[::-1] - 1] = np.arange(begin, begin + len(places))[::-1]
+                own = np.flatnonzero(counts)
+                by_home, homes = _dealt(W.mix(known[own]), parts)
+                by_home = own[by_home]
+                for low in range(0, parts, PARTS_AT_ONCE):
+                    high = min(low + PARTS_AT_ONCE, parts)
+                    filled = low + np.flatnonzero((np.diff(bounds[low : high + 1]) > 0) | (np.diff(homes[low : high + 1]) > 0))
+                    if not len(filled):
                         continue
-                    at = begin + first[mine]
-                    entries = [
-                        {"id": i, "n": c, "lang": langs[t], "word": words.word(p)}
-                        for i, c, t, p in zip(own[mine].view(np.int64).tolist(), counts[mine].tolist(), words.text[at].tolist(), at.tolist(), strict=True)
-                    ]
-                    rows.append((k, columns[:, some].tobytes(), n[some].astype("<i8").tobytes(), entries))
-                    if len(rows) == 64:
-                        yield _packed(rows)
-                        rows = []
-                if rows:
-                    yield _packed(rows)
+                    some = [order[bounds[k] : bounds[k + 1]] for k in filled]
+                    mine = by_home[homes[low] : homes[high]]
+                    at = first[mine]
+                    entries = pa.StructArray.from_arrays(
+                        [
+                            pa.array(known[mine].view(np.int64)), pa.array(counts[mine]),
+                            pa.array([langs[t] for t in words.text[at].tolist()], pa.string()), pa.array([words.word(p) for p in at.tolist()], pa.string()),
+                        ],
+                        names=["id", "n", "lang", "word"],
+                    )
+                    lists = pa.ListArray.from_arrays(pa.array(np.append(homes[filled], homes[high]) - homes[low], pa.int32()), entries)
+                    yield pa.record_batch(
+                        [
+                            pa.array(filled), pa.array([columns[:, x].tobytes() for x in some], pa.binary()),
+                            pa.array([n[x].astype("<u4").tobytes() for x in some], pa.binary()), lists,
+                        ],
+                        names=["part", "grams", "counts", "words"],
+                    )
 
     return docs.mapInArrow(routed, "part bigint, grams binary, counts binary, words array<struct<id:bigint,n:bigint,lang:string,word:string>>")
 
 
-_ENTRY = pa.list_(pa.struct([("id", pa.int64()), ("n", pa.int64()), ("lang", pa.string()), ("word", pa.string())]))
-
-
-def _packed(rows: list[tuple]) -> pa.RecordBatch:
-    part, grams, counts, entries = zip(*rows, strict=True)
-    return pa.record_batch([pa.array(part, pa.int64()), pa.array(grams, pa.binary()), pa.array(counts, pa.binary()), pa.array(entries, _ENTRY)], names=["part", "grams", "counts", "words"])
+def _dealt(hashes: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """An order by part, and where each part begins in it (parts + 1)."""
+    part = (hashes % np.uint64(parts)).astype(np.int32)
+    order = np.argsort(part, kind="stable")
+    return order, np.searchsorted(part[order], np.arange(parts + 1))
 
 
 def quicksort_counts(columns: np.ndarray, weights: np.ndarray, least: int) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -328,7 +338,7 @@ def frequent_grams(docs: DataFrame, least: int = LEAST, parts: int | None = None
 
     def count(group: pa.Table) -> pa.Table:
         columns = np.concatenate([np.frombuffer(x.as_buffer(), "<u8").reshape(DEPTH, -1) for x in group.column("grams")], axis=1)
-        weights = np.concatenate([np.frombuffer(x.as_buffer(), "<i8") for x in group.column("counts")])
+        weights = np.concatenate([np.frombuffer(x.as_buffer(), "<u4") for x in group.column("counts")]).astype(np.int64)
         out: list[pa.Table] = []
 
         def tell(depth: int, ids: np.ndarray, n: np.ndarray, lang: pa.Array | None = None, word: pa.Array | None = None) -> None:
