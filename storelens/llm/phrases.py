@@ -39,12 +39,12 @@ TOP = 2000
 SCALE = 1_000_000
 DEPTH = 3
 
-BLOCK_BYTES = 4 * 1024 * 1024
+BLOCK_BYTES = 2 * 1024 * 1024
 #: Places of 21 bits make one sortable key of a suffix, so a slice has fewer words than that.
 PLACE = 21
 SLICE_WORDS = (1 << PLACE) - 8
 LONG_WORD = 1 << 16
-PART_BYTES = 4 * 1024 * 1024
+PART_BYTES = 2 * 1024 * 1024
 MOST_PARTS = 1 << 20
 HOT_PER_PART = 4
 SAMPLE_ROWS = 20_000
@@ -266,6 +266,15 @@ def _dealt(hashes: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
     return order, np.searchsorted(part[order], np.arange(parts + 1))
 
 
+def _active(pointers: np.ndarray, start: np.ndarray, end: np.ndarray, kind: type) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The pointers of some partitions, the partition of each, where each partition begins among them, and their places."""
+    length = end - start
+    base = np.cumsum(length, dtype=kind) - length
+    segment = np.repeat(np.arange(len(start), dtype=kind), length)
+    at = np.arange(len(segment), dtype=kind) + (start - base)[segment]
+    return pointers[at], segment, base, at
+
+
 def quicksort_counts(columns: np.ndarray, weights: np.ndarray, least: int) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each depth, pointers to one suffix of every prefix of that many words that weighs ``least``, and the weights.
 
@@ -276,49 +285,49 @@ def quicksort_counts(columns: np.ndarray, weights: np.ndarray, least: int) -> li
     if not size:
         return [none] * depths
     flat = columns.reshape(-1)
-    pointers = np.arange(size)
-    start, end, depth = np.array([0]), np.array([size]), np.array([0])
+    # Four-byte places where they suffice, since several arrays of them are held at once.
+    kind = np.int32 if depths * size < 2**31 else np.int64
+    pointers = np.arange(size, dtype=kind)
+    start, end, depth = np.array([0], kind), np.array([size], kind), np.array([0], kind)
     found: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(depths)]
     turn = 0
     while len(start):
-        length = end - start
-        base = np.cumsum(length) - length
-        segment = np.repeat(np.arange(len(start)), length)
-        at = np.arange(len(segment)) + (start - base)[segment]
-        own = pointers[at]
-        weight = weights[own]
+        own, segment, base, at = _active(pointers, start, end, kind)
         # Partitions that weigh too little are abandoned, and so are empty ones before they come here.
-        heavy = np.add.reduceat(weight, base) >= least
+        heavy = np.add.reduceat(weights[own], base) >= least
         if not heavy.all():
-            kept = heavy[segment]
-            own, weight, at = own[kept], weight[kept], at[kept]
-            start, end, depth, length = start[heavy], end[heavy], depth[heavy], length[heavy]
+            start, end, depth = start[heavy], end[heavy], depth[heavy]
             if not len(start):
                 break
-            base = np.cumsum(length) - length
-            segment = np.repeat(np.arange(len(start)), length)
+            own, segment, base, at = _active(pointers, start, end, kind)
         turn += 1
-        chosen = base + (W.mix(start.astype(np.uint64) * np.uint64(2) + np.uint64(turn)) % length.astype(np.uint64)).astype(np.int64)
-        value = flat[depth[segment] * size + own]
+        length = end - start
+        chosen = base + (W.mix(start.astype(np.uint64) * np.uint64(2) + np.uint64(turn)) % length.astype(np.uint64)).astype(kind)
+        value = flat[depth[segment] * kind(size) + own]
         pivot = value[chosen]
-        side = np.where(value < pivot[segment], 0, np.where(value == pivot[segment], 1, 2))
-        sizes = np.bincount(segment * 3 + side, minlength=3 * len(start)).reshape(-1, 3)
-        heads = start[:, None] + np.cumsum(sizes, axis=1) - sizes
+        mine = pivot[segment]
+        side = np.where(value < mine, np.int8(0), np.where(value == mine, np.int8(1), np.int8(2)))
+        del value, mine
+        sizes = np.stack([np.bincount(segment[side == k], minlength=len(start)) for k in range(3)], axis=1).astype(kind)
+        heads = start[:, None] + np.cumsum(sizes, axis=1, dtype=kind) - sizes
+        moved = np.empty_like(own)
         for k in range(3):
-            member = side == k
-            rank = np.cumsum(member) - 1
-            before = np.cumsum(sizes[:, k]) - sizes[:, k]
-            mine = np.flatnonzero(member)
-            pointers[heads[segment[mine], k] + rank[mine] - before[segment[mine]]] = own[mine]
+            member = np.flatnonzero(side == k).astype(kind)
+            into = segment[member]
+            before = np.cumsum(sizes[:, k], dtype=kind) - sizes[:, k]
+            # Places among the active ones: partitions keep their place, the three sides follow each other.
+            moved[(heads[:, k] - start + base)[into] + np.arange(len(member), dtype=kind) - before[into]] = own[member]
+        pointers[at] = moved
         # The equal partition's weight is the count of its words.
-        equal = np.bincount(segment[side == 1], weight[side == 1], len(start)).astype(np.int64)
+        same = side == 1
+        equal = np.bincount(segment[same], weights[own[same]], len(start)).astype(np.int64)
         told = (pivot != 0) & (equal >= least)
         for d in range(depths):
             here = np.flatnonzero(told & (depth == d))
             if len(here):
-                found[d].append((own[chosen[here]], equal[here]))
+                found[d].append((own[chosen[here]].astype(np.int64), equal[here]))
         deeper = told & (depth + 1 < depths)
-        parts = [(heads[:, 0], sizes[:, 0], depth, sizes[:, 0] > 0), (heads[:, 1], sizes[:, 1], depth + 1, deeper), (heads[:, 2], sizes[:, 2], depth, sizes[:, 2] > 0)]
+        parts = [(heads[:, 0], sizes[:, 0], depth, sizes[:, 0] > 0), (heads[:, 1], sizes[:, 1], depth + kind(1), deeper), (heads[:, 2], sizes[:, 2], depth, sizes[:, 2] > 0)]
         start = np.concatenate([h[ok] for h, _, _, ok in parts])
         end = start + np.concatenate([s[ok] for _, s, _, ok in parts])
         depth = np.concatenate([d[ok] for _, _, d, ok in parts])
