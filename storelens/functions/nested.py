@@ -1,18 +1,19 @@
 """Typed arrays and structs out of text that holds Python literals.
 
 The catalogue stores ``categories`` as a list of lists and ``related`` as a
-dictionary of lists, both printed by Python.  Most rows are also readable as
-lenient JSON, so they are read by Spark's own ``from_json``.  What JSON cannot
-read, or would read differently (``None``, prefixes such as ``u'x'``, ``\\xe9``
-escapes, trailing commas, text after the closing bracket), is marked by an
-expression and handed to a small Arrow function built on the standard library's
-safe literal reader; for all other rows that function only sees a null.
+dictionary of lists, both printed by Python.  Text that is read the same as lenient JSON goes to
+``from_json`` as it is.  Other text (``None``, prefixes such as ``u'x'``, ``\\xe9``
+escapes, trailing commas) is cut into tokens and written again as strict JSON, all in Spark's own expressions.
+One pattern tells beforehand whether a text has the shape that these can read.  Rows that have it not
+(tuples, floats, joined strings, lists nested deeper) are split off to a small
+Arrow function built on the standard library's safe literal reader, and united with the others again.
 """
 
 from __future__ import annotations
 
 import ast
 import operator
+from collections.abc import Sequence
 from functools import reduce
 
 import pandas as pd
@@ -44,11 +45,6 @@ def _ambiguous(text: Column) -> Column:
     return text.contains("\\") | (present & as_word)
 
 
-def _ends_after(text: Column, closing: str) -> Column:
-    """True if the first closing bracket is where the text ends, as JSON ignores what follows."""
-    return F.locate(closing, text) + len(closing) - 1 == F.length(F.rtrim(text))
-
-
 def _literal_readers():
     """The two Arrow functions.
 
@@ -92,61 +88,115 @@ def _literal_readers():
 _literal_lists, _literal_related = _literal_readers()
 
 
-def read_nested_list(df: DataFrame, column: str) -> DataFrame:
-    """Replace a text column by ``array<array<string>>`` and add ``<column>_bad``.
+# Patterns of a literal; quantifiers are possessive, so that long text needs no stack.
+_STRING = r"""[uU]?+(?:'[^'\\\r\n\x00]*+(?:\\[^\r\n\x00][^'\\\r\n\x00]*+)*+'|"[^"\\\r\n\x00]*+(?:\\[^\r\n\x00][^"\\\r\n\x00]*+)*+")"""
+_PLAIN = r"(?:-?[1-9][0-9]*+|0|None|True|False)(?![0-9A-Za-z_.])"
+# A comma before a closing bracket is one token with it.
+_TOKEN = f"{_STRING}|{_PLAIN}|,[ \\t]*+[\\]}}]|[\\[\\]{{}},:]"
+_GAP = r"[ \t]*+"
 
-    Unreadable text becomes null and is marked true in the added column.
-    """
-    text = F.col(column)
-    json_value = F.from_json(text, NESTED_LIST, _JSON_OPTIONS)
-    complete = _ends_after(text, "]]") | (F.trim(text) == "[]")
-    doubtful = F.col("_json").isNull() | _ambiguous(text) | ~complete
-    value = F.coalesce(
-        F.when(F.col("_doubtful"), _literal_lists(F.when(F.col("_doubtful"), text))),
-        F.when(~F.col("_doubtful"), F.col("_json")),
-    )
-    return (
-        df.withColumns({"_json": json_value})
-        .withColumns({"_doubtful": text.isNotNull() & doubtful})
-        .withColumns({"_value": value})
-        .withColumns({f"{column}_bad": text.isNotNull() & F.col("_value").isNull(), column: F.col("_value")})
-        .drop("_json", "_doubtful", "_value")
-    )
 
+def _series(item: str) -> str:
+    """Items between commas, one more comma allowed, or nothing."""
+    return f"(?:{item}{_GAP}(?:,{_GAP}{item}{_GAP})*+(?:,{_GAP})?+)?+"
 
-def read_related(df: DataFrame, column: str = "related") -> DataFrame:
-    """Replace a text column by a struct of the four id lists and add ``<column>_bad``.
 
-    An entry that is not a list gives null for that list only.  Unreadable text
-    gives a null struct and is marked true in the added column.
-    """
-    text = F.col(column)
-    json_schema = T.StructType([*RELATED.fields, T.StructField(_UNREADABLE, T.StringType())])
-    json_value = F.from_json(text, json_schema, _JSON_OPTIONS)
-    doubtful = (
-        F.col("_json").isNull()
-        | F.col(f"_json.{_UNREADABLE}").isNotNull()
-        | _ambiguous(text)
-        | ~_ends_after(text, "}")
-    )
-    lists = {
-        name: F.when(F.col("_doubtful"), F.col(f"_literal.{name}")).otherwise(F.col(f"_json.{name}"))
-        for name in RELATED_LISTS
-    }
-    bad = F.col("_doubtful") & ~F.col("_literal.readable")
-    return (
-        df.withColumns({"_json": json_value})
-        .withColumns({"_doubtful": text.isNotNull() & doubtful})
-        .withColumns({"_literal": _literal_related(F.when(F.col("_doubtful"), text))})
-        .withColumns({"_bad": bad, "_value": F.struct(*[value.alias(name) for name, value in lists.items()])})
-        .withColumns(
-            {
-                f"{column}_bad": F.col("_bad"),
-                column: F.when(text.isNotNull() & ~F.col("_bad"), F.col("_value")),
-            }
+_INNER = rf"\[{_GAP}{_series(f'(?:{_STRING}|{_PLAIN})')}\]"
+_LIST = rf"^{_GAP}\[{_GAP}{_series(_INNER)}\]{_GAP}$"
+_DICT = rf"^{_GAP}\{{{_GAP}{_series(f'{_STRING}{_GAP}:{_GAP}(?:{_INNER}|None)')}\}}{_GAP}$"
+# Escapes other than those that mean one character in both notations, or can be written so; halves of a pair count as odd.
+_ODD_ESCAPE = r"""\\(?![\\'"nrtbf]|x[0-9a-fA-F]{2}|u(?![dD][89a-fA-F])[0-9a-fA-F]{4})"""
+_PIECE = r"""\\.|[^\\"]++|\""""
+
+
+def _readable(text: Column, pattern: str) -> Column:
+    """Whether the text is a literal of the pattern's shape that can be read without Python; one match, no parsing."""
+    return text.rlike(pattern) & ~(text.contains("\\") & text.rlike(_ODD_ESCAPE))
+
+
+def _json_string(token: Column) -> Column:
+    """A string token as a JSON string."""
+    start = F.when(F.left(token, F.lit(1)).isin("u", "U"), 3).otherwise(2)
+    body = F.substring(token, start, F.length(token) - start)
+
+    def rewritten(piece: Column) -> Column:
+        return F.when(piece == "\\'", "'").when(piece == '"', '\\"').when(piece == "\\x", "\\u00").otherwise(piece)
+
+    pieces = F.transform(F.regexp_extract_all(body, F.lit(_PIECE), F.lit(0)), rewritten)
+    plain = ~(body.contains("\\") | body.contains('"'))
+    return F.concat(F.lit('"'), F.when(plain, body).otherwise(F.array_join(pieces, "")), F.lit('"'))
+
+
+def _as_json(text: Column) -> Column:
+    """A readable literal as strict JSON: strings and values other than None as strings, no comma before a closing bracket."""
+
+    def rewritten(token: Column) -> Column:
+        return (
+            F.when(token.isin("[", "]", "{", "}", ",", ":"), token).when(F.left(token, F.lit(1)) == ",", F.right(token, F.lit(1)))
+            .when(token == "None", "null").when(F.right(token, F.lit(1)).isin("'", '"'), _json_string(token))
+            .otherwise(F.concat(F.lit('"'), token, F.lit('"')))
         )
-        .drop("_json", "_doubtful", "_literal", "_value", "_bad")
-    )
+
+    return F.array_join(F.transform(F.regexp_extract_all(text, F.lit(_TOKEN), F.lit(0)), rewritten), "")
+
+
+_STRICT = {"allowUnquotedControlChars": "true"}
+
+
+def _native_list(text: Column) -> Column:
+    """``array<array<string>>`` of a readable text."""
+    lenient = F.when(~_ambiguous(text), F.from_json(text, NESTED_LIST, _JSON_OPTIONS))
+    return F.coalesce(lenient, F.from_json(_as_json(text), NESTED_LIST, _STRICT))
+
+
+def _native_related(text: Column) -> Column:
+    """The struct of the id lists of a readable text."""
+    lenient = F.from_json(text, T.StructType([*RELATED.fields, T.StructField(_UNREADABLE, T.StringType())]), _JSON_OPTIONS)
+    strict = F.from_json(_as_json(text), RELATED, _STRICT)
+
+    def lists(value: Column) -> Column:
+        return F.struct(*[value.getField(name).alias(name) for name in RELATED_LISTS])
+
+    return F.when(~_ambiguous(text) & lenient.isNotNull() & lenient.getField(_UNREADABLE).isNull(), lists(lenient)).otherwise(lists(strict))
+
+
+def read_nested(df: DataFrame, *, lists: Sequence[str] = (), related: Sequence[str] = ()) -> DataFrame:
+    """Replace text columns by ``array<array<string>>`` (``lists``) and by structs of the four id lists (``related``), and add ``<column>_bad``.
+
+    Unreadable text becomes null and is marked true in the added column; a dictionary's entry that is not a list gives
+    null for that list only.  Rows that a pattern shows to be readable are parsed on a branch without Python, the
+    others on one of their own.
+    """
+    names = [*lists, *related]
+    text = {name: F.col(f"`{name}`") for name in names}
+    readable = reduce(operator.and_, [text[name].isNull() | _readable(text[name], _LIST if name in lists else _DICT) for name in names])
+
+    def replaced(rows: DataFrame, values: dict[str, Column]) -> DataFrame:
+        read = rows.withColumns({f"_value_{k}": values[name] for k, name in enumerate(names)})
+        value = {name: F.col(f"_value_{k}") for k, name in enumerate(names)}
+        marks = [(text[name].isNotNull() & value[name].isNull()).alias(f"{name}_bad") for name in names]
+        return read.select(*[value.get(name, F.col(f"`{name}`")).alias(name) for name in df.columns], *marks)
+
+    def native(name: str) -> Column:
+        return F.when(text[name].isNotNull(), _native_list(text[name]) if name in lists else _native_related(text[name]))
+
+    def literal(name: str) -> Column:
+        if name in lists:
+            return _literal_lists(text[name])
+        read = _literal_related(text[name])
+        return F.when(read.getField("readable"), F.struct(*[read.getField(part).alias(part) for part in RELATED_LISTS]))
+
+    return replaced(df.where(readable), {name: native(name) for name in names}).unionAll(replaced(df.where(~readable), {name: literal(name) for name in names}))
+
+
+def read_nested_list(df: DataFrame, column: str) -> DataFrame:
+    """``read_nested`` of one column of lists of lists."""
+    return read_nested(df, lists=[column])
+
+
+def read_related(df: DataFrame, column: str = "related") -> DataFrame:
+    """``read_nested`` of one column of dictionaries of id lists."""
+    return read_nested(df, related=[column])
 
 
 def related_ids(related: Column) -> Column:

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from storelens.functions import columns as C
-from storelens.operators.joins import BROADCAST_BYTES, lookup_join, measured_bytes, split_join
+from storelens.operators.joins import lookup_join
 from storelens.operators.quantiles import approximate_quantiles, exact_quantiles
 
 
@@ -17,16 +18,20 @@ def rated_prices(reviews: DataFrame, products: DataFrame, key: str = "asin") ->
     return lookup_join(rated, priced, key)
 
 
-def rating_price_correlation(reviews: DataFrame, products: DataFrame, key: str = "asin") -> DataFrame:
+def rating_price_correlation(
+    reviews: DataFrame, products: DataFrame, key: str = "asin", *, rating: str = "overall", price: str = "price", weight: str | None = None
+) -> DataFrame:
     """Pearson correlation of rating and price over all joined pairs, as one row.
 
+    With ``weight`` a row of either table stands for as many rows as that column says.
+
     The pairs are not built.  Within one key every rating meets every price, so
     a key adds what its count, mean and squared distances to its mean say.  The
     keys' means are then compared with the means of all pairs: only distances are squared,
     so nothing cancels for values that are large next to their spread.
     """
-    ratings = _moments(reviews, key, "overall", "x")
-    prices = _moments(products, key, "price", "y")
+    ratings = _moments(reviews, key, rating, "x", weight)
+    prices = _moments(products, key, price, "y", weight)
     # Both sides are grouped by the key: the join moves nothing.
     pairs = ratings.join(prices, key)
     weight = F.col("x_n") * F.col("y_n")
@@ -41,10 +46,21 @@ def rating_price_correlation(reviews: DataFrame, products: DataFrame, key: str =
     return pairs.agg(F.when(varied, corr).alias("corr"))
 
 
-def _moments(df: DataFrame, key: str, column: str, name: str) -> DataFrame:
+def _moments(df: DataFrame, key: str, column: str, name: str, weight: str | None = None) -> DataFrame:
     """Count, mean, squared distances to the mean, least and largest value per key, nulls left out."""
     value = F.col(column).cast("double")
     present = df.where(value.isNotNull() & F.col(key).isNotNull())
+    if weight is not None:
+        # The key's mean first, so that only distances are squared; a key has few different values.
+        times, own = F.col(weight), Window.partitionBy(key)
+        mean = F.sum(times * value).over(own) / F.sum(times).over(own)
+        return present.withColumn("_mean", mean).groupBy(key).agg(
+            F.sum(times).cast("double").alias(f"{name}_n"),
+            F.max("_mean").alias(f"{name}_mean"),
+            F.sum(times * (value - F.col("_mean")) * (value - F.col("_mean"))).alias(f"{name}_squares"),
+            F.min(value).alias(f"{name}_min"),
+            F.max(value).alias(f"{name}_max"),
+        )
     return present.groupBy(key).agg(
         F.count(value).cast("double").alias(f"{name}_n"),
         F.avg(value).alias(f"{name}_mean"),
@@ -63,7 +79,8 @@ def rating_features(products: DataFrame, reviews: DataFrame, key: str = "asin")
     ratings = reviews.groupBy(key).agg(
         F.avg("overall").alias("meanRating"), F.count("overall").alias("countRating")
     )
-    return split_join(products.select(key), ratings, key, "left")
+    # The products' keys do not repeat much, so none is looked for that would need splitting.
+    return products.select(key).join(ratings, key, "left")
 
 
 def category_features(products: DataFrame) -> DataFrame:
@@ -117,8 +134,9 @@ def related_features(
     # Whether there is a list is settled before the join, so that a caller who does
     # not ask for the lists does not move them.
     has_list = C.has_items(F.col(f"related.{attribute}"))
+    # One row per product on either side: no key needs splitting.
     return (
-        split_join(products.select(key, "related", has_list.alias("_has_list")), per_product, key, "left")
+        products.select(key, "related", has_list.alias("_has_list")).join(per_product, key, "left")
         .withColumns(
             {
                 "meanPriceAlsoViewed": F.when(F.col("_has_list"), F.col("meanPriceAlsoViewed")),

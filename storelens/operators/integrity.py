@@ -77,16 +77,21 @@ def _missing(rows: DataFrame, parents: DataFrame, key: str, broadcast_bytes: int
 def dangling_flag(
     rows: DataFrame, parents: DataFrame, key: str, name: str = "dangling", *, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """One row with 1 if any key has no parent, otherwise 0."""
-    first = _missing(rows, parents, key, broadcast_bytes).limit(1)
-    return first.agg(F.count(F.lit(1)).cast("int").alias(name))
+    """One row with 1 if any key has no parent, otherwise 0 (looked up at once, see ``has_dangling``)."""
+    found = has_dangling(rows, parents, key, broadcast_bytes=broadcast_bytes)
+    return rows.sparkSession.range(0, 1, numPartitions=1).select(F.lit(int(found)).alias(name))
 
 
 def has_dangling(
     rows: DataFrame, parents: DataFrame, key: str, *, broadcast_bytes: int = BROADCAST_BYTES
 ) -> bool:
-    """The flag as a Python bool; scans partitions in growing batches until one has a find."""
-    return not _missing(rows, parents, key, broadcast_bytes).isEmpty()
+    """The flag as a Python bool.
+
+    Against few parents the partitions of the rows are scanned in growing batches, one at first, until one has a
+    find, so that a table with dangling keys throughout costs one task.
+    """
+    # Not isEmpty(), which would cut every partition to one row first.
+    return bool(_missing(rows, parents, key, broadcast_bytes).take(1))
 
 
 def listed_keys(df: DataFrame, items: Column, key: str) -> DataFrame:

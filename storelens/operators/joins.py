@@ -13,10 +13,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from storelens.operators.layout import written
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROWS_PER_SPLIT = 2_000_000
 FREQUENT_KEYS = 1_000
 TRACKED_KEYS = 2_000
+SAMPLED = 200
 SKETCH_GROUPS = 256
 
 _SPLIT = "_split"
@@ -80,6 +83,35 @@ def frequent_keys(df: DataFrame, key: str, rows: int = ROWS_PER_SPLIT, limit: in
     return {row["item"]: row["count"] for row in top.select("top.*").where(F.col("count") > rows).collect()}
 
 
+def hot_keys(df: DataFrame, key: str, rows: int = ROWS_PER_SPLIT, limit: int | None = None) -> DataFrame:
+    """A written table of the keys with more than ``rows`` rows and their exact number ``n``; null counts as a key.
+
+    A sample, in which a key of that size is met ``SAMPLED`` times on average, proposes the keys; one aggregate over
+    their rows alone then counts them.  A key that the sample misses is only not split.  There are fewer than
+    ``1 / rows`` times as many keys as rows, and nothing of them passes through the driver.
+    """
+    key_column = F.col(f"`{key}`")
+    rate = min(1.0, SAMPLED / max(rows, 1))
+    keys = df.select(key_column.alias(key))
+    if rate < 1.0:
+        met = keys.sample(rate, seed=0).groupBy(key).agg(F.count(F.lit(1)).alias("_met")).where(F.col("_met") * 2 >= SAMPLED)
+        proposed = written(met.select(key_column.alias("_hot")), "proposed")
+        # Bounded by the sample: each proposed key was met half of SAMPLED times.
+        keys = keys.join(F.broadcast(proposed), key_column.eqNullSafe(F.col("_hot")), "left_semi")
+    counted = keys.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > rows)
+    if limit is not None:
+        counted = counted.orderBy(F.desc("n"), key).limit(limit)
+    return written(counted, "hot_keys")
+
+
+def with_split(rows: DataFrame) -> DataFrame:
+    """Replace the number of splits of every row by its split: its place, in the order of all columns, among its task's rows."""
+    # Maps have no order, their text has.
+    order = [F.col(f"`{f.name}`").cast("string") if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in rows.schema.fields]
+    place = F.pmod(F.monotonically_increasing_id(), F.col(_SPLITS)).cast("int")
+    return rows.sortWithinPartitions(*order).withColumn(_SPLIT, place).drop(_SPLITS)
+
+
 def split_join(
     rows: DataFrame,
     lookup: DataFrame,
@@ -87,44 +119,42 @@ def split_join(
     how: str = "inner",
     *,
     rows_per_split: int = ROWS_PER_SPLIT,
-    max_frequent: int = FREQUENT_KEYS,
+    max_frequent: int | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Shuffle join that deals the rows of each frequent key over several tasks.
+    """Shuffle join that deals the rows of each hot key over several tasks.
 
-    The frequent keys are found first.  Without any this is a plain join.
-    Otherwise each of them gets a number of splits in proportion to its count,
-    and its lookup rows are repeated once per split.  Finding them is approximate
-    and bounded, which only decides the layout: a key that is not split is joined
-    as usual.  Rows with a null key match nothing; many of them are spread as well.
+    The hot keys are counted first.  Without any this is a plain join.  Otherwise each of them, however
+    many there are, gets a number of splits in proportion to its count, and its lookup rows are repeated once per split.  The table of hot
+    keys is joined to both sides by a broadcast of a size that was measured; should it be larger than
+    ``broadcast_bytes``, only keys of twice, four times ... as many rows are split.  All other keys use a plain join.  Rows with
+    a null key match nothing and are not moved where they are many.
 
-    The split of a row follows from its position in its partition.  ``rows``
-    should therefore come from a scan through row-wise steps only, whose order
-    is the same when a lost task is run again.
+    The split of a row is its place among the task's rows in the order of all their columns.  Equal rows can stand for
+    each other, so the splits do not depend on the order in which a task meets its rows, and a lost task that is run
+    again gives the same rows.
     """
-    counts = frequent_keys(rows, key, rows_per_split, max_frequent)
-    if not counts:
-        return rows.join(lookup, key, how)
-
-    splits = {value: -(-count // rows_per_split) for value, count in counts.items()}
-    null_splits = splits.pop(None, 1)
-    position = F.monotonically_increasing_id()
-    split = F.when(F.col(key).isNull(), F.pmod(position, F.lit(null_splits))).otherwise(
-        F.pmod(position, F.coalesce(_SPLITS, F.lit(1)))
-    )
-    dealt = _with_splits(rows, key, splits).withColumn(_SPLIT, split.cast("int")).drop(_SPLITS)
-    every_split = F.sequence(F.lit(0), F.coalesce(_SPLITS, F.lit(1)) - 1)
-    repeated = _with_splits(lookup, key, splits).withColumn(_SPLIT, F.explode(every_split)).drop(_SPLITS)
-    return dealt.join(repeated, [key, _SPLIT], how).drop(_SPLIT)
-
-
-def _with_splits(df: DataFrame, key: str, splits: dict) -> DataFrame:
-    """Add the number of splits to the rows with a frequent key, null to the others."""
-    if not splits:
-        return df.withColumn(_SPLITS, F.lit(None).cast("int"))
-    key_type = df.schema[key].dataType
-    entries = [F.struct(F.lit(value).cast(key_type).alias(key), F.lit(n).alias(_SPLITS)) for value, n in splits.items()]
-    small = df.sparkSession.range(0, 1, numPartitions=1).select(F.inline(F.array(*entries)))
-    return df.join(F.broadcast(small), key, "left")
+    plain = rows.join(lookup, key, how)
+    hot = hot_keys(rows, key, rows_per_split, max_frequent)
+    if hot.isEmpty():
+        return plain
+    least = rows_per_split
+    while measured_bytes(hot.where(F.col("n") > least)) > broadcast_bytes:
+        least *= 2
+    kept = hot.where(F.col("n") > least)
+    splits = F.broadcast(kept.where(F.col(key).isNotNull()).select(key, F.ceil(F.col("n") / rows_per_split).cast("int").alias(_SPLITS)))
+    many_nulls = not kept.where(F.col(key).isNull()).isEmpty()
+
+    marked = (rows.where(F.col(key).isNotNull()) if many_nulls else rows).join(splits, key, "left").select(*rows.columns, _SPLITS)
+    cold = marked.where(F.col(_SPLITS).isNull()).drop(_SPLITS).join(lookup, key, how).select(plain.columns)
+    dealt = with_split(marked.where(F.col(_SPLITS).isNotNull()))
+    repeated = lookup.join(splits, key).withColumn(_SPLIT, F.explode(F.sequence(F.lit(0), F.col(_SPLITS) - 1))).drop(_SPLITS)
+    joined = cold.unionAll(dealt.join(repeated, [key, _SPLIT], how).select(plain.columns))
+    if many_nulls and how in ("left", "left_anti"):
+        alone = rows.where(F.col(key).isNull())
+        missing = [F.lit(None).cast(f.dataType).alias(f.name) for f in plain.schema.fields if f.name not in rows.columns]
+        joined = joined.unionAll(alone.select(*[F.col(f"`{name}`") for name in rows.columns], *missing).select(plain.columns))
+    return joined
 
 
 def unique_keys(df: DataFrame, key: str) -> DataFrame:

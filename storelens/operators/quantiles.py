@@ -6,6 +6,9 @@ rank; counting the rows below and at each cut is exact and tells which narrow
 range holds the rank.  The range shrinks by orders of magnitude per round until
 few enough values are left to be sorted in one task.  Each round is two
 aggregates with a few numbers as their result.
+
+That is for floating numbers; whole numbers, decimals and dates never pass through a double but are settled
+digit by digit (see ``radix``).
 """
 
 from __future__ import annotations
@@ -19,9 +22,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
+
+from storelens.operators.radix import has_radix_key, radix_quantiles
 
 SORTED_IN_ONE_TASK = 500_000
 SKETCH_ACCURACY = 10_000
+CUTS_EACH = 200
 
 _V = "_v"
 
@@ -49,12 +56,15 @@ def exact_quantiles(
     discrete: bool = False,
     sorted_in_one_task: int = SORTED_IN_ONE_TASK,
     accuracy: int = SKETCH_ACCURACY,
-) -> list[float | None]:
+) -> list:
     """Quantiles of the non-null values (runs a few jobs).
 
     Between two values the result is interpolated, or with ``discrete`` it is the
-    lower of them that covers the probability.  An empty column gives nulls.
+    lower of them that covers the probability.  An empty column gives nulls.  Whole numbers and
+    decimals give exact decimals, with ``discrete`` their own type.
     """
+    if has_radix_key(df.schema[column].dataType):
+        return radix_quantiles(df, column, probabilities, discrete=discrete)
     values = df.select(F.col(column).cast("double").alias(_V)).where(F.col(_V).isNotNull())
     size, cuts = _sketch(values, probabilities, accuracy)
     if not size:
@@ -85,6 +95,57 @@ def exact_quantiles(
     return quantiles
 
 
+def weighted_quantiles(
+    df: DataFrame,
+    column: str,
+    weight: str,
+    probabilities: Sequence[float],
+    *,
+    discrete: bool = False,
+    sorted_in_one_task: int = SORTED_IN_ONE_TASK,
+    cuts_each: int = CUTS_EACH,
+) -> list:
+    """``exact_quantiles`` of values that come with their numbers of occurrences.
+
+    Equal values are merged first.  Cuts at every ``1 / cuts_each`` of the different values, from a sketch,
+    part them into ranges; the summed weights tell which range holds a rank, and only a range of few
+    values is put in order, with running sums, in one task.
+    """
+    if has_radix_key(df.schema[column].dataType):
+        return radix_quantiles(df, column, probabilities, discrete=discrete, weight=weight)
+    values = df.select(F.col(column).cast("double").alias(_V), F.col(weight).cast("long").alias("_w")).where(F.col(_V).isNotNull() & (F.col("_w") > 0))
+    values = values.groupBy(_V).agg(F.sum("_w").alias("_w"))
+    row = values.agg(F.sum("_w").alias("size"), F.count(F.lit(1)).alias("entries")).first()
+    if not row["size"]:
+        return [None] * len(probabilities)
+    size = row["size"]
+    places = [_place(p, size, discrete) for p in probabilities]
+    found: dict[int, float] = {}
+    # Ranges above their low and up to their high value: weight below, different values, ranks wanted.
+    ranks = sorted({rank for low, _ in places for rank in (low, min(low + 1, size - 1))})
+    ranges = [(None, None, 0, row["entries"], ranks)]
+    while ranges:
+        low, high, below, entries, wanted = ranges.pop()
+        inside = values.where((F.lit(True) if low is None else F.col(_V) > low) & (F.lit(True) if high is None else F.col(_V) <= high))
+        if entries <= sorted_in_one_task:
+            upto = F.sum("_w").over(Window.orderBy(_V)) + below
+            asked = F.array(*[F.lit(rank).cast("long") for rank in wanted])
+            hits = inside.withColumn("_upto", upto).where(F.exists(asked, lambda rank: (rank < F.col("_upto")) & (rank >= F.col("_upto") - F.col("_w"))))
+            for hit in hits.collect():
+                found.update({rank: hit[_V] for rank in wanted if hit["_upto"] - hit["_w"] <= rank < hit["_upto"]})
+            continue
+        grid = [k / cuts_each for k in range(1, cuts_each)]
+        cuts = sorted(set(inside.agg(F.percentile_approx(_V, grid, SKETCH_ACCURACY).alias("cuts")).first()["cuts"]))
+        passed = F.size(F.filter(F.array(*[F.lit(cut) for cut in cuts]), lambda cut: cut < F.col(_V)))
+        for part in inside.groupBy(passed.alias("k")).agg(F.sum("_w").alias("w"), F.count(F.lit(1)).alias("n")).orderBy("k").collect():
+            mine = [rank for rank in wanted if below <= rank < below + part["w"]]
+            if mine:
+                bounds = (cuts[part["k"] - 1] if part["k"] else low, cuts[part["k"]] if part["k"] < len(cuts) else high)
+                ranges.append((*bounds, below, part["n"], mine))
+            below += part["w"]
+    return [found[low] + ((found[low + 1] - found[low]) * share if share else 0) for low, share in places]
+
+
 def approximate_quantiles(
     df: DataFrame, column: str, probabilities: Sequence[float], relative_error: float = 0.01
 ) -> list[float | None]:

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import math
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
-from multiprocessing.pool import ThreadPool
 
-from pyspark import StorageLevel, inheritable_thread_target
+from pyspark import StorageLevel
 from pyspark.ml.regression import DecisionTreeRegressionModel, DecisionTreeRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -69,6 +70,54 @@ def best_candidate(metrics: DataFrame, metric: str, *order: str) -> DataFrame:
     return metrics.where(F.col(metric).isNotNull()).orderBy(metric, *order).limit(1)
 
 
+def leaf_paths(model: DecisionTreeRegressionModel) -> list[str]:
+    """For each leaf, in the model's order, the steps from the root: L or R."""
+    paths: list[str] = []
+    steps: list[str] = []
+    for line in model.toDebugString.splitlines()[1:]:
+        found = re.match(r"( *)(If|Else|Predict)\b", line)
+        if not found:
+            continue
+        if found[2] == "Predict":
+            paths.append("".join(steps[: len(found[1]) - 2]))
+        else:
+            del steps[len(found[1]) - 2 :]
+            steps.append("L" if found[2] == "If" else "R")
+    return paths
+
+
+def prefix_errors(
+    model: DecisionTreeRegressionModel, train: DataFrame, valid: DataFrame, depths: Sequence[int], label: str = "overall"
+) -> dict[int, float | None]:
+    """Error on ``valid`` of the tree cut back to each depth (one aggregate over each part).
+
+    Only sums by leaf are gathered, at most one row per leaf: a node of the cut tree predicts the mean label of the
+    training rows below it.  Labels are taken as distances from the training mean, so that large ones do not cancel.
+    """
+    paths = leaf_paths(model)
+    y = F.col(label).cast("double") - F.lit(train.agg(F.avg(label)).first()[0])
+
+    def by_leaf(rows: DataFrame) -> dict[int, tuple[int, float, float]]:
+        placed = model.copy({model.leafCol: "_leaf"}).transform(rows).groupBy("_leaf")
+        sums = placed.agg(F.count(y).alias("n"), F.sum(y).alias("s"), F.sum(y * y).alias("q"))
+        return {int(row["_leaf"]): (row["n"], row["s"], row["q"]) for row in sums.collect() if row["n"]}
+
+    learned, held_out = by_leaf(train), by_leaf(valid)
+    total = sum(n for n, _, _ in held_out.values())
+    errors: dict[int, float | None] = {}
+    for depth in depths:
+        nodes: dict[str, list[float]] = {}
+        for leaf, (n, s, _) in learned.items():
+            node = nodes.setdefault(paths[leaf][:depth], [0.0, 0.0])
+            node[0], node[1] = node[0] + n, node[1] + s
+        lost = 0.0
+        for leaf, (n, s, q) in held_out.items():
+            guess = nodes[paths[leaf][:depth]][1] / nodes[paths[leaf][:depth]][0]
+            lost += q - 2 * guess * s + n * guess * guess
+        errors[depth] = math.sqrt(max(lost, 0.0) / total) if total else None
+    return errors
+
+
 def tune_depth(
     train: DataFrame,
     *split_keys: str,
@@ -81,31 +130,16 @@ def tune_depth(
     """Choose the depth by hold-out error and refit it on all training rows.
 
     The rows are split by key hash (with ``seed``, which must differ from that of
-    an earlier split by the same keys), the trees are fitted on the larger part
-    (``parallelism`` at a time, each holding its own copy of its input), and one
-    pass over the smaller part scores all of them.
+    an earlier split by the same keys).  Trees are grown greedily, so that the one of a
+    smaller depth is the deepest one cut back: that one alone is fitted on the larger part, and one
+    pass over each part scores all depths.  ``parallelism`` is of no use any more, as there is one fit.
     """
     keys = split_keys or (features, label)
     held = train.select(*dict.fromkeys([*keys, features, label])).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         fit_part, valid_part = split_by_key(held, *keys, seed=seed)
-
-        def fit(depth: int) -> DecisionTreeRegressionModel:
-            return _tree(depth, label, features, seed).fit(fit_part)
-
-        if parallelism > 1:
-            with ThreadPool(parallelism) as pool:
-                models = pool.map(inheritable_thread_target(train.sparkSession)(fit), depths)
-        else:
-            models = [fit(depth) for depth in depths]
-
-        scored = valid_part
-        for model in models:
-            scored = model.transform(scored)
-        row = scored.agg(
-            *[root_mean_square(F.col(label) - F.col(f"depth_{depth}")).alias(str(depth)) for depth in depths]
-        ).first()
-        valid_rmse = {depth: row[str(depth)] for depth in depths}
+        deepest = _tree(max(depths), label, features, seed).fit(fit_part)
+        valid_rmse = prefix_errors(deepest, fit_part, valid_part, depths, label)
         if None in valid_rmse.values():
             raise ValueError("the validation part is empty")
         # min keeps the first of equal values.

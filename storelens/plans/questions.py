@@ -5,14 +5,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storelens.functions.columns import first_of_first
-from storelens.functions.nested import read_nested_list, read_related, related_ids
+from storelens.functions.nested import read_nested, read_nested_list, read_related, related_ids
 from storelens.operators.features import rating_price_correlation
 from storelens.operators.integrity import dangling_flag, dangling_keys, listed_keys
-from storelens.operators.profile import column_statistics, null_percents, value_counts, value_counts_map
+from storelens.operators.profile import column_statistics, counts_map, null_percents, value_counts, weighted_statistics
+from storelens.plans.facts import items_of, null_percents_of, numbers_of, written_facts
 
 DIGITS = 2
 
@@ -72,34 +73,60 @@ def dangling_related(products: DataFrame, key: str = "asin") -> DataFrame:
     return dangling_keys(related_references(products, key), products, key)
 
 
+def answers(reviews: DataFrame, products: DataFrame, key: str = "asin") -> dict[str, DataFrame]:
+    """All seven answers as frames, from one scan of each table (runs these scans and a few jobs on the counts).
+
+    The fifth has a row per category, the others one row.
+    """
+    lists = read_nested(products, lists=["categories"], related=["related"])
+    named = products.columns
+    # Nulls are those of the columns as they came, before the text is read.
+    typed = lists.select(
+        *[mark.alias(name) for name, mark in _null_marks(named).items()],
+        F.array(first_of_first(F.col("categories"))).alias("_top"),
+        related_ids(F.col("related")).alias("_ids"),
+    )
+    rated = written_facts(reviews, key, "overall", {}, reviews.columns)
+    sold = written_facts(typed, key, "price", {"category": F.col("_top"), "mention": F.col("_ids")}, named)
+    ratings, prices = numbers_of(rated, key, "overall"), numbers_of(sold, key, "price")
+    return {
+        "q1": rounded(null_percents_of(rated, reviews.columns)),
+        "q2": rounded(null_percents_of(sold, named)),
+        "q3": rounded(rating_price_correlation(ratings, prices, key, weight="n")),
+        "q4": rounded(weighted_statistics(prices, "price", "n")),
+        "q5": items_of(sold, "category", "supercat"),
+        "q6": dangling_flag(ratings, prices, key),
+        "q7": dangling_flag(items_of(sold, "mention", key), prices, key),
+    }
+
+
+def _null_marks(named: list[str]) -> dict[str, Column]:
+    """The products' columns, the two nested ones as marks that are null where the text is."""
+    marks = {name: F.col(f"`{name}`") for name in named}
+    for name in ("categories", "related"):
+        # Unreadable text is marked, not missing.
+        marks[name] = F.when(F.col(name).isNotNull() | F.col(f"{name}_bad"), F.lit(1))
+    return marks
+
+
 def report(reviews: DataFrame, products: DataFrame) -> DataFrame:
     """All seven answers as one row with columns ``q1`` to ``q7``.
 
-    Every answer is a one-row frame; they are put side by side as scalar
-    subqueries of one plan.
+    Structs of named numbers, a map for the counts, plain values for the rest, put side by side as scalar
+    subqueries of one plan on the counted facts.
     """
-    # Structs of named numbers, a map for the counts, plain values for the rest.
-    answers = {
-        "q1": _packed(question_1(reviews)),
-        "q2": _packed(question_2(products)),
-        "q3": question_3(reviews, products),
-        "q4": _packed(question_4(products)),
-        "q5": value_counts_map(super_categories(products), "supercat"),
-        "q6": question_6(reviews, products),
-        "q7": question_7(products),
-    }
+    found = answers(reviews, products)
+    packed = {name: _packed(found[name]) for name in ("q1", "q2", "q4")}
+    packed["q5"] = counts_map(found["q5"], "supercat")
     one_row = reviews.sparkSession.range(0, 1, numPartitions=1)
-    return one_row.select(*[answer.scalar().alias(name) for name, answer in answers.items()])
+    return one_row.select(*[packed.get(name, answer).scalar().alias(name) for name, answer in found.items()])
 
 
 def report_rows(reviews: DataFrame, products: DataFrame) -> DataFrame:
     """The seven answers as rows of question, name and value, category counts of any number included."""
-    named = {
-        "q1": question_1(reviews), "q2": question_2(products), "q3": question_3(reviews, products),
-        "q4": question_4(products), "q6": question_6(reviews, products), "q7": question_7(products),
-    }
-    rows = question_5(products).select(F.lit("q5").alias("question"), F.col("supercat").alias("name"), F.col("n").cast("double").alias("value"))
-    for question, answer in named.items():
+    found = answers(reviews, products)
+    rows = found.pop("q5").select(F.lit("q5").alias("question"), F.col("supercat").alias("name"), F.col("n").cast("double").alias("value"))
+    for question, answer in found.items():
         values = answer.select(*[F.col(f"`{name}`").cast("double").alias(name) for name in answer.columns])
         long = values.unpivot([], [F.col(f"`{name}`") for name in values.columns], "name", "value")
         rows = rows.unionByName(long.withColumn("question", F.lit(question)))

@@ -15,11 +15,12 @@ from pyspark.sql import functions as F
 
 from storelens.functions.nested import read_nested_list, read_related, related_ids
 from storelens.functions.text import tokens
-from storelens.operators import encode, features, integrity, profile, quantiles, trees, vectors
+from storelens.operators import cooccurrence, encode, features, integrity, level_trees, profile, quantiles, sketches, trees, vectors
+from storelens.operators.category_pca import category_means, fit_components
 from storelens.operators.joins import lookup_join
-from storelens.operators.layout import spread
+from storelens.operators.layout import spread, written
 from storelens.plans import questions, tasks
-from storelens.sources.csv_tables import missing_to_null
+from storelens.sources.csv_tables import development_slice, missing_to_null
 from storelens.sources.shop_views import nested_products, product_texts, products, reviews, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -108,6 +109,49 @@ def price_quantile_disc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def order_key_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles of the order keys moved by 2**60, where doubles are 256 apart; the median as text with its places."""
+    moved = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey").cast("long") + F.lit(2**60)).alias("k"))
+    found = quantiles.exact_quantiles(moved, "k", QUANTILES, discrete=True)
+    (median,) = quantiles.exact_quantiles(moved, "k", [0.5])
+    return moved.agg(
+        F.count("k").alias("n"),
+        *[F.lit(value).cast("long").alias(f"p{round(p * 100)}") for p, value in zip(QUANTILES, found, strict=True)],
+        F.lit(median).cast("decimal(38,6)").cast("string").alias("median"),
+    )
+
+
+@query
+def wide_decimal_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles of prices of both signs with 30 places, as text."""
+    price = F.col("l_extendedprice").cast("decimal(12,2)")
+    signed = F.when(F.col("l_orderkey") % 2 == 0, price).otherwise(-price) * F.lit("100000000000000000.01").cast("decimal(20,2)")
+    wide = table(spark, sf_dir, "lineitem").select(signed.cast("decimal(38,4)").alias("v"))
+    found = quantiles.exact_quantiles(wide, "v", QUANTILES, discrete=True)
+    return wide.agg(F.count("v").alias("n"), *[F.lit(str(v)).alias(f"p{round(p * 100)}") for p, v in zip(QUANTILES, found, strict=True)])
+
+
+@query
+def approximate_quantile_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Approximate quantiles of the line prices: whether the counted rank error keeps the bound."""
+    found = sketches.audited_quantiles(table(spark, sf_dir, "lineitem"), "l_extendedprice", QUANTILES, 0.01)
+    return found.select("probability", "n", (F.col("rank_error") <= 0.01).alias("within"))
+
+
+@query
+def merged_sketch_ranks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sketches of the prices by return flag and mode, merged to those of the flags: counted rank errors of the merged ones."""
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_linenumber", F.col("l_extendedprice").cast("double").alias("price"))
+    parts = written(sketches.quantile_sketches(lines, "price", "l_returnflag", "l_linenumber"), "sketches")
+    merged = sketches.sketch_quantiles(sketches.merged_sketches(parts, "l_returnflag"), (0.5,)).select("l_returnflag", F.get("quantiles", F.lit(0)).alias("median"))
+    placed = lookup_join(lines, merged, "l_returnflag").groupBy("l_returnflag").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("price") < F.col("median")).alias("below"), F.count_if(F.col("price") <= F.col("median")).alias("upto")
+    )
+    off = F.greatest(F.col("below") - F.col("n") / 2, F.col("n") / 2 - F.col("upto"), F.lit(0))
+    return placed.select("l_returnflag", "n", (off <= F.col("n") * 0.03).alias("within"))
+
+
 @query
 def line_price_describe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return six_digits(profile.describe_column(table(spark, sf_dir, "lineitem"), "l_extendedprice"))
@@ -141,6 +185,16 @@ def profile_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def profile_report_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report as it is written out, one row, its category counts taken out of their map."""
+    report = questions.report(reviews(spark, sf_dir), product_texts(spark, sf_dir).select("asin", "price", "categories", "related"))
+    return report.select(
+        F.col("q1.overall").alias("null_overall"), F.col("q2.price").alias("null_price"), F.col("q3").alias("corr"), F.col("q4.median").alias("median"),
+        F.col("q6").cast("long").alias("dangling"), F.col("q7").cast("long").alias("dangling_related"), F.explode("q5").alias("supercat", "n"),
+    )
+
+
 @query
 def inner_join_rated_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     return features.rated_prices(reviews(spark, sf_dir), products(spark, sf_dir))
@@ -164,6 +218,12 @@ def shifted_price_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return six_digits(features.rating_price_correlation(rated, priced))
 
 
+@query
+def development_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The development slice of the reviews: a tenth of the products with all their reviews."""
+    return development_slice(reviews(spark, sf_dir), "asin", 10)
+
+
 @query
 def review_match_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return integrity.match_marks(reviews(spark, sf_dir), products(spark, sf_dir), "asin")
@@ -335,6 +395,25 @@ def word2vec_synonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return six_digits(vectors.synonyms(model, asked, TOP_K))
 
 
+@query
+def title_information(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of the titles that stand near each other, with their number and their information."""
+    titles = products(spark, sf_dir).select(tokens(F.col("title")).alias("words"))
+    return six_digits(cooccurrence.shifted_information(cooccurrence.word_pairs(titles, "words", 3), least=2))
+
+
+@query
+def title_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words with the most similar vectors to the five most frequent words of the titles, from counts alone."""
+    titles = products(spark, sf_dir).select(tokens(F.col("title")).alias("words"))
+    information = cooccurrence.shifted_information(cooccurrence.word_pairs(titles, "words", 3))
+    found = written(cooccurrence.factor_vectors(information), "vectors")
+    counts = titles.select(F.explode("words").alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    asked = [row["word"] for row in counts.join(found, "word", "left_semi").orderBy(F.desc("n"), "word").limit(5).collect()]
+    searched = vectors.vectors_of(found, "word", "vector", asked)
+    return six_digits(vectors.nearest(found, "word", "vector", searched, TOP_K).select("query", "rank", "word", "similarity"))
+
+
 @query
 def brand_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
@@ -350,17 +429,47 @@ def brand_one_hot_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def brand_pca_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean of the brands' principal components, each turned so that its mean is not negative."""
     part = table(spark, sf_dir, "part").select("p_brand")
-    means = encode.mean_vectors(part, encode.fit_category_encoding(part, "p_brand"))
+    means = category_means(part, "p_brand", k=encode.COMPONENTS)
     return six_digits(means.select(F.posexplode("meanVector_p_brandPCA").alias("component", "mean")))
 
 
+@query
+def type_pca_loadings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loadings of every part type and size in the first components, with the component's share of all rows' variance."""
+    part = table(spark, sf_dir, "part").select(F.concat_ws(" ", "p_type", "p_size").alias("kind"))
+    fitted = fit_components(part, "kind", 5)
+    entries = fitted.loadings().select("kind", F.posexplode("loadings").alias("component", "loading"))
+    eigenvalues = F.array(*[F.lit(value) for value in fitted.eigenvalues()])
+    # Contrasts among kinds with equal counts may be turned within their space; how much of a kind lies in it may not.
+    squares = entries.withColumn("eigenvalue", F.round(F.get(eigenvalues, F.col("component")), 9)).groupBy("kind", "eigenvalue")
+    return six_digits(squares.agg(F.sum(F.col("loading") * F.col("loading")).alias("square")).where("square > 0.0000005"))
+
+
+@query
+def category_means_task(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Task 6 on the products that have a category: mean one-hot vector and mean components."""
+    sold = products(spark, sf_dir).where("category <> ''")
+    means = tasks.task_6(sold, k=3, invalid="skip")
+    parts = [means.select(F.lit(kind).alias("vector"), F.posexplode(f"meanVector_category{kind}").alias("place", "mean")) for kind in ("OneHot", "PCA")]
+    return six_digits(parts[0].unionAll(parts[1]))
+
+
 # Models
 
 
 @query
 def rmse_group_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Error of predicting a line's price by the mean of its return flag."""
+    """Error of predicting a line's price by the mean of its return flag: every line is predicted and compared."""
+    lines = table(spark, sf_dir, "lineitem").select("l_returnflag", F.col("l_extendedprice").cast("double").alias("overall"))
+    means = lines.groupBy("l_returnflag").agg(F.avg("overall").alias("prediction"))
+    return six_digits(trees.rmse(lookup_join(lines, means, "l_returnflag")))
+
+
+@query
+def rmse_group_variance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same error from the variances within the flags, without predictions."""
     lines = table(spark, sf_dir, "lineitem").select("l_returnflag", "l_extendedprice")
     price = F.col("l_extendedprice").cast("double")
     flags = lines.groupBy("l_returnflag").agg(F.count(price).alias("n"), F.var_pop(price).alias("variance"))
@@ -399,6 +508,33 @@ def tree_lines(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return trees.split_by_key(assembled.select(*keys, "features", "overall"), *keys)
 
 
+def level_tree(spark: SparkSession, sf_dir: str, depth: int) -> tuple[level_trees.LevelTree, DataFrame]:
+    """A tree on three quarters of the lines, by order key, and the other lines."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", *TREE_FEATURES, F.col("l_extendedprice").alias("overall"))
+    held_out = F.pmod(F.col("l_orderkey"), F.lit(4)) == 3
+    return level_trees.fit_level_tree(lines.where(~held_out), "overall", TREE_FEATURES, depth=depth), lines.where(held_out)
+
+
+@query
+def level_tree_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Error on held-out lines of a tree of depth 2 and of the same tree cut back, from one pass."""
+    tree, test = level_tree(spark, sf_dir, 2)
+    return six_digits(level_trees.depth_errors(tree, test, "overall", (0, 1, 2)))
+
+
+@query
+def level_tree_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Feature, cut and prediction of the inner nodes, with the training lines that reach them."""
+    tree, _ = level_tree(spark, sf_dir, 2)
+    lines = table(spark, sf_dir, "lineitem").where(F.pmod(F.col("l_orderkey"), F.lit(4)) != 3).select(tree.bins().alias("bins"))
+    # A line passes the nodes of every depth on its way.
+    passed = lines.select(F.explode(F.array_distinct(F.array(*[tree.node(F.col("bins"), d) for d in range(2)]))).alias("node"))
+    counts = passed.groupBy("node").agg(F.count(F.lit(1)).alias("n"))
+    rows = F.array(*[F.struct(F.lit(i).alias("node"), F.lit(f).alias("feature"), F.lit(c).alias("cut"), F.lit(p).alias("prediction")) for i, f, c, p in tree.nodes()])
+    named = spark.range(0, 1, numPartitions=1).select(F.inline(rows))
+    return six_digits(counts.join(F.broadcast(named), "node"))
+
+
 @query
 def tree_rmse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return six_digits(tasks.task_7(*tree_lines(spark, sf_dir)))

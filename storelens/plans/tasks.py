@@ -7,12 +7,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storelens.functions.stats import null_count
 from storelens.functions.text import tokens
 from storelens.operators import encode, features, trees, vectors
+from storelens.operators.category_pca import category_means
+from storelens.operators.layout import written
 
 
 def _mean_variance_nulls(column: str) -> list:
@@ -34,15 +36,32 @@ def task_1(reviews: DataFrame, products: DataFrame) -> DataFrame:
 
 def task_2(products: DataFrame) -> DataFrame:
     """Category and best sales rank."""
-    typed = features.category_features(products)
-    return typed.agg(
-        F.count(F.lit(1)).alias("count_total"),
-        F.avg("bestSalesRank").alias("mean_bestSalesRank"),
-        F.var_samp("bestSalesRank").alias("variance_bestSalesRank"),
-        null_count(F.col("category")).alias("numNulls_category"),
-        F.count_distinct("category").alias("countDistinct_category"),
-        null_count(F.col("bestSalesCategory")).alias("numNulls_bestSalesCategory"),
-        F.count_distinct("bestSalesCategory").alias("countDistinct_bestSalesCategory"),
+    rank = F.col("bestSalesRank").cast("double")
+    # Counted once per pair of categories, which are few; two distinct counts over the rows would expand each row.
+    pairs = written(
+        features.category_features(products).groupBy("category", "bestSalesCategory").agg(
+            F.count(F.lit(1)).alias("rows"), F.count(rank).alias("n"), F.avg(rank).alias("mean"), (F.var_pop(rank) * F.count(rank)).alias("squares")
+        ),
+        "categories",
+    )
+    n, rows = F.col("n"), F.col("rows")
+    mean = pairs.agg(F.try_divide(F.sum(n * F.col("mean")), F.sum(n)).alias("mean")).scalar()
+    away = F.col("mean") - mean
+
+    def different(column: str) -> Column:
+        return pairs.where(F.col(column).isNotNull()).select(column).distinct().agg(F.count(F.lit(1))).scalar()
+
+    def nulls(column: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col(column).isNull(), rows)), F.lit(0).cast("long"))
+
+    return pairs.agg(
+        F.coalesce(F.sum(rows), F.lit(0).cast("long")).alias("count_total"),
+        F.try_divide(F.sum(n * F.col("mean")), F.sum(n)).alias("mean_bestSalesRank"),
+        (F.sum(F.col("squares") + n * away * away) / F.nullif(F.sum(n) - 1, F.lit(0))).alias("variance_bestSalesRank"),
+        nulls("category").alias("numNulls_category"),
+        different("category").alias("countDistinct_category"),
+        nulls("bestSalesCategory").alias("numNulls_bestSalesCategory"),
+        different("bestSalesCategory").alias("countDistinct_bestSalesCategory"),
     )
 
 
@@ -94,8 +113,7 @@ def task_5(
 
 def task_6(products: DataFrame, *, k: int = encode.COMPONENTS, invalid: str = "error") -> DataFrame:
     """Mean one-hot vector and mean principal components of the category."""
-    encoding = encode.fit_category_encoding(products, "category", k=k, invalid=invalid)
-    return encode.mean_vectors(products, encoding)
+    return category_means(products, "category", k=k, invalid=invalid)
 
 
 def task_7(train: DataFrame, test: DataFrame) -> DataFrame:

@@ -24,3 +24,12 @@ def local_session(cores: int | str = "*", memory: str = "12g", app: str = "store
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .getOrCreate()
     )
+
+
+def session_with(spark: SparkSession, settings: dict[str, str]) -> SparkSession:
+    """A session on the same cluster with the settings of the given one and some of its own."""
+    other = spark.newSession()
+    for name, value in (spark.conf.getAll | settings).items():
+        if other.conf.isModifiable(name):
+            other.conf.set(name, value)
+    return other

@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from storelens.session import session_with
+from storelens.sources.csv_records import csv_records
+
 # Text that counts as a missing value, compared without trimming.
 NA_TOKENS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
@@ -69,15 +72,18 @@ def read_csv(
     ``infer`` become whole or floating numbers where every value present is one (one
     more pass).  Columns named in ``schema`` may be missing, those in ``required`` not.  Text columns keep
     leading zeros, a number that cannot be read is null.  With ``multiline`` quoted values may span
-    lines, but then a file is read by one task: convert such files once with
-    ``csv_to_parquet`` and work on the result.  ``split_bytes`` sets the target
+    lines; such files are scanned twice, but in splits like others (see ``csv_records``; lines end with a line feed,
+    with or without a carriage return before it).  ``split_bytes`` sets the target
     size of a task's share for this read, in a session of its own.
     """
     if split_bytes is not None:
-        spark = spark.newSession()
-        spark.conf.set("spark.sql.files.maxPartitionBytes", str(split_bytes))
+        spark = session_with(spark, {"spark.sql.files.maxPartitionBytes": str(split_bytes)})
     # Without inference every column is text; only the header is looked at.
     raw = spark.read.csv(path, header=True, inferSchema=False, quote='"', escape='"', multiLine=multiline)
+    if multiline:
+        text = T.StructType([T.StructField(name, T.StringType()) for name in raw.columns])
+        parsed = F.from_csv("record", text.toDDL(), {"quote": '"', "escape": '"'})
+        raw = csv_records(spark, path).select(parsed.alias("row")).select("row.*")
     missing = [name for name in required if name not in raw.columns]
     if missing:
         raise ValueError(f"{path} has no column {missing[0]}; it has {', '.join(raw.columns)}")
@@ -121,18 +127,20 @@ def csv_to_parquet(
 ) -> DataFrame:
     """Write a CSV table as Parquet once and return the Parquet table.
 
-    A file that can be split keeps the splits it was read in.  With
-    ``multiline`` one task reads a file, so its rows are dealt over as many files as its size asks for.
+    The table keeps the splits it was read in; for files whose quoted values span lines ``file_bytes`` sets them
+    where ``split_bytes`` does not.
     """
+    if multiline and split_bytes is None:
+        split_bytes = file_bytes
     table = read_csv(spark, source, schema, required=required, infer=infer, multiline=multiline, split_bytes=split_bytes)
-    if multiline:
-        folder = spark._jvm.org.apache.hadoop.fs.Path(source)
-        size = folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
-        table = table.repartition(max(1, -(-size // file_bytes)))
     table.write.mode("overwrite").parquet(target)
     return spark.read.parquet(target)
 
 
 def development_slice(df: DataFrame, key: str, percent: int) -> DataFrame:
-    """A fixed part of the keys with all their rows, for trying out a query."""
-    return df.where(F.pmod(F.xxhash64(key), F.lit(100)) < percent)
+    """A fixed part of the keys with all their rows, for trying out a query.
+
+    The part follows from the MD5 of the key's text, so any engine cuts the same slice.  Rows without a key are left out.
+    """
+    place = F.conv(F.substring(F.md5(F.col(key).cast("string").cast("binary")), 1, 8), 16, 10).cast("long") % 100
+    return df.where(place < percent)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from storelens.functions.nested import read_nested_list, read_related
+from storelens.functions.nested import read_nested
 
 PRODUCTS = """
 select cast(p_partkey as string) as asin,
@@ -67,4 +67,4 @@ def nested_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = product_texts(spark, sf_dir)
     ranks = F.from_json("salesrank", "map<string,int>", {"allowSingleQuotes": "true"})
     typed = texts.withColumn("_ranks", ranks).drop("salesrank").withColumnRenamed("_ranks", "salesRank")
-    return read_related(read_nested_list(typed, "categories"), "related")
+    return read_nested(typed, lists=["categories"], related=["related"])

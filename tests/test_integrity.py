@@ -75,3 +75,21 @@ def test_flags_agree_with_sets(spark, left, right):
     marks = integrity.match_marks(a, b, "asin").collect()
     assert len(marks) == len(left)
     assert all(row["matched"] == (row["asin"] is not None and row["asin"] in right) for row in marks)
+
+
+def test_a_find_ends_the_scan(spark):
+    """Every row is dangling: the first of 64 partitions is enough."""
+    children = spark.range(0, 64_000, numPartitions=64).selectExpr("cast(id as string) as asin")
+    parents = spark.createDataFrame([("none",)], "asin string")
+
+    def tasks(found):
+        context = spark.sparkContext
+        context.setJobGroup(found, found)
+        flag = integrity.dangling_flag(children, parents, "asin").first()[0]
+        context.setJobGroup("other", "other")
+        tracker = context.statusTracker()
+        stages = [s for j in tracker.getJobIdsForGroup(found) for s in tracker.getJobInfo(j).stageIds]
+        return flag, sum(info.numCompletedTasks for s in stages if (info := tracker.getStageInfo(s)))
+
+    flag, started = tasks("some")
+    assert flag == 1 and started < 30

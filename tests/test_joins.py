@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from storelens.operators.joins import (
     assert_unique_key,
     frequent_keys,
+    hot_keys,
     lookup_join,
     measured_bytes,
     repeated_keys,
     split_join,
+    with_split,
 )
 
 
@@ -113,3 +115,29 @@ def test_unique_key_check(spark):
     assert [tuple(row) for row in repeated_keys(doubled, "k").collect()] == [("a", 2)]
     with pytest.raises(ValueError, match="'a' occurs 2 times"):
         assert_unique_key(doubled, "k")
+
+
+def test_five_thousand_hot_keys_are_split(spark):
+    left = spark.range(0, 60_000, numPartitions=5).selectExpr("id % 5000 as k", "id")
+    right = spark.range(0, 5_500).selectExpr("id as k", "id * 2 as w")
+    hot = hot_keys(left, "k", 10)
+    assert hot.count() == 5_000 and {row["n"] for row in hot.collect()} == {12}
+    for how in ("inner", "left", "left_anti"):
+        assert counted(split_join(left, right, "k", how, rows_per_split=10)) == counted(left.join(right, "k", how))
+    # Where the table of hot keys would be too large to send, only the larger ones are split.
+    assert counted(split_join(left, right, "k", rows_per_split=3, broadcast_bytes=1_000)) == counted(left.join(right, "k"))
+
+
+def test_sampled_hot_keys_are_counted_exactly(spark):
+    left = spark.range(0, 100_000, numPartitions=5).selectExpr("if(id % 3 = 0, null, if(id % 3 = 1, 7, id)) as k")
+    assert {row["k"]: row["n"] for row in hot_keys(left, "k", 2_000).collect()} == {None: 33_334, 7: 33_333}
+
+
+def test_splits_do_not_depend_on_the_order_of_the_rows(spark):
+    rows = [("a", k % 4, {"x": k % 2}) for k in range(50)]
+    found = []
+    for order in (rows, rows[::-1], sorted(rows, key=str)):
+        df = spark.createDataFrame(order, "key string, v int, m map<string,int>").coalesce(1).withColumn("_splits", F.lit(3))
+        found.append(collections.Counter((r["key"], r["v"], str(r["m"]), r["_split"]) for r in with_split(df).collect()))
+    assert found[0] == found[1] == found[2]
+    assert len({split for *_, split in found[0]}) == 3
