@@ -164,8 +164,8 @@ def read_nested(df: DataFrame, *, lists: Sequence[str] = (), related: Sequence[s
     """Replace text columns by ``array<array<string>>`` (``lists``) and by structs of the four id lists (``related``), and add ``<column>_bad``.
 
     Unreadable text becomes null and is marked true in the added column; a dictionary's entry that is not a list gives
-    null for that list only.  Rows that a pattern shows to be readable are parsed on a branch without Python, the
-    others on one of their own.
+    null for that list only.  Rows that a pattern shows to be readable are parsed without Python.  Whether there are others is
+    looked up first, by a job that ends with the first one; only then do they get a branch of their own, with a scan of its own.
     """
     names = [*lists, *related]
     text = {name: F.col(f"`{name}`") for name in names}
@@ -186,7 +186,10 @@ def read_nested(df: DataFrame, *, lists: Sequence[str] = (), related: Sequence[s
         read = _literal_related(text[name])
         return F.when(read.getField("readable"), F.struct(*[read.getField(part).alias(part) for part in RELATED_LISTS]))
 
-    return replaced(df.where(readable), {name: native(name) for name in names}).unionAll(replaced(df.where(~readable), {name: literal(name) for name in names}))
+    if not df.where(~readable).take(1):
+        return replaced(df, {name: native(name) for name in names})
+    clean = replaced(df.where(readable), {name: native(name) for name in names})
+    return clean.unionAll(replaced(df.where(~readable), {name: literal(name) for name in names}))
 
 
 def read_nested_list(df: DataFrame, column: str) -> DataFrame:

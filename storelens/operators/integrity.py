@@ -77,7 +77,15 @@ def _missing(rows: DataFrame, parents: DataFrame, key: str, broadcast_bytes: int
 def dangling_flag(
     rows: DataFrame, parents: DataFrame, key: str, name: str = "dangling", *, broadcast_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
-    """One row with 1 if any key has no parent, otherwise 0 (looked up at once, see ``has_dangling``)."""
+    """One row with 1 if any key has no parent, otherwise 0; as a plan, which looks at every partition."""
+    first = _missing(rows, parents, key, broadcast_bytes).limit(1)
+    return first.agg(F.count(F.lit(1)).cast("int").alias(name))
+
+
+def early_dangling_flag(
+    rows: DataFrame, parents: DataFrame, key: str, name: str = "dangling", *, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """``dangling_flag`` looked up at once: the scan ends with the first find (see ``has_dangling``)."""
     found = has_dangling(rows, parents, key, broadcast_bytes=broadcast_bytes)
     return rows.sparkSession.range(0, 1, numPartitions=1).select(F.lit(int(found)).alias(name))
 

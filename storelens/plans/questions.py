@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from storelens.functions.columns import first_of_first
 from storelens.functions.nested import read_nested, read_nested_list, read_related, related_ids
 from storelens.operators.features import rating_price_correlation
-from storelens.operators.integrity import dangling_flag, dangling_keys, listed_keys
+from storelens.operators.integrity import early_dangling_flag, dangling_keys, listed_keys
 from storelens.operators.profile import column_statistics, counts_map, null_percents, value_counts, weighted_statistics
 from storelens.plans.facts import items_of, null_percents_of, numbers_of, written_facts
 
@@ -61,11 +61,11 @@ def question_5(products: DataFrame) -> DataFrame:
 
 
 def question_6(reviews: DataFrame, products: DataFrame, key: str = "asin") -> DataFrame:
-    return dangling_flag(reviews, products, key)
+    return early_dangling_flag(reviews, products, key)
 
 
 def question_7(products: DataFrame, key: str = "asin") -> DataFrame:
-    return dangling_flag(related_references(products, key), products, key)
+    return early_dangling_flag(related_references(products, key), products, key)
 
 
 def dangling_related(products: DataFrame, key: str = "asin") -> DataFrame:
@@ -95,8 +95,8 @@ def answers(reviews: DataFrame, products: DataFrame, key: str = "asin") -> dict[
         "q3": rounded(rating_price_correlation(ratings, prices, key, weight="n")),
         "q4": rounded(weighted_statistics(prices, "price", "n")),
         "q5": items_of(sold, "category", "supercat"),
-        "q6": dangling_flag(ratings, prices, key),
-        "q7": dangling_flag(items_of(sold, "mention", key), prices, key),
+        "q6": early_dangling_flag(ratings, prices, key),
+        "q7": early_dangling_flag(items_of(sold, "mention", key), prices, key),
     }
 
 

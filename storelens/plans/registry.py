@@ -241,7 +241,7 @@ def dangling_review_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def dangling_reviews_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return integrity.dangling_flag(reviews(spark, sf_dir), products(spark, sf_dir), "asin")
+    return integrity.early_dangling_flag(reviews(spark, sf_dir), products(spark, sf_dir), "asin")
 
 
 @query

@@ -9,12 +9,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from storelens.functions.stats import null_count
 from storelens.functions.text import tokens
 from storelens.operators import encode, features, trees, vectors
 from storelens.operators.category_pca import category_means
-from storelens.operators.layout import written
 
 
 def _mean_variance_nulls(column: str) -> list:
@@ -38,30 +38,32 @@ def task_2(products: DataFrame) -> DataFrame:
     """Category and best sales rank."""
     rank = F.col("bestSalesRank").cast("double")
     # Counted once per pair of categories, which are few; two distinct counts over the rows would expand each row.
-    pairs = written(
-        features.category_features(products).groupBy("category", "bestSalesCategory").agg(
-            F.count(F.lit(1)).alias("rows"), F.count(rank).alias("n"), F.avg(rank).alias("mean"), (F.var_pop(rank) * F.count(rank)).alias("squares")
-        ),
-        "categories",
+    pairs = features.category_features(products).groupBy("category", "bestSalesCategory").agg(
+        F.count(F.lit(1)).alias("rows"), F.count(rank).alias("n"), F.avg(rank).alias("mean"), (F.var_pop(rank) * F.count(rank)).alias("squares")
     )
-    n, rows = F.col("n"), F.col("rows")
-    mean = pairs.agg(F.try_divide(F.sum(n * F.col("mean")), F.sum(n)).alias("mean")).scalar()
-    away = F.col("mean") - mean
 
-    def different(column: str) -> Column:
-        return pairs.where(F.col(column).isNotNull()).select(column).distinct().agg(F.count(F.lit(1))).scalar()
+    def first_of(column: str, other: str) -> Column:
+        """True in one pair for every category."""
+        place = F.row_number().over(Window.partitionBy(column).orderBy(other))
+        return F.col(column).isNotNull() & (place == 1)
 
     def nulls(column: str) -> Column:
         return F.coalesce(F.sum(F.when(F.col(column).isNull(), rows)), F.lit(0).cast("long"))
 
-    return pairs.agg(
+    n, rows, mean = F.col("n"), F.col("rows"), F.col("mean")
+    marked = pairs.withColumns(
+        {"new_category": first_of("category", "bestSalesCategory"), "new_best": first_of("bestSalesCategory", "category")}
+    )
+    # Squares within the pairs, and those of the pairs' means.
+    squares = F.sum("squares") + F.sum(n * mean * mean) - F.sum(n * mean) * F.try_divide(F.sum(n * mean), F.sum(n))
+    return marked.agg(
         F.coalesce(F.sum(rows), F.lit(0).cast("long")).alias("count_total"),
-        F.try_divide(F.sum(n * F.col("mean")), F.sum(n)).alias("mean_bestSalesRank"),
-        (F.sum(F.col("squares") + n * away * away) / F.nullif(F.sum(n) - 1, F.lit(0))).alias("variance_bestSalesRank"),
+        F.try_divide(F.sum(n * mean), F.sum(n)).alias("mean_bestSalesRank"),
+        (squares / F.nullif(F.sum(n) - 1, F.lit(0))).alias("variance_bestSalesRank"),
         nulls("category").alias("numNulls_category"),
-        different("category").alias("countDistinct_category"),
+        F.count_if("new_category").alias("countDistinct_category"),
         nulls("bestSalesCategory").alias("numNulls_bestSalesCategory"),
-        different("bestSalesCategory").alias("countDistinct_bestSalesCategory"),
+        F.count_if("new_best").alias("countDistinct_bestSalesCategory"),
     )
 
 

@@ -85,7 +85,7 @@ def test_a_find_ends_the_scan(spark):
     def tasks(found):
         context = spark.sparkContext
         context.setJobGroup(found, found)
-        flag = integrity.dangling_flag(children, parents, "asin").first()[0]
+        flag = integrity.early_dangling_flag(children, parents, "asin").first()[0]
         context.setJobGroup("other", "other")
         tracker = context.statusTracker()
         stages = [s for j in tracker.getJobIdsForGroup(found) for s in tracker.getJobInfo(j).stageIds]
