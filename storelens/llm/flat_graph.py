@@ -1,8 +1,8 @@
 """Near-duplicate vectors by a robust-pruned flat graph over overlapping shards.
 
 Equal vectors are merged into one node with their number.  Cluster centres are
-fitted on a bounded sample (``SAMPLE_ROWS``); every node goes to its nearest centres (all within
-``OVERLAP`` of the best, at most ``SHARDS_EACH``), so that shards overlap.  In
+fitted on a bounded sample (``SAMPLE_ROWS``); every node goes to its nearest centres (the first of ``WIDTHS``
+says how many, and how near they must be to the best), so that shards overlap.  In
 each shard a node gets the nearest nodes that no nearer neighbour occludes (robust pruning
 with ``ALPHA``) and some distant ones; links go both ways.  The lists of a node from all its
 shards are united.  Every node is then searched for in its shards on the united graph: greedily from the
@@ -13,7 +13,8 @@ by its cosine in double precision.
 A shard of more than ``SHARD_ROWS`` nodes is dealt over parts.  A group holds the nodes of one
 part that stand and those of one part that are searched for, so that no group grows without bound;
 what a block of queries finds is verified, counted and folded into the forest at once.  A pair is
-counted in the first shard both are in.  For the components each group gives a spanning forest of the
+counted in the first shard both are in.  The links of ``AUDIT_ROWS`` nodes are then counted against all nodes: if the lower bound of
+the recall is below ``LEAST_RECALL``, all is done again with the next, wider, overlap; after the last one a warning names the recall.  For the components each group gives a spanning forest of the
 links found, no pairs.
 
 Edge cases: vectors that are null, empty, zero or not finite, and rows without an id, link with nothing;
@@ -22,6 +23,7 @@ vectors of different lengths neither; equal vectors link with each other; repeat
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,8 +40,10 @@ LEAST_COSINE = 0.9
 SAMPLE_ROWS = 20_000
 ROWS_PER_SHARD = 1_000
 MOST_SHARDS = 1_024
-SHARDS_EACH = 3
-OVERLAP = 0.05
+#: Shards of a node, and how much less similar than the nearest centre they may be: the next pair is tried if the audit fails.
+WIDTHS = ((3, 0.05), (8, 0.15), (16, 0.3), (32, 0.5))
+AUDIT_ROWS = 1_000
+LEAST_RECALL = 0.95
 SHARD_ROWS = 6_000
 ALPHA = 1.2
 POOL = 32
@@ -209,8 +213,38 @@ def dealt(ready: DataFrame) -> DataFrame:
     return stands.unionAll(asks)
 
 
+def audit(nodes: DataFrame, found: DataFrame, least: float, rows: int = AUDIT_ROWS) -> tuple[int, int]:
+    """Links found and links there are of the ``rows`` nodes with the least hash, against all nodes (one aggregate)."""
+    asked = nodes.orderBy(F.xxhash64("node", F.lit(SEED)), "node").select("node", "vec").limit(rows).toPandas()
+    by_length = {}
+    for length in sorted({len(v) for v in asked["vec"]}):
+        mine = asked[asked["vec"].map(len) == length]
+        by_length[length] = (mine["node"].to_numpy(np.int64), _unit(np.stack(mine["vec"].to_numpy())))
+    shared = nodes.sparkSession.sparkContext.broadcast(by_length)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        there = 0
+        for batch in batches:
+            size = pa.compute.list_value_length(batch.column("vec")).to_numpy(zero_copy_only=False)
+            for length, (names, queries) in shared.value.items():
+                rows = np.flatnonzero(size == length)
+                for begin in range(0, len(rows), 2048):
+                    some = batch.take(pa.array(rows[begin : begin + 2048]))
+                    points = _unit(some.column("vec").flatten().to_numpy(zero_copy_only=False).astype(float).reshape(some.num_rows, length))
+                    others = some.column("node").to_numpy()[:, None] != names[None, :]
+                    linked = (points @ queries.T >= least) & others
+                    there += int((linked * some.column("n").to_numpy()[:, None]).sum())
+        yield pa.record_batch([pa.array([there])], names=["there"])
+
+    there = nodes.select("node", "vec", "n").mapInArrow(count, "there bigint").agg(F.sum("there")).first()[0] or 0
+    names = nodes.sparkSession.createDataFrame([(int(name),) for name in asked["node"]], "node bigint")
+    had = found.join(F.broadcast(names), "node", "left_semi").agg(F.sum("links")).first()[0] or 0
+    return had, there
+
+
 def link_vectors(
-    vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding", least: float = LEAST_COSINE, shard_rows: int = SHARD_ROWS
+    vectors: DataFrame, *, key: str = "vec_id", vector: str = "embedding", least: float = LEAST_COSINE, shard_rows: int = SHARD_ROWS,
+    rows_per_shard: int = ROWS_PER_SHARD, audit_rows: int = AUDIT_ROWS,
 ) -> DataFrame:
     """One row per row of ``vectors``: key, n_links, component_id, kept."""
     rows = as_doubles(vectors, key, vector)
@@ -219,7 +253,7 @@ def link_vectors(
     total = nodes.count()
     sample = nodes.orderBy(F.xxhash64("node"), "node").select("vec").limit(SAMPLE_ROWS).toPandas()
     lengths = sorted({len(v) for v in sample["vec"]})
-    shards = max(1, min(MOST_SHARDS, -(-total // ROWS_PER_SHARD)))
+    shards = max(1, min(MOST_SHARDS, -(-total // rows_per_shard)))
     # Vectors of each length have centres of their own; a length not in the sample is one shard.
     centres = {}
     for length in lengths:
@@ -227,79 +261,97 @@ def link_vectors(
         centres[length] = fit_centres(points, max(1, min(len(points), shards)))
     shared = vectors.sparkSession.sparkContext.broadcast(centres)
 
-    @F.arrow_udf("array<bigint>")
-    def shards_of(column: pa.Array) -> pa.Array:
-        known, places = shared.value, []
-        for value in column:
-            point = np.asarray(value.values.to_numpy(zero_copy_only=False), dtype=float)
-            own = known.get(len(point))
-            if own is None:
-                places.append([len(point) * MOST_SHARDS])
-                continue
-            sims = own @ _unit(point[None, :])[0]
-            order = np.argsort(-sims, kind="stable")[:SHARDS_EACH]
-            places.append([len(point) * MOST_SHARDS + int(k) for k in sorted(order) if sims[k] >= sims[order[0]] - OVERLAP])
-        return pa.array(places, pa.list_(pa.int64()))
-
-    assigned = stored(nodes.withColumn("shards", shards_of(F.col("vec"))), "assigned")
-    placed = assigned.withColumn("shard", F.explode("shards"))
-    sizes = placed.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / shard_rows).alias("parts"))
-    sizes = F.broadcast(sizes)  # at most a row per centre
-    placed = placed.join(sizes, "shard").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
-
-    def build(group: pd.DataFrame) -> pd.DataFrame:
-        ids = group["node"].to_numpy(np.int64)
-        lists = _both_ways(_links(_unit(np.stack(group["vec"].to_numpy())).astype(np.float32)))
-        return pd.DataFrame({"node": ids, "near": [ids[part] for part in lists]})
-
-    built = placed.groupBy("shard", "part").applyInPandas(build, "node bigint, near array<bigint>")
-    united = built.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
-    ready = placed.select("node", "vec", "n", "shards", "shard", "parts", "part").join(stored(united, "graph"), "node")
-    asked = dealt(ready)
-
-    def search(group: pd.DataFrame) -> pd.DataFrame:
-        ids = group["node"].to_numpy(np.int64)
-        exact = _unit(np.stack(group["vec"].to_numpy()))
-        stands, asks = np.flatnonzero(group["stands"].to_numpy(bool)), np.flatnonzero(group["asks"].to_numpy(bool))
-        if not len(stands) or not len(asks):
-            return pd.DataFrame({"node": [], "links": [], "root": []})
-        own = np.full(len(ids), -1)
-        own[stands] = np.arange(len(stands))
-        order = np.argsort(ids[stands])
-        by_id = ids[stands][order]
-        lists = []
-        for near in group["near"].to_numpy()[stands]:
-            at = np.searchsorted(by_id, near)
-            at[at == len(by_id)] = 0
-            lists.append(order[at[by_id[at] == near]])
-        table = np.full((len(stands), max(1, *map(len, lists), 1)), -1)
-        for k, line in enumerate(lists):
-            table[k, : len(line)] = line
-        quick = exact.astype(np.float32)
-        weights = group["n"].to_numpy(np.int64)
-        width = max(map(len, group["shards"]))
-        member = np.stack([np.pad(np.asarray(s), (0, width - len(s)), constant_values=-1) for s in group["shards"]])
-        links, roots = np.zeros(len(ids), dtype=np.int64), np.arange(len(ids))
-        for query, node in _search(quick[stands], table, quick[asks], own[asks], least):
-            query, node = asks[query], stands[node]
-            apart = query != node
-            query, node = query[apart], node[apart]
-            held = np.concatenate([np.einsum("id,id->i", exact[query[a : a + 100_000]], exact[node[a : a + 100_000]]) >= least for a in range(0, len(query), 100_000)] or [np.zeros(0, bool)])
-            query, node = query[held], node[held]
-            # Only in the first shard that both are in.
-            common = np.full(len(query), np.iinfo(np.int64).max)
-            for k in range(width):
-                mine = member[query, k]
-                both = (mine >= 0) & np.any([mine == member[node, j] for j in range(width)], axis=0)
-                common = np.where(both, np.minimum(common, mine), common)
-            first = common == group["shard"].iloc[0]
-            links += np.bincount(query[first], weights[node[first]], len(ids)).astype(np.int64)
-            roots = _forest(query, node, roots)
-        told = (links > 0) | (roots != np.arange(len(ids)))
-        return pd.DataFrame({"node": ids[told], "links": links[told], "root": ids[roots[told]]})
-
-    found = asked.groupBy("shard", "cell", "block").applyInPandas(search, "node bigint, links bigint, root bigint")
-    found = stored(found, "found")
+    def search_all(each: int, overlap: float) -> DataFrame:
+        """Links and roots found by node, with so many shards for a node within ``overlap`` of its best centre."""
+
+        @F.arrow_udf("array<bigint>")
+        def shards_of(column: pa.Array) -> pa.Array:
+            known, size = shared.value, pa.compute.list_value_length(column).to_numpy(zero_copy_only=False)
+            places: list[list[int]] = [[]] * len(column)
+            for length in np.unique(size).tolist():
+                rows = np.flatnonzero(size == length)
+                if length not in known:
+                    for row in rows.tolist():
+                        places[row] = [length * MOST_SHARDS]
+                    continue
+                points = column.take(pa.array(rows)).flatten().to_numpy(zero_copy_only=False).astype(float).reshape(len(rows), length)
+                for begin in range(0, len(rows), 1024):
+                    sims = _unit(points[begin : begin + 1024]) @ known[length].T
+                    nearest = np.argsort(-sims, axis=1, kind="stable")[:, :each]
+                    best = np.take_along_axis(sims, nearest, axis=1)
+                    near = best >= best[:, :1] - overlap
+                    for row, some, ok in zip(rows[begin : begin + 1024].tolist(), nearest, near, strict=True):
+                        places[row] = (length * MOST_SHARDS + np.sort(some[ok])).tolist()
+            return pa.array(places, pa.list_(pa.int64()))
+
+        assigned = stored(nodes.withColumn("shards", shards_of(F.col("vec"))), "assigned")
+        placed = assigned.withColumn("shard", F.explode("shards"))
+        sizes = placed.groupBy("shard").agg(F.ceil(F.count(F.lit(1)) / shard_rows).alias("parts"))
+        sizes = F.broadcast(sizes)  # at most a row per centre
+        placed = placed.join(sizes, "shard").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+
+        def build(group: pd.DataFrame) -> pd.DataFrame:
+            ids = group["node"].to_numpy(np.int64)
+            lists = _both_ways(_links(_unit(np.stack(group["vec"].to_numpy())).astype(np.float32)))
+            return pd.DataFrame({"node": ids, "near": [ids[part] for part in lists]})
+
+        built = placed.groupBy("shard", "part").applyInPandas(build, "node bigint, near array<bigint>")
+        united = built.groupBy("node").agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near"))
+        ready = placed.select("node", "vec", "n", "shards", "shard", "parts", "part").join(stored(united, "graph"), "node")
+        asked = dealt(ready)
+
+        def search(group: pd.DataFrame) -> pd.DataFrame:
+            ids = group["node"].to_numpy(np.int64)
+            exact = _unit(np.stack(group["vec"].to_numpy()))
+            stands, asks = np.flatnonzero(group["stands"].to_numpy(bool)), np.flatnonzero(group["asks"].to_numpy(bool))
+            if not len(stands) or not len(asks):
+                return pd.DataFrame({"node": [], "links": [], "root": []})
+            own = np.full(len(ids), -1)
+            own[stands] = np.arange(len(stands))
+            order = np.argsort(ids[stands])
+            by_id = ids[stands][order]
+            lists = []
+            for near in group["near"].to_numpy()[stands]:
+                at = np.searchsorted(by_id, near)
+                at[at == len(by_id)] = 0
+                lists.append(order[at[by_id[at] == near]])
+            table = np.full((len(stands), max(1, *map(len, lists), 1)), -1)
+            for k, line in enumerate(lists):
+                table[k, : len(line)] = line
+            quick = exact.astype(np.float32)
+            weights = group["n"].to_numpy(np.int64)
+            width = max(map(len, group["shards"]))
+            member = np.stack([np.pad(np.asarray(s), (0, width - len(s)), constant_values=-1) for s in group["shards"]])
+            links, roots = np.zeros(len(ids), dtype=np.int64), np.arange(len(ids))
+            for query, node in _search(quick[stands], table, quick[asks], own[asks], least):
+                query, node = asks[query], stands[node]
+                apart = query != node
+                query, node = query[apart], node[apart]
+                held = np.concatenate([np.einsum("id,id->i", exact[query[a : a + 100_000]], exact[node[a : a + 100_000]]) >= least for a in range(0, len(query), 100_000)] or [np.zeros(0, bool)])
+                query, node = query[held], node[held]
+                # Only in the first shard that both are in.
+                common = np.full(len(query), np.iinfo(np.int64).max)
+                for k in range(width):
+                    mine = member[query, k]
+                    both = (mine >= 0) & np.any([mine == member[node, j] for j in range(width)], axis=0)
+                    common = np.where(both, np.minimum(common, mine), common)
+                first = common == group["shard"].iloc[0]
+                links += np.bincount(query[first], weights[node[first]], len(ids)).astype(np.int64)
+                roots = _forest(query, node, roots)
+            told = (links > 0) | (roots != np.arange(len(ids)))
+            return pd.DataFrame({"node": ids[told], "links": links[told], "root": ids[roots[told]]})
+
+        found = asked.groupBy("shard", "cell", "block").applyInPandas(search, "node bigint, links bigint, root bigint")
+        return stored(found, "found")
+    # Wider until the audit is content; only vectors far from all centres, or a poor sample, come to the end.
+    for each, overlap in WIDTHS:
+        found = search_all(each, overlap)
+        had, there = audit(nodes, found, least, audit_rows)
+        recall = had / there if there else 1.0
+        if recall - 1.645 * np.sqrt(recall * (1 - recall) / max(there, 1)) >= LEAST_RECALL:
+            break
+    else:
+        warnings.warn(f"the audit found {recall:.3f} of the links of {audit_rows} vectors", stacklevel=2)
     linked = components(found.where("node <> root").select(F.col("node").alias("a"), F.col("root").alias("b")))
     # The least id of a component is that of a node: each node is named by its least id.
     counts = found.groupBy("node").agg(F.sum("links").alias("links"))

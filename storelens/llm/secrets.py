@@ -202,12 +202,14 @@ def redact_documents(docs: DataFrame, *, key: str = "doc_id", text: str = "text"
     Rows are matched by key and text, so repeated keys with other texts keep apart.
     """
     found = find_secrets(docs, key=key, text=text).where(F.col("spans") != "")
-    changes = found.select(F.col("text_hash").alias("_hash"), F.col("text_check").alias("_check"), F.col("spans").alias("_spans"))
-    changes = stored(changes.distinct(), "secret-spans")
+    changes = stored(found.select("text_hash", "text_check", "spans").distinct(), "secret-spans")
+    # The documents' own columns are held in one, so that no name of theirs meets one from here.
     body = F.col(f"`{text}`")
-    text_hash, text_check = _identity(F.col(f"`{key}`"), body)
-    marked = checked_join(docs.withColumns({"_hash": text_hash, "_check": text_check}), changes, ["_hash", "_check"], "left")
-    changed = marked.where(F.col("_spans").isNotNull()).withColumn(text, redact(body, F.col("_spans")))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), body.alias("body"), *_identity(F.col(f"`{key}`"), body))
+    marked = checked_join(rows, changes, ["text_hash", "text_check"], "left")
+    same = marked.where(F.col("spans").isNull()).select("row.*")
+    changed = marked.where(F.col("spans").isNotNull()).select("row", redact(F.col("body"), F.col("spans")).alias("body"))
+    new = {text: F.col("body")}
     if length in docs.columns:
-        changed = changed.withColumn(length, F.length(body).cast(docs.schema[length].dataType))
-    return marked.where(F.col("_spans").isNull()).unionByName(changed).select(*[F.col(f"`{c}`") for c in docs.columns])
+        new[length] = F.length("body").cast(docs.schema[length].dataType)
+    return same.unionAll(changed.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns]))

@@ -347,7 +347,10 @@ def score(
     values = np.array(sample["_features"].tolist(), dtype=float).reshape(-1, len(FEATURES))
     weights, intercept = fit_curve(values, sample["toxic"].to_numpy(float))
 
-    scored = features(docs.drop("held_out", "score", "predicted", "_features"), model, text=text, slow=slow)
+    # The documents' own columns are held in one, so that no name of theirs meets one from here.
+    own = [F.col(f"`{c}`") for c in docs.columns if c not in ("held_out", "score", "predicted")]
+    rows = docs.select(F.struct(*own).alias("row"), F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
+    scored = features(rows, model, slow=slow)
     if np.isfinite(intercept):
         total = F.lit(intercept)
         for k, weight in enumerate(weights.tolist()):
@@ -355,5 +358,5 @@ def score(
         value = 1 / (1 + F.exp(-F.least(F.greatest(total, F.lit(-30.0)), F.lit(30.0))))
     else:
         value = F.lit(0.0)
-    scored = scored.withColumns({"held_out": fold(F.col(f"`{key}`")) == 2, "score": value}).drop("_features")
+    scored = scored.select("row.*", (fold(F.col("key")) == 2).alias("held_out"), value.alias("score"))
     return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -174,13 +174,14 @@ def judge(
         ).alias("_by_all")
     )
     host, path = host_of(F.col(f"`{url}`")), path_of(F.col(f"`{url}`"))
-    judged = pages.withColumns({"host": host, "path": path})
-    judged = judged.withColumns({"_host": F.col("host"), "_domain": registered_domain(host), "_suffix": suffix_of(host)})
+    # The pages' own columns are held in one, so that no name of theirs meets one from here.
+    own = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    judged = pages.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("row"), host.alias("host"), path.alias("path"))
+    judged = judged.withColumns({"_host": F.col("host"), "_domain": registered_domain(F.col("host")), "_suffix": suffix_of(F.col("host"))})
     for level, bounds in levels.items():
         judged = checked_join(judged, stored(bounds, level).withColumnRenamed(level, f"_{level}"), f"_{level}", "left")
     judged = judged.crossJoin(F.broadcast(overall))
     name, action = matching_rule(F.col("host"), F.col("path"), rules)
     bound = F.coalesce("_by_host", "_by_domain", "_by_suffix", "_by_all")
     by_method = F.when(bound < least_rate, "block").otherwise("allow")
-    judged = judged.withColumns({"rule": name, "verdict": F.coalesce(action, by_method)})
-    return judged.drop(*[c for c in judged.columns if c.startswith(("_by_", "_host", "_domain", "_suffix"))])
+    return judged.select("row.*", "host", "path", name.alias("rule"), F.coalesce(action, by_method).alias("verdict"))
