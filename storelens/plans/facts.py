@@ -1,66 +1,57 @@
-"""Counts of everything a report asks of a table, from one scan.
+"""Counts of everything a report asks of a table, from one scan for its rows and one for its lists.
 
-Every row gives a few facts: its key with its number, the names of its null columns, and the items of its lists.
-Equal facts are counted in every task before they are moved, so a very common key, category or value is
+Rows are counted by key and number, with the nulls of every column beside them; the items of lists by list and item.
+Equal ones are counted in every task before they are moved, so a very common key, category or value is
 one row per task.  The counts are written once and all answers are taken from them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
-from functools import partial
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from storelens.operators.layout import written
 
-ROW, NULL = "row", "null"
 
+def counted_rows(rows: DataFrame, key: str, number: str, described: Sequence[str]) -> DataFrame:
+    """Columns key, number, ``n`` rows that have them, and ``nulls_0`` ... for the nulls in the columns ``described``."""
+    nulls = [F.count_if(F.col(f"`{name}`").isNull()).alias(f"nulls_{k}") for k, name in enumerate(described)]
+    return rows.groupBy(F.col(f"`{key}`").alias("key"), F.col(f"`{number}`").alias("number")).agg(F.count(F.lit(1)).alias("n"), *nulls)
 
-def counted_facts(rows: DataFrame, key: str, number: str, lists: Mapping[str, Column], described: list[str]) -> DataFrame:
-    """Columns kind, text, number and n: (``row``, key, number) for each row, (``null``, column) for each null, (name, item) for each item of ``lists``.
 
-    Nulls are counted in the columns ``described``.
-    """
-    kind = rows.schema[number].dataType
+def counted_items(rows: DataFrame, lists: Mapping[str, Column]) -> DataFrame:
+    """Columns list, item and ``n``: the non-null items of the named array columns."""
+    none = F.array().cast("array<struct<list:string,item:string>>")
 
-    def fact(name: str, text: Column, value: Column | None = None) -> Column:
-        empty = F.lit(None).cast(kind) if value is None else value
-        return F.struct(F.lit(name).alias("kind"), text.cast("string").alias("text"), empty.alias("number"))
+    def entries(name: str, items: Column) -> Column:
+        return F.coalesce(F.transform(items, lambda item: F.struct(F.lit(name).alias("list"), item.cast("string").alias("item"))), none)
 
-    facts = [F.array(fact(ROW, F.col(f"`{key}`"), F.col(f"`{number}`")))]
-    facts.append(F.filter(F.array(*[F.when(F.col(f"`{name}`").isNull(), fact(NULL, F.lit(name))) for name in described]), lambda x: x.isNotNull()))
-    none = F.array().cast(f"array<struct<kind:string,text:string,number:{kind.simpleString()}>>")
-    for name, items in lists.items():
-        present = F.filter(items, lambda x: x.isNotNull())
-        facts.append(F.coalesce(_each(present, partial(fact, name)), none))
-    return rows.select(F.inline(F.concat(*facts))).groupBy("kind", "text", "number").agg(F.count(F.lit(1)).alias("n"))
+    every = F.concat(*[entries(name, items) for name, items in lists.items()])
+    return rows.select(F.inline(every)).where(F.col("item").isNotNull()).groupBy("list", "item").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _each(items: Column, fact: Callable[[Column], Column]) -> Column:
-    # A function of one parameter: with two, the second would be the item's place.
-    return F.transform(items, lambda item: fact(item))
+def written_rows(rows: DataFrame, key: str, number: str, described: Sequence[str]) -> DataFrame:
+    """``counted_rows`` in the shared folder (runs one scan)."""
+    return written(counted_rows(rows, key, number, described), "facts")
 
 
-def written_facts(rows: DataFrame, key: str, number: str, lists: Mapping[str, Column], described: list[str]) -> DataFrame:
-    """The counted facts, written to the shared folder and read back (runs the one scan)."""
-    return written(counted_facts(rows, key, number, lists, described), "facts")
+def written_items(rows: DataFrame, lists: Mapping[str, Column]) -> DataFrame:
+    """``counted_items`` in the shared folder (runs one scan)."""
+    return written(counted_items(rows, lists), "facts")
 
 
-def null_percents_of(facts: DataFrame, described: list[str]) -> DataFrame:
-    """One row with the percentage of nulls of every column."""
-    rows = F.sum(F.when(F.col("kind") == ROW, F.col("n")))
-    nulls = {name: F.sum(F.when((F.col("kind") == NULL) & (F.col("text") == name), F.col("n"))) for name in described}
-    # Without any row the percentages are null.
-    return facts.agg(*[(F.try_divide(F.coalesce(n, F.lit(0)), rows) * F.lit(100.0)).alias(name) for name, n in nulls.items()])
+def null_percents_of(facts: DataFrame, described: Sequence[str]) -> DataFrame:
+    """One row with the percentage of nulls of every column; nulls for a table without rows."""
+    return facts.agg(*[(F.try_divide(F.sum(f"nulls_{k}"), F.sum("n")) * F.lit(100.0)).alias(name) for k, name in enumerate(described)])
 
 
 def numbers_of(facts: DataFrame, key: str, number: str) -> DataFrame:
     """Key, number and how many rows have both, the key null where the row's is."""
-    return facts.where(F.col("kind") == ROW).select(F.col("text").alias(key), F.col("number").alias(number), "n")
+    return facts.select(F.col("key").alias(key), F.col("number").alias(number), "n")
 
 
 def items_of(facts: DataFrame, name: str, item: str) -> DataFrame:
     """Items of a list and their number."""
-    return facts.where(F.col("kind") == name).select(F.col("text").alias(item), "n")
+    return facts.where(F.col("list") == name).select(F.col("item").alias(item), "n")

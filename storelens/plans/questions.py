@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from storelens.functions.columns import first_of_first
@@ -13,7 +13,7 @@ from storelens.functions.nested import read_nested, read_nested_list, read_relat
 from storelens.operators.features import rating_price_correlation
 from storelens.operators.integrity import early_dangling_flag, dangling_keys, listed_keys
 from storelens.operators.profile import column_statistics, counts_map, null_percents, value_counts, weighted_statistics
-from storelens.plans.facts import items_of, null_percents_of, numbers_of, written_facts
+from storelens.plans.facts import items_of, null_percents_of, numbers_of, written_items, written_rows
 
 DIGITS = 2
 
@@ -74,41 +74,26 @@ def dangling_related(products: DataFrame, key: str = "asin") -> DataFrame:
 
 
 def answers(reviews: DataFrame, products: DataFrame, key: str = "asin") -> dict[str, DataFrame]:
-    """All seven answers as frames, from one scan of each table (runs these scans and a few jobs on the counts).
+    """All seven answers as frames, from one scan of the reviews and two of the products (runs these and a few jobs on the counts).
 
     The fifth has a row per category, the others one row.
     """
-    lists = read_nested(products, lists=["categories"], related=["related"])
-    named = products.columns
-    # Nulls are those of the columns as they came, before the text is read.
-    typed = lists.select(
-        *[mark.alias(name) for name, mark in _null_marks(named).items()],
-        F.array(first_of_first(F.col("categories"))).alias("_top"),
-        related_ids(F.col("related")).alias("_ids"),
-    )
-    rated = written_facts(reviews, key, "overall", {}, reviews.columns)
-    sold = written_facts(typed, key, "price", {"category": F.col("_top"), "mention": F.col("_ids")}, named)
+    nested = read_nested(products.select("categories", "related"), lists=["categories"], related=["related"])
+    rated = written_rows(reviews, key, "overall", reviews.columns)
+    sold = written_rows(products, key, "price", products.columns)
+    listed = written_items(nested, {"category": F.array(first_of_first(F.col("categories"))), "mention": related_ids(F.col("related"))})
     ratings, prices = numbers_of(rated, key, "overall"), numbers_of(sold, key, "price")
     return {
         "q1": rounded(null_percents_of(rated, reviews.columns)),
-        "q2": rounded(null_percents_of(sold, named)),
+        "q2": rounded(null_percents_of(sold, products.columns)),
         "q3": rounded(rating_price_correlation(ratings, prices, key, weight="n")),
         "q4": rounded(weighted_statistics(prices, "price", "n")),
-        "q5": items_of(sold, "category", "supercat"),
+        "q5": items_of(listed, "category", "supercat"),
         "q6": early_dangling_flag(ratings, prices, key),
-        "q7": early_dangling_flag(items_of(sold, "mention", key), prices, key),
+        "q7": early_dangling_flag(items_of(listed, "mention", key), prices, key),
     }
 
 
-def _null_marks(named: list[str]) -> dict[str, Column]:
-    """The products' columns, the two nested ones as marks that are null where the text is."""
-    marks = {name: F.col(f"`{name}`") for name in named}
-    for name in ("categories", "related"):
-        # Unreadable text is marked, not missing.
-        marks[name] = F.when(F.col(name).isNotNull() | F.col(f"{name}_bad"), F.lit(1))
-    return marks
-
-
 def report(reviews: DataFrame, products: DataFrame) -> DataFrame:
     """All seven answers as one row with columns ``q1`` to ``q7``.
 
