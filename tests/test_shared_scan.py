@@ -75,7 +75,7 @@ def test_python_only_where_text_needs_it(spark):
     assert text.count("ArrowEvalPython") >= 1
     assert "FileScan" in text[: text.index("ArrowEvalPython")] and "from_json" in text[: text.index("ArrowEvalPython")]
     # A tuple is no list, in either place, and a literal all the same.
-    assert read.where("categories[0] is null and size(categories) = 1 and related.also_viewed is null and not categories_bad and not related_bad").count() == 3
+    assert read.where("get(categories, 0) is null and size(categories) = 1 and related.also_viewed is null and not categories_bad and not related_bad").count() == 3
     assert read.count() == texts.count() + 3
 
 
