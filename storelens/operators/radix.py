@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from storelens.operators.layout import written
+
 DIGIT = 16
 #: A wide decimal's unscaled value is cut into three numbers of this many places, the first one signed.
 LIMB_PLACES = 13
@@ -63,6 +65,9 @@ def radix_quantiles(
     names = [f"d{k}" for k in range(len(digits))]
     count = F.lit(1).cast("long") if weight is None else F.col(f"`{weight}`").cast("long")
     keyed = df.where(F.col(f"`{column}`").isNotNull()).select(*[d.alias(n) for d, n in zip(digits, names, strict=True)], count.alias("n")).where("n > 0")
+    if len(names) > 4:
+        # Digits of wide decimals come from text: cut them once, not in every round.
+        keyed = written(keyed, "digits")
     row = keyed.agg(F.sum("n").alias("size"), F.min(F.struct(*names)).alias("least"), F.max(F.struct(*names)).alias("most")).first()
     if not row["size"]:
         return [None] * len(probabilities)
