@@ -45,26 +45,29 @@ def _search_block(ids: np.ndarray, data: np.ndarray, query_ids: np.ndarray, quer
     axes = np.random.default_rng([SEED, data.shape[1]]).standard_normal((data.shape[1], lines))
     placed, asked = data @ axes, queries @ axes
     order = np.argsort(placed, axis=0, kind="stable")
-    ranked = np.ascontiguousarray(np.take_along_axis(placed, order, axis=0).T)
+    # All sorted lines in one array, each moved beyond the one before it, so that one search places all ends of all windows.
+    gap = 4.04 * max(float(np.abs(placed).max(initial=0.0)), float(np.abs(asked).max(initial=0.0))) or 1.0
+    moves = np.arange(lines) * gap
+    ranked = (np.take_along_axis(placed, order, axis=0).T + moves[:, None]).reshape(-1)
     flat = np.ascontiguousarray(order.T).reshape(-1)
     least = int(np.ceil(THRESHOLD * lines))
     enough = min(n, max(LEAST_VERIFIED, int(np.ceil(VERIFIED * n))) + k + 1)
-    base = np.arange(lines) * n
+    first, last = np.arange(lines) * n, (np.arange(lines) + 1) * n
     spread = float(placed.std()) or 1.0
     found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    for query_id, query, center in zip(query_ids.tolist(), queries, asked, strict=True):
-        middle = np.array([np.searchsorted(ranked[j], center[j]) for j in range(lines)])
-        low, high = middle.copy(), middle.copy()
-        counts = np.zeros(n, dtype=np.int32)
+    for query_id, query, center in zip(query_ids.tolist(), queries, asked + moves, strict=True):
+        low = high = np.searchsorted(ranked, center)
+        counts = np.zeros(n, dtype=np.int64)
         width = 0.25 * spread
         while True:
-            # The next ring of every window: left and right of what it holds.
-            new_low = np.array([np.searchsorted(ranked[j], center[j] - width) for j in range(lines)])
-            new_high = np.array([np.searchsorted(ranked[j], center[j] + width, side="right") for j in range(lines)])
-            begins = np.concatenate([base + new_low, base + high])
-            sizes = np.concatenate([low - new_low, new_high - high])
-            steps = np.arange(sizes.sum()) + np.repeat(begins - (np.cumsum(sizes) - sizes), sizes)
-            counts += np.bincount(flat[steps], minlength=n).astype(np.int32)
+            # The next ring of every window: left and right of what it holds, never beyond its line.
+            reach = min(width, 0.24 * gap)
+            new_low = np.minimum(np.maximum(np.searchsorted(ranked, center - reach), first), low)
+            new_high = np.maximum(np.minimum(np.searchsorted(ranked, center + reach, side="right"), last), high)
+            if reach < width:
+                new_low, new_high = first, last
+            rings = zip(np.concatenate([new_low, high]).tolist(), np.concatenate([low, new_high]).tolist(), strict=True)
+            counts += np.bincount(np.concatenate([flat[begin:end] for begin, end in rings]), minlength=n)
             low, high = new_low, new_high
             candidates = np.flatnonzero(counts >= least)
             if len(candidates) >= enough or bool((high - low == n).all()):
