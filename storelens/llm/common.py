@@ -46,6 +46,14 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Remove the files of a frame from ``stored``, once nothing that reads it is still to run."""
+    spark = df.sparkSession
+    for name in df.inputFiles()[:1]:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(name).getParent()
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def frame_bytes(df: DataFrame) -> int:
     """Size of a frame's rows in memory, estimated column by column in one aggregate."""
     size = F.lit(16)

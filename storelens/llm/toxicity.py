@@ -1,19 +1,27 @@
-"""Toxicity by class-conditional Kneser-Ney models.
-
-Bigrams of the labelled training texts are counted for toxic and for ordinary
-ones.  A word's weight in a class is the number of its distinct contexts there
-(Kneser-Ney's continuation count), discounted, and interpolated with the counts of both
-classes together; a bigram's is its discounted count, interpolated with what its
-context and its word let expect of both classes together.  No expression is dropped: one seen
-rarely stays near what the shared counts say.
-A text is scored by its log-likelihood ratio per word: over the whole text, over
-telling words alone, and at the strongest expression.  A logistic curve
-over these three, fitted on training texts that the counts have not seen, gives the score.
-
-All words and bigrams are kept in a table, by 64-bit hashes.  The ``MOST_EXPRESSIONS`` most
-frequent ones are sent to all tasks with a filter of fixed size that names the others;
-a text's expressions that are not sent and that the filter names are looked up in the table by a
-shuffle, once for each distinct text.  The filter only saves work: a wrong hit falls back on the word.
+"""Toxicity by class-conditional Kneser-Ney models of toxic and of ordinary text.
+
+Bigrams of the labelled training texts are counted for both classes.  With n_c(vw) the count of
+word w after v in class c, N_c(w) the number of distinct contexts of w there and D the discount,
+
+    p(w)     = max(N(w) - D, 0) / N + D V / N / (V + 1)                         shared by both classes
+    p_c(w)   = max(N_c(w) - D, 0) / N_c + D V_c / N_c p(w)
+    p_c(w|v) = max(n_c(vw) - D, 0) / n_c(v) + D k_c(v) / n_c(v) p_c(w)
+
+where N(w) counts the contexts in either class, V and V_c the distinct words, k_c(v) the distinct words after v,
+and N, N_c, n_c(v) are sums over all words; a word in neither class has N(w) = 0, and a context that c
+never has gives p_c(w).  Rare expressions thus fall back on counts that the classes share.
+
+A text's log-likelihood in a class is a sum of three independent terms a position, each of which
+a table holds by a 64-bit hash: ln p_c(w); the context's ln(D k_c(v) / n_c(v)); and for counted bigrams
+ln(1 + max(n_c(vw) - D, 0) / (D k_c(v) p_c(w))).  The score is a logistic curve over the differences of the
+length-normalised log-likelihoods of both orders, words and bigrams, and over two parts of the
+first: the share that telling words bring, and the strongest word.  The curve is fitted
+on training texts that the counts have not seen.
+
+All words, contexts and bigrams are kept in a table.  The ``MOST_EXPRESSIONS`` most
+frequent rows are sent to all tasks with a filter of fixed size that names the others;
+what is not sent and the filter names is looked up in the table by a
+join, once a block for each distinct text.  The filter only saves work: a wrong hit finds no row.
 The curve is fitted on at most ``CALIBRATION_ROWS`` labelled texts.
 
 Edge cases: a null or empty text has no words and takes the curve's value at
@@ -32,22 +40,20 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.common import blocks, checked_join, stored
+from storelens.llm.common import blocks, checked_join, discard, stored
 from storelens.llm.words import word_hashes
 
 MOST_EXPRESSIONS = 1 << 19
 FILTER_SLOTS = 1 << 21
 DISCOUNT = 0.75
-PRIOR_WORD = 1.0
-PRIOR_BIGRAM = 1.0
-PRIOR_CONTEXT = 1000.0
 TELLING = 1.0
 CALIBRATION_ROWS = 20_000
 THRESHOLD = 0.3
 
 _BEGIN = np.uint64(0x5851F42D4C957F2D)
 CLASSES = ("ordinary", "toxic")
-FEATURES = ("mean_ratio", "telling_ratio", "peak_ratio")
+FEATURES = ("bigram_difference", "word_difference", "telling_difference", "strongest_word")
+_CONTEXT = 0x1D8E4E27C47D124F
 
 
 def _bigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -93,52 +99,47 @@ def _bigram_key_column() -> Column:
     return F.col("word").bitwiseXOR(turned)
 
 
-def _looked_up(keys: np.ndarray, values: np.ndarray, wanted: np.ndarray, otherwise: np.ndarray) -> np.ndarray:
-    if not len(keys):
-        return otherwise
-    at = np.searchsorted(keys, wanted)
-    at[at == len(keys)] = 0
-    return np.where(keys[at] == wanted, values[at], otherwise)
-
-
 @dataclass
-class Ratios:
-    """Log-likelihood ratios of the most frequent expressions, by sorted hash, and a filter of all others.
+class Terms:
+    """Terms of the most frequent expressions, by sorted hash, and a filter of all others.
 
-    The filter has a bit for the low part of each other expression's hash: an unset one says that
-    the expression has no row in the table.
+    ``values`` has a row of toxic and ordinary term each, a word's relative to ``base``, the logarithms of what
+    words in neither class have.  The filter has a bit for the low part of each other
+    expression's hash: an unset one says that the expression has no row in the table.
     """
 
     keys: np.ndarray
-    ratios: np.ndarray
+    values: np.ndarray
     others: np.ndarray
-
-    def of(self, keys: np.ndarray) -> np.ndarray:
-        """Ratios of the most frequent ones, NaN for all else."""
-        return _looked_up(self.keys, self.ratios, keys, np.full(len(keys), np.nan, dtype=np.float32))
-
-    def maybe(self, keys: np.ndarray) -> np.ndarray:
-        """Whether the table may hold these, which are not among the most frequent."""
+    base: np.ndarray
+
+    def of(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Terms of each expression, 0 where none are sent, and the state: 0 unknown, 1 sent, 2 only the table can tell."""
+        state, terms = np.zeros(len(keys), dtype=np.int8), np.zeros((len(keys), 2))
+        if len(self.keys):
+            at = np.searchsorted(self.keys, keys)
+            at[at == len(self.keys)] = 0
+            sent = self.keys[at] == keys
+            state[sent] = 1
+            terms[sent] = self.values[at[sent]]
         slots = (keys & np.uint64(FILTER_SLOTS - 1)).astype(np.int64)
         bits = (keys >> np.uint64(32)) & np.uint64(63)
-        return (self.others[slots] >> bits) & np.uint64(1) == 1
+        state[(state == 0) & ((self.others[slots] >> bits) & np.uint64(1) == 1)] = 2
+        return terms, state
+
 
-    def settle(self, words: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Ratio of each position (NaN where only the table tells), the word's own ratio if known (else NaN), and the bigram's key."""
-        pairs = _bigram_key(words, contexts)
-        own = self.of(words)
-        own = np.where(np.isnan(own) & ~self.maybe(words), np.float32(0), own)
-        values = self.of(pairs)
-        values = np.where(np.isnan(values) & ~self.maybe(pairs), own, values)
-        return values, own, pairs
+def _keys(words: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Table keys of each position: its word, its context, both."""
+    return words, contexts ^ np.uint64(_CONTEXT), _bigram_key(words, contexts)
 
 
 @dataclass
 class Model:
-    """All expressions (key, ratio) in a table, the most frequent ones sent to all tasks."""
+    """All terms (key, toxic, ordinary, word) in a table, the most frequent ones sent to all tasks; ``base`` as in ``Terms``."""
 
     table: DataFrame
     shared: Broadcast
+    base: dict[str, float]
 
 
 def count_pairs(training: DataFrame) -> DataFrame:
@@ -148,27 +149,43 @@ def count_pairs(training: DataFrame) -> DataFrame:
 
 
 def fit_model(training: DataFrame, *, most: int = MOST_EXPRESSIONS) -> Model:
-    """Count the training texts (text, toxic) and work out the ratio of every word and bigram."""
+    """Count the training texts (text, toxic) and work out the terms of every word, context and bigram."""
     spark = training.sparkSession
     pairs = count_pairs(training)
-    kept = {c: F.greatest(F.col(c) - DISCOUNT, F.lit(0.0)) for c in CLASSES}
-    words = stored(pairs.groupBy("word").agg(*[F.count_if(F.col(c) > 0).alias(c) for c in CLASSES]), "words")
-    contexts = stored(pairs.groupBy("context").agg(*[F.sum(kept[c]).alias(f"{c}_total") for c in CLASSES]), "contexts")
-    sums = words.agg(*[F.coalesce(F.sum(kept[c]), F.lit(0.0)).alias(c) for c in CLASSES]).first()
-    share = {c: (sums[c] + 1.0) / (sums["ordinary"] + sums["toxic"] + 2.0) for c in CLASSES}
-
-    # A word's counts are damped by as many of both classes together, split as the corpus is.
-    tilt = {c: (kept[c] + PRIOR_WORD * share[c]) / share[c] for c in CLASSES}
-    told = stored(words.select("word", (F.col("ordinary") + F.col("toxic")).alias("n"), F.ln(tilt["toxic"] / tilt["ordinary"]).cast("float").alias("ratio")), "word-ratios")
-
-    joined = checked_join(pairs, contexts, "context", "inner")
-    joined = checked_join(joined, told.select("word", F.col("ratio").alias("word_ratio")), "word", "inner")
-    # The context's odds of the classes; the shared counts are split by them, tilted as the word is.
-    odds = (F.col("toxic_total") + PRIOR_CONTEXT * share["toxic"]) / (F.col("ordinary_total") + PRIOR_CONTEXT * share["ordinary"])
-    expected = odds * F.exp("word_ratio")
-    seen = (kept["toxic"] + PRIOR_BIGRAM * expected / (1 + expected)) / (kept["ordinary"] + PRIOR_BIGRAM / (1 + expected))
-    bigrams = joined.select(_bigram_key_column().alias("key"), (F.col("ordinary") + F.col("toxic")).alias("n"), F.ln(seen / odds).cast("float").alias("ratio"))
-    table = stored(told.withColumnRenamed("word", "key").unionAll(bigrams), "ratios")
+    met = [F.count_if(F.col(c) > 0).alias(c) for c in CLASSES]
+    words = stored(pairs.groupBy("word").agg(*met, F.count(F.lit(1)).alias("both")), "words")
+    followers = [F.count_if(F.col(c) > 0).alias(f"{c}_kinds") for c in CLASSES]
+    contexts = stored(pairs.groupBy("context").agg(*[F.sum(c).alias(f"{c}_n") for c in CLASSES], *followers), "contexts")
+    sums = words.agg(
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in (*CLASSES, "both")],
+        *[F.count_if(F.col(c) > 0).alias(f"{c}_words") for c in CLASSES], F.count(F.lit(1)).alias("words"),
+    ).first()
+
+    def discounted(column: str) -> Column:
+        return F.greatest(F.col(column) - DISCOUNT, F.lit(0.0))
+
+    # Distinct words share what is discounted with one word more, which stands for all that are in neither class.
+    unseen = DISCOUNT * sums["words"] / (sums["words"] + 1) / max(sums["both"], 1)
+    shared_p = discounted("both") / max(sums["both"], 1) + unseen
+    backoff = {c: DISCOUNT * sums[f"{c}_words"] / sums[c] if sums[c] else 1.0 for c in CLASSES}
+    base = {c: float(np.log(backoff[c] * unseen)) if sums["words"] else 0.0 for c in CLASSES}
+    likely = words.select("word", "both", *[(discounted(c) / max(sums[c], 1) + backoff[c] * shared_p).alias(f"{c}_p") for c in CLASSES])
+    word_terms = likely.select(
+        F.col("word").alias("key"), F.col("both").alias("n"), *[(F.ln(f"{c}_p") - base[c]).alias(c) for c in CLASSES], F.lit(True).alias("word")
+    )
+    freed = {c: F.when(F.col(f"{c}_n") > 0, F.ln(DISCOUNT * F.col(f"{c}_kinds") / F.col(f"{c}_n"))).otherwise(0.0) for c in CLASSES}
+    context_terms = contexts.select(
+        F.col("context").bitwiseXOR(F.lit(_CONTEXT)).alias("key"), sum(F.col(f"{c}_n") for c in CLASSES).alias("n"), *[freed[c].alias(c) for c in CLASSES],
+        F.lit(False).alias("word"),
+    )
+    joined = checked_join(pairs, contexts.select("context", *[f"{c}_kinds" for c in CLASSES]), "context", "inner")
+    probabilities = stored(likely.drop("both"), "probabilities")
+    joined = checked_join(joined, probabilities, "word", "inner")
+    gain = {c: F.when(F.col(c) > 0, F.log1p(discounted(c) / (DISCOUNT * F.col(f"{c}_kinds") * F.col(f"{c}_p")))).otherwise(0.0) for c in CLASSES}
+    pair_terms = joined.select(_bigram_key_column().alias("key"), (F.col("ordinary") + F.col("toxic")).alias("n"), *[gain[c].alias(c) for c in CLASSES], F.lit(False).alias("word"))
+    table = stored(word_terms.unionAll(context_terms).unionAll(pair_terms), "terms")
+    for done in (pairs, words, contexts, probabilities):
+        discard(done)
 
     # The least count of those that are sent, from the number of expressions by count.
     sizes = sorted(((r["n"], r["rows"]) for r in table.groupBy("n").agg(F.count(F.lit(1)).alias("rows")).collect()), reverse=True)
@@ -178,17 +195,28 @@ def fit_model(training: DataFrame, *, most: int = MOST_EXPRESSIONS) -> Model:
             break
         sent, least = sent + rows, n
     frequent = F.col("n") >= least if least is not None else F.lit(False)
-    hot = table.where(frequent).select("key", "ratio").toArrow()
+    hot = table.where(frequent).select("key", "toxic", "ordinary").toArrow()
     keys = hot["key"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
-    keys, ratios = keys[order], hot["ratio"].to_numpy()[order]
+    values = np.stack([hot["toxic"].to_numpy()[order], hot["ordinary"].to_numpy()[order]], axis=1)
     others = np.zeros(FILTER_SLOTS, dtype=np.uint64)
     if sent < sum(rows for _, rows in sizes):
         slot = F.col("key").bitwiseAND(F.lit(FILTER_SLOTS - 1))
         bit = F.expr("shiftleft(1L, cast(shiftrightunsigned(key, 32) & 63 as int))")
         bits = table.where(~frequent).groupBy(slot.alias("slot")).agg(F.bit_or(bit).alias("bits")).toArrow()
         others[bits["slot"].to_numpy()] = bits["bits"].to_numpy().view(np.uint64)
-    return Model(table.select("key", "ratio"), spark.sparkContext.broadcast(Ratios(keys, ratios, others)))
+    terms = Terms(keys[order], values, others, np.array([base["toxic"], base["ordinary"]]))
+    return Model(table.drop("n"), spark.sparkContext.broadcast(terms), base)
+
+
+def _open_keys(model: Terms, words: np.ndarray, contexts: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Keys that only the table can tell, and the row of each."""
+    open_keys, open_rows = [], []
+    for keys in _keys(words, contexts):
+        asked = model.of(keys)[1] == 2
+        open_keys.append(keys[asked])
+        open_rows.append(rows[asked])
+    return np.concatenate(open_keys), np.concatenate(open_rows)
 
 
 def _asked(shared: Broadcast):
@@ -199,55 +227,39 @@ def _asked(shared: Broadcast):
         for batch in batches:
             for block in blocks(batch, "text"):
                 hashes = block.column("hash").to_numpy(zero_copy_only=False)
-                words, contexts, offsets = _bigrams(block.column("text"))
-                values, own, pairs = model.settle(words, contexts)
                 # Of equal texts in a block one asks.
-                first = np.zeros(len(hashes), dtype=bool)
-                first[np.unique(hashes, return_index=True)[1]] = True
-                open_ = np.flatnonzero(np.isnan(values) & np.repeat(first, np.diff(offsets)))
-                if not len(open_):
+                block = block.take(pa.array(np.sort(np.unique(hashes, return_index=True)[1])))
+                hashes = block.column("hash").to_numpy(zero_copy_only=False)
+                words, contexts, offsets = _bigrams(block.column("text"))
+                keys, row = _open_keys(model, words, contexts, np.repeat(np.arange(len(hashes)), np.diff(offsets)))
+                if not len(keys):
                     continue
-                row = np.searchsorted(offsets, open_, side="right") - 1
-                # Where the filter has no such bigram the word itself is asked for.
-                keys = np.where(model.maybe(pairs[open_]), pairs[open_], words[open_])
                 order = np.lexsort((keys, row))
-                row, keys, open_ = row[order], keys[order], open_[order]
+                row, keys = row[order], keys[order]
                 begins = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (keys[1:] != keys[:-1])))
                 times = np.diff(np.append(begins, len(row)))
-                word, other = words[open_[begins]], own[open_[begins]]
-                unknown = np.isnan(other)
-                yield from _batches(
-                    [
-                        hashes[row[begins]], keys[begins].view(np.int64), pa.array(word.view(np.int64), mask=~unknown),
-                        pa.array(other, mask=unknown), times.astype(np.int32),
-                    ],
-                    ["hash", "key", "word", "other", "times"],
-                )
+                yield from _batches([hashes[row[begins]], keys[begins].view(np.int64), times.astype(np.int32)], ["hash", "key", "times"])
 
     return asked
 
 
-def _sums(times: Column, value: Column) -> list[Column]:
-    return [
-        F.sum(value * times).alias("total"),
-        F.sum(F.when(value > TELLING, value * times).otherwise(0.0)).alias("telling"),
-        F.max(value).alias("peak"),
-    ]
-
-
 def table_sums(docs: DataFrame, model: Model) -> DataFrame:
-    """Sums of each distinct text over the expressions that are not sent: hash, total, telling, peak."""
-    asked = docs.mapInArrow(_asked(model.shared), "hash bigint, key bigint, word bigint, other float, times int")
-    # Equal texts in several blocks ask once; dealt by key as the join needs it.
-    asked = asked.repartition("key").groupBy("hash", "key").agg(F.first("word").alias("word"), F.first("other").alias("other"), F.first("times").alias("times"))
-    value, times = F.coalesce("ratio", "other").cast("double"), F.col("times")
-    open_ = F.when(value.isNull(), F.struct("word", "times"))
-    answers = stored(asked.join(model.table, "key", "left").groupBy("hash").agg(*_sums(times, value), F.collect_list(open_).alias("open")), "answers")
-    # Bigrams that the filter named in error: their words are looked up.
-    rest = answers.select("hash", F.explode("open").alias("e")).select("hash", F.col("e.word").alias("key"), F.col("e.times").alias("times"))
-    rest = rest.join(model.table, "key").groupBy("hash").agg(*_sums(times, F.col("ratio").cast("double")))
-    both = answers.drop("open").unionAll(rest).groupBy("hash").agg(F.sum("total").alias("total"), F.sum("telling").alias("telling"), F.max("peak").alias("peak"))
-    return stored(both.where("total is not null"), "table-sums")
+    """Sums of the texts over the expressions that are not sent, by hash.
+
+    Equal texts of several blocks ask several times; ``asked``, the number of positions asked for, tells how often.
+    """
+    asked = docs.mapInArrow(_asked(model.shared), "hash bigint, key bigint, times int")
+    times, word = F.col("times"), F.col("word")
+    ratio = F.col("toxic") - F.col("ordinary") + F.lit(model.base["toxic"] - model.base["ordinary"])
+    zero = F.lit(0.0)
+    sums = asked.join(model.table, "key", "left").groupBy("hash").agg(
+        F.sum("times").alias("asked"),
+        *[F.coalesce(F.sum(F.when(word, F.col(c) * times)), zero).alias(f"word_{c}") for c in CLASSES],
+        *[F.coalesce(F.sum(F.col(c) * times), zero).alias(f"all_{c}") for c in CLASSES],
+        F.coalesce(F.sum(F.when(word & (ratio > TELLING), ratio * times)), zero).alias("telling"),
+        F.coalesce(F.max(F.when(word, ratio)), zero).alias("strongest"),
+    )
+    return stored(sums, "table-sums")
 
 
 def hashed_texts(docs: DataFrame, text: str) -> DataFrame:
@@ -255,45 +267,74 @@ def hashed_texts(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(F.xxhash64(content).alias("hash"), content.alias("text"))
 
 
-def features(docs: DataFrame, model: Model, *, text: str = "text", slow: DataFrame | None = None) -> DataFrame:
-    """Add a column ``_features``: the three ratios of each whole text; ``slow`` are the ``table_sums`` of these texts, if known."""
+def likelihoods(docs: DataFrame, model: Model, *, text: str = "text", slow: DataFrame | None = None) -> DataFrame:
+    """Add a column ``_sums`` for each whole text; ``slow`` are the ``table_sums`` of these texts, if known.
+
+    Its fields: words; the log-likelihoods word_toxic, word_ordinary (order 1) and all_toxic, all_ordinary
+    (order 2); telling and strongest, sum and maximum over words of the classes' difference, the first where it is over ``TELLING``.
+    """
     shared = model.shared
 
     @F.arrow_udf("array<double>")
     def sums_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        """Words, and total, telling and peak ratio over what is sent, of each text."""
+        """Words, positions asked for, sums over what is sent of each text: two of words, two of all, telling, strongest."""
         known = shared.value
         for batch in batches:
             whole = pa.record_batch([batch], names=["text"])
-            rows = [np.zeros((0, 4))]
+            rows = [np.zeros((0, 8))]
             for block in blocks(whole, "text"):
                 words, contexts, offsets = _bigrams(block.column(0))
-                values = np.nan_to_num(known.settle(words, contexts)[0].astype(float))
-                sums = np.append(0.0, np.cumsum(values))
-                telling = np.append(0.0, np.cumsum(np.where(values > TELLING, values, 0.0)))
                 size = np.diff(offsets)
-                filled = np.flatnonzero(size)
-                peaks = np.zeros(len(size))
-                if len(filled):
-                    peaks[filled] = np.maximum(np.maximum.reduceat(values, offsets[:-1][filled]), 0.0)
-                ends, begins = offsets[1:], offsets[:-1]
-                rows.append(np.stack([size, sums[ends] - sums[begins], telling[ends] - telling[begins], peaks], axis=1))
+                at = np.repeat(np.arange(len(size)), size)
+
+                def by_text(values: np.ndarray) -> np.ndarray:
+                    return np.bincount(at, weights=values, minlength=len(size))  # noqa: B023
+
+                made = np.zeros((len(size), 8))
+                made[:, 0] = size
+                for order, keys in enumerate(_keys(words, contexts)):
+                    terms, state = known.of(keys)
+                    made[:, 1] += by_text(state == 2)
+                    made[:, 4] += by_text(terms[:, 0])
+                    made[:, 5] += by_text(terms[:, 1])
+                    if order == 0:
+                        made[:, 2:4] = made[:, 4:6]
+                        ratio = np.where(state == 1, terms[:, 0] - terms[:, 1] + known.base[0] - known.base[1], 0.0)
+                        made[:, 6] = by_text(np.where(ratio > TELLING, ratio, 0.0))
+                        filled = np.flatnonzero(size)
+                        if len(filled):
+                            made[filled, 7] = np.maximum(np.maximum.reduceat(ratio, offsets[:-1][filled]), 0.0)
+                rows.append(made)
             flat = np.concatenate(rows)
-            yield pa.ListArray.from_arrays(pa.array(np.arange(0, flat.size + 1, 4), pa.int32()), pa.array(flat.reshape(-1)))
+            yield pa.ListArray.from_arrays(pa.array(np.arange(0, flat.size + 1, 8), pa.int32()), pa.array(flat.reshape(-1)))
 
     content = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     slow = table_sums(hashed_texts(docs, text), model) if slow is None else slow
-    slow = slow.select(F.col("hash").alias("_hash"), F.col("total").alias("_total"), F.col("telling").alias("_telling"), F.col("peak").alias("_peak"))
-    rows = docs.withColumns({"_sums": sums_of(content), "_hash": F.xxhash64(content)})
-    rows = checked_join(rows, slow, "_hash", "left")
-    size = F.greatest(F.element_at("_sums", 1), F.lit(1.0))
-    none = F.lit(0.0)
+    slow = slow.select(*[F.col(name).alias(f"_slow_{name}") for name in slow.columns])
+    rows = docs.withColumns({"_fast": sums_of(content), "_slow_hash": F.xxhash64(content)})
+    rows = checked_join(rows, slow, "_slow_hash", "left")
+    fast = [F.element_at("_fast", k + 1) for k in range(8)]
+    # How many blocks asked for this text.
+    copies = F.col("_slow_asked") / F.greatest(fast[1], F.lit(1.0))
+    looked = {name: F.coalesce(F.col(f"_slow_{name}") / copies, F.lit(0.0)) for name in ("word_toxic", "word_ordinary", "all_toxic", "all_ordinary", "telling")}
+    parts = {"words": fast[0]}
+    for k, name in enumerate(("word_toxic", "word_ordinary", "all_toxic", "all_ordinary")):
+        parts[name] = fast[2 + k] + looked[name] + fast[0] * F.lit(model.base[name.split("_")[1]])
+    parts["telling"] = fast[6] + looked["telling"]
+    parts["strongest"] = F.greatest(fast[7], F.coalesce("_slow_strongest", F.lit(0.0)))
+    made = F.struct(*[value.alias(name) for name, value in parts.items()])
+    return rows.withColumn("_sums", made).drop("_fast", *slow.columns)
+
+
+def features(docs: DataFrame, model: Model, *, text: str = "text", slow: DataFrame | None = None) -> DataFrame:
+    """Add a column ``_features``: the values of ``FEATURES`` of each whole text; ``slow`` as in ``likelihoods``."""
+    rows = likelihoods(docs, model, text=text, slow=slow)
+    size = F.greatest(F.col("_sums.words"), F.lit(1.0))
     made = F.array(
-        (F.element_at("_sums", 2) + F.coalesce("_total", none)) / size,
-        (F.element_at("_sums", 3) + F.coalesce("_telling", none)) / size,
-        F.greatest(F.element_at("_sums", 4), F.coalesce("_peak", none)),
+        (F.col("_sums.all_toxic") - F.col("_sums.all_ordinary")) / size, (F.col("_sums.word_toxic") - F.col("_sums.word_ordinary")) / size,
+        F.col("_sums.telling") / size, F.col("_sums.strongest"),
     )
-    return rows.withColumn("_features", made).drop("_sums", "_hash", "_total", "_telling", "_peak")
+    return rows.withColumn("_features", made).drop("_sums")
 
 
 def fit_curve(values: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, float]:
@@ -342,6 +383,7 @@ def score(
     model = fit_model(training)
     fitting = checked_join(texts.where(fold(F.col("_key")) == 3), held, "_key", "inner")
     slow = table_sums(hashed_texts(docs, text), model)
+    discard(model.table)
     rows = features(fitting, model, slow=slow).select(F.xxhash64("_key").alias("_order"), "toxic", "_features")
     sample = rows.orderBy("_order", "toxic").limit(calibration_rows).toPandas()
     values = np.array(sample["_features"].tolist(), dtype=float).reshape(-1, len(FEATURES))

@@ -7,6 +7,7 @@ import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -336,14 +337,63 @@ def test_toxicity_looks_up_what_is_not_sent(spark):
     assert np.allclose(features[0], features[1], atol=1e-9) and np.allclose(features[0], features[2], atol=1e-9)
 
 
+def plain_likelihoods(rows, text):
+    """Log-likelihoods of a text by dictionaries: {class: (words alone, bigrams)}, straight from the formulas."""
+    bigram = {c: Counter() for c in (0, 1)}
+    for one, label in rows:
+        words = one.lower().split()
+        bigram[label].update(zip(["<"] + words, words))
+    contexts = {c: {} for c in (0, 1, "both")}
+    for c in (0, 1):
+        for v, w in bigram[c]:
+            contexts[c].setdefault(w, set()).add(v)
+            contexts["both"].setdefault(w, set()).add(v)
+    total = {c: sum(map(len, met.values())) for c, met in contexts.items()}
+    d, size = toxicity.DISCOUNT, len(contexts["both"])
+
+    def shared(w):
+        return max(len(contexts["both"].get(w, ())) - d, 0) / total["both"] + d * size / total["both"] / (size + 1)
+
+    def word(c, w):
+        return max(len(contexts[c].get(w, ())) - d, 0) / total[c] + d * len(contexts[c]) / total[c] * shared(w)
+
+    def after(c, v, w):
+        seen = {x: n for (u, x), n in bigram[c].items() if u == v}
+        if not seen:
+            return word(c, w)
+        return max(seen.get(w, 0) - d, 0) / sum(seen.values()) + d * len(seen) / sum(seen.values()) * word(c, w)
+
+    vocabulary = [*contexts["both"], "never-seen"]
+    assert all(abs(sum(word(c, w) for w in vocabulary) - 1) < 1e-9 for c in (0, 1))
+    words = text.lower().split()
+    return {c: (sum(math.log(word(c, w)) for w in words), sum(math.log(after(c, v, w)) for v, w in zip(["<"] + words, words))) for c in (0, 1)}
+
+
+def test_toxicity_likelihoods_against_dictionaries(spark):
+    rng = random.Random(11)
+    line = lambda: " ".join(f"w{min(int(rng.expovariate(0.05)), 90)}" for _ in range(30))
+    rows = [(line() + (" vile w1 once%d" % k if k % 4 == 0 else " kind w2"), int(k % 4 == 0)) for k in range(60)] + [("rare rare", 1), ("Rare pair", 0)]
+    texts = [rows[0][0], rows[1][0], line(), "never seen words", "w1 vile never w1", "once0 w1", "RARE pair rare", "w1", "", rows[0][0], rows[0][0]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "id long, text string").repartition(5)
+    for most in (1 << 19, 20, 1):
+        model = toxicity.fit_model(trained(spark, rows), most=most)
+        got = {r["id"]: r["_sums"] for r in toxicity.likelihoods(docs, model).collect()}
+        for k, text in enumerate(texts):
+            plain = plain_likelihoods(rows, text)
+            have = [(got[k].word_ordinary, got[k].all_ordinary), (got[k].word_toxic, got[k].all_toxic)]
+            assert got[k].words == len(text.split()) and np.allclose(have, [plain[0], plain[1]], rtol=1e-9, atol=1e-9)
+
+
 def test_toxicity_keeps_rare_expressions(spark):
     rows = [("a b c d e f", 0)] * 30 + [("a b zork c d", 1)] * 5 + [("f e once", 1)]
     model = toxicity.fit_model(trained(spark, rows))
-    of = {t: f for t, f in ((r["text"], r["_features"]) for r in toxicity.features(spark.createDataFrame([("b zork",), ("q zork",), ("e once",), ("a b",), ("never",)], "text string"), model).collect())}
-    assert of["b zork"][2] > of["e once"][2] > 0.1 and of["q zork"][2] > 0.1
-    assert of["b zork"][2] > of["q zork"][2] and of["never"] == [0, 0, 0]
-    # Every word and every bigram has a row.
-    assert model.table.count() == 8 + 11
+    texts = ["b zork", "q zork", "e once", "a b", "never"]
+    of = {r["text"]: r["_features"] for r in toxicity.features(spark.createDataFrame([(t,) for t in texts], "text string"), model).collect()}
+    # A word met once counts; the toxic bigram says more than its word after a new context.
+    assert of["q zork"][1] > 0.1 and of["e once"][1] > of["a b"][1] and of["q zork"][3] > 0.1
+    assert of["b zork"][0] > of["q zork"][0]
+    # Every word, every context (the begin too) and every bigram has a row.
+    assert model.table.count() == 8 + 8 + 11
 
 
 def test_toxicity_counts_all_but_the_calibration_sample(spark):
