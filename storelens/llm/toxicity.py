@@ -45,6 +45,7 @@ from storelens.llm.words import word_hashes
 
 MOST_EXPRESSIONS = 1 << 19
 FILTER_SLOTS = 1 << 21
+SLOT_BITS = 20
 DISCOUNT = 0.75
 TELLING = 1.0
 CALIBRATION_ROWS = 20_000
@@ -104,7 +105,7 @@ class Terms:
     """Terms of the most frequent expressions, by sorted hash, and a filter of all others.
 
     ``values`` has a row of toxic and ordinary term each, a word's relative to ``base``, the logarithms of what
-    words in neither class have.  The filter has a bit for the low part of each other
+    words in neither class have; ``starts`` the place of the first hash of each beginning of ``SLOT_BITS`` bits.  The filter has a bit for the low part of each other
     expression's hash: an unset one says that the expression has no row in the table.
     """
 
@@ -112,16 +113,21 @@ class Terms:
     values: np.ndarray
     others: np.ndarray
     base: np.ndarray
+    starts: np.ndarray
 
     def of(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Terms of each expression, 0 where none are sent, and the state: 0 unknown, 1 sent, 2 only the table can tell."""
         state, terms = np.zeros(len(keys), dtype=np.int8), np.zeros((len(keys), 2))
-        if len(self.keys):
-            at = np.searchsorted(self.keys, keys)
-            at[at == len(self.keys)] = 0
-            sent = self.keys[at] == keys
-            state[sent] = 1
-            terms[sent] = self.values[at[sent]]
+        # Sorted hashes are spread evenly: the first bits say where to look, and there are few to compare.
+        slot = (keys >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+        at, end = self.starts[slot], self.starts[slot + 1]
+        open_ = np.flatnonzero(at < end)
+        while len(open_):
+            sent = self.keys[at[open_]] == keys[open_]
+            state[open_[sent]] = 1
+            terms[open_[sent]] = self.values[at[open_[sent]]]
+            at[open_] += 1
+            open_ = open_[~sent & (at[open_] < end[open_])]
         slots = (keys & np.uint64(FILTER_SLOTS - 1)).astype(np.int64)
         bits = (keys >> np.uint64(32)) & np.uint64(63)
         state[(state == 0) & ((self.others[slots] >> bits) & np.uint64(1) == 1)] = 2
@@ -205,7 +211,8 @@ def fit_model(training: DataFrame, *, most: int = MOST_EXPRESSIONS) -> Model:
         bit = F.expr("shiftleft(1L, cast(shiftrightunsigned(key, 32) & 63 as int))")
         bits = table.where(~frequent).groupBy(slot.alias("slot")).agg(F.bit_or(bit).alias("bits")).toArrow()
         others[bits["slot"].to_numpy()] = bits["bits"].to_numpy().view(np.uint64)
-    terms = Terms(keys[order], values, others, np.array([base["toxic"], base["ordinary"]]))
+    starts = np.searchsorted(keys[order], np.arange(1 << SLOT_BITS, dtype=np.uint64) << np.uint64(64 - SLOT_BITS))
+    terms = Terms(keys[order], values, others, np.array([base["toxic"], base["ordinary"]]), np.append(starts, len(keys)))
     return Model(table.drop("n"), spark.sparkContext.broadcast(terms), base)
 
 
