@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.common import stored
+from storelens.llm.common import discard, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -21,14 +21,18 @@ def components(links: DataFrame) -> DataFrame:
     while True:
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         # Large star: all larger neighbours of a node hang on its least neighbour or itself.
-        least = stored(both.groupBy("a").agg(F.min("b").alias("least")).select("a", F.least("a", "least").alias("least")), "least")
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+        first = stored(both.groupBy("a").agg(F.min("b").alias("least")).select("a", F.least("a", "least").alias("least")), "least")
+        large = both.where("b > a").join(first, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
         large = stored(large.where("a <> b").distinct(), "large")
         # Small star: a node's smaller neighbours and itself hang on the least of them.
         least = stored(large.groupBy("a").agg(F.min("b").alias("least"), F.count(F.lit(1)).alias("n")), "least")
+        discard(first)
+        discard(edges)
         joined = large.join(least, "a")
         small = joined.where("b <> least").select(F.col("b").alias("a"), F.col("least").alias("b"))
         small = stored(small.unionAll(least.select("a", F.col("least").alias("b"))).distinct(), "small")
+        discard(large)
+        discard(least)
         # Done if no node hangs on two, and none that others hang on hangs itself.
         several = small.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         hanging = small.join(small.select(F.col("a").alias("b")).distinct(), "b", "left_semi")

@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.common import blocks, checked_join, stored
+from storelens.llm.common import blocks, checked_join, discard, stored
 from storelens.llm.components import components
 from storelens.llm.words import shingle_sets
 
@@ -266,7 +266,10 @@ def link_documents(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     stars = seeds.join(firsts, "token").where("id <> first").select(F.col("first").alias("x"), F.col("id").alias("y"))
     representatives = checked_join(texts, stored(groups.select("id"), "representatives"), "id", "left_semi")
     sketches = rows.where("n > 1").select("id", "sketch")
-    near = stored(verified(stored(possible(stars.distinct(), sketches, percent), "stars"), representatives, percent), "near")
+    first_pairs = stored(possible(stars.distinct(), sketches, percent), "stars")
+    near = stored(verified(first_pairs, representatives, percent), "near")
+    for done in (firsts, first_pairs):
+        discard(done)
     classes = components(near.select(F.col("x").alias("a"), F.col("y").alias("b")))
     ids = groups.where("n > 1").select("id")
     named = ids.join(classes.withColumnRenamed("node", "id"), "id", "left")
@@ -283,26 +286,35 @@ def link_documents(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     listed = index.where("frequent is not null").select("id", "class", "frequent")
     entries = listed.select("id", "class", F.explode("frequent").alias("token"))
     mixed = entries.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("token")
-    kept = checked_join(entries, stored(mixed, "mixed"), "token", "left_semi")
+    mixed = stored(mixed, "mixed")
+    kept = checked_join(entries, mixed, "token", "left_semi")
     lists = kept.groupBy("id", "class").agg(F.sort_array(F.collect_set("token")).alias("tokens"))
     first = F.posexplode("tokens").alias("place", "one")
     combined = lists.select("id", "class", "tokens", first)
     combined = combined.select("id", "class", "one", F.explode(F.expr("slice(tokens, place + 2, size(tokens))")).alias("two"))
     combined = stored(combined, "combinations")
     spread = combined.groupBy("one", "two").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
-    combined = combined.join(stored(spread.select("one", "two"), "spread"), ["one", "two"])
-    other = combined.select("one", "two", F.col("id").alias("y"), F.col("class").alias("class_y"))
-    by_two = combined.withColumnRenamed("id", "x").join(other, ["one", "two"]).where("x < y and class <> class_y").select("x", "y")
+    spread = stored(spread.select("one", "two"), "spread")
+    several = combined.join(spread, ["one", "two"])
+    other = several.select("one", "two", F.col("id").alias("y"), F.col("class").alias("class_y"))
+    by_two = several.withColumnRenamed("id", "x").join(other, ["one", "two"]).where("x < y and class <> class_y").select("x", "y")
 
     candidates = stored(by_rare.unionAll(by_two).distinct(), "candidates")
-    candidates = stored(possible(candidates, sketches, percent), "possible")
-    links = verified(candidates, representatives, percent)
+    for done in (index, mixed, combined, spread):
+        discard(done)
+    left = stored(possible(candidates, sketches, percent), "possible")
+    discard(candidates)
+    links = verified(left, representatives, percent)
     final = components(near.unionAll(links).select(F.col("x").alias("a"), F.col("y").alias("b")))
     final = stored(final.withColumnsRenamed({"node": "id"}), "components")
     grouped = groups.join(final, "id", "left").select("set_a", "set_b", "n", F.coalesce("component", "id").alias("component_id"))
     known = stored(grouped, "grouped")
     result = checked_join(rows.drop("seeds", "sketch"), known, ["set_a", "set_b", "n"], "left")
-    return result.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
+    result = result.select(F.col("id").alias(key), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
+    result = stored(result, "linked-documents")
+    for done in (rows, groups, near, named, left, frequent, final, known):
+        discard(done)
+    return result
 
 
 def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -311,7 +323,6 @@ def keep_one(docs: DataFrame, *, key: str = "doc_id", text: str = "text", percen
     Of repeated rows with equal key and text one stays; documents without words and those without a key all stay.
     """
     linked = link_documents(docs, key=key, text=text, percent=percent).where("n_shingles > 0")
-    linked = stored(linked.select(F.col(f"`{key}`").alias(key), "component_id"), "linked")
     dropped = stored(linked.where(F.col(key) != F.col("component_id")).select(key).distinct(), "dropped")
     repeated = stored(linked.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key), "repeated")
     kept = checked_join(docs, dropped, key, "left_anti")
