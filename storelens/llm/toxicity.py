@@ -46,6 +46,7 @@ from storelens.llm.words import word_hashes
 MOST_EXPRESSIONS = 1 << 19
 FILTER_SLOTS = 1 << 21
 SLOT_BITS = 20
+SCORED_BYTES = 1 << 20
 DISCOUNT = 0.75
 TELLING = 1.0
 CALIBRATION_ROWS = 20_000
@@ -232,7 +233,7 @@ def _asked(shared: Broadcast):
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            for block in blocks(batch, "text"):
+            for block in blocks(batch, "text", SCORED_BYTES):
                 hashes = block.column("hash").to_numpy(zero_copy_only=False)
                 # Of equal texts in a block one asks.
                 block = block.take(pa.array(np.sort(np.unique(hashes, return_index=True)[1])))
@@ -289,7 +290,7 @@ def likelihoods(docs: DataFrame, model: Model, *, text: str = "text", slow: Data
         for batch in batches:
             whole = pa.record_batch([batch], names=["text"])
             rows = [np.zeros((0, 8))]
-            for block in blocks(whole, "text"):
+            for block in blocks(whole, "text", SCORED_BYTES):
                 words, contexts, offsets = _bigrams(block.column(0))
                 size = np.diff(offsets)
                 at = np.repeat(np.arange(len(size)), size)
