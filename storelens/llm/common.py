@@ -6,6 +6,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -15,6 +16,7 @@ from pyspark.sql import types as T
 BROADCAST_BYTES = 32 * 1024 * 1024
 BLOCK_BYTES = 4 * 1024 * 1024
 BLOCK_ROWS = 50_000
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -39,10 +41,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Spark removes the shuffle files of the queries run inside as each ends; the session's own setting comes back after it."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write a frame to the shared folder and read it back: its lineage ends here."""
+    """Write a frame to the shared folder and read it back: its lineage ends here, and its shuffle files go."""
     path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with shuffles_removed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -63,7 +80,8 @@ def frame_bytes(df: DataFrame) -> int:
             size = size + F.coalesce(F.octet_length(column), F.lit(0)) + 16
         else:
             size = size + 8
-    return df.agg(F.sum(size.cast("long")).alias("bytes")).first()["bytes"] or 0
+    with shuffles_removed(df.sparkSession):
+        return df.agg(F.sum(size.cast("long")).alias("bytes")).first()["bytes"] or 0
 
 
 def checked_join(rows: DataFrame, lookup: DataFrame, on: str | list[str], how: str, limit: int = BROADCAST_BYTES) -> DataFrame:

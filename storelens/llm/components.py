@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.common import discard, stored
+from storelens.llm.common import discard, shuffles_removed, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -36,7 +36,9 @@ def components(links: DataFrame) -> DataFrame:
         # Done if no node hangs on two, and none that others hang on hangs itself.
         several = small.groupBy("a").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         hanging = small.join(small.select(F.col("a").alias("b")).distinct(), "b", "left_semi")
-        if several.isEmpty() and hanging.isEmpty():
+        with shuffles_removed(links.sparkSession):
+            done = several.isEmpty() and hanging.isEmpty()
+        if done:
             roots = small.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()
             return small.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(roots)
         edges = small

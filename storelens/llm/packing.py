@@ -36,7 +36,7 @@ from storelens.llm.word_bpe import encoder
 CAPACITY = 2048
 UNIT = 8
 RANKED_ROWS = 100_000
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 GAP = 1e-3
 
 Pattern = dict[int, int]
