@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 VECTOR_SIZE = 16
 MIN_COUNT = 100
 PARTITIONS = 4
+# Words that one task trains on at most; a larger corpus is dealt over more tasks.
+WORDS_PER_TASK = 2_000_000
 
 # Spark cuts a ranking to its first rows in every task up to this many rows.
 RANKED_IN_TASKS = 1_000
@@ -36,13 +38,16 @@ def fit_word_vectors(
     vector_size: int = VECTOR_SIZE,
     min_count: int = MIN_COUNT,
     partitions: int = PARTITIONS,
+    words_per_task: int = WORDS_PER_TASK,
     seed: int = 42,
 ) -> Word2VecModel:
     """Train word vectors on token arrays.
 
-    The vectors depend on the number of partitions, which is therefore a parameter:
-    raise it for a large corpus, on which a handful of tasks would train too long.
+    The vectors depend on the number of partitions, which is therefore a parameter.  It is the least number:
+    a corpus with more than ``words_per_task`` trained words for each gets more, so that no task's time grows with it.
     """
+    trained = vocabulary(df, words, min_count).agg(F.sum("n").alias("n")).first()["n"] or 0
+    partitions = max(partitions, -(-trained // words_per_task))
     trainer = Word2Vec(
         inputCol=words,
         outputCol="_vector",

@@ -130,6 +130,15 @@ def test_vocabulary_of_the_model(words):
     assert found.where("abs(similarity) > 1.000001").count() == 0
 
 
+def test_large_corpora_train_in_more_tasks(words):
+    """No task trains on more words than asked for; small corpora keep the fixed number of tasks."""
+    trained = vectors.vocabulary(words, "words").agg(F.sum("n").alias("n")).first()["n"]
+    model = vectors.fit_word_vectors(words, "words", words_per_task=2_000)
+    assert model.getNumPartitions() == -(-trained // 2_000) > vectors.PARTITIONS
+    assert model.getVectors().count() == vectors.vocabulary(words, "words").count()
+    assert vectors.fit_word_vectors(words, "words").getNumPartitions() == vectors.PARTITIONS
+
+
 def test_task_5(spark, words):
     asked = [row["word"] for row in vectors.vocabulary(words, "words").orderBy(F.desc("n"), "word").limit(3).collect()]
     titles = table(spark, SMALL, "documents").withColumnRenamed("text", "title")
