@@ -40,7 +40,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.common import blocks, checked_join, discard, stored
+from storelens.llm.common import blocks, checked_join, discard, shuffles_removed, stored
 from storelens.llm.words import word_hashes
 
 MOST_EXPRESSIONS = 1 << 19
@@ -195,7 +195,8 @@ def fit_model(training: DataFrame, *, most: int = MOST_EXPRESSIONS) -> Model:
         discard(done)
 
     # The least count of those that are sent, from the number of expressions by count.
-    sizes = sorted(((r["n"], r["rows"]) for r in table.groupBy("n").agg(F.count(F.lit(1)).alias("rows")).collect()), reverse=True)
+    with shuffles_removed(spark):
+        sizes = sorted(((r["n"], r["rows"]) for r in table.groupBy("n").agg(F.count(F.lit(1)).alias("rows")).collect()), reverse=True)
     sent, least = 0, None
     for n, rows in sizes:
         if sent + rows > most:
@@ -210,7 +211,8 @@ def fit_model(training: DataFrame, *, most: int = MOST_EXPRESSIONS) -> Model:
     if sent < sum(rows for _, rows in sizes):
         slot = F.col("key").bitwiseAND(F.lit(FILTER_SLOTS - 1))
         bit = F.expr("shiftleft(1L, cast(shiftrightunsigned(key, 32) & 63 as int))")
-        bits = table.where(~frequent).groupBy(slot.alias("slot")).agg(F.bit_or(bit).alias("bits")).toArrow()
+        with shuffles_removed(spark):
+            bits = table.where(~frequent).groupBy(slot.alias("slot")).agg(F.bit_or(bit).alias("bits")).toArrow()
         others[bits["slot"].to_numpy()] = bits["bits"].to_numpy().view(np.uint64)
     starts = np.searchsorted(keys[order], np.arange(1 << SLOT_BITS, dtype=np.uint64) << np.uint64(64 - SLOT_BITS))
     terms = Terms(keys[order], values, others, np.array([base["toxic"], base["ordinary"]]), np.append(starts, len(keys)))

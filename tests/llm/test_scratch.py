@@ -8,7 +8,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from storelens.llm import packing
+from storelens.llm import packing, toxicity
 from storelens.llm.common import SHUFFLE_CLEANUP, blocks, shuffles_removed, stored
 from storelens.llm.word_bpe import encoder
 
@@ -30,6 +30,15 @@ def test_stored_frames_leave_no_shuffle_files(spark):
         assert rows.agg(F.sum("n").alias("n")).first()["n"] == 1000
 
 
+def test_fitting_the_toxicity_model_leaves_no_shuffle_files(spark):
+    rows = [(f"word{k} and word{k % 7} again", k % 2) for k in range(60)]
+    training = spark.createDataFrame(rows, "text string, toxic int")
+    before = shuffles(spark)
+    model = toxicity.fit_model(training, most=10)
+    assert shuffles(spark) <= before
+    assert len(model.shared.value.keys) <= 10 < model.table.count()
+
+
 def test_memory_of_a_packing_block():
     """A block's arrays take many times its text, in each Python worker."""
     texts = pa.array([f"word{k % 50} of a plain text, " * 40 for k in range(8_000)])
