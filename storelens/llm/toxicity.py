@@ -18,10 +18,12 @@ length-normalised log-likelihoods of both orders, words and bigrams, and over tw
 first: the share that telling words bring, and the strongest word.  The curve is fitted
 on training texts that the counts have not seen.
 
-All words, contexts and bigrams are kept in a table.  The ``MOST_EXPRESSIONS`` most
-frequent rows are sent to all tasks with a filter of fixed size that names the others;
-what is not sent and the filter names is looked up in the table by a
-join, once a block for each distinct text.  The filter only saves work: a wrong hit finds no row.
+All words, contexts and bigrams are kept.  The terms of the ``MOST_EXPRESSIONS`` most
+frequent are sent to all tasks with a filter of fixed size that names the others.  What is not sent and the filter
+names is looked up: the lookups of a block of texts are packed by bucket of the hash, meet the terms
+of their bucket, and the answers of all buckets are added up by block.  The filter only saves work: a wrong hit finds no term.
+Counting and looking up go over the expressions in up to ``ROUNDS`` rounds, by the hash of the word or of the bigram's context, and the
+files of a round go before the next, so that the disk holds one round's shuffles at a time.
 The curve is fitted on at most ``CALIBRATION_ROWS`` labelled texts.
 
 Edge cases: a null or empty text has no words and takes the curve's value at
@@ -31,19 +33,23 @@ Without labels of both classes every score is 0.  An empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.common import blocks, checked_join, discard, shuffles_removed, stored
+from storelens.llm.common import BROADCAST_BYTES, blocks, checked_join, discard, frame_bytes, shuffles_removed, stored
 from storelens.llm.words import word_hashes
 
-MOST_EXPRESSIONS = 1 << 19
+MOST_EXPRESSIONS = 1 << 20
+ROUNDS = 6
+ROUND_BYTES = 64 << 20
+TERMS_PER_BUCKET = 500_000
 FILTER_SLOTS = 1 << 21
 SLOT_BITS = 20
 SCORED_BYTES = 1 << 20
@@ -54,6 +60,7 @@ THRESHOLD = 0.3
 
 _BEGIN = np.uint64(0x5851F42D4C957F2D)
 CLASSES = ("ordinary", "toxic")
+SUMS = ("words", "word_toxic", "word_ordinary", "all_toxic", "all_ordinary", "telling", "strongest")
 FEATURES = ("bigram_difference", "word_difference", "telling_difference", "strongest_word")
 _CONTEXT = 0x1D8E4E27C47D124F
 
@@ -67,21 +74,41 @@ def _bigrams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return words, before, offsets
 
 
-def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of each (word, context) by class, once per block of texts."""
-    for batch in batches:
-        for block in blocks(batch, "text"):
-            words, contexts, offsets = _bigrams(block.column("text"))
-            if not len(words):
-                continue
-            toxic = np.repeat(block.column("toxic").to_numpy(zero_copy_only=False), np.diff(offsets)).astype(np.int64)
-            order = np.lexsort((contexts, words))
-            words, contexts, toxic = words[order], contexts[order], toxic[order]
-            begins = np.flatnonzero(np.append(True, (words[1:] != words[:-1]) | (contexts[1:] != contexts[:-1])))
-            times = np.diff(np.append(begins, len(words)))
-            of_toxic = np.add.reduceat(toxic, begins)
-            columns = [words[begins].view(np.int64), contexts[begins].view(np.int64), times - of_toxic, of_toxic]
-            yield from _batches(columns, ["word", "context", "ordinary", "toxic"])
+def rounds_for(texts: DataFrame) -> int:
+    """One round for each ``ROUND_BYTES`` of the column text, ``ROUNDS`` at most."""
+    return min(ROUNDS, 1 + frame_bytes(texts.select("text")) // ROUND_BYTES)
+
+
+def _round(hashes: np.ndarray, rounds: int) -> np.ndarray:
+    return (hashes >> np.uint64(40)) % np.uint64(rounds)
+
+
+def _round_column(name: str, rounds: int) -> Column:
+    """``_round`` of a column."""
+    return F.shiftrightunsigned(name, 40) % rounds
+
+
+def _counts(turn: int, rounds: int):
+    """Map of (text, toxic) to the counts of each (word, context) of one round by class, once per block of texts."""
+
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block in blocks(batch, "text"):
+                words, contexts, offsets = _bigrams(block.column("text"))
+                toxic = np.repeat(block.column("toxic").to_numpy(zero_copy_only=False), np.diff(offsets)).astype(np.int64)
+                own = _round(contexts, rounds) == turn
+                words, contexts, toxic = words[own], contexts[own], toxic[own]
+                if not len(words):
+                    continue
+                order = np.lexsort((contexts, words))
+                words, contexts, toxic = words[order], contexts[order], toxic[order]
+                begins = np.flatnonzero(np.append(True, (words[1:] != words[:-1]) | (contexts[1:] != contexts[:-1])))
+                times = np.diff(np.append(begins, len(words)))
+                of_toxic = np.add.reduceat(toxic, begins)
+                columns = [words[begins].view(np.int64), contexts[begins].view(np.int64), times - of_toxic, of_toxic]
+                yield from _batches(columns, ["word", "context", "ordinary", "toxic"])
+
+    return counts
 
 
 def _batches(columns: list, names: list[str], rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:
@@ -142,31 +169,47 @@ def _keys(words: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 @dataclass
 class Model:
-    """All terms (key, toxic, ordinary, word) in a table, the most frequent ones sent to all tasks; ``base`` as in ``Terms``."""
+    """All terms (key, toxic, ordinary, word) as a frame, the most frequent ones sent to all tasks; ``base`` as in ``Terms``.
+
+    ``rounds`` has the terms of each round that are not sent, ``buckets`` into how many parts one is dealt,
+    ``counts`` the stored counts that all of them read.
+    """
 
     table: DataFrame
     shared: Broadcast
     base: dict[str, float]
+    rounds: list[DataFrame]
+    buckets: int
+    counts: list[DataFrame]
+
 
+def count_pairs(training: DataFrame, rounds: int) -> list[DataFrame]:
+    """All bigrams of the training texts (text, toxic) with their counts by class, stored round by round."""
+    made = []
+    for turn in range(rounds):
+        counted = training.mapInArrow(_counts(turn, rounds), "word bigint, context bigint, ordinary bigint, toxic bigint")
+        made.append(stored(counted.groupBy("word", "context").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")), "pairs"))
+    return made
 
-def count_pairs(training: DataFrame) -> DataFrame:
-    """All bigrams of the training texts (text, toxic) with their counts by class, stored."""
-    counted = training.mapInArrow(_counts, "word bigint, context bigint, ordinary bigint, toxic bigint")
-    return stored(counted.groupBy("word", "context").agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic")), "pairs")
 
+def fit_model(training: DataFrame, *, most: int = MOST_EXPRESSIONS, rounds: int | None = None) -> Model:
+    """Count the training texts (text, toxic) and work out the terms of every word, context and bigram.
 
-def fit_model(training: DataFrame, *, most: int = MOST_EXPRESSIONS) -> Model:
-    """Count the training texts (text, toxic) and work out the terms of every word, context and bigram."""
+    ``rounds`` only steers the work; by default it follows from the size of the training texts.
+    """
     spark = training.sparkSession
-    pairs = count_pairs(training)
+    rounds = rounds or rounds_for(training)
+    pairs = count_pairs(training, rounds)
     met = [F.count_if(F.col(c) > 0).alias(c) for c in CLASSES]
-    words = stored(pairs.groupBy("word").agg(*met, F.count(F.lit(1)).alias("both")), "words")
+    words = stored(reduce(DataFrame.unionAll, pairs).groupBy("word").agg(*met, F.count(F.lit(1)).alias("both")), "words")
     followers = [F.count_if(F.col(c) > 0).alias(f"{c}_kinds") for c in CLASSES]
-    contexts = stored(pairs.groupBy("context").agg(*[F.sum(c).alias(f"{c}_n") for c in CLASSES], *followers), "contexts")
-    sums = words.agg(
-        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in (*CLASSES, "both")],
-        *[F.count_if(F.col(c) > 0).alias(f"{c}_words") for c in CLASSES], F.count(F.lit(1)).alias("words"),
-    ).first()
+    # All bigrams of a context are in its round.
+    contexts = [stored(part.groupBy("context").agg(*[F.sum(c).alias(f"{c}_n") for c in CLASSES], *followers), "contexts") for part in pairs]
+    with shuffles_removed(spark):
+        sums = words.agg(
+            *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in (*CLASSES, "both")],
+            *[F.count_if(F.col(c) > 0).alias(f"{c}_words") for c in CLASSES], F.count(F.lit(1)).alias("words"),
+        ).first()
 
     def discounted(column: str) -> Column:
         return F.greatest(F.col(column) - DISCOUNT, F.lit(0.0))
@@ -177,63 +220,86 @@ def fit_model(training: DataFrame, *, most: int = MOST_EXPRESSIONS) -> Model:
     backoff = {c: DISCOUNT * sums[f"{c}_words"] / sums[c] if sums[c] else 1.0 for c in CLASSES}
     base = {c: float(np.log(backoff[c] * unseen)) if sums["words"] else 0.0 for c in CLASSES}
     likely = words.select("word", "both", *[(discounted(c) / max(sums[c], 1) + backoff[c] * shared_p).alias(f"{c}_p") for c in CLASSES])
-    word_terms = likely.select(
-        F.col("word").alias("key"), F.col("both").alias("n"), *[(F.ln(f"{c}_p") - base[c]).alias(c) for c in CLASSES], F.lit(True).alias("word")
-    )
     freed = {c: F.when(F.col(f"{c}_n") > 0, F.ln(DISCOUNT * F.col(f"{c}_kinds") / F.col(f"{c}_n"))).otherwise(0.0) for c in CLASSES}
-    context_terms = contexts.select(
-        F.col("context").bitwiseXOR(F.lit(_CONTEXT)).alias("key"), sum(F.col(f"{c}_n") for c in CLASSES).alias("n"), *[freed[c].alias(c) for c in CLASSES],
-        F.lit(False).alias("word"),
-    )
-    joined = checked_join(pairs, contexts.select("context", *[f"{c}_kinds" for c in CLASSES]), "context", "inner")
-    probabilities = stored(likely.drop("both"), "probabilities")
-    joined = checked_join(joined, probabilities, "word", "inner")
     gain = {c: F.when(F.col(c) > 0, F.log1p(discounted(c) / (DISCOUNT * F.col(f"{c}_kinds") * F.col(f"{c}_p")))).otherwise(0.0) for c in CLASSES}
-    pair_terms = joined.select(_bigram_key_column().alias("key"), (F.col("ordinary") + F.col("toxic")).alias("n"), *[gain[c].alias(c) for c in CLASSES], F.lit(False).alias("word"))
-    table = stored(word_terms.unionAll(context_terms).unionAll(pair_terms), "terms")
-    for done in (pairs, words, contexts, probabilities):
-        discard(done)
+    pair_n, context_n = F.col("ordinary") + F.col("toxic"), sum(F.col(f"{c}_n") for c in CLASSES)
+    context_key = F.col("context").bitwiseXOR(F.lit(_CONTEXT))
+    few_words = frame_bytes(likely) <= BROADCAST_BYTES
+
+    def terms(turn: int, wanted: Callable[[Column], Column]) -> DataFrame:
+        """Terms of the expressions of a round whose count is ``wanted``."""
+        own = likely.where((_round_column("word", rounds) == turn) & wanted(F.col("both")))
+        of_words = own.select(F.col("word").alias("key"), *[(F.ln(f"{c}_p") - base[c]).alias(c) for c in CLASSES], F.lit(True).alias("word"))
+        of_contexts = contexts[turn].where(wanted(context_n)).select(context_key.alias("key"), *[freed[c].alias(c) for c in CLASSES], F.lit(False).alias("word"))
+        joined = pairs[turn].where(wanted(pair_n)).join(contexts[turn].select("context", *[f"{c}_kinds" for c in CLASSES]), "context")
+        known = likely.drop("both")
+        joined = joined.join(F.broadcast(known) if few_words else known, "word")
+        of_pairs = joined.select(_bigram_key_column().alias("key"), *[gain[c].alias(c) for c in CLASSES], F.lit(False).alias("word"))
+        return of_words.unionAll(of_contexts).unionAll(of_pairs)
 
     # The least count of those that are sent, from the number of expressions by count.
+    counted = [likely.select(F.col("word").alias("key"), F.col("both").alias("n"))]
+    counted += [part.select(context_key.alias("key"), context_n.alias("n")) for part in contexts]
+    counted += [part.select(_bigram_key_column().alias("key"), pair_n.alias("n")) for part in pairs]
+    every = reduce(DataFrame.unionAll, counted)
     with shuffles_removed(spark):
-        sizes = sorted(((r["n"], r["rows"]) for r in table.groupBy("n").agg(F.count(F.lit(1)).alias("rows")).collect()), reverse=True)
+        sizes = sorted(((r["n"], r["rows"]) for r in every.groupBy("n").agg(F.count(F.lit(1)).alias("rows")).collect()), reverse=True)
     sent, least = 0, None
-    for n, rows in sizes:
-        if sent + rows > most:
+    for n, found in sizes:
+        if sent + found > most:
             break
-        sent, least = sent + rows, n
-    frequent = F.col("n") >= least if least is not None else F.lit(False)
-    hot = table.where(frequent).select("key", "toxic", "ordinary").toArrow()
+        sent, least = sent + found, n
+    left = sum(found for _, found in sizes) - sent
+    everything = reduce(DataFrame.unionAll, [terms(turn, lambda n: F.lit(True)) for turn in range(rounds)])
+    columns = ["key", "toxic", "ordinary"]
+    hot = pa.table({"key": pa.array([], pa.int64()), "toxic": pa.array([], pa.float64()), "ordinary": pa.array([], pa.float64())})
+    if least is not None:
+        for turn in range(rounds):
+            with shuffles_removed(spark):
+                hot = pa.concat_tables([hot, terms(turn, lambda n: n >= least).select(*columns).toArrow().cast(hot.schema)])
     keys = hot["key"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
     values = np.stack([hot["toxic"].to_numpy()[order], hot["ordinary"].to_numpy()[order]], axis=1)
     others = np.zeros(FILTER_SLOTS, dtype=np.uint64)
-    if sent < sum(rows for _, rows in sizes):
+    if left:
         slot = F.col("key").bitwiseAND(F.lit(FILTER_SLOTS - 1))
         bit = F.expr("shiftleft(1L, cast(shiftrightunsigned(key, 32) & 63 as int))")
+        rare = every.where(F.col("n") < least) if least is not None else every
         with shuffles_removed(spark):
-            bits = table.where(~frequent).groupBy(slot.alias("slot")).agg(F.bit_or(bit).alias("bits")).toArrow()
+            bits = rare.groupBy(slot.alias("slot")).agg(F.bit_or(bit).alias("bits")).toArrow()
         others[bits["slot"].to_numpy()] = bits["bits"].to_numpy().view(np.uint64)
     starts = np.searchsorted(keys[order], np.arange(1 << SLOT_BITS, dtype=np.uint64) << np.uint64(64 - SLOT_BITS))
-    terms = Terms(keys[order], values, others, np.array([base["toxic"], base["ordinary"]]), np.append(starts, len(keys)))
-    return Model(table.drop("n"), spark.sparkContext.broadcast(terms), base)
+    known = Terms(keys[order], values, others, np.array([base["toxic"], base["ordinary"]]), np.append(starts, len(keys)))
+    unsent = [terms(turn, lambda n: n < least if least is not None else F.lit(True)) for turn in range(rounds)]
+    buckets = max(8, left // (rounds * TERMS_PER_BUCKET))
+    return Model(everything, spark.sparkContext.broadcast(known), base, unsent, buckets, [*pairs, words, *contexts])
+
+
+def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
+    return ((keys & np.uint64(0xFFFFFF)) % np.uint64(buckets)).astype(np.int64)
+
 
+def _packed(rows: np.ndarray, first: int, *values: np.ndarray) -> bytes:
+    """The number of ``first`` rows, which are of words, the row numbers, and the values of each row."""
+    return b"".join([np.array([first, len(rows)], dtype="<u4").tobytes(), rows.astype("<u2").tobytes(), *[one.tobytes() for one in values]])
 
-def _open_keys(model: Terms, words: np.ndarray, contexts: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Keys that only the table can tell, and the row of each."""
-    open_keys, open_rows = [], []
-    for keys in _keys(words, contexts):
-        asked = model.of(keys)[1] == 2
-        open_keys.append(keys[asked])
-        open_rows.append(rows[asked])
-    return np.concatenate(open_keys), np.concatenate(open_rows)
 
+def _unpacked(blob: bytes, kind: type, columns: int) -> tuple[int, np.ndarray, list[np.ndarray]]:
+    first, n = np.frombuffer(blob, dtype="<u4", count=2).tolist()
+    rows = np.frombuffer(blob, dtype="<u2", count=n, offset=8).astype(np.int64)
+    return first, rows, [np.frombuffer(blob, dtype=kind, count=n, offset=8 + 2 * n + k * 8 * n) for k in range(columns)]
 
-def _asked(shared: Broadcast):
-    """Map of (hash, text) to the expressions of each text, once per block, that only the table can tell."""
+
+def _asked(shared: Broadcast, turn: int, rounds: int, buckets: int):
+    """Map of (hash, text) to the lookups of a block in each bucket.
+
+    One row of each block has in ``head`` the hashes of its distinct texts and, in the order of ``SUMS``, what the
+    terms sent bring in this round.
+    """
 
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        known = shared.value
+        number = TaskContext.get().partitionId() << 32
         for batch in batches:
             for block in blocks(batch, "text", SCORED_BYTES):
                 hashes = block.column("hash").to_numpy(zero_copy_only=False)
@@ -241,35 +307,111 @@ def _asked(shared: Broadcast):
                 block = block.take(pa.array(np.sort(np.unique(hashes, return_index=True)[1])))
                 hashes = block.column("hash").to_numpy(zero_copy_only=False)
                 words, contexts, offsets = _bigrams(block.column("text"))
-                keys, row = _open_keys(model, words, contexts, np.repeat(np.arange(len(hashes)), np.diff(offsets)))
-                if not len(keys):
-                    continue
-                order = np.lexsort((keys, row))
-                row, keys = row[order], keys[order]
-                begins = np.flatnonzero(np.append(True, (row[1:] != row[:-1]) | (keys[1:] != keys[:-1])))
-                times = np.diff(np.append(begins, len(row)))
-                yield from _batches([hashes[row[begins]], keys[begins].view(np.int64), times.astype(np.int32)], ["hash", "key", "times"])
+                row = np.repeat(np.arange(len(hashes)), np.diff(offsets))
+                made = np.zeros((len(SUMS), len(hashes)))
+                made[0] = np.diff(offsets) if turn == 0 else 0
+                of_words, of_contexts = _round(words, rounds) == turn, _round(contexts, rounds) == turn
+                open_keys, open_rows = [], []
+                for order, (keys, own) in enumerate(zip(_keys(words, contexts), (of_words, of_contexts, of_contexts), strict=True)):
+                    keys, at = keys[own], row[own]
+                    terms, state = known.of(keys)
+                    for k in range(2):
+                        made[3 + k] += np.bincount(at, weights=terms[:, k], minlength=len(hashes))
+                    if order == 0:
+                        made[1:3] = made[3:5]
+                        sent = state == 1
+                        _add_words(made, at[sent], terms[sent, 0] - terms[sent, 1] + known.base[0] - known.base[1])
+                    open_keys.append(keys[state == 2])
+                    open_rows.append(at[state == 2])
+                first = np.arange(sum(map(len, open_keys))) < len(open_keys[0])
+                keys, at = np.concatenate(open_keys), np.concatenate(open_rows)
+                bucket = _bucket(keys, buckets)
+                order = np.lexsort((at, ~first, bucket))
+                keys, at, first, bucket = keys[order], at[order], first[order], bucket[order]
+                cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
+                ends = np.append(cuts, len(bucket))[1:]
+                blobs = [_packed(at[a:b], int(first[a:b].sum()), keys[a:b]) for a, b in zip(cuts.tolist(), ends.tolist(), strict=True)]
+                head = hashes.tobytes() + made.tobytes()
+                heads = pa.array([head, *[None] * len(blobs)], pa.binary())
+                into = pa.array([number % buckets, *bucket[cuts].tolist()], pa.int64())
+                yield pa.record_batch([into, pa.array([number] * len(heads), pa.int64()), heads, pa.array([None, *blobs], pa.binary())], names=["bucket", "block", "head", "asks"])
+                number += 1
 
     return asked
 
 
-def table_sums(docs: DataFrame, model: Model) -> DataFrame:
-    """Sums of the texts over the expressions that are not sent, by hash.
+def _add_words(sums: np.ndarray, rows: np.ndarray, ratio: np.ndarray) -> None:
+    """Take words of the given rows and class differences into telling and strongest."""
+    told = ratio > TELLING
+    sums[5] += np.bincount(rows[told], weights=ratio[told], minlength=sums.shape[1])
+    np.maximum.at(sums[6], rows, ratio)
+
+
+def _answers(terms: pa.Table, asks: pa.Table) -> pa.Table:
+    """Answers to the lookups in a bucket: the terms of each word, and the sums by text of all others."""
+    keys = terms["key"].to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    keys, values = keys[order], [terms[c].to_numpy()[order] for c in ("toxic", "ordinary")]
+    answers = []
+    for blob in asks["asks"].to_pylist():
+        if blob is None or not len(keys):
+            answers.append(None)
+            continue
+        first, rows, (wanted,) = _unpacked(blob, np.uint64, 1)
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        hit = keys[at] == wanted
+        n_words, rows, at = int(hit[:first].sum()), rows[hit], at[hit]
+        found = [one[at] for one in values]
+        # The rows ascend among words and among others.
+        begins = np.flatnonzero(np.diff(rows[n_words:], prepend=-1)) + n_words
+        summed = [np.concatenate([one[:n_words], np.add.reduceat(one, begins) if len(begins) else one[:0]]) for one in found]
+        answers.append(_packed(np.concatenate([rows[:n_words], rows[begins]]), n_words, *summed))
+    return pa.table({"block": asks["block"], "head": asks["head"], "answer": pa.array(answers, pa.binary())})
+
+
+def _block_sums(difference: float):
+    """The sums of each text of a block from its head and the answers of all buckets; ``difference`` is that of the classes' base."""
+
+    def added(rows: pa.Table) -> pa.Table:
+        (head,) = [one for one in rows["head"].to_pylist() if one is not None]
+        n = len(head) // (8 * (1 + len(SUMS)))
+        hashes = np.frombuffer(head, dtype=np.int64, count=n)
+        sums = np.frombuffer(head, dtype=np.float64, offset=8 * n).reshape(len(SUMS), n).copy()
+        for blob in rows["answer"].to_pylist():
+            if blob is None:
+                continue
+            first, at, (toxic, ordinary) = _unpacked(blob, np.float64, 2)
+            for k, one in enumerate((toxic, ordinary)):
+                sums[1 + k] += np.bincount(at[:first], weights=one[:first], minlength=n)
+                sums[3 + k] += np.bincount(at, weights=one, minlength=n)
+            _add_words(sums, at[:first], toxic[:first] - ordinary[:first] + difference)
+        return pa.table({"hash": pa.array(hashes)} | {name: pa.array(sums[k]) for k, name in enumerate(SUMS)})
+
+    return added
 
-    Equal texts of several blocks ask several times; ``asked``, the number of positions asked for, tells how often.
+
+def text_sums(docs: DataFrame, model: Model) -> DataFrame:
+    """``SUMS`` of each distinct text of (hash, text), terms of words relative to the base, stored by hash.
+
+    Equal texts of several blocks have equal sums in a round, of which one counts.
     """
-    asked = docs.mapInArrow(_asked(model.shared), "hash bigint, key bigint, times int")
-    times, word = F.col("times"), F.col("word")
-    ratio = F.col("toxic") - F.col("ordinary") + F.lit(model.base["toxic"] - model.base["ordinary"])
-    zero = F.lit(0.0)
-    sums = asked.join(model.table, "key", "left").groupBy("hash").agg(
-        F.sum("times").alias("asked"),
-        *[F.coalesce(F.sum(F.when(word, F.col(c) * times)), zero).alias(f"word_{c}") for c in CLASSES],
-        *[F.coalesce(F.sum(F.col(c) * times), zero).alias(f"all_{c}") for c in CLASSES],
-        F.coalesce(F.sum(F.when(word & (ratio > TELLING), ratio * times)), zero).alias("telling"),
-        F.coalesce(F.max(F.when(word, ratio)), zero).alias("strongest"),
-    )
-    return stored(sums, "table-sums")
+    sums = ", ".join(f"{name} double" for name in SUMS)
+    bucket = F.expr(f"(key & {0xFFFFFF}) % {model.buckets}").alias("bucket")
+    total = None
+    for turn, wanted in enumerate(model.rounds):
+        terms = stored(wanted, "terms")
+        asked = docs.mapInArrow(_asked(model.shared, turn, len(model.rounds), model.buckets), "bucket bigint, block bigint, head binary, asks binary")
+        dealt = terms.select(bucket, "key", "toxic", "ordinary").groupBy("bucket").cogroup(asked.groupBy("bucket"))
+        answered = dealt.applyInArrow(_answers, "block bigint, head binary, answer binary")
+        added = answered.groupBy("block").applyInArrow(_block_sums(model.base["toxic"] - model.base["ordinary"]), f"hash bigint, {sums}")
+        one = added.dropDuplicates(["hash"])
+        both = one if total is None else total.unionAll(one)
+        merged = both.groupBy("hash").agg(*[F.sum(name).alias(name) for name in SUMS[:-1]], F.max(SUMS[-1]).alias(SUMS[-1]))
+        merged = stored(merged, "text-sums")
+        for done in [terms] if total is None else [terms, total]:
+            discard(done)
+        total = merged
+    return total
 
 
 def hashed_texts(docs: DataFrame, text: str) -> DataFrame:
@@ -277,68 +419,26 @@ def hashed_texts(docs: DataFrame, text: str) -> DataFrame:
     return docs.select(F.xxhash64(content).alias("hash"), content.alias("text"))
 
 
-def likelihoods(docs: DataFrame, model: Model, *, text: str = "text", slow: DataFrame | None = None) -> DataFrame:
-    """Add a column ``_sums`` for each whole text; ``slow`` are the ``table_sums`` of these texts, if known.
+def likelihoods(docs: DataFrame, model: Model, *, text: str = "text", sums: DataFrame | None = None) -> DataFrame:
+    """Add a column ``_sums`` for each whole text; ``sums`` are the ``text_sums`` of these texts, if known.
 
     Its fields: words; the log-likelihoods word_toxic, word_ordinary (order 1) and all_toxic, all_ordinary
     (order 2); telling and strongest, sum and maximum over words of the classes' difference, the first where it is over ``TELLING``.
     """
-    shared = model.shared
-
-    @F.arrow_udf("array<double>")
-    def sums_of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        """Words, positions asked for, sums over what is sent of each text: two of words, two of all, telling, strongest."""
-        known = shared.value
-        for batch in batches:
-            whole = pa.record_batch([batch], names=["text"])
-            rows = [np.zeros((0, 8))]
-            for block in blocks(whole, "text", SCORED_BYTES):
-                words, contexts, offsets = _bigrams(block.column(0))
-                size = np.diff(offsets)
-                at = np.repeat(np.arange(len(size)), size)
-
-                def by_text(values: np.ndarray) -> np.ndarray:
-                    return np.bincount(at, weights=values, minlength=len(size))  # noqa: B023
-
-                made = np.zeros((len(size), 8))
-                made[:, 0] = size
-                for order, keys in enumerate(_keys(words, contexts)):
-                    terms, state = known.of(keys)
-                    made[:, 1] += by_text(state == 2)
-                    made[:, 4] += by_text(terms[:, 0])
-                    made[:, 5] += by_text(terms[:, 1])
-                    if order == 0:
-                        made[:, 2:4] = made[:, 4:6]
-                        ratio = np.where(state == 1, terms[:, 0] - terms[:, 1] + known.base[0] - known.base[1], 0.0)
-                        made[:, 6] = by_text(np.where(ratio > TELLING, ratio, 0.0))
-                        filled = np.flatnonzero(size)
-                        if len(filled):
-                            made[filled, 7] = np.maximum(np.maximum.reduceat(ratio, offsets[:-1][filled]), 0.0)
-                rows.append(made)
-            flat = np.concatenate(rows)
-            yield pa.ListArray.from_arrays(pa.array(np.arange(0, flat.size + 1, 8), pa.int32()), pa.array(flat.reshape(-1)))
-
-    content = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    slow = table_sums(hashed_texts(docs, text), model) if slow is None else slow
-    slow = slow.select(*[F.col(name).alias(f"_slow_{name}") for name in slow.columns])
-    rows = docs.withColumns({"_fast": sums_of(content), "_slow_hash": F.xxhash64(content)})
-    rows = checked_join(rows, slow, "_slow_hash", "left")
-    fast = [F.element_at("_fast", k + 1) for k in range(8)]
-    # How many blocks asked for this text.
-    copies = F.col("_slow_asked") / F.greatest(fast[1], F.lit(1.0))
-    looked = {name: F.coalesce(F.col(f"_slow_{name}") / copies, F.lit(0.0)) for name in ("word_toxic", "word_ordinary", "all_toxic", "all_ordinary", "telling")}
-    parts = {"words": fast[0]}
-    for k, name in enumerate(("word_toxic", "word_ordinary", "all_toxic", "all_ordinary")):
-        parts[name] = fast[2 + k] + looked[name] + fast[0] * F.lit(model.base[name.split("_")[1]])
-    parts["telling"] = fast[6] + looked["telling"]
-    parts["strongest"] = F.greatest(fast[7], F.coalesce("_slow_strongest", F.lit(0.0)))
-    made = F.struct(*[value.alias(name) for name, value in parts.items()])
-    return rows.withColumn("_sums", made).drop("_fast", *slow.columns)
-
-
-def features(docs: DataFrame, model: Model, *, text: str = "text", slow: DataFrame | None = None) -> DataFrame:
-    """Add a column ``_features``: the values of ``FEATURES`` of each whole text; ``slow`` as in ``likelihoods``."""
-    rows = likelihoods(docs, model, text=text, slow=slow)
+    sums = text_sums(hashed_texts(docs, text), model) if sums is None else sums
+    whole = {name: F.col(name) for name in SUMS}
+    for name in SUMS[1:5]:
+        whole[name] = F.col(name) + F.col("words") * F.lit(model.base[name.split("_")[1]])
+    sums = sums.select(F.col("hash").alias("_sums_hash"), *[value.alias(f"_sums_{name}") for name, value in whole.items()])
+    rows = docs.withColumn("_sums_hash", F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))))
+    rows = checked_join(rows, sums, "_sums_hash", "left")
+    made = F.struct(*[F.col(f"_sums_{name}").alias(name) for name in SUMS])
+    return rows.withColumn("_sums", made).drop(*sums.columns)
+
+
+def features(docs: DataFrame, model: Model, *, text: str = "text", sums: DataFrame | None = None) -> DataFrame:
+    """Add a column ``_features``: the values of ``FEATURES`` of each whole text; ``sums`` as in ``likelihoods``."""
+    rows = likelihoods(docs, model, text=text, sums=sums)
     size = F.greatest(F.col("_sums.words"), F.lit(1.0))
     made = F.array(
         (F.col("_sums.all_toxic") - F.col("_sums.all_ordinary")) / size, (F.col("_sums.word_toxic") - F.col("_sums.word_ordinary")) / size,
@@ -390,11 +490,12 @@ def score(
     texts = docs.select(F.col(f"`{key}`").alias("_key"), F.col(f"`{text}`").alias("text"))
     counted, held = calibration_split(marks, calibration_rows)
     training = checked_join(texts.where(fold(F.col("_key")) != 2), counted, "_key", "inner").select("text", "toxic")
-    model = fit_model(training)
+    model = fit_model(training, rounds=rounds_for(texts))
     fitting = checked_join(texts.where(fold(F.col("_key")) == 3), held, "_key", "inner")
-    slow = table_sums(hashed_texts(docs, text), model)
-    discard(model.table)
-    rows = features(fitting, model, slow=slow).select(F.xxhash64("_key").alias("_order"), "toxic", "_features")
+    sums = text_sums(hashed_texts(docs, text), model)
+    for done in model.counts:
+        discard(done)
+    rows = features(fitting, model, sums=sums).select(F.xxhash64("_key").alias("_order"), "toxic", "_features")
     sample = rows.orderBy("_order", "toxic").limit(calibration_rows).toPandas()
     values = np.array(sample["_features"].tolist(), dtype=float).reshape(-1, len(FEATURES))
     weights, intercept = fit_curve(values, sample["toxic"].to_numpy(float))
@@ -402,7 +503,7 @@ def score(
     # The documents' own columns are held in one, so that no name of theirs meets one from here.
     own = [F.col(f"`{c}`") for c in docs.columns if c not in ("held_out", "score", "predicted")]
     rows = docs.select(F.struct(*own).alias("row"), F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
-    scored = features(rows, model, slow=slow)
+    scored = features(rows, model, sums=sums)
     if np.isfinite(intercept):
         total = F.lit(intercept)
         for k, weight in enumerate(weights.tolist()):
