@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -94,6 +95,14 @@ def checked_join(rows: DataFrame, lookup: DataFrame, on: str | list[str], how: s
     return rows.join(F.broadcast(lookup) if small else lookup, on, how)
 
 
+def release_memory() -> None:
+    """Give back to the system what freed arrays hold: Python workers stay for later stages, and each keeps its most otherwise."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def blocks(batch: pa.RecordBatch, column: str, most: int = BLOCK_BYTES) -> Iterator[pa.RecordBatch]:
     """Slices of a batch with at most ``most`` bytes of text, or one row if it is longer, and ``BLOCK_ROWS`` rows."""
     sizes = [0 if n is None else n for n in pa.compute.binary_length(batch.column(column)).to_pylist()]
@@ -105,3 +114,4 @@ def blocks(batch: pa.RecordBatch, column: str, most: int = BLOCK_BYTES) -> Itera
         held += size
     if start < batch.num_rows:
         yield batch.slice(start)
+    release_memory()

@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from storelens.llm.common import BROADCAST_BYTES, blocks, checked_join, discard, frame_bytes, shuffles_removed, stored
 from storelens.llm.words import word_hashes
 
-MOST_EXPRESSIONS = 1 << 20
+MOST_EXPRESSIONS = 1 << 19
 ROUNDS = 6
 ROUND_BYTES = 64 << 20
 TERMS_PER_BUCKET = 500_000
@@ -226,14 +226,16 @@ def fit_model(training: DataFrame, *, most: int = MOST_EXPRESSIONS, rounds: int
     context_key = F.col("context").bitwiseXOR(F.lit(_CONTEXT))
     few_words = frame_bytes(likely) <= BROADCAST_BYTES
 
-    def terms(turn: int, wanted: Callable[[Column], Column]) -> DataFrame:
-        """Terms of the expressions of a round whose count is ``wanted``."""
+    def terms(turn: int, wanted: Callable[[Column], Column], few: bool = False) -> DataFrame:
+        """Terms of the expressions of a round whose count is ``wanted``; if they are ``few``, the counts they meet are not moved."""
         own = likely.where((_round_column("word", rounds) == turn) & wanted(F.col("both")))
         of_words = own.select(F.col("word").alias("key"), *[(F.ln(f"{c}_p") - base[c]).alias(c) for c in CLASSES], F.lit(True).alias("word"))
         of_contexts = contexts[turn].where(wanted(context_n)).select(context_key.alias("key"), *[freed[c].alias(c) for c in CLASSES], F.lit(False).alias("word"))
-        joined = pairs[turn].where(wanted(pair_n)).join(contexts[turn].select("context", *[f"{c}_kinds" for c in CLASSES]), "context")
-        known = likely.drop("both")
-        joined = joined.join(F.broadcast(known) if few_words else known, "word")
+        joined, kinds, known = pairs[turn].where(wanted(pair_n)), contexts[turn].select("context", *[f"{c}_kinds" for c in CLASSES]), likely.drop("both")
+        if few:
+            joined = known.join(F.broadcast(kinds.join(F.broadcast(joined), "context")), "word")
+        else:
+            joined = joined.join(kinds, "context").join(F.broadcast(known) if few_words else known, "word")
         of_pairs = joined.select(_bigram_key_column().alias("key"), *[gain[c].alias(c) for c in CLASSES], F.lit(False).alias("word"))
         return of_words.unionAll(of_contexts).unionAll(of_pairs)
 
@@ -256,7 +258,7 @@ def fit_model(training: DataFrame, *, most: int = MOST_EXPRESSIONS, rounds: int
     if least is not None:
         for turn in range(rounds):
             with shuffles_removed(spark):
-                hot = pa.concat_tables([hot, terms(turn, lambda n: n >= least).select(*columns).toArrow().cast(hot.schema)])
+                hot = pa.concat_tables([hot, terms(turn, lambda n: n >= least, few=True).select(*columns).toArrow().cast(hot.schema)])
     keys = hot["key"].to_numpy().view(np.uint64)
     order = np.argsort(keys)
     values = np.stack([hot["toxic"].to_numpy()[order], hot["ordinary"].to_numpy()[order]], axis=1)

@@ -50,3 +50,19 @@ def test_memory_of_a_packing_block():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 80e6
+
+
+def test_a_batch_leaves_no_freed_memory_behind():
+    """What a batch took is given back after its last block, also where small arrays lie between."""
+    def resident() -> int:
+        with open("/proc/self/statm") as sizes:
+            return int(sizes.read().split()[1]) * 4096
+
+    batch = pa.record_batch([pa.array(["a text"] * 10)], names=["text"])
+    list(blocks(batch, "text"))
+    before = resident()
+    for _ in blocks(batch, "text"):
+        held = [bytes(60_000) for _ in range(3_000)]
+        kept = held[-1]
+        del held
+    assert resident() - before < 60e6 and len(kept) == 60_000
