@@ -24,6 +24,8 @@ names is looked up: the lookups of a block of texts are packed by bucket of the
 of their bucket, and the answers of all buckets are added up by block.  The filter only saves work: a wrong hit finds no term.
 Counting and looking up go over the expressions in up to ``ROUNDS`` rounds, by the hash of the word or of the bigram's context, and the
 files of a round go before the next, so that the disk holds one round's shuffles at a time.
+The sums of all rounds are brought together by text once, after the last.  Of the probabilities of words those of the ``HOT_WORDS`` most
+frequent are sent to the bigrams, and only bigrams of other words are moved to theirs.
 The curve is fitted on at most ``CALIBRATION_ROWS`` labelled texts.
 
 Edge cases: a null or empty text has no words and takes the curve's value at
@@ -47,9 +49,11 @@ from storelens.llm.common import BROADCAST_BYTES, blocks, checked_join, discard,
 from storelens.llm.words import word_hashes
 
 MOST_EXPRESSIONS = 1 << 19
-ROUNDS = 6
+ROUNDS = 4
 ROUND_BYTES = 64 << 20
 TERMS_PER_BUCKET = 500_000
+HOT_WORDS = 1 << 18
+FILTER_PARTS = 64
 FILTER_SLOTS = 1 << 21
 SLOT_BITS = 20
 SCORED_BYTES = 1 << 20
@@ -93,7 +97,7 @@ def _counts(turn: int, rounds: int):
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch, "text"):
+            for block in blocks(batch, "text", SCORED_BYTES):
                 words, contexts, offsets = _bigrams(block.column("text"))
                 toxic = np.repeat(block.column("toxic").to_numpy(zero_copy_only=False), np.diff(offsets)).astype(np.int64)
                 own = _round(contexts, rounds) == turn
@@ -133,7 +137,7 @@ class Terms:
     """Terms of the most frequent expressions, by sorted hash, and a filter of all others.
 
     ``values`` has a row of toxic and ordinary term each, a word's relative to ``base``, the logarithms of what
-    words in neither class have; ``starts`` the place of the first hash of each beginning of ``SLOT_BITS`` bits.  The filter has a bit for the low part of each other
+    words in neither class have; ``starts``, which is not sent, the place of the first hash of each beginning of ``SLOT_BITS`` bits.  The filter has a bit for the low part of each other
     expression's hash: an unset one says that the expression has no row in the table.
     """
 
@@ -141,7 +145,13 @@ class Terms:
     values: np.ndarray
     others: np.ndarray
     base: np.ndarray
-    starts: np.ndarray
+
+    def __post_init__(self):
+        counts = np.bincount((self.keys >> np.uint64(64 - SLOT_BITS)).astype(np.int32), minlength=1 << SLOT_BITS)
+        self.starts = np.append(0, np.cumsum(counts)).astype(np.int32)
+
+    def __reduce__(self):
+        return Terms, (self.keys, self.values, self.others, self.base)
 
     def of(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Terms of each expression, 0 where none are sent, and the state: 0 unknown, 1 sent, 2 only the table can tell."""
@@ -156,12 +166,57 @@ class Terms:
             terms[open_[sent]] = self.values[at[open_[sent]]]
             at[open_] += 1
             open_ = open_[~sent & (at[open_] < end[open_])]
-        slots = (keys & np.uint64(FILTER_SLOTS - 1)).astype(np.int64)
-        bits = (keys >> np.uint64(32)) & np.uint64(63)
+        slots, bits = _filter_place(keys)
         state[(state == 0) & ((self.others[slots] >> bits) & np.uint64(1) == 1)] = 2
         return terms, state
 
 
+def _filter_place(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slot of the filter and bit in it."""
+    return (keys & np.uint64(FILTER_SLOTS - 1)).astype(np.int64), (keys >> np.uint64(32)) & np.uint64(63)
+
+
+def _filter_of(keys: DataFrame) -> np.ndarray:
+    """The filter that names the given keys: tasks send the places of their keys by part of the filter, and each part is put together."""
+    size = FILTER_SLOTS // FILTER_PARTS
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+
+        def sent() -> pa.RecordBatch:
+            place = np.unique(np.concatenate(held))
+            cuts = np.searchsorted(place, np.arange(FILTER_PARTS + 1, dtype=np.int64) * size * 64)
+            inside = (place % (size * 64)).astype("<u4")
+            packed = [inside[a:b].tobytes() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+            return pa.record_batch([pa.array(range(FILTER_PARTS), pa.int32()), pa.array(packed, pa.binary())], names=["part", "places"])
+
+        for batch in batches:
+            slots, bits = _filter_place(batch.column(0).to_numpy().view(np.uint64))
+            held.append(slots * 64 + bits.astype(np.int64))
+            if sum(map(len, held)) > 1 << 20:
+                yield sent()
+                held = []
+        if held:
+            yield sent()
+
+    def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        made: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, blob in zip(batch.column("part").to_pylist(), batch.column("places"), strict=True):
+                named = np.zeros(size * 64, dtype=bool)
+                named[np.frombuffer(blob.as_buffer(), dtype="<u4")] = True
+                bits = np.packbits(named, bitorder="little").view("<u8")
+                made[part] = made[part] | bits if part in made else bits
+        yield pa.record_batch([pa.array(list(made), pa.int32()), pa.array([one.tobytes() for one in made.values()], pa.binary())], names=["part", "places"])
+
+    schema = "part int, places binary"
+    rows = keys.mapInArrow(places, schema).repartition("part").mapInArrow(together, schema).toArrow()
+    whole = np.zeros(FILTER_SLOTS, dtype=np.uint64)
+    for part, blob in zip(rows["part"].to_pylist(), rows["places"].to_pylist(), strict=True):
+        whole[part * size : (part + 1) * size] = np.frombuffer(blob, dtype="<u8")
+    return whole
+
+
 def _keys(words: np.ndarray, contexts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Table keys of each position: its word, its context, both."""
     return words, contexts ^ np.uint64(_CONTEXT), _bigram_key(words, contexts)
@@ -172,7 +227,7 @@ class Model:
     """All terms (key, toxic, ordinary, word) as a frame, the most frequent ones sent to all tasks; ``base`` as in ``Terms``.
 
     ``rounds`` has the terms of each round that are not sent, ``buckets`` into how many parts one is dealt,
-    ``counts`` the stored counts that all of them read.
+    ``counts`` the stored counts that each round, and no later one, reads.
     """
 
     table: DataFrame
@@ -180,7 +235,17 @@ class Model:
     base: dict[str, float]
     rounds: list[DataFrame]
     buckets: int
-    counts: list[DataFrame]
+    counts: list[list[DataFrame]]
+
+
+def _least_count(sizes: list[tuple[int, int]], most: int) -> tuple[int | None, int]:
+    """The least count with which at most ``most`` rows have it or more, from (count, rows), and their number."""
+    sent, least = 0, None
+    for n, found in sorted(sizes, reverse=True):
+        if sent + found > most:
+            break
+        sent, least = sent + found, n
+    return least, sent
 
 
 def count_pairs(training: DataFrame, rounds: int) -> list[DataFrame]:
@@ -225,6 +290,21 @@ def fit_model(training: DataFrame, *, most: int = MOST_EXPRESSIONS, rounds: int
     pair_n, context_n = F.col("ordinary") + F.col("toxic"), sum(F.col(f"{c}_n") for c in CLASSES)
     context_key = F.col("context").bitwiseXOR(F.lit(_CONTEXT))
     few_words = frame_bytes(likely) <= BROADCAST_BYTES
+    hot_words = None
+    if not few_words:
+        with shuffles_removed(spark):
+            sizes = [(r["both"], r["rows"]) for r in words.groupBy("both").agg(F.count(F.lit(1)).alias("rows")).collect()]
+        hot_words, _ = _least_count(sizes, HOT_WORDS)
+    few_contexts = [frame_bytes(part) <= BROADCAST_BYTES for part in contexts]
+
+    def with_words(part: DataFrame) -> DataFrame:
+        """Bigrams with their words' probabilities; only bigrams of words that are not among the most frequent are moved."""
+        known = likely.drop("both")
+        if few_words or hot_words is None:
+            return part.join(F.broadcast(known) if few_words else known, "word")
+        hot = F.broadcast(likely.where(F.col("both") >= hot_words).drop("both"))
+        rest = likely.where(F.col("both") < hot_words).drop("both")
+        return part.join(hot, "word").unionAll(part.join(hot, "word", "left_anti").join(rest, "word"))
 
     def terms(turn: int, wanted: Callable[[Column], Column], few: bool = False) -> DataFrame:
         """Terms of the expressions of a round whose count is ``wanted``; if they are ``few``, the counts they meet are not moved."""
@@ -235,7 +315,7 @@ def fit_model(training: DataFrame, *, most: int = MOST_EXPRESSIONS, rounds: int
         if few:
             joined = known.join(F.broadcast(kinds.join(F.broadcast(joined), "context")), "word")
         else:
-            joined = joined.join(kinds, "context").join(F.broadcast(known) if few_words else known, "word")
+            joined = with_words(joined).join(F.broadcast(kinds) if few_contexts[turn] else kinds, "context")
         of_pairs = joined.select(_bigram_key_column().alias("key"), *[gain[c].alias(c) for c in CLASSES], F.lit(False).alias("word"))
         return of_words.unionAll(of_contexts).unionAll(of_pairs)
 
@@ -245,12 +325,8 @@ def fit_model(training: DataFrame, *, most: int = MOST_EXPRESSIONS, rounds: int
     counted += [part.select(_bigram_key_column().alias("key"), pair_n.alias("n")) for part in pairs]
     every = reduce(DataFrame.unionAll, counted)
     with shuffles_removed(spark):
-        sizes = sorted(((r["n"], r["rows"]) for r in every.groupBy("n").agg(F.count(F.lit(1)).alias("rows")).collect()), reverse=True)
-    sent, least = 0, None
-    for n, found in sizes:
-        if sent + found > most:
-            break
-        sent, least = sent + found, n
+        sizes = [(r["n"], r["rows"]) for r in every.groupBy("n").agg(F.count(F.lit(1)).alias("rows")).collect()]
+    least, sent = _least_count(sizes, most)
     left = sum(found for _, found in sizes) - sent
     everything = reduce(DataFrame.unionAll, [terms(turn, lambda n: F.lit(True)) for turn in range(rounds)])
     columns = ["key", "toxic", "ordinary"]
@@ -264,17 +340,15 @@ def fit_model(training: DataFrame, *, most: int = MOST_EXPRESSIONS, rounds: int
     values = np.stack([hot["toxic"].to_numpy()[order], hot["ordinary"].to_numpy()[order]], axis=1)
     others = np.zeros(FILTER_SLOTS, dtype=np.uint64)
     if left:
-        slot = F.col("key").bitwiseAND(F.lit(FILTER_SLOTS - 1))
-        bit = F.expr("shiftleft(1L, cast(shiftrightunsigned(key, 32) & 63 as int))")
         rare = every.where(F.col("n") < least) if least is not None else every
         with shuffles_removed(spark):
-            bits = rare.groupBy(slot.alias("slot")).agg(F.bit_or(bit).alias("bits")).toArrow()
-        others[bits["slot"].to_numpy()] = bits["bits"].to_numpy().view(np.uint64)
-    starts = np.searchsorted(keys[order], np.arange(1 << SLOT_BITS, dtype=np.uint64) << np.uint64(64 - SLOT_BITS))
-    known = Terms(keys[order], values, others, np.array([base["toxic"], base["ordinary"]]), np.append(starts, len(keys)))
+            others = _filter_of(rare.select("key"))
+    known = Terms(keys[order], values, others, np.array([base["toxic"], base["ordinary"]]))
     unsent = [terms(turn, lambda n: n < least if least is not None else F.lit(True)) for turn in range(rounds)]
     buckets = max(8, left // (rounds * TERMS_PER_BUCKET))
-    return Model(everything, spark.sparkContext.broadcast(known), base, unsent, buckets, [*pairs, words, *contexts])
+    counts = [list(part) for part in zip(pairs, contexts, strict=True)]
+    counts[-1].append(words)
+    return Model(everything, spark.sparkContext.broadcast(known), base, unsent, buckets, counts)
 
 
 def _bucket(keys: np.ndarray, buckets: int) -> np.ndarray:
@@ -328,7 +402,7 @@ def _asked(shared: Broadcast, turn: int, rounds: int, buckets: int):
                 first = np.arange(sum(map(len, open_keys))) < len(open_keys[0])
                 keys, at = np.concatenate(open_keys), np.concatenate(open_rows)
                 bucket = _bucket(keys, buckets)
-                order = np.lexsort((at, ~first, bucket))
+                order = np.argsort((bucket << 33) | (~first).astype(np.int64) << 32 | at, kind="stable")
                 keys, at, first, bucket = keys[order], at[order], first[order], bucket[order]
                 cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
                 ends = np.append(cuts, len(bucket))[1:]
@@ -392,27 +466,32 @@ def _block_sums(difference: float):
     return added
 
 
-def text_sums(docs: DataFrame, model: Model) -> DataFrame:
+def text_sums(docs: DataFrame, model: Model, *, last: bool = False) -> DataFrame:
     """``SUMS`` of each distinct text of (hash, text), terms of words relative to the base, stored by hash.
 
-    Equal texts of several blocks have equal sums in a round, of which one counts.
+    Equal texts of several blocks have equal sums in a round, of which one counts.  With ``last`` the model is not
+    used again, and its counts go round by round.
     """
     sums = ", ".join(f"{name} double" for name in SUMS)
     bucket = F.expr(f"(key & {0xFFFFFF}) % {model.buckets}").alias("bucket")
-    total = None
+    made = []
     for turn, wanted in enumerate(model.rounds):
         terms = stored(wanted, "terms")
+        for done in model.counts[turn] if last else []:
+            discard(done)
         asked = docs.mapInArrow(_asked(model.shared, turn, len(model.rounds), model.buckets), "bucket bigint, block bigint, head binary, asks binary")
         dealt = terms.select(bucket, "key", "toxic", "ordinary").groupBy("bucket").cogroup(asked.groupBy("bucket"))
         answered = dealt.applyInArrow(_answers, "block bigint, head binary, answer binary")
         added = answered.groupBy("block").applyInArrow(_block_sums(model.base["toxic"] - model.base["ordinary"]), f"hash bigint, {sums}")
-        one = added.dropDuplicates(["hash"])
-        both = one if total is None else total.unionAll(one)
-        merged = both.groupBy("hash").agg(*[F.sum(name).alias(name) for name in SUMS[:-1]], F.max(SUMS[-1]).alias(SUMS[-1]))
-        merged = stored(merged, "text-sums")
-        for done in [terms] if total is None else [terms, total]:
-            discard(done)
-        total = merged
+        made.append(stored(added, "round-sums"))
+        discard(terms)
+    # All rows of a text are brought together once, after the last round.
+    every = reduce(DataFrame.unionAll, [one.withColumn("turn", F.lit(turn)) for turn, one in enumerate(made)]).repartition("hash")
+    one = every.groupBy("hash", "turn").agg(*[F.first(name).alias(name) for name in SUMS])
+    total = one.groupBy("hash").agg(*[F.sum(name).alias(name) for name in SUMS[:-1]], F.max(SUMS[-1]).alias(SUMS[-1]))
+    total = stored(total, "text-sums")
+    for done in made:
+        discard(done)
     return total
 
 
@@ -494,9 +573,7 @@ def score(
     training = checked_join(texts.where(fold(F.col("_key")) != 2), counted, "_key", "inner").select("text", "toxic")
     model = fit_model(training, rounds=rounds_for(texts))
     fitting = checked_join(texts.where(fold(F.col("_key")) == 3), held, "_key", "inner")
-    sums = text_sums(hashed_texts(docs, text), model)
-    for done in model.counts:
-        discard(done)
+    sums = text_sums(hashed_texts(docs, text), model, last=True)
     rows = features(fitting, model, sums=sums).select(F.xxhash64("_key").alias("_order"), "toxic", "_features")
     sample = rows.orderBy("_order", "toxic").limit(calibration_rows).toPandas()
     values = np.array(sample["_features"].tolist(), dtype=float).reshape(-1, len(FEATURES))

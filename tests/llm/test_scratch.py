@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import pickle
 import tracemalloc
 
+import numpy as np
 import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import functions as F
@@ -66,3 +69,52 @@ def test_a_batch_leaves_no_freed_memory_behind():
         kept = held[-1]
         del held
     assert resident() - before < 60e6 and len(kept) == 60_000
+
+
+def test_toxicity_frees_the_counts_of_each_round(spark, monkeypatch):
+    """What a round has counted goes before the next one's lookups, and equal texts of many blocks are brought together once."""
+    rows = [(f"word{k} and word{k % 7} again", k % 2) for k in range(60)]
+    model = toxicity.fit_model(spark.createDataFrame(rows, "text string, toxic int"), most=10, rounds=3)
+    names, there = [], []
+
+    def watched(df, name):
+        kept = stored(df, name)
+        names.append(name)
+        if name == "round-sums":
+            there.append(sum(os.path.exists(one.removeprefix("file:")) for one in files))
+        return kept
+
+    files = [part[0].inputFiles()[0].replace("file://", "file:") for part in model.counts]
+    monkeypatch.setattr(toxicity, "stored", watched)
+    docs = spark.createDataFrame([(rows[k % 3][0],) for k in range(12)], "text string").repartition(4)
+    assert toxicity.text_sums(toxicity.hashed_texts(docs, "text"), model, last=True).count() == 3
+    assert there == [2, 1, 0] and names.count("text-sums") == 1
+
+
+def test_the_filter_names_every_key_and_few_others(spark):
+    keys = spark.range(5_000).select(F.xxhash64("id").alias("key")).repartition(3)
+    known = keys.toArrow()["key"].to_numpy().view(np.uint64)
+    others = toxicity._filter_of(keys)
+    slots, bits = toxicity._filter_place(known)
+    assert ((others[slots] >> bits) & np.uint64(1) == 1).all()
+    assert 4_900 < sum(int(one).bit_count() for one in others[others > 0].tolist()) <= 5_000
+    assert not toxicity._filter_of(keys.limit(0)).any()
+
+
+def test_terms_send_no_table_of_places():
+    keys = np.sort(np.random.default_rng(3).integers(0, 1 << 63, 2_000).astype(np.uint64) * np.uint64(2))
+    terms = toxicity.Terms(keys, np.ones((len(keys), 2)), np.zeros(toxicity.FILTER_SLOTS, dtype=np.uint64), np.zeros(2))
+    sent = pickle.dumps(terms)
+    assert len(sent) < 8 * toxicity.FILTER_SLOTS + 100_000
+    assert (pickle.loads(sent).of(keys)[1] == 1).all() and not pickle.loads(sent).of(keys + np.uint64(1))[1].any()
+
+
+def test_toxicity_moves_only_bigrams_of_rare_words(spark, monkeypatch):
+    """With words too many to send, the frequent ones still are; the terms stay the same."""
+    rows = [(f"word{k % 9} and word{k % 7} rare{k}", k % 2) for k in range(60)]
+    training = spark.createDataFrame(rows, "text string, toxic int")
+    whole = sorted(map(tuple, toxicity.fit_model(training).table.collect()))
+    monkeypatch.setattr(toxicity, "BROADCAST_BYTES", 0)
+    for most in (1 << 18, 10, 0):
+        monkeypatch.setattr(toxicity, "HOT_WORDS", most)
+        assert np.allclose(whole, sorted(map(tuple, toxicity.fit_model(training, rounds=2).table.collect())), rtol=1e-12)
