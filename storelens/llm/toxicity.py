@@ -45,14 +45,14 @@ from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.common import BROADCAST_BYTES, blocks, checked_join, discard, frame_bytes, shuffles_removed, stored
+from storelens.llm.common import BROADCAST_BYTES, blocks, checked_join, discard, frame_bytes, release_memory, shuffles_removed, stored
 from storelens.llm.words import word_hashes
 
 MOST_EXPRESSIONS = 1 << 19
 ROUNDS = 4
 ROUND_BYTES = 64 << 20
 TERMS_PER_BUCKET = 500_000
-HOT_WORDS = 1 << 18
+HOT_WORDS = 1 << 17
 FILTER_PARTS = 64
 FILTER_SLOTS = 1 << 21
 SLOT_BITS = 20
@@ -148,7 +148,8 @@ class Terms:
 
     def __post_init__(self):
         counts = np.bincount((self.keys >> np.uint64(64 - SLOT_BITS)).astype(np.int32), minlength=1 << SLOT_BITS)
-        self.starts = np.append(0, np.cumsum(counts)).astype(np.int32)
+        self.starts = np.zeros(len(counts) + 1, dtype=np.int32)
+        self.starts[1:] = np.cumsum(counts, out=counts)
 
     def __reduce__(self):
         return Terms, (self.keys, self.values, self.others, self.base)
@@ -193,11 +194,12 @@ def _filter_of(keys: DataFrame) -> np.ndarray:
         for batch in batches:
             slots, bits = _filter_place(batch.column(0).to_numpy().view(np.uint64))
             held.append(slots * 64 + bits.astype(np.int64))
-            if sum(map(len, held)) > 1 << 20:
+            if sum(map(len, held)) > 1 << 18:
                 yield sent()
                 held = []
         if held:
             yield sent()
+        release_memory()
 
     def together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made: dict[int, np.ndarray] = {}
@@ -208,6 +210,8 @@ def _filter_of(keys: DataFrame) -> np.ndarray:
                 bits = np.packbits(named, bitorder="little").view("<u8")
                 made[part] = made[part] | bits if part in made else bits
         yield pa.record_batch([pa.array(list(made), pa.int32()), pa.array([one.tobytes() for one in made.values()], pa.binary())], names=["part", "places"])
+        made.clear()
+        release_memory()
 
     schema = "part int, places binary"
     rows = keys.mapInArrow(places, schema).repartition("part").mapInArrow(together, schema).toArrow()
@@ -295,7 +299,6 @@ def fit_model(training: DataFrame, *, most: int = MOST_EXPRESSIONS, rounds: int
         with shuffles_removed(spark):
             sizes = [(r["both"], r["rows"]) for r in words.groupBy("both").agg(F.count(F.lit(1)).alias("rows")).collect()]
         hot_words, _ = _least_count(sizes, HOT_WORDS)
-    few_contexts = [frame_bytes(part) <= BROADCAST_BYTES for part in contexts]
 
     def with_words(part: DataFrame) -> DataFrame:
         """Bigrams with their words' probabilities; only bigrams of words that are not among the most frequent are moved."""
@@ -315,7 +318,7 @@ def fit_model(training: DataFrame, *, most: int = MOST_EXPRESSIONS, rounds: int
         if few:
             joined = known.join(F.broadcast(kinds.join(F.broadcast(joined), "context")), "word")
         else:
-            joined = with_words(joined).join(F.broadcast(kinds) if few_contexts[turn] else kinds, "context")
+            joined = with_words(joined).join(kinds, "context")
         of_pairs = joined.select(_bigram_key_column().alias("key"), *[gain[c].alias(c) for c in CLASSES], F.lit(False).alias("word"))
         return of_words.unionAll(of_contexts).unionAll(of_pairs)
 
