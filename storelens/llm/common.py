@@ -18,6 +18,8 @@ BROADCAST_BYTES = 32 * 1024 * 1024
 BLOCK_BYTES = 4 * 1024 * 1024
 BLOCK_ROWS = 50_000
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+WHILE_STORED = {SHUFFLE_CLEANUP: "true", ARROW_BYTES: str(6 * 1024 * 1024)}
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -44,16 +46,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 @contextmanager
 def shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    """Spark removes the shuffle files of the queries run inside as each ends; the session's own setting comes back after it."""
-    before = spark.conf.get(SHUFFLE_CLEANUP, None)
-    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    """Spark removes the shuffle files of the queries run inside as each ends, and sends Python small batches; the session's own settings come back after it."""
+    before = {name: spark.conf.get(name, None) for name in WHILE_STORED}
+    for name, value in WHILE_STORED.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(SHUFFLE_CLEANUP)
-        else:
-            spark.conf.set(SHUFFLE_CLEANUP, before)
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:

@@ -193,6 +193,7 @@ _RANGES = T.StructType(
     [T.StructField("_class", T.LongType())]
     + [T.StructField(name, T.ArrayType(T.LongType())) for name in ("_starts", "_bases", "_each")]
 )
+_ARROW_RANGES = pa.schema([("_class", pa.int64())] + [(name, pa.list_(pa.int64())) for name in ("_starts", "_bases", "_each")])
 
 
 def pack(
@@ -208,7 +209,9 @@ def pack(
     demand = np.zeros(width, dtype=np.int64)
     for row in cut.groupBy("_class").agg(F.count(F.lit(1)).alias("n")).collect():  # a row per class at most
         demand[row["_class"] - 1] = row["n"]
-    ranges = docs.sparkSession.createDataFrame(_ranges(packing_plan(demand, width)), _RANGES)
+    # As an Arrow table: a list of rows would start Python workers of another kind, which stay.
+    made = [dict(zip(_RANGES.names, row, strict=True)) for row in _ranges(packing_plan(demand, width))]
+    ranges = docs.sparkSession.createDataFrame(pa.Table.from_pylist(made, _ARROW_RANGES), _RANGES)
 
     # Ranks within a class: within each of its parts, then behind the parts before it.
     parts = max(1, -(-int(demand.sum()) // RANKED_ROWS))

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from storelens.llm import packing, toxicity
-from storelens.llm.common import SHUFFLE_CLEANUP, blocks, shuffles_removed, stored
+from storelens.llm.common import ARROW_BYTES, SHUFFLE_CLEANUP, blocks, shuffles_removed, stored
 from storelens.llm.word_bpe import encoder
 
 
@@ -33,6 +33,28 @@ def test_stored_frames_leave_no_shuffle_files(spark):
         assert rows.agg(F.sum("n").alias("n")).first()["n"] == 1000
 
 
+def test_python_gets_small_batches_of_large_texts(spark):
+    """What a batch holds is in memory four times over: on either side of two tasks."""
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.nbytes], pa.int64())], names=["bytes"])
+
+    own = spark.conf.get(ARROW_BYTES, None)
+    texts = spark.range(0, 2_000, 1, 1).select(F.repeat(F.lit("x"), 20_000).alias("text"))
+    kept = stored(texts.mapInArrow(sizes, "bytes long"), "sizes")
+    assert kept.agg(F.max("bytes")).first()[0] < 8e6 < kept.agg(F.sum("bytes")).first()[0]
+    assert spark.conf.get(ARROW_BYTES, None) == own
+
+
+def test_packing_plan_starts_no_workers_of_its_own(spark, monkeypatch):
+    """Rows of a Python list would be read by workers besides those of the tokenizer, which stay."""
+    made = []
+    monkeypatch.setattr(spark.sparkContext, "parallelize", lambda *a, **k: made.append(a))
+    docs = spark.sql("select id as doc_id, 'some text of a document' as text from range(5)")
+    assert packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), 1).count() == 5
+    assert not made
+
+
 def test_fitting_the_toxicity_model_leaves_no_shuffle_files(spark):
     rows = [(f"word{k} and word{k % 7} again", k % 2) for k in range(60)]
     training = spark.createDataFrame(rows, "text string, toxic int")
