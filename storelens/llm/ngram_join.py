@@ -12,10 +12,11 @@ start.  Every document is compared with the first one of those that share two of
 its ``SEEDS`` least tokens, and what links is joined.  The index then only
 compares documents of different classes; frequent tokens that one class has
 for itself need no combination.  Candidate pairs that may
-link by their sketches are verified on the whole sets.
+link by their sketches are verified on the whole sets.  Documents that share two frequent
+tokens meet with their sketches, so that only pairs that may link become rows.
 
-Which tokens are frequent only steers the work, never the result: those counted
-at least ``FREQUENT`` times, by counts of tokens repeated within a task, the
+Which tokens are frequent only steers the work, never the result: those of at
+least ``FREQUENT`` sets, by counts of all tokens, the
 ``MOST_FREQUENT`` most frequent of them, which bounds what is broadcast.
 
 Edge cases: a text without words (null, empty, white space) has an empty set and
@@ -35,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from storelens.llm.common import blocks, checked_join, discard, stored
+from storelens.llm.common import blocks, checked_join, discard, shuffles_removed, stored
 from storelens.llm.components import components
 from storelens.llm.words import shingle_sets
 
@@ -45,7 +46,9 @@ FREQUENT = 16
 MOST_FREQUENT = 1 << 18
 EXTEND = 2
 POSTINGS_PER_BUCKET = 400_000
-PARTS = 256
+COUNTED_PER_PART = 1_000_000
+COMBINATIONS_PER_BUCKET = 200_000
+LEAST_BITS, MOST_BITS = 64, 8192
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
@@ -62,7 +65,6 @@ def _prefix_size(n: int, percent: int) -> int:
 def summaries(docs: DataFrame) -> DataFrame:
     """One row per row of ``docs`` (id, text): id, n, two hashes of the set, its least tokens, its sketch.
 
-    The sketch has the number of tokens in each of ``PARTS`` parts of the hash range.
     """
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,7 +76,7 @@ def summaries(docs: DataFrame) -> DataFrame:
                 [
                     block.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(first, pa.int64()),
                     pa.array(second, pa.int64()), pa.array([s[:SEEDS].view(np.int64) for s in sets], pa.list_(pa.int64())),
-                    pa.array([np.bincount((s >> np.uint64(56)).astype(np.int64), minlength=PARTS).astype("<u4").tobytes() for s in sets], pa.binary()),
+                    pa.array([_sketch(s) for s in sets], pa.binary()),
                 ],
                 names=["id", "n", "set_a", "set_b", "seeds", "sketch"],
             )
@@ -82,29 +84,47 @@ def summaries(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(summarise, "id bigint, n bigint, set_a bigint, set_b bigint, seeds array<bigint>, sketch binary")
 
 
-def frequent_tokens(docs: DataFrame, least: int = FREQUENT, most: int = MOST_FREQUENT) -> DataFrame:
-    """Tokens and counts of the most frequent tokens among those that some task met twice."""
+def _part_bits(total: int) -> int:
+    """Bits that number the parts in which ``total`` tokens are counted."""
+    return min((total // COUNTED_PER_PART).bit_length(), 31)
 
-    def repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def frequent_tokens(docs: DataFrame, bits: int, least: int = FREQUENT, most: int = MOST_FREQUENT) -> DataFrame:
+    """The most frequent tokens of at least ``least`` sets, by their first 32 + ``bits`` bits, and their counts.
+
+    Tasks send the tokens of all sets, 32 bits of each, to 2 ** ``bits`` parts of the hash range, which count them.
+    """
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
         size = 0
 
-        def counted() -> pa.RecordBatch:
-            tokens, counts = np.unique(np.concatenate(held), return_counts=True)
-            kept = counts > 1
-            return pa.record_batch([pa.array(tokens[kept].view(np.int64)), pa.array(counts[kept])], names=["token", "n"])
+        def packed() -> pa.RecordBatch:
+            begun = np.sort(np.concatenate(held)) >> np.uint64(32 - bits)
+            part = (begun >> np.uint64(32)).astype(np.int64)
+            cuts = np.flatnonzero(np.diff(part, prepend=-1))
+            small = begun.astype("<u4")
+            blobs = [small[a:b].tobytes() for a, b in zip(cuts.tolist(), np.append(cuts, len(part))[1:].tolist(), strict=True)]
+            return pa.record_batch([pa.array(part[cuts]), pa.array(blobs, pa.binary())], names=["part", "tokens"])
 
         for _, sets in _sets(batches):
             held += sets
             size += sum(map(len, sets))
-            if size > 4_000_000:
-                yield counted()
+            if size > 2_000_000:
+                yield packed()
                 held, size = [], 0
-        if held:
-            yield counted()
+        if size:
+            yield packed()
 
-    counts = docs.mapInArrow(repeated, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
-    return counts.where(F.col("n") >= least).orderBy(F.desc("n"), "token").limit(most)
+    def counted(packed: pa.Table) -> pa.Table:
+        part = np.uint64(packed["part"][0].as_py())
+        tokens, counts = np.unique(np.frombuffer(b"".join(packed["tokens"].to_pylist()), dtype="<u4"), return_counts=True)
+        kept = counts >= least
+        whole = (part << np.uint64(32)) | tokens[kept].astype(np.uint64)
+        return pa.table({"token": whole.view(np.int64), "n": counts[kept].astype(np.int64)})
+
+    counts = docs.mapInArrow(dealt, "part bigint, tokens binary").groupBy("part").applyInArrow(counted, "token bigint, n bigint")
+    return counts.orderBy(F.desc("n"), "token").limit(most)
 
 
 def _token_ranks(frequent: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -118,7 +138,7 @@ def _token_ranks(frequent: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return tokens, ranks
 
 
-def postings(docs: DataFrame, frequent: DataFrame, buckets: int, percent: int = PERCENT) -> DataFrame:
+def postings(docs: DataFrame, frequent: DataFrame, bits: int, buckets: int, percent: int = PERCENT) -> DataFrame:
     """Index entries of ``docs`` (id, class, text): packed rare tokens by bucket, and each document's frequent ones.
 
     Of a rare token the bucket keeps 32 bits and the number of its document within the block;
@@ -136,15 +156,17 @@ def postings(docs: DataFrame, frequent: DataFrame, buckets: int, percent: int =
             rare, rows, lists = [], [], []
             for row, s in enumerate(sets):
                 size = min(_prefix_size(len(s), percent), len(s))
-                at = np.searchsorted(known, s)
+                begun = s >> np.uint64(32 - bits)
+                at = np.searchsorted(known, begun)
                 at[at == len(known)] = 0
-                common = known[at] == s if len(known) else np.zeros(len(s), dtype=bool)
+                common = known[at] == begun if len(known) else np.zeros(len(s), dtype=bool)
                 alone = s[~common][:size]
                 rare.append(alone)
                 rows.append(np.full(len(alone), row))
                 left = size - len(alone)
-                places = at[common]
-                lists.append(known[places[np.argsort(rank[places])][:left]].view(np.int64) if left else np.zeros(0, np.int64))
+                # Tokens that begin alike have one rank and stay in their order.
+                by_rank = np.argsort(rank[at[common]], kind="stable")[:left]
+                lists.append(s[common][by_rank].view(np.int64) if left else np.zeros(0, np.int64))
             token, row = np.concatenate(rare), np.concatenate(rows)
             bucket = (token >> np.uint64(32)) % np.uint64(buckets)
             order = np.argsort(bucket, kind="stable")
@@ -152,11 +174,15 @@ def postings(docs: DataFrame, frequent: DataFrame, buckets: int, percent: int =
             cuts = np.flatnonzero(np.diff(bucket.astype(np.int64), prepend=-1))
             ends = np.append(cuts[1:], len(token))
             small = token.astype(np.uint32)
-            table = np.stack([ids, classes, np.array([len(one) for one in sets], dtype=np.int64)], axis=1)
+            sizes = np.array([len(one) for one in sets], dtype="<u4")
             packed = []
             for a, b in zip(cuts.tolist(), ends.tolist(), strict=True):
                 used, number = np.unique(row[a:b], return_inverse=True)
-                packed.append(b"".join([len(used).to_bytes(4, "little"), table[used].tobytes(), small[a:b].tobytes(), number.astype("<u2").tobytes()]))
+                # Most documents are a class of their own, which takes no room.
+                joined = np.flatnonzero(classes[used] != ids[used])
+                head = np.array([len(used), len(joined)], dtype="<u4").tobytes()
+                own = [ids[used].tobytes(), classes[used[joined]].tobytes(), sizes[used].tobytes(), joined.astype("<u2").tobytes()]
+                packed.append(b"".join([head, *own, small[a:b].tobytes(), number.astype("<u2").tobytes()]))
             yield pa.record_batch(
                 [
                     pa.array(bucket[cuts].astype(np.int64)), pa.array(packed, pa.binary()), pa.nulls(len(cuts), pa.int64()),
@@ -178,12 +204,21 @@ def postings(docs: DataFrame, frequent: DataFrame, buckets: int, percent: int =
 
 def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Tokens of a block's postings, and of each its document: id, class, size."""
-    documents = int.from_bytes(blob[:4], "little")
-    table = np.frombuffer(blob, dtype=np.int64, count=3 * documents, offset=4).reshape(-1, 3)
-    begin = 4 + 24 * documents
-    n = (len(blob) - begin) // 6
-    tokens = np.frombuffer(blob, dtype=np.uint32, count=n, offset=begin)
-    return tokens, table[np.frombuffer(blob, dtype="<u2", count=n, offset=begin + 4 * n)]
+    documents, joined = np.frombuffer(blob, dtype="<u4", count=2).tolist()
+    at = 8
+
+    def taken(kind: str, count: int) -> np.ndarray:
+        nonlocal at
+        values = np.frombuffer(blob, dtype=kind, count=count, offset=at)
+        at += values.nbytes
+        return values
+
+    ids, classes, sizes, places = taken("<i8", documents), taken("<i8", joined), taken("<u4", documents), taken("<u2", joined)
+    table = np.stack([ids, ids, sizes.astype(np.int64)], axis=1)
+    table[places, 1] = classes
+    n = (len(blob) - at) // 6
+    tokens, numbers = taken("<u4", n), taken("<u2", n)
+    return tokens, table[numbers]
 
 
 def _pairs_of_bucket(packed: pd.DataFrame, percent: int = PERCENT) -> pd.DataFrame:
@@ -211,23 +246,109 @@ def _pairs_of_bucket(packed: pd.DataFrame, percent: int = PERCENT) -> pd.DataFra
     return pd.DataFrame({"x": pairs[0], "y": pairs[1]})
 
 
-def possible(pairs: DataFrame, sketches: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """The pairs (x, y) that may link by their sketches (id, sketch).
+def _sketch(tokens: np.ndarray) -> bytes:
+    """The number of tokens, and of each part of the hash range whether it has an odd number of them; twice as many parts as tokens or more."""
+    bits = min(max(1 << (2 * len(tokens) - 1).bit_length() if len(tokens) else 0, LEAST_BITS), MOST_BITS)
+    odd = np.bincount((tokens & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return len(tokens).to_bytes(4, "little") + np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+class Sketches:
+    """Sketches by width, to compare many at once."""
+
+    def __init__(self, blobs: list[bytes]):
+        self.widths = np.array([len(b) - 4 for b in blobs], dtype=np.int64)
+        self.sizes = np.array([int.from_bytes(b[:4], "little") for b in blobs], dtype=np.int64)
+        self.rows, self.at = {}, np.zeros(len(blobs), dtype=np.int64)
+        for width in np.unique(self.widths).tolist():
+            own = np.flatnonzero(self.widths == width)
+            self.at[own] = np.arange(len(own))
+            self.rows[width] = np.frombuffer(b"".join(blobs[k][4:] for k in own.tolist()), dtype="<u8").reshape(len(own), -1)
+
+    def may_link(self, x: np.ndarray, y: np.ndarray, percent: int) -> np.ndarray:
+        """Whether the sets of each x and y may link by their sizes, and as they differ in a token at least for each part that is odd in one only."""
+        differ = np.zeros(len(x), dtype=np.int64)
+        widths = np.stack([self.widths[x], self.widths[y]])
+        for one, two in np.unique(widths, axis=1).T.tolist():
+            own = np.flatnonzero((widths[0] == one) & (widths[1] == two))
+            # A chunk at a time: so many pairs of the widest sketches are 16 MB.
+            for chunk in np.array_split(own, -(-len(own) // 8192)):
+                left, right = self.rows[one][self.at[x[chunk]]], self.rows[two][self.at[y[chunk]]]
+                least = min(one, two) // 8
+                # Parts of a wider sketch that agree in their last bits are one part of the narrower.
+                left, right = (np.bitwise_xor.reduce(side.reshape(len(chunk), -1, least), axis=1) for side in (left, right))
+                differ[chunk] = np.bitwise_count(left ^ right).sum(axis=1)
+        total = self.sizes[x] + self.sizes[y]
+        twice_both = np.minimum(total - differ, 2 * np.minimum(self.sizes[x], self.sizes[y]))
+        return twice_both * (100 + percent) >= 2 * percent * total
 
-    Two sets share at most the smaller number of tokens in each part, so no pair that links is lost.
-    """
+
+def possible(pairs: DataFrame, sketches: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The pairs (x, y) that may link by their sketches (id, sketch); no pair that links is lost."""
 
     @F.arrow_udf("boolean")
     def may_link(left: pa.Array, right: pa.Array) -> pa.Array:
-        x, y = (np.frombuffer(b"".join(side.to_pylist()), dtype="<u4").reshape(-1, PARTS).astype(np.int64) for side in (left, right))
-        both = np.minimum(x, y).sum(axis=1)
-        return pa.array(100 * both >= percent * (x.sum(axis=1) + y.sum(axis=1) - both), pa.bool_())
+        x = np.arange(len(left))
+        both = Sketches(left.to_pylist() + right.to_pylist())
+        return pa.array(both.may_link(x, x + len(left), percent), pa.bool_())
 
     joined = pairs.join(sketches.select(F.col("id").alias("x"), F.col("sketch").alias("left")), "x")
     joined = joined.join(sketches.select(F.col("id").alias("y"), F.col("sketch").alias("right")), "y")
     return joined.where(may_link(F.col("left"), F.col("right"))).select("x", "y").distinct()
 
 
+def _combinations(tokens: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """A hash of each own token with each later one."""
+    first = np.flatnonzero(own)
+    later = len(tokens) - 1 - first
+    one = np.repeat(first, later)
+    two = np.arange(len(one)) - np.repeat(np.cumsum(later) - later, later) + one + 1
+    return tokens[one] * np.uint64(0x9E3779B97F4A7C15) + tokens[two]
+
+
+def _pairs_of_two(buckets: int, percent: int = PERCENT):
+    """Pairs of a bucket that share a combination of two of ``tokens``, the first one of the bucket, are of different classes and may link by their sketches."""
+
+    def pairs(rows: pa.Table) -> pa.Table:
+        bucket = rows["bucket"][0].as_py()
+        ids, classes = rows["id"].to_numpy(), rows["class"].to_numpy()
+        sketches = Sketches(rows["sketch"].to_pylist())
+        keys, docs = [], []
+        for k, tokens in enumerate(rows["tokens"]):
+            tokens = tokens.values.to_numpy()
+            keys.append(_combinations(tokens.view(np.uint64), tokens % buckets == bucket))
+            docs.append(np.full(len(keys[-1]), k))
+        key, doc = np.concatenate(keys), np.concatenate(docs)
+        order = np.argsort(key, kind="stable")
+        key, doc = key[order], doc[order]
+        begins = np.flatnonzero(np.append(True, key[1:] != key[:-1])[: len(key)])
+        lengths = np.diff(np.append(begins, len(key)))
+        mixed = np.minimum.reduceat(classes[doc], begins) != np.maximum.reduceat(classes[doc], begins)
+        begins, ends = begins[mixed], (begins + lengths)[mixed]
+        # The runs of each document, all of which meet it; within a run documents ascend.
+        run = np.repeat(np.arange(len(begins)), ends - begins)
+        met = doc[np.repeat(mixed, lengths)]
+        order = np.argsort(met, kind="stable")
+        run, met = run[order], met[order]
+        cuts = np.flatnonzero(np.diff(met, prepend=-1))
+        found = [np.zeros((2, 0), dtype=np.int64)]
+        seen = np.zeros(len(ids), dtype=bool)
+        for a, b in zip(cuts.tolist(), np.append(cuts, len(met))[1:].tolist(), strict=True):
+            k = int(met[a])
+            seen[k + 1 :] = False
+            for r in run[a:b].tolist():
+                seen[doc[begins[r] : ends[r]]] = True
+            other = np.flatnonzero(seen[k + 1 :]) + k + 1
+            other = other[classes[other] != classes[k]]
+            if len(other):
+                other = other[sketches.may_link(np.full(len(other), k), other, percent)]
+                found.append(np.stack([np.minimum(ids[other], ids[k]), np.maximum(ids[other], ids[k])]))
+        x, y = np.unique(np.concatenate(found, axis=1), axis=1)
+        return pa.table({"x": x, "y": y})
+
+    return pairs
+
+
 def verified(pairs: DataFrame, docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (x, y) of ids whose whole sets link; ``docs`` has id and text."""
     wanted = stored(pairs.select(F.explode(F.array("x", "y")).alias("id")).distinct(), "wanted")
@@ -277,9 +398,10 @@ def link_documents(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
 
     total = groups.agg(F.sum("n").alias("n")).first()["n"] or 0
     buckets = max(8, total // (3 * POSTINGS_PER_BUCKET))
-    frequent = stored(frequent_tokens(representatives), "frequent")
+    bits = _part_bits(total)
+    frequent = stored(frequent_tokens(representatives, bits), "frequent")
     classed = checked_join(texts, named, "id", "inner")
-    index = stored(postings(classed, frequent, buckets, percent), "postings")
+    index = stored(postings(classed, frequent, bits, buckets, percent), "postings")
     by_rare = index.where("bucket is not null").select("bucket", "rare").groupBy("bucket").applyInPandas(lambda packed: _pairs_of_bucket(packed, percent), "x bigint, y bigint")
 
     # Frequent tokens that only one class has link no two classes.
@@ -288,22 +410,20 @@ def link_documents(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     mixed = entries.groupBy("token").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high").select("token")
     mixed = stored(mixed, "mixed")
     kept = checked_join(entries, mixed, "token", "left_semi")
-    lists = kept.groupBy("id", "class").agg(F.sort_array(F.collect_set("token")).alias("tokens"))
-    first = F.posexplode("tokens").alias("place", "one")
-    combined = lists.select("id", "class", "tokens", first)
-    combined = combined.select("id", "class", "one", F.explode(F.expr("slice(tokens, place + 2, size(tokens))")).alias("two"))
-    combined = stored(combined, "combinations")
-    spread = combined.groupBy("one", "two").agg(F.min("class").alias("low"), F.max("class").alias("high")).where("low <> high")
-    spread = stored(spread.select("one", "two"), "spread")
-    several = combined.join(spread, ["one", "two"])
-    other = several.select("one", "two", F.col("id").alias("y"), F.col("class").alias("class_y"))
-    by_two = several.withColumnRenamed("id", "x").join(other, ["one", "two"]).where("x < y and class <> class_y").select("x", "y")
-
-    candidates = stored(by_rare.unionAll(by_two).distinct(), "candidates")
-    for done in (index, mixed, combined, spread):
+    lists = kept.groupBy("id", "class").agg(F.sort_array(F.collect_set("token")).alias("tokens")).where("size(tokens) > 1")
+    lists = stored(lists, "lists")
+    with shuffles_removed(docs.sparkSession):
+        combinations = lists.agg(F.sum(F.expr("size(tokens) * (size(tokens) - 1L) div 2")).alias("n")).first()["n"] or 0
+    meetings = max(16, combinations // COMBINATIONS_PER_BUCKET)
+    # A document goes to the buckets of its tokens but the last, which comes first in no combination.
+    into = F.explode(F.expr(f"array_distinct(transform(slice(tokens, 1, size(tokens) - 1), t -> pmod(t, {meetings}L)))")).alias("bucket")
+    dealt = lists.join(sketches, "id").select(into, "id", "class", "sketch", "tokens")
+    by_two = dealt.groupBy("bucket").applyInArrow(_pairs_of_two(meetings, percent), "x bigint, y bigint")
+
+    candidates = stored(by_rare.distinct(), "candidates")
+    left = stored(possible(candidates, sketches, percent).unionAll(by_two).distinct(), "possible")
+    for done in (index, mixed, lists, candidates):
         discard(done)
-    left = stored(possible(candidates, sketches, percent), "possible")
-    discard(candidates)
     links = verified(left, representatives, percent)
     final = components(near.unionAll(links).select(F.col("x").alias("a"), F.col("y").alias("b")))
     final = stored(final.withColumnsRenamed({"node": "id"}), "components")
