@@ -48,6 +48,7 @@ EXTEND = 2
 POSTINGS_PER_BUCKET = 400_000
 COUNTED_PER_PART = 1_000_000
 COMBINATIONS_PER_BUCKET = 200_000
+MEETING_ROWS = 4_000
 LEAST_BITS, MOST_BITS = 64, 8192
 
 
@@ -307,11 +308,12 @@ def _combinations(tokens: np.ndarray, own: np.ndarray) -> np.ndarray:
 
 
 def _pairs_of_two(buckets: int, percent: int = PERCENT):
-    """Pairs of a bucket that share a combination of two of ``tokens``, the first one of the bucket, are of different classes and may link by their sketches."""
+    """Pairs of a bucket, of one part or of two, that share a combination of two of ``tokens``, the first one of the bucket, are of different classes and may link by their sketches."""
 
     def pairs(rows: pa.Table) -> pa.Table:
         bucket = rows["bucket"][0].as_py()
-        ids, classes = rows["id"].to_numpy(), rows["class"].to_numpy()
+        ids, classes, parts = rows["id"].to_numpy(), rows["class"].to_numpy(), rows["part"].to_numpy()
+        one_part = rows["low"][0] == rows["high"][0]
         sketches = Sketches(rows["sketch"].to_pylist())
         keys, docs = [], []
         for k, tokens in enumerate(rows["tokens"]):
@@ -339,7 +341,7 @@ def _pairs_of_two(buckets: int, percent: int = PERCENT):
             for r in run[a:b].tolist():
                 seen[doc[begins[r] : ends[r]]] = True
             other = np.flatnonzero(seen[k + 1 :]) + k + 1
-            other = other[classes[other] != classes[k]]
+            other = other[(classes[other] != classes[k]) & (one_part | (parts[other] != parts[k]))]
             if len(other):
                 other = other[sketches.may_link(np.full(len(other), k), other, percent)]
                 found.append(np.stack([np.minimum(ids[other], ids[k]), np.maximum(ids[other], ids[k])]))
@@ -417,8 +419,12 @@ def link_documents(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     meetings = max(16, combinations // COMBINATIONS_PER_BUCKET)
     # A document goes to the buckets of its tokens but the last, which comes first in no combination.
     into = F.explode(F.expr(f"array_distinct(transform(slice(tokens, 1, size(tokens) - 1), t -> pmod(t, {meetings}L)))")).alias("bucket")
-    dealt = lists.join(sketches, "id").select(into, "id", "class", "sketch", "tokens")
-    by_two = dealt.groupBy("bucket").applyInArrow(_pairs_of_two(meetings, percent), "x bigint, y bigint")
+    sizes = lists.select(into).groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / MEETING_ROWS).alias("parts"))
+    # Large buckets are dealt into parts, of which every two meet in a group of their own.
+    dealt = lists.select(into, "id", "class", "tokens").join(F.broadcast(stored(sizes, "sizes")), "bucket")
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("id"), "parts")).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    dealt = dealt.withColumns({"low": F.least("part", "with"), "high": F.greatest("part", "with")}).drop("parts", "with")
+    by_two = dealt.join(sketches, "id").groupBy("bucket", "low", "high").applyInArrow(_pairs_of_two(meetings, percent), "x bigint, y bigint")
 
     candidates = stored(by_rare.distinct(), "candidates")
     left = stored(possible(candidates, sketches, percent).unionAll(by_two).distinct(), "possible")

@@ -56,6 +56,26 @@ def test_a_group_that_does_not_link_makes_few_rows(spark, monkeypatch):
     assert max(rows["candidates"], rows["possible"]) < 10 * len(texts) < len(texts) * (len(texts) - 1) / 4
 
 
+def test_a_bucket_met_in_parts_gives_the_same(spark, monkeypatch):
+    """A group larger than what meets at once loses no link between its parts."""
+    rng = random.Random(7)
+    words = [f"word{k}" for k in range(60)]
+    texts = [altered(words, set(rng.sample(range(60), 1 + k % 2)), f"d{k}") for k in range(90)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    monkeypatch.setattr(ngram_join, "MEETING_ROWS", 12)
+    largest, real = [], ngram_join.stored
+
+    def watched(df, name):
+        out = real(df, name)
+        largest.extend(r["parts"] for r in out.collect()) if name == "sizes" else None
+        return out
+
+    monkeypatch.setattr(ngram_join, "stored", watched)
+    got = ngram_join.link_documents(docs).collect()
+    assert [r["component_id"] for r in sorted(got)] == smallest_linked(shingle_sets(pa.array(texts)))
+    assert max(largest) > 2
+
+
 def test_sketches_rule_out_no_pair_that_links():
     rng = np.random.default_rng(3)
     sets = [np.zeros(0, dtype=np.uint64)]
