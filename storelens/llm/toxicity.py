@@ -445,6 +445,7 @@ def _answers(terms: pa.Table, asks: pa.Table) -> pa.Table:
         begins = np.flatnonzero(np.diff(rows[n_words:], prepend=-1)) + n_words
         summed = [np.concatenate([one[:n_words], np.add.reduceat(one, begins) if len(begins) else one[:0]]) for one in found]
         answers.append(_packed(np.concatenate([rows[:n_words], rows[begins]]), n_words, *summed))
+    release_memory()
     return pa.table({"block": asks["block"], "head": asks["head"], "answer": pa.array(answers, pa.binary())})
 
 
@@ -464,6 +465,8 @@ def _block_sums(difference: float):
                 sums[1 + k] += np.bincount(at[:first], weights=one[:first], minlength=n)
                 sums[3 + k] += np.bincount(at, weights=one, minlength=n)
             _add_words(sums, at[:first], toxic[:first] - ordinary[:first] + difference)
+        # The workers are idle while what follows runs in the JVM.
+        release_memory()
         return pa.table({"hash": pa.array(hashes)} | {name: pa.array(sums[k]) for k, name in enumerate(SUMS)})
 
     return added

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-WINDOW = 1 << 20
+WINDOW = 1 << 18
 SHINGLE = 5
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)

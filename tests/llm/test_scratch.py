@@ -11,7 +11,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import functions as F
 
-from storelens.llm import packing, toxicity
+from storelens.llm import packing, toxicity, words
 from storelens.llm.common import ARROW_BYTES, SHUFFLE_CLEANUP, blocks, shuffles_removed, stored
 from storelens.llm.word_bpe import encoder
 
@@ -140,3 +140,30 @@ def test_toxicity_moves_only_bigrams_of_rare_words(spark, monkeypatch):
     for most in (1 << 18, 10, 0):
         monkeypatch.setattr(toxicity, "HOT_WORDS", most)
         assert np.allclose(whole, sorted(map(tuple, toxicity.fit_model(training, rounds=2).table.collect())), rtol=1e-12)
+
+
+def test_memory_of_hashing_a_block_of_texts(monkeypatch):
+    """What hashing holds is bounded by its window, and the hashes do not depend on it."""
+    texts = pa.array([f"word{k % 999} of a plain text, " * 40 for k in range(1_000)] + ["x" * 300_000])
+    words.word_hashes(texts)
+    tracemalloc.start()
+    hashes, offsets = words.word_hashes(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20e6
+    monkeypatch.setattr(words, "WINDOW", 1 << 20)
+    assert (words.word_hashes(texts)[0] == hashes).all() and len(hashes) == offsets[-1]
+
+
+def test_lookups_give_back_memory(monkeypatch):
+    """Workers that answered lookups are idle while their terms' sums are joined; what they freed goes back before."""
+    calls = []
+    monkeypatch.setattr(toxicity, "release_memory", lambda: calls.append(1))
+    terms = pa.table({"key": pa.array([5], pa.int64()), "toxic": [0.5], "ordinary": [0.25]})
+    head = np.array([7], dtype=np.int64).tobytes() + np.zeros(len(toxicity.SUMS)).tobytes()
+    ask = toxicity._packed(np.array([0]), 1, np.array([5], dtype=np.uint64))
+    asks = pa.table({"block": pa.array([1, 1], pa.int64()), "head": pa.array([head, None], pa.binary()), "asks": pa.array([None, ask], pa.binary())})
+    answered = toxicity._answers(terms, asks)
+    assert calls == [1]
+    sums = toxicity._block_sums(0.0)(answered).to_pylist()
+    assert calls == [1, 1] and [(r["hash"], r["word_toxic"], r["word_ordinary"]) for r in sums] == [(7, 0.5, 0.25)]
