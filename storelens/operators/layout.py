@@ -30,11 +30,17 @@ def shared_folder(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The frame as a Parquet table in the shared folder, removed when the driver ends: it is computed once and its lineage ends here."""
-    spark = df.sparkSession
+def new_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder where nothing is yet; what is written there is removed when the driver ends."""
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The frame as a Parquet table in the shared folder, removed when the driver ends: it is computed once and its lineage ends here."""
+    spark = df.sparkSession
+    path = new_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import json
 import math
+import time
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
@@ -10,6 +12,9 @@ from pyspark.ml.feature import Word2Vec, Word2VecModel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from storelens.operators import skip_gram
+from storelens.operators.layout import new_path
+
 # Fixed values of the word-vector training.
 VECTOR_SIZE = 16
 MIN_COUNT = 100
@@ -40,14 +45,21 @@ def fit_word_vectors(
     partitions: int = PARTITIONS,
     words_per_task: int = WORDS_PER_TASK,
     seed: int = 42,
+    counts: DataFrame | None = None,
 ) -> Word2VecModel:
     """Train word vectors on token arrays.
 
     The vectors depend on the number of partitions, which is therefore a parameter.  It is the least number:
     a corpus with more than ``words_per_task`` trained words for each gets more, so that no task's time grows with it.
+    ``counts`` is the corpus' ``vocabulary``, for callers that have it already.
     """
-    trained = vocabulary(df, words, min_count).agg(F.sum("n").alias("n")).first()["n"] or 0
-    partitions = max(partitions, -(-trained // words_per_task))
+    counts = vocabulary(df, words, min_count) if counts is None else counts.where(F.col("n") >= min_count)
+    # Every word of the model has to be on the driver, as in Spark's own trainer.
+    known = counts.where("word is not null").orderBy(F.desc("n"), "word").select("word", "n").toArrow().combine_chunks()
+    number = known["n"].to_numpy()
+    if not len(number):
+        raise ValueError(f"no word occurs {min_count} times")
+    partitions = max(partitions, -(-int(number.sum()) // words_per_task))
     trainer = Word2Vec(
         inputCol=words,
         outputCol="_vector",
@@ -56,7 +68,27 @@ def fit_word_vectors(
         numPartitions=partitions,
         seed=seed,
     )
-    return trainer.fit(df.select(words))
+    trained = skip_gram.fit(
+        df, words, known["word"].combine_chunks(), number, size=vector_size, partitions=partitions, step=trainer.getStepSize(), seed=seed
+    )
+    return _model(trainer, trained)
+
+
+def _model(trainer: Word2Vec, trained: DataFrame) -> Word2VecModel:
+    """Spark's model with the given vectors, by way of the files that such a model is saved in."""
+    spark = trained.sparkSession
+    path = new_path(spark, "word_vectors")
+    trained.write.parquet(f"{path}/data")
+    described = {
+        "class": "org.apache.spark.ml.feature.Word2VecModel",
+        "timestamp": int(time.time() * 1000),
+        "sparkVersion": spark.version,
+        "uid": trainer.uid,
+        "paramMap": {param.name: value for param, value in trainer._paramMap.items()},
+        "defaultParamMap": {param.name: value for param, value in trainer._defaultParamMap.items()},
+    }
+    spark.createDataFrame([(json.dumps(described),)], "value string").coalesce(1).write.text(f"{path}/metadata")
+    return Word2VecModel.load(path)
 
 
 def synonyms(model: Word2VecModel, words: Sequence[str], k: int = 10) -> DataFrame:

@@ -390,8 +390,9 @@ def cosine_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 def word2vec_synonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Neighbours of the three most frequent words of the documents."""
     words = documents(spark, sf_dir).select(tokens(F.col("text")).alias("words"))
-    asked = [row["word"] for row in vectors.vocabulary(words, "words").orderBy(F.desc("n"), "word").limit(3).collect()]
-    model = vectors.fit_word_vectors(words, "words")
+    counts = written(vectors.vocabulary(words, "words"), "vocabulary")
+    asked = [row["word"] for row in counts.orderBy(F.desc("n"), "word").limit(3).collect()]
+    model = vectors.fit_word_vectors(words, "words", counts=counts)
     return six_digits(vectors.synonyms(model, asked, TOP_K))
 
 
