@@ -26,7 +26,7 @@ LEAST_STEP = 1e-4
 
 #: Pairs of the same predicted word that are one group, and groups whose updates are computed from the same vectors;
 #: fewer groups where a task would have less than so many rounds.
-GROUP = 32
+GROUP = 48
 BATCH = 256
 ROUNDS = 1_000
 #: Words that are looked at together, below 2**16 with one more sentence, so that the numbers of their vectors fit 16 bits.
